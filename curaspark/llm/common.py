@@ -3,17 +3,35 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import curaspark
 
-# Task functions travel with the job, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(curaspark)
+_PACKAGE = Path(__file__).resolve().parents[1]
+
+
+def _ship(context: SparkContext) -> None:
+    """Send this package's sources to the workers with the job, once for each context."""
+    if getattr(context, "_curaspark_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="curaspark-ship-")) / f"{_PACKAGE.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(_PACKAGE.rglob("*.py")):
+            out.write(source, source.relative_to(_PACKAGE.parent).as_posix())
+    context.addPyFile(str(archive))
+    context._curaspark_shipped = True
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` by a function of this package."""
+    _ship(df.sparkSession.sparkContext)
+    return df.mapInArrow(run, schema)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

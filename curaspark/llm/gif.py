@@ -322,7 +322,7 @@ def gif_frames(images: DataFrame, id_col: str, gif_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(errors, pa.string()), pa.array(found, pa.list_(_FRAME_ARROW))], ["id", "error", "frames"])
 
     rows = images.select(F.col(id_col).alias("id"), F.col(gif_col).alias("gif"))
-    return rows.mapInArrow(run, f"id {kind}, error string, frames array<{FRAME}>").withColumnRenamed("id", id_col)
+    return common.map_arrow(rows, run, f"id {kind}, error string, frames array<{FRAME}>").withColumnRenamed("id", id_col)
 
 
 def texts_as_gif(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -344,7 +344,7 @@ def texts_as_gif(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ["doc_id", "n_bytes", "gif", "frames"],
             )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, gif binary, frames array<{FRAME}>")
+    return common.map_arrow(rows, run, f"doc_id {kind}, n_bytes bigint, gif binary, frames array<{FRAME}>")
 
 
 def gif_digest(stored: DataFrame) -> DataFrame:

@@ -3,16 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from curaspark.llm import common, gif
+from curaspark.llm import common, gif, langid, quality
 
 
 def op1_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.gif_digest(gif.texts_as_gif(common.documents(spark, sf_dir)))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = langid.fit(docs, ~common.held_out())
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", common.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~common.held_out())
+    found = quality.score(docs, model)
+    return found.select("doc_id", common.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict:
-    return {"op1_gif": op1_gif}
+    return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
