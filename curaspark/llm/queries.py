@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curaspark.llm import common, gif, langid, quality
+from curaspark.llm import common, gif, langid, pii, quality, secret_scan
 
 
 def op1_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,23 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", common.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def _kinds(*kinds: str):
+    """How many base spans of each kind."""
+    return [F.expr(f"cast(size(filter(found, s -> s.base and s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in kinds]
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    found = secret_scan.find_secrets(docs, secret_scan.learn(docs))
+    return found.select("doc_id", *_kinds("assign", "access", "hex"), "base_sha256", "spans")
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    found = pii.find_personal_data(docs, pii.learn(docs))
+    return found.select("doc_id", *_kinds("email", "ip", "card", "phone"), "base_sha256", "spans")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
