@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -34,16 +35,16 @@ def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a file copy in the folder that driver and executors share.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only a session without one (a local
-    test) gets a temporary folder.
-    """
-    context = df.sparkSession.sparkContext
+def _set_shared(spark: SparkSession) -> None:
+    """The folder is the session's ``spark.checkpoint.dir``; only a session without one (a local test) gets a temporary one."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="curaspark-checkpoint-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="curaspark-checkpoint-"))
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage through a file copy in the folder that driver and executors share."""
+    _set_shared(df.sparkSession)
     return df.checkpoint()
 
 
@@ -147,3 +148,25 @@ def chunks(raw: np.ndarray, offsets: np.ndarray, size: int = 1 << 20):
         j = min(j, n)
         yield i, j, raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one that driver and executors share."""
+    _set_shared(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder and read it again: the lineage ends at its files."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a few numbers up to which a counted side may be broadcast (16 MB or so).
+SMALL_ROWS = 500_000
+
+
+def if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A broadcast hint for a stored table of counted size, the table itself beyond it."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curaspark.llm import common, gif, langid, pii, quality, secret_scan
+from curaspark.llm import common, gif, langid, ngram_join, pii, quality, secret_scan
 
 
 def op1_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_kinds("email", "ip", "card", "phone"), "base_sha256", "spans")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(common.documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
