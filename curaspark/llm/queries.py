@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curaspark.llm import common, gif, langid, ngram_join, pii, quality, secret_scan
+from curaspark.llm import common, gif, langid, line_dedup, mixing, ngram_join, pii, quality, secret_scan, tool_calls
 
 
 def op1_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.gif_digest(gif.texts_as_gif(common.documents(spark, sf_dir)))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = langid.fit(docs, ~common.held_out())
@@ -43,6 +47,17 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_kinds("email", "ip", "card", "phone"), "base_sha256", "spans")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_recurring(common.documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
+
+
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.turns_as_calls(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    linked = tool_calls.link_calls(calls, results, tool_calls.turn_schemas(spark))
+    return linked.select("conv_id", "turn", "call_id", "status", "position", F.array_join("errors", ";").alias("errors"), "json")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(common.documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
@@ -52,4 +67,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_line_dedup": line_dedup.LINES_SQL, "op8_tool_calls": tool_calls.CALLS_SQL}

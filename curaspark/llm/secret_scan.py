@@ -216,7 +216,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
                 found += [v[:256] for _, v in held]
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(found, pa.string())], ["kind", "value"])
 
-    distinct = common.map_arrow(rows, run, "kind string, value string").distinct()
+    distinct = common.stored(common.map_arrow(rows, run, "kind string, value string").distinct())
     labelled: dict[str, list[str]] = {}
     for kind, n in (("assign", max_labelled), ("access", max_labelled), ("hex", max_labelled), ("plain", max_background)):
         # at most n short values
