@@ -108,8 +108,8 @@ def memberships(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, vo
             score = score + F.element_at(F.array(*map(F.lit, logs)), F.col("bins")[k] + 1)
         if words:
             p = {w: (hit.get((domain, w), 0) + 0.5) / (own + 1.0) for w in words}
-            score = score + sum(math.log(1 - x) for x in p.values())
-            odds = F.array(*[F.lit(math.log(p[w] / (1 - p[w]))) for w in words])
+            # only words that stand in the text: a word may be absent because the text is in another language
+            odds = F.array(*[F.lit(math.log(p[w])) for w in words])
             score = score + F.aggregate("hits", F.lit(0.0), lambda t, w: t + F.element_at(odds, F.array_position(listed, w).cast("int")))
         return score
 
