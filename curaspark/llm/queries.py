@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curaspark.llm import common, gif, langid, line_dedup, mixing, ngram_join, pii, quality, secret_scan, tool_calls
+from curaspark.llm import common, decontam, gif, langid, line_dedup, mixing, ngram_join, pii, quality, secret_scan, tool_calls
 
 
 def op1_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("conv_id", "turn", "call_id", "status", "position", F.array_join("errors", ";").alias("errors"), "json")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_passages(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(common.documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
