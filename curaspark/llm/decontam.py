@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ for _b in range(128):
 
 def plain_words(texts: pa.Array):
     """(first row, last row, hashes, offsets) of runs of texts, punctuation as spaces."""
-    raw, offsets = common.text_buffer(texts)
+    raw, offsets = common.text_buffer(pc.utf8_lower(texts))
     for i, j, part, own in common.chunks(_PLAIN[raw], offsets):
         yield i, j, *common.hashed_words(part, own)
 
