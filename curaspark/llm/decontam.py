@@ -5,8 +5,9 @@ counted over all documents. The benchmark's passages are TF-IDF rows; a distribu
 singular value decomposition (sketch, power step and projection are sums over the passages'
 partitions) gives a latent space and a vector for each passage. Every window of every document, at
 several lengths with overlaps, is folded into that space and compared with all passages of its length
-by cosine; the share of a window's weight that lies in the benchmark's words bounds the cosine, so most
-windows need no vector. Candidates are verified on the words themselves: the longest common subsequence of
+by cosine. Two exact bounds come first: a document that lacks too many of a passage's rarest words can't
+hold enough of it, and the share of a window's weight that lies in the benchmark's words bounds the
+cosine; so most windows need no vector. Candidates are verified on the words themselves: the longest common subsequence of
 the passage and the surroundings of the window must hold ``similar`` of the passage; below ``sure`` the
 passage's rarest words, its answer, must be there too.
 
@@ -76,6 +77,39 @@ class PassageIndex:
     least: np.ndarray
     scale: np.ndarray
     answers: list[np.ndarray]
+    #: per term (offsets) the passages for which it is an anchor, how often, and how many anchors a passage needs
+    posted: np.ndarray
+    posted_item: np.ndarray
+    posted_times: np.ndarray
+    needed: np.ndarray
+
+    def holders(self, term: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Sorted row * passages + passage of the pairs that may match."""
+        n = len(self.words)
+        row = np.repeat(np.arange(len(at) - 1, dtype=np.int64), np.diff(at))[term >= 0]
+        pair = np.unique(row * len(self.vocabulary) + term[term >= 0])
+        row, own = pair // len(self.vocabulary), pair % len(self.vocabulary)
+        many = self.posted[own + 1] - self.posted[own]
+        spot = np.repeat(self.posted[own] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        keys, where = np.unique(np.repeat(row, many) * n + self.posted_item[spot], return_inverse=True)
+        return keys[np.bincount(where, weights=self.posted_times[spot], minlength=len(keys)) >= self.needed[keys % n]]
+
+
+def _anchors(words: list[np.ndarray], terms: np.ndarray, idf: np.ndarray, similar: float) -> tuple:
+    """The rarest seven tenths of each passage's words: of them at most what a match may lack is absent."""
+    term, item, times, needed = [], [], [], np.zeros(len(words))
+    for k, own in enumerate(words):
+        weight = idf[(own >> np.uint64(64 - BITS)).astype(np.int64)]
+        chosen = own[np.argsort(-weight, kind="stable")[: -(-7 * len(own) // 10)]]
+        lacking = len(own) - int(np.ceil(similar * len(own)))
+        needed[k] = max(1, len(chosen) - lacking)
+        distinct, n = np.unique(chosen, return_counts=True)
+        term.append(np.searchsorted(terms, distinct))
+        item.append(np.full(len(distinct), k))
+        times.append(n)
+    term, item, times = np.concatenate(term), np.concatenate(item), np.concatenate(times)
+    order = np.argsort(term, kind="stable")
+    return np.searchsorted(term[order], np.arange(len(terms) + 1)), item[order], times[order], needed
 
 
 def _scales(lengths: np.ndarray) -> np.ndarray:
@@ -132,7 +166,7 @@ def _decomposed(rows: DataFrame, idf: np.ndarray, rank: int, power: int) -> tupl
     return model[0], model[1].astype(np.float32)
 
 
-def fit(passages: DataFrame, idf: np.ndarray, rank: int = 128, cosine: float = 0.3, power: int = 1) -> PassageIndex | None:
+def fit(passages: DataFrame, idf: np.ndarray, rank: int = 256, cosine: float = 0.45, power: int = 1, similar: float = 0.6) -> PassageIndex | None:
     """Index one block of passages (item_id, text)."""
 
     def run(batches):
@@ -159,7 +193,7 @@ def fit(passages: DataFrame, idf: np.ndarray, rank: int = 128, cosine: float = 0
         weight = idf[(distinct >> np.uint64(64 - BITS)).astype(np.int64)]
         answers.append(distinct[np.argsort(-weight, kind="stable")[:6]])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    return PassageIndex(idf, terms, space, [r.item_id for r in items], words, latent, (cosine * np.minimum(kept, 1)).astype(np.float32), _scales(np.array([len(w) for w in words])), answers)
+    return PassageIndex(idf, terms, space, [r.item_id for r in items], words, latent, (cosine * np.minimum(kept, 1)).astype(np.float32), _scales(np.array([len(w) for w in words])), answers, *_anchors(words, terms, idf, similar))
 
 
 def common_subsequence(pattern: list[int], text: list[int]) -> int:
@@ -197,6 +231,14 @@ def _matches(index: PassageIndex, hashed: np.ndarray, at: np.ndarray, flags: np.
     place = np.minimum(np.searchsorted(index.vocabulary, hashed[maybe]), len(index.vocabulary) - 1)
     same = index.vocabulary[place] == hashed[maybe]
     term[maybe[same]] = place[same]
+    pairs = index.holders(term, at)
+    if not len(pairs):
+        return []
+    # from here on only the rows of those pairs
+    rows = np.unique(pairs // len(index.words))
+    sizes = np.diff(at)[rows]
+    spot = np.repeat(at[rows] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    hashed, weight, term, at = hashed[spot], weight[spot], term[spot], np.concatenate([[0], np.cumsum(sizes)])
     squared = weight.astype(np.float64) ** 2
     every = np.concatenate([[0.0], np.cumsum(squared)])
     inside = np.concatenate([[0.0], np.cumsum(np.where(term >= 0, squared, 0.0))])
@@ -223,6 +265,9 @@ def _matches(index: PassageIndex, hashed: np.ndarray, at: np.ndarray, flags: np.
             cosines = folded @ index.latent[items].T / np.sqrt(np.maximum(total[some], 1e-9)).astype(np.float32)[:, None]
             for w, k in zip(*np.nonzero(cosines >= least[None, :])):
                 row, item = int(owner[some[w]]), int(items[k])
+                pair = int(rows[row]) * len(index.words) + item
+                if pairs[min(np.searchsorted(pairs, pair), len(pairs) - 1)] != pair:
+                    continue
                 own = index.words[item]
                 a = max(int(at[row]), int(start[some[w]]) - len(own) // 2)
                 b = min(int(at[row + 1]), int(end[some[w]]) + len(own) // 2)
@@ -235,10 +280,10 @@ def _matches(index: PassageIndex, hashed: np.ndarray, at: np.ndarray, flags: np.
                 found = (shared, -(int(start[some[w]]) - int(at[row])), float(cosines[w, k]))
                 if found > best.get((row, item), (-1.0,)):
                     best[row, item] = found
-    return [(row, item, shared, cosine, -begin) for (row, item), (shared, begin, cosine) in best.items()]
+    return [(int(rows[row]), item, shared, cosine, -begin) for (row, item), (shared, begin, cosine) in best.items()]
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = 0.6, sure: float = 0.8, block: int = 20_000, rank: int = 128) -> DataFrame:
+def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = 0.6, sure: float = 0.8, block: int = 20_000, rank: int = 256) -> DataFrame:
     """(doc_id, item_id, similarity, cosine, first_word) of every benchmark passage in every document."""
     docs = common.id_and_text(docs, id_col, text_col)
     passages = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null")
@@ -248,7 +293,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = docs.sparkSession.createDataFrame([], schema)
     idf = inverse_frequencies(docs) if blocks else None
     for number in range(blocks):
-        index = fit(passages.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number), idf, rank)
+        index = fit(passages.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number), idf, rank, similar=similar)
         if index is None:
             continue
         held = docs.sparkSession.sparkContext.broadcast(index)
