@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from curaspark.plans import relational, scalars
+
 
 def queries() -> dict:
-    return {}
+    return {**scalars.queries(), **relational.queries()}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return {**scalars.oracle_sql(), **relational.oracle_sql()}
