@@ -82,6 +82,9 @@ class PassageIndex:
     posted_item: np.ndarray
     posted_times: np.ndarray
     needed: np.ndarray
+    #: the same by passage: offsets and terms
+    anchored: np.ndarray
+    anchors: np.ndarray
 
     def holders(self, term: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Sorted row * passages + passage of the pairs that may match."""
@@ -109,7 +112,8 @@ def _anchors(words: list[np.ndarray], terms: np.ndarray, idf: np.ndarray, simila
         times.append(n)
     term, item, times = np.concatenate(term), np.concatenate(item), np.concatenate(times)
     order = np.argsort(term, kind="stable")
-    return np.searchsorted(term[order], np.arange(len(terms) + 1)), item[order], times[order], needed
+    by_item = np.searchsorted(item, np.arange(len(words) + 1))
+    return np.searchsorted(term[order], np.arange(len(terms) + 1)), item[order], times[order], needed, by_item, term
 
 
 def _scales(lengths: np.ndarray) -> np.ndarray:
@@ -211,76 +215,58 @@ def common_subsequence(pattern: list[int], text: list[int]) -> int:
     return len(pattern) - row.bit_count()
 
 
-def _windows(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Owner, start and end of overlapping windows; the last one of a text ends with it."""
-    n = np.diff(at)
+def _windows(n: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of overlapping windows over n words; the last one ends with them."""
     step = max(size // 4, 1)
-    number = np.where(n > 0, np.maximum(-(-(n - size) // step), 0) + 1, 0)
-    owner = np.repeat(np.arange(len(n)), number)
-    turn = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
-    start = at[owner] + np.minimum(turn * step, np.maximum(n[owner] - size, 0))
-    return owner, start, np.minimum(start + size, at[owner + 1])
+    start = np.minimum(np.arange(max(-(-(n - size) // step), 0) + 1) * step, max(n - size, 0))
+    return start, np.minimum(start + size, n)
+
+
+def _best_place(index: PassageIndex, item: int, words: np.ndarray, term: np.ndarray, weight: np.ndarray, similar: float, sure: float):
+    """(similarity, cosine, first word) of the best verified window of one text for one passage."""
+    size, own = int(index.scale[item]), index.words[item]
+    start, end = _windows(len(words), size)
+    anchor = np.zeros(len(index.vocabulary) + 1, bool)  # the last place is for other words, whose term is -1
+    anchor[index.anchors[index.anchored[item] : index.anchored[item + 1]]] = True
+    marked = np.concatenate([[0], np.cumsum(anchor[term])])
+    enough = marked[np.minimum(end + size // 2, len(words))] - marked[np.maximum(start - size // 2, 0)] >= index.needed[item]
+    if not enough.any():
+        return None
+    squared = weight.astype(np.float64) ** 2
+    every, inside = (np.concatenate([[0.0], np.cumsum(x)]) for x in (squared, np.where(term >= 0, squared, 0.0)))
+    total = every[end] - every[start]
+    best = None
+    for w in np.flatnonzero(enough & (inside[end] - inside[start] >= total * float(index.least[item]) ** 2)).tolist():
+        known = term[start[w] : end[w]]
+        folded = weight[start[w] : end[w]][known >= 0] @ index.space[known[known >= 0]]
+        cosine = float(folded @ index.latent[item]) / max(float(total[w]), 1e-9) ** 0.5
+        if cosine < index.least[item]:
+            continue
+        region = words[max(0, start[w] - len(own) // 2) : end[w] + len(own) // 2]
+        shared = common_subsequence(own.tolist(), region.tolist()) / len(own)
+        if shared < similar or shared < sure and np.isin(index.answers[item], region).mean() < 0.5:
+            continue
+        if best is None or (shared, cosine) > best[:2]:
+            best = (shared, cosine, int(start[w]))
+    return best
 
 
 def _matches(index: PassageIndex, hashed: np.ndarray, at: np.ndarray, flags: np.ndarray, similar: float, sure: float):
     """(row, item, similarity, cosine, first word) of the verified places of a run of texts."""
     bucket = (hashed >> np.uint64(64 - BITS)).astype(np.int64)
-    weight = index.idf[bucket]
     maybe = np.flatnonzero(flags[bucket])
     term = np.full(len(hashed), -1, np.int64)
     place = np.minimum(np.searchsorted(index.vocabulary, hashed[maybe]), len(index.vocabulary) - 1)
     same = index.vocabulary[place] == hashed[maybe]
     term[maybe[same]] = place[same]
-    pairs = index.holders(term, at)
-    if not len(pairs):
-        return []
-    # from here on only the rows of those pairs
-    rows = np.unique(pairs // len(index.words))
-    sizes = np.diff(at)[rows]
-    spot = np.repeat(at[rows] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    hashed, weight, term, at = hashed[spot], weight[spot], term[spot], np.concatenate([[0], np.cumsum(sizes)])
-    squared = weight.astype(np.float64) ** 2
-    every = np.concatenate([[0.0], np.cumsum(squared)])
-    inside = np.concatenate([[0.0], np.cumsum(np.where(term >= 0, squared, 0.0))])
-    best: dict[tuple[int, int], tuple] = {}
-    for size in np.unique(index.scale).tolist():
-        items = np.flatnonzero(index.scale == size)
-        least = index.least[items]
-        owner, start, end = _windows(at, size)
-        total = every[end] - every[start]
-        few = np.flatnonzero(inside[end] - inside[start] >= total * float(least.min()) ** 2)
-        for part in range(0, len(few), 4096):
-            some = few[part : part + 4096]
-            lengths = end[some] - start[some]
-            spot = np.repeat(start[some] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-            window = np.repeat(np.arange(len(some)), lengths)
-            known = term[spot] >= 0
-            spot, window = spot[known], window[known]
-            if not len(spot):
-                continue
-            vectors = index.space[term[spot]] * weight[spot][:, None]
-            begins = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
-            folded = np.zeros((len(some), index.space.shape[1]), np.float32)
-            folded[window[begins]] = np.add.reduceat(vectors, begins, axis=0)
-            cosines = folded @ index.latent[items].T / np.sqrt(np.maximum(total[some], 1e-9)).astype(np.float32)[:, None]
-            for w, k in zip(*np.nonzero(cosines >= least[None, :])):
-                row, item = int(owner[some[w]]), int(items[k])
-                pair = int(rows[row]) * len(index.words) + item
-                if pairs[min(np.searchsorted(pairs, pair), len(pairs) - 1)] != pair:
-                    continue
-                own = index.words[item]
-                a = max(int(at[row]), int(start[some[w]]) - len(own) // 2)
-                b = min(int(at[row + 1]), int(end[some[w]]) + len(own) // 2)
-                region = hashed[a:b]
-                shared = common_subsequence(own.tolist(), region.tolist()) / len(own)
-                if shared < similar:
-                    continue
-                if shared < sure and np.isin(index.answers[item], region).mean() < 0.5:
-                    continue
-                found = (shared, -(int(start[some[w]]) - int(at[row])), float(cosines[w, k]))
-                if found > best.get((row, item), (-1.0,)):
-                    best[row, item] = found
-    return [(int(rows[row]), item, shared, cosine, -begin) for (row, item), (shared, begin, cosine) in best.items()]
+    found = []
+    for pair in index.holders(term, at).tolist():
+        row, item = divmod(pair, len(index.words))
+        a, b = int(at[row]), int(at[row + 1])
+        best = _best_place(index, item, hashed[a:b], term[a:b], index.idf[bucket[a:b]], similar, sure)
+        if best:
+            found.append((row, item, *best))
+    return found
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = 0.6, sure: float = 0.8, block: int = 20_000, rank: int = 256) -> DataFrame:
