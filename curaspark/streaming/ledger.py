@@ -49,7 +49,7 @@ def review_state_stream(events: DataFrame, moves: dict[str, tuple[str, ...]], le
         held = [x for x in held if x[0] > mark]
         state.update((now, refused, held))
         if held:
-            state.setTimeoutTimestamp(max(held[-1][0] // 1000, state.getCurrentWatermarkMs()) + 1)
+            state.setTimeoutTimestamp(max(min(held)[0] // 1000, state.getCurrentWatermarkMs()) + 1)
         yield pd.DataFrame({"submission": [key[0]], "state": [now], "refused": [refused]})
 
     marked = events.withWatermark("at", delay)
