@@ -72,15 +72,15 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = common.stored(recurring_lines(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), **rules))
     small = found.count() <= common.SMALL_ROWS
     # as many numbers as the document has lines
-    places = found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("pos").alias("_places"))
-    joined = docs.join(F.broadcast(places) if small else places, F.col(id_col) == F.col("_id"), "left")
+    places = found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("pos").alias("__places"))
+    joined = docs.join(F.broadcast(places) if small else places, F.col(id_col) == F.col("__id"), "left")
     lines = F.split(F.col(text_col), "\n")
-    rest = F.filter(lines, lambda line, i: ~F.array_contains(F.coalesce("_places", F.array().cast("array<int>")), i.cast("int")))
-    out = joined.withColumn("_rest", F.when(F.col("_id").isNotNull(), rest))
+    rest = F.filter(lines, lambda line, i: ~F.array_contains(F.coalesce("__places", F.array().cast("array<int>")), i.cast("int")))
+    out = joined.withColumn("__rest", F.when(F.col("__id").isNotNull(), rest))
     return out.select(
-        *[F.when(F.col("_id").isNull(), F.col(c)).otherwise(F.array_join("_rest", "\n")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+        *[F.when(F.col("__id").isNull(), F.col(c)).otherwise(F.array_join("__rest", "\n")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
         F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("_n_lines"),
-        F.when(F.col("_id").isNull(), 0).otherwise(F.size(lines) - F.size("_rest")).cast("long").alias("_n_dropped"),
+        F.when(F.col("__id").isNull(), 0).otherwise(F.size(lines) - F.size("__rest")).cast("long").alias("_n_dropped"),
     )
 
 

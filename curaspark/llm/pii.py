@@ -162,7 +162,8 @@ class SpanClassifier:
     accepted: dict[tuple[str, tuple[int, ...]], float]
 
     def probability(self, kind: str, features: tuple[int, ...]) -> float:
-        return self.accepted.get((kind, features), 0.0)
+        """Of a candidate outside the base spans; one that fails its own checksum or range is none."""
+        return 0.0 if features[2] else self.accepted.get((kind, features), 0.0)
 
 
 def estimate(counts: list[tuple[str, tuple[int, ...], tuple[int, ...], int]], rounds: int = 40, ridge: float = 1.0) -> SpanClassifier:
