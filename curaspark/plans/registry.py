@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from curaspark.plans import relational, scalars
+from curaspark.plans import curation, relational, scalars
 
 
 def queries() -> dict:
-    return {**scalars.queries(), **relational.queries()}
+    return {**scalars.queries(), **relational.queries(), **curation.queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**scalars.oracle_sql(), **relational.oracle_sql()}
+    return {**scalars.oracle_sql(), **relational.oracle_sql(), **curation.oracle_sql()}
