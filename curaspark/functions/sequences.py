@@ -65,3 +65,26 @@ def masks_compared(a: Column, b: Column, width: int, word: int = 60) -> tuple[Co
     same = sum(F.bit_count(a[k * n + w].bitwiseAND(b[k * n + w])) for w in range(n) for k in range(4))
     own_a, own_b = (sum(F.bit_count(known(m, w)) for w in range(n)) for m in (a, b))
     return both, both - same, own_a - both, own_b - both
+
+
+def sequence_change_text(was: Column, now: Column, shown: int = 8) -> Column:
+    """Positions where two sequences of one length differ, the first few written out."""
+    cells = F.zip_with(F.split(was, ""), F.split(now, ""), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    changes = F.filter(F.transform(cells, lambda x, i: F.when(~x["a"].eqNullSafe(x["b"]), F.concat(x["a"], (i + 1).cast("string"), x["b"]))), lambda t: t.isNotNull())
+    more = F.when(F.size(changes) > shown, F.concat(F.lit(" and "), (F.size(changes) - shown).cast("string"), F.lit(" more"))).otherwise("")
+    return F.when(F.length(was) != F.length(now), "length differs").otherwise(F.concat(F.array_join(F.slice(changes, 1, shown), ", "), more))
+
+
+# The bases that each ambiguity code stands for.
+CODES = {"R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC", "B": "CGT", "D": "AGT", "H": "ACT", "V": "ACG"}
+
+
+def code_matches(a: Column, b: Column) -> Column:
+    """Positions where one side has an ambiguity code that covers the other side's base."""
+    table = F.create_map(*[F.lit(x) for pair in CODES.items() for x in pair])
+
+    def covers(code: Column, base: Column) -> Column:
+        return F.coalesce(base.isin(*"ACGT") & F.element_at(table, code).contains(base), F.lit(False))
+
+    hits = F.zip_with(F.split(F.upper(a), ""), F.split(F.upper(b), ""), lambda x, y: covers(x, y) | covers(y, x))
+    return F.size(F.filter(hits, lambda v: v))

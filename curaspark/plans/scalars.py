@@ -80,6 +80,13 @@ SCALARS: dict = {
     "split_checkbox": (lambda: {"v": _list(X.split_checkbox(c("acc")))}, "array_to_string(list_filter(list_transform(string_split(acc, ','), lambda x: trim(x)), lambda x: x <> ''), ';') AS v"),
     "row_fingerprint": (lambda: {"v": X.row_fingerprint(("doi", c("doi")), ("cnt", c("cnt")))}, "substr(sha256(concat_ws(chr(10), CASE WHEN cnt <> '' THEN 'cnt=' || cnt END, CASE WHEN doi <> '' THEN 'doi=' || doi END)), 1, 16) AS v"),
     "change_capture": (lambda: {"v": F.size(X.change_capture(words=(c("words"), X.norm_ws(c("words"))), doi=(c("doi"), X.normalize_doi(c("doi"))))).cast("long")}, f"CAST((words <> {_WS.format('words')} AND {_WS.format('words')} <> '')::INT + (doi <> {_DOI})::INT AS BIGINT) AS v"),
+    "normalize_region": (lambda: {"v": X.normalize_region(F.when(c("n") % 3 == 0, " Hawaii ").when(c("n") % 3 == 1, "North America").otherwise("middle east"))}, "CASE n % 3 WHEN 0 THEN 'HAWAI' WHEN 1 THEN 'NORTH_AMERICA' ELSE 'NORTH_AFRICA_AND_MIDDLE_EAST' END AS v"),
+    "lineage_genus_fallback": (lambda: {"v": X.lineage_genus_fallback(F.when(c("k") % 3 == 0, "Plasmodium").otherwise("x"), c("words"))}, f"CASE WHEN k % 3 = 0 THEN 'Plasmodium' ELSE nullif(string_split({_WS.format('words')}, ' ')[1], '') END AS v"),
+    "parse_form_timestamp": (lambda: {"v": X.parse_form_timestamp(F.when(c("k") % 3 == 0, "3/9/2026 4:05:06").when(c("k") % 3 == 1, "2026-03-09T04:05:06+02:00").otherwise("soon"), "Etc/GMT-1")}, "CASE k % 3 WHEN 0 THEN TIMESTAMP '2026-03-09 03:05:06' WHEN 1 THEN TIMESTAMP '2026-03-09 02:05:06' END AS v"),
+    "name_malformed": (lambda: {"v": X.name_malformed(F.concat(F.when(c("k") % 2 == 0, "CORCOR").otherwise("ZZ"), F.lpad(c("n").cast("string"), 2, "0")), X.host_acronyms(F.lit("Corvus corax")))}, "k % 2 <> 0 AS v"),
+    "record_notes": (lambda: {"v": X.record_notes(tube_label=c("doi"), lab_note=c("cnt"))}, "concat_ws('; ', CASE WHEN doi <> '' THEN 'tube label: ' || doi END, CASE WHEN cnt <> '' THEN 'lab note: ' || cnt END) AS v"),
+    "sequence_change_text": (lambda: {"v": S.sequence_change_text(F.lit("ACGTACGTAC"), F.when(c("n") % 3 == 0, "ACGTACGTAC").when(c("n") % 3 == 1, "TCGTACGTAG").otherwise("CATGCATGCA"))}, "CASE n % 3 WHEN 0 THEN '' WHEN 1 THEN 'A1T, C10G' ELSE 'A1C, C2A, G3T, T4G, A5C, C6A, G7T, T8G and 2 more' END AS v"),
+    "code_matches": (lambda: {"v": S.code_matches(F.lit("RACG"), F.when(c("n") % 2 == 0, "GYYK").otherwise("TACG")).cast("long")}, "CAST(CASE WHEN n % 2 = 0 THEN 3 ELSE 0 END AS BIGINT) AS v"),
 }
 
 
