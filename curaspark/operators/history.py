@@ -60,3 +60,54 @@ def rename_propagate(rows: DataFrame, renames: DataFrame, column: str) -> DataFr
     """Approved renames (old, new) applied to a name column."""
     table = renames.select(F.col("old").alias("_old"), F.col("new").alias("_new"))
     return rows.join(table, F.col(column) == F.col("_old"), "left").withColumn(column, F.coalesce("_new", column)).drop("_old", "_new")
+
+
+#: Tables whose rows cite a lineage by name; the history itself is never rewritten.
+CITING = ("host_records", "vector_records", "alt_names", "morpho_species", "genomic_resources")
+
+
+def event_plan(store: dict[str, DataFrame], event: dict) -> DataFrame:
+    """(table, n_rows): how many rows of each table an event touches; no row for a table that is not there."""
+    parts = None
+    for name in ("lineages", *CITING):
+        if name not in store:
+            continue
+        touched = store[name].filter(F.col("LINEAGE_NAME") == event["name"]).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")
+        parts = touched if parts is None else parts.union(touched)
+    return parts
+
+
+def event_apply(store: dict[str, DataFrame], event: dict) -> dict[str, DataFrame]:
+    """The store after one event: sequence_updated, renamed, merged_into or removed.
+
+    A rename or merge leaves the old name as a synonym; a merge and a removal take the lineage's own row
+    away, a removal its citing rows too. Everything else in the store is carried through.
+    """
+    kind, name, new = event["kind"], event["name"], event.get("new", "")
+    mine = F.col("LINEAGE_NAME") == name
+    out = dict(store)
+    if kind == "sequence_updated":
+        out["lineages"] = store["lineages"].withColumn("SEQUENCE", F.when(mine, new).otherwise(F.col("SEQUENCE")))
+    elif kind == "removed":
+        for table in ("lineages", *CITING):
+            if table in store:
+                out[table] = store[table].filter(~mine)
+    elif kind in ("renamed", "merged_into"):
+        renamed = lambda df: df.withColumn("LINEAGE_NAME", F.when(mine, new).otherwise(F.col("LINEAGE_NAME")))
+        out["lineages"] = renamed(store["lineages"]) if kind == "renamed" else store["lineages"].filter(~mine)
+        for table in CITING:
+            if table in store:
+                out[table] = renamed(store[table])
+        if "alt_names" in store:
+            columns = store["alt_names"].columns
+            given = {"LINEAGE_NAME": new, "ALT_NAME": name}
+            synonym = store["alt_names"].sparkSession.range(1).select(*[F.lit(given.get(c, "")).alias(c) for c in columns])
+            out["alt_names"] = out["alt_names"].unionByName(synonym).distinct()
+    else:
+        raise ValueError(f"unknown event {kind}")
+    if "lineage_history" in store:
+        given = {"LINEAGE_NAME": new if kind in ("renamed", "merged_into") else name, "EVENT": kind, "OLD_NAME": name, "NEW_NAME": new if kind != "sequence_updated" else "", "DATE": event.get("date", ""), "REASON": event.get("reason", ""), "SOURCE": event.get("source", "")}
+        columns = store["lineage_history"].columns
+        row = store["lineage_history"].sparkSession.range(1).select(*[F.lit(given.get(c, "")).alias(c) for c in columns])
+        out["lineage_history"] = store["lineage_history"].unionByName(row)
+    return out

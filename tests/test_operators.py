@@ -178,3 +178,35 @@ def test_the_stream_reaches_the_state_of_the_batch_in_any_order(spark, sf, tmp_p
     wanted = {r.submission: (r.state, r.refused) for r in ledger.review_state(events).collect()}
     seen = {r.submission: (r.state, r.refused) for r in spark.table("states").collect()}
     assert seen == wanted
+
+
+def test_events_rename_merge_update_and_remove(spark):
+    lineages = spark.createDataFrame([("A", "AC"), ("B", "GT"), ("C", "TT")], "LINEAGE_NAME string, SEQUENCE string")
+    hosts = spark.createDataFrame([("A", "h1"), ("A", "h2"), ("B", "h3")], "LINEAGE_NAME string, SPECIES_NAME string")
+    alt = spark.createDataFrame([("A", "old", "R")], "LINEAGE_NAME string, ALT_NAME string, REFERENCE_NAME string")
+    past = spark.createDataFrame([], "LINEAGE_NAME string, EVENT string, OLD_NAME string, NEW_NAME string, DATE string")
+    store = {"lineages": lineages, "host_records": hosts, "alt_names": alt, "lineage_history": past}
+    assert {(r.table, r.n_rows) for r in history.event_plan(store, {"name": "A"}).collect()} == {("lineages", 1), ("host_records", 2), ("alt_names", 1)}
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    renamed = history.event_apply(store, {"kind": "renamed", "name": "A", "new": "Z", "date": "2026-01-01"})
+    assert rows(renamed["lineages"]) == [("B", "GT"), ("C", "TT"), ("Z", "AC")]
+    assert rows(renamed["alt_names"]) == [("Z", "A", ""), ("Z", "old", "R")] and rows(renamed["lineage_history"]) == [("Z", "renamed", "A", "Z", "2026-01-01")]
+    merged = history.event_apply(store, {"kind": "merged_into", "name": "A", "new": "B"})
+    assert rows(merged["lineages"]) == [("B", "GT"), ("C", "TT")] and rows(merged["host_records"]) == [("B", "h1"), ("B", "h2"), ("B", "h3")]
+    assert rows(history.event_apply(store, {"kind": "sequence_updated", "name": "C", "new": "TTA"})["lineages"])[2] == ("C", "TTA")
+    assert rows(history.event_apply(store, {"kind": "removed", "name": "A"})["host_records"]) == [("B", "h3")]
+
+
+def test_host_names_by_rule(spark):
+    from curaspark.operators import curation
+
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    got = curation.canonical_host(
+        frame([("Corvus corax",), ("Corvus corax tingitanus",), ("Korvus corax",), ("Pica pica",)], "name string"), frame([("Corvus corax",)], "name string"), frame([("Korvus", "Corvus")], "old string, new string")
+    )
+    assert {(r.name, r.canonical, r.rule) for r in got.collect()} == {
+        ("Corvus corax", "Corvus corax", "exact"),
+        ("Corvus corax tingitanus", "Corvus corax", "trimmed"),
+        ("Korvus corax", "Corvus corax", "genus synonym"),
+        ("Pica pica", None, "unmatched"),
+    }
