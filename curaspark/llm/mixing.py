@@ -34,10 +34,6 @@ def domain_of() -> Column:
     return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "high")
 
 
-def _share(text: Column, marks: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, marks, ""))
-
-
 #: Upper edges of the bins of each measure.
 _EDGES = {
     "bars": (0.001, 0.01, 0.05),
@@ -50,22 +46,26 @@ _EDGES = {
 }
 
 
+def _words(text: Column) -> Column:
+    """Lower-case words, between spaces and line ends."""
+    return F.filter(F.split(F.replace(F.lower(text), F.lit("\n"), F.lit(" ")), " "), lambda w: w != "")
+
+
 def _measured(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, bins, words): binned measures and the distinct lower-case words."""
     text = F.coalesce("text", F.lit(""))
-    words = F.filter(F.split(F.lower(text), r"[\s]+"), lambda w: w != "")
-    rows = docs.select("doc_id", text.alias("text"), words.alias("words"))
-    rows = rows.select(
-        "doc_id",
-        F.size("words").cast("long").alias("n_tokens"),
-        F.array_distinct("words").alias("words"),
-        F.greatest(F.length("text"), F.lit(1)).alias("n"),
-        *[_share(F.col("text"), marks).alias(name) for name, marks in (("bars", "|"), ("marks", "#$%&*"), ("shouts", "!"), ("capitals", "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÇÈÉÊÍÑÓÖÜ"), ("digits", "0123456789"))],
-    )
-    one = F.greatest(F.col("n_tokens"), F.lit(1))
-    value = {name: F.col(name) / F.col("n") for name in ("bars", "marks", "shouts", "capitals", "digits")}
-    value |= {"distinct": F.size("words") / one, "length": F.col("n") / one}
-    bins = [reduce(lambda total, edge: total + (v > edge).cast("int"), _EDGES[name], F.lit(0)) for name, v in value.items()]
+    # what the measures count is a few characters in a hundred; one pass takes them out
+    marks = F.regexp_replace(text, r"[^\p{Lu}0-9|!#$%&*]+", "")
+    rows = docs.select("doc_id", F.length(text).alias("chars"), marks.alias("marks"), _words(text).alias("words"))
+    without = {"bars": r"[|]", "marks": r"[#$%&*]", "shouts": "!", "capitals": r"\p{Lu}", "digits": "[0-9]"}
+    n = F.greatest(F.col("chars"), F.lit(1))
+    one = F.greatest(F.size("words"), F.lit(1))
+    rows = rows.withColumn("n_tokens", F.size("words").cast("long")).withColumn("per_word", n / one)
+    rows = rows.withColumn("words", F.array_distinct("words"))
+    value = {name: F.regexp_count("marks", F.lit(pattern)) / n for name, pattern in without.items()}
+    value |= {"distinct": F.size("words") / F.greatest(F.col("n_tokens"), F.lit(1)), "length": F.col("per_word")}
+    rows = rows.select("doc_id", "n_tokens", "words", *[v.alias(f"v_{name}") for name, v in value.items()])
+    bins = [reduce(lambda total, edge: total + (F.col(f"v_{name}") > edge).cast("int"), _EDGES[name], F.lit(0)) for name in value]
     return rows.select("doc_id", "n_tokens", F.array(*bins).alias("bins"), "words")
 
 
@@ -77,8 +77,7 @@ def memberships(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, vo
     """(doc_id, n_tokens, p): soft memberships in DOMAINS, to three decimals, adding up to one."""
     told = _told(labels)
     chosen = told.orderBy(F.xxhash64("doc_id"), "doc_id", "domain").limit(max_labelled)
-    counted = _measured(docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")).join(F.broadcast(chosen), "doc_id")
-    counted = counted.select("domain", F.explode("words").alias("word"))
+    counted = docs.join(F.broadcast(chosen), "doc_id").select("domain", F.explode(F.array_distinct(_words(F.col("text")))).alias("word"))
     sums = counted.groupBy("word").agg(*[F.sum((F.col("domain") == d).cast("long")).alias(d) for d in DOMAINS])
     totals = {r.domain: r["count"] for r in chosen.groupBy("domain").count().collect()}
     rate = {d: (F.col(d) + 0.5) / (totals.get(d, 0) + 1.0) for d in DOMAINS}
@@ -89,12 +88,12 @@ def memberships(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, vo
 
     rows = _measured(docs)
     listed = F.array(*[F.lit(w) for w in words]).cast("array<string>")
-    features = common.stored(rows.select("doc_id", "n_tokens", "bins", F.array_intersect("words", listed).alias("hits")))
+    features = common.stored(rows.select("doc_id", "n_tokens", "bins", F.transform(F.array_intersect("words", listed), lambda w: F.array_position(listed, w).cast("int")).alias("hits")))
     known = features.join(told, "doc_id")
     # a few counts for each bin and word of the bounded lists
     names = list(_EDGES)
     seen = {(r.domain, r.k, r.bin): r["count"] for r in known.select("domain", F.posexplode("bins").alias("k", "bin")).groupBy("domain", "k", "bin").count().collect()}
-    hit = {(r.domain, r.word): r["count"] for r in known.select("domain", F.explode("hits").alias("word")).groupBy("domain", "word").count().collect()}
+    hit = {(r.domain, words[r.hit - 1]): r["count"] for r in known.select("domain", F.explode("hits").alias("hit")).groupBy("domain", "hit").count().collect()}
     n = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
     everyone = sum(n.values())
 
@@ -110,7 +109,7 @@ def memberships(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, vo
             p = {w: (hit.get((domain, w), 0) + 0.5) / (own + 1.0) for w in words}
             # only words that stand in the text: a word may be absent because the text is in another language
             odds = F.array(*[F.lit(math.log(p[w])) for w in words])
-            score = score + F.aggregate("hits", F.lit(0.0), lambda t, w: t + F.element_at(odds, F.array_position(listed, w).cast("int")))
+            score = score + F.aggregate("hits", F.lit(0.0), lambda t, k: t + F.element_at(odds, k))
         return score
 
     present = [d for d in DOMAINS if n.get(d)]
