@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -160,7 +161,22 @@ def stored(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it again: the lineage ends at its files."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more, and let Spark drop the shuffle files of finished steps.
+
+    Spark removes shuffle files once the driver has collected the objects that refer to them; a
+    driver with much free memory may not get to it while they fill the disks.
+    """
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    context._jvm.System.gc()
 
 
 #: Rows of a few numbers up to which a counted side may be broadcast (16 MB or so).

@@ -29,9 +29,6 @@ from pyspark.sql import functions as F
 
 from curaspark.llm import common, components
 
-POINT_BITS = 6
-_BAND = 1.5
-_SPARE = 1.3
 _STEPS = tuple(int(x) for x in common.mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1))
 
 
@@ -67,15 +64,28 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarr
     return found[new], np.concatenate([[0], kept[ends]]) if len(ends) else np.zeros(1, np.int64)
 
 
-def _bands(n: np.ndarray) -> np.ndarray:
-    """The size band of each size: from ceil(_BAND ** j) up to the next one."""
-    edges = np.unique(np.ceil(_BAND ** np.arange(0, 60)).astype(np.int64))
-    return np.searchsorted(edges, n, side="right") - 1
+def _scheme(num: int, den: int) -> tuple[np.ndarray, float]:
+    """Lower edges of the size bands, and how many groups there are for each shingle that may differ.
+
+    A band is at least 1 / similarity wide, so a pair stands in one band or in two that follow each other.
+    More groups leave out more small ones; narrow bands keep the groups of a band's smallest sets full.
+    """
+    ratio, spare = (1.5, 1.3) if 100 * num >= 85 * den else (1.25, 1.5)
+    if ratio * num < den:
+        raise ValueError("the similarity must be at least 0.8")
+    return np.unique(np.ceil(ratio ** np.arange(0, int(39 / np.log(ratio)))).astype(np.int64)), spare
 
 
-def _edge(band: np.ndarray) -> np.ndarray:
-    edges = np.unique(np.ceil(_BAND ** np.arange(0, 62)).astype(np.int64))
-    return edges[band]
+def _points(found: np.ndarray, at: np.ndarray, coarser: int) -> tuple[np.ndarray, np.ndarray]:
+    """Group counts of each text, with 8 to 16 shingles in a group on average, and n + 1 offsets.
+
+    Groups are ranges of the hash, so that the counts of half as many groups are sums of neighbours.
+    """
+    n = np.diff(at)
+    bits = np.maximum(np.log2(np.maximum(n, 16)).astype(np.int64) - 3 - coarser, 0)
+    begins = np.concatenate([[0], np.cumsum(1 << bits)])
+    group = (found >> (np.uint64(63) - np.repeat(bits, n).astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+    return np.bincount(np.repeat(begins[:-1], n) + group, minlength=int(begins[-1])).astype(np.int32), begins
 
 
 def _mixed(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -88,8 +98,9 @@ def _mixed(values: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _pages(found: np.ndarray, at: np.ndarray, band: np.ndarray, active: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Page keys of the active texts under the scheme of a band, and n + 1 offsets."""
     n = np.diff(at)
-    most = (den - num) * 2 * (_edge(band + 1) - 1) // (den + num)  # k: shingles by which a pair may differ
-    groups = np.ceil(_SPARE * (most + 1)).astype(np.int64)
+    edges, more_groups = _scheme(num, den)
+    most = (den - num) * 2 * (edges[band + 1] - 1) // (den + num)  # k: shingles by which a pair may differ
+    groups = np.ceil(more_groups * (most + 1)).astype(np.int64)
     active = active & (most > 0) & (n > 0)
     doc = np.repeat(np.arange(len(n)), n)
     use = active[doc]
@@ -126,7 +137,8 @@ def _pages(found: np.ndarray, at: np.ndarray, band: np.ndarray, active: np.ndarr
 
 
 def index(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n, set_a, set_b, point, pages) of every text."""
+    """(doc_id, n, set_a, set_b, point, half, pages) of every text; half has half as many groups as point."""
+    edges = _scheme(num, den)[0]
 
     def lists(values, at):
         return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values))
@@ -137,23 +149,23 @@ def index(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
             for i, j, part, own in common.chunks(raw, offsets):
                 found, at = shingles(part, own, words)
                 n = np.diff(at)
-                band = _bands(n)
-                points = np.bincount(np.repeat(np.arange(j - i), n) << POINT_BITS | (found >> np.uint64(64 - POINT_BITS)).astype(np.int64), minlength=(j - i) << POINT_BITS)
-                above = n * den // num >= _edge(band + 1)
+                band = np.searchsorted(edges, np.maximum(n, 1), side="right") - 1
+                above = n * den // num >= edges[band + 1]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(i, j - i),
                         pa.array(n),
                         pa.array(_mixed(found, at).view(np.int64)),
                         pa.array(_mixed(found ^ np.uint64(_STEPS[41]), at).view(np.int64)),
-                        lists(points.astype(np.int32), np.arange(j - i + 1) << POINT_BITS),
+                        lists(*_points(found, at, 0)),
+                        lists(*_points(found, at, 1)),
                         lists(*_pages(found, at, band, n > 0, num, den)),
                         lists(*_pages(found, at, band + 1, (n > 0) & above, num, den)),
                     ],
-                    ["doc_id", "n", "set_a", "set_b", "point", "pages", "pages_above"],
+                    ["doc_id", "n", "set_a", "set_b", "point", "half", "pages", "pages_above"],
                 )
 
-    schema = "doc_id bigint, n bigint, set_a bigint, set_b bigint, point array<int>, pages array<bigint>, pages_above array<bigint>"
+    schema = "doc_id bigint, n bigint, set_a bigint, set_b bigint, point array<int>, half array<int>, pages array<bigint>, pages_above array<bigint>"
     return common.map_arrow(docs, run, schema)
 
 
@@ -171,14 +183,17 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _bounds(num: int, den: int):
-    """The size bound and the bound by the smaller coordinates, for columns n_a, n_b, point_a, point_b."""
+    """The size bound and the bound by the smaller coordinates, for columns n_, point_ and half_ of a and b.
+
+    Sizes within the bound have as many groups or half as many; the finer point then gives its half.
+    """
     size = F.expr(f"{den} * least(n_a, n_b) >= {num} * greatest(n_a, n_b)")
-    overlap = F.expr(f"{den + num} * aggregate(zip_with(point_a, point_b, (x, y) -> least(x, y)), 0L, (t, x) -> t + x) >= {num} * (n_a + n_b)")
+    overlap = F.expr(f"{den + num} * aggregate(zip_with(if(size(point_a) > size(point_b), half_a, point_a), if(size(point_b) > size(point_a), half_b, point_b), (x, y) -> least(x, y)), 0L, (t, x) -> t + x) >= {num} * (n_a + n_b)")
     return size & overlap
 
 
 def _side(points: DataFrame, side: str) -> DataFrame:
-    return points.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("point").alias(f"point_{side}"))
+    return points.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("point").alias(f"point_{side}"), F.col("half").alias(f"half_{side}"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -195,19 +210,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     ``n_links`` counts the links of the document's class that were verified.
     """
-    if not 2 * den <= _BAND * 2 * num:
-        raise ValueError("the similarity must be at least 1 / 1.5")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     base = common.stored(index(docs, words, num, den))
-    slim = base.select("doc_id", "n", "set_a", "set_b")
+    # the page keys are most of the index and are needed once
+    light = common.stored(base.drop("pages", "pages_above"))
+    slim = light.select("doc_id", "n", "set_a", "set_b")
     many = slim.filter("n > 0").groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")).filter("size > 1")
     copies = common.stored(slim.join(many, ["n", "set_a", "set_b"]).filter("doc_id <> rep").select("doc_id", "rep"))
-    reps = base.join(common.if_small(copies), "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
-    points = reps.select("rep", "n", "point")
-
-    keyed = reps.select("rep", F.explode(F.concat("pages", "pages_above")).alias("page")).repartition("page")
+    points = light.select(F.col("doc_id").alias("rep"), "n", "point", "half")
+    reps = base.select("doc_id", "pages", "pages_above").join(common.if_small(copies), "doc_id", "left_anti")
+    keyed = reps.select(F.col("doc_id").alias("rep"), F.explode(F.concat("pages", "pages_above")).alias("page")).repartition("page")
     full = keyed.groupBy("page").agg(F.count("*").alias("members"), F.min("rep").alias("low")).filter("members > 1")
-    paged = common.stored(keyed.join(full.select("page", "members"), "page"))
+    # both uses of ``keyed`` read both of its columns, so that they share one exchange
+    paged = common.stored(keyed.join(full, "page"))
+    common.discard(base)
     company = paged.groupBy("rep").agg(F.sum("members").alias("company"))
     hubs = paged.join(company, "rep").groupBy("page").agg(F.max(F.struct("company", (-F.col("rep")).alias("less"))).alias("top")).select("page", (-F.col("top.less")).alias("hub"))
     stars = paged.join(hubs, "page").filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
@@ -222,7 +238,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labelled = paged.select("page", "rep").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     split = labelled.groupBy("page").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("page")
     rest = common.stored(labelled.join(split, "page").join(points, "rep"))
-    one, two = (rest.select("page", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "n", "point")]) for s in "ab")
+    one, two = (rest.select("page", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "n", "point", "half")]) for s in "ab")
     apart = one.join(two, "page").filter("rep_a < rep_b and component_a <> component_b").filter(_bounds(num, den))
     links = links.union(compared(apart.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())).distinct()
     labels = components.components(links).withColumnRenamed("node", "rep")
