@@ -6,10 +6,12 @@ singular value decomposition (sketch, power step and projection are sums over th
 partitions) gives a latent space and a vector for each passage. Every window of every document, at
 several lengths with overlaps, is folded into that space and compared with all passages of its length
 by cosine. Two exact bounds come first: a document that lacks too many of a passage's rarest words can't
-hold enough of it, and the share of a window's weight that lies in the benchmark's words bounds the
-cosine; so most windows need no vector. Candidates are verified on the words themselves: the longest common subsequence of
+hold enough of it, nor can a window whose surroundings hold too few of the passage's words, each counted
+as often as in the passage; so most windows need no vector. All others are verified on the words themselves, those of a high
+cosine first: the longest common subsequence of
 the passage and the surroundings of the window must hold ``similar`` of the passage; below ``sure`` the
-passage's rarest words, its answer, must be there too.
+passage's rarest words, its answer, must be there too. No window is dropped by its cosine: foreign words
+in it and frequencies that grow with the contamination lower it for exact copies too.
 
 Bounds: passages are taken in blocks of ``block`` items, each with vectors of at most ``rank`` numbers, which
 are broadcast; a benchmark of any size is searched, block after block. Documents are never grouped or
@@ -232,21 +234,32 @@ def _best_place(index: PassageIndex, item: int, words: np.ndarray, term: np.ndar
     enough = marked[np.minimum(end + size // 2, len(words))] - marked[np.maximum(start - size // 2, 0)] >= index.needed[item]
     if not enough.any():
         return None
-    squared = weight.astype(np.float64) ** 2
-    every, inside = (np.concatenate([[0.0], np.cumsum(x)]) for x in (squared, np.where(term >= 0, squared, 0.0)))
-    total = every[end] - every[start]
+    # no more words of the passage than its region holds can be in common, each as often as in the passage
+    low, high = np.maximum(start - len(own) // 2, 0), np.minimum(end + len(own) // 2, len(words))
+    distinct, times = np.unique(own, return_counts=True)
+    place = np.full(len(index.vocabulary) + 1, len(distinct))
+    place[np.searchsorted(index.vocabulary, distinct)] = np.arange(len(distinct))
+    local = place[term]
+    held = np.concatenate([[0], np.cumsum(local < len(distinct))])
+    open_windows = []
+    for w in np.flatnonzero(enough & ((held[high] - held[low]) / len(own) >= similar)).tolist():
+        most = float(np.minimum(np.bincount(local[low[w] : high[w]], minlength=len(distinct) + 1)[:-1], times).sum()) / len(own)
+        if most < similar:
+            continue
+        known, weights = term[start[w] : end[w]], weight[start[w] : end[w]].astype(np.float64)
+        folded = weights[known >= 0] @ index.space[known[known >= 0]]
+        cosine = float(folded @ index.latent[item]) / max(float(weights @ weights), 1e-9) ** 0.5
+        open_windows.append((cosine < index.least[item], -most, w, cosine))
     best = None
-    for w in np.flatnonzero(enough & (inside[end] - inside[start] >= total * float(index.least[item]) ** 2)).tolist():
-        known = term[start[w] : end[w]]
-        folded = weight[start[w] : end[w]][known >= 0] @ index.space[known[known >= 0]]
-        cosine = float(folded @ index.latent[item]) / max(float(total[w]), 1e-9) ** 0.5
-        if cosine < index.least[item]:
+    pattern = own.tolist()
+    for _, most, w, cosine in sorted(open_windows):
+        if best is not None and -most < best[0]:
             continue
-        region = words[max(0, start[w] - len(own) // 2) : end[w] + len(own) // 2]
-        shared = common_subsequence(own.tolist(), region.tolist()) / len(own)
+        region = words[low[w] : high[w]]
+        shared = common_subsequence(pattern, region.tolist()) / len(own)
         if shared < similar or shared < sure and np.isin(index.answers[item], region).mean() < 0.5:
             continue
-        if best is None or (shared, cosine) > best[:2]:
+        if best is None or (shared, cosine, -int(start[w])) > (best[0], best[1], -best[2]):
             best = (shared, cosine, int(start[w]))
     return best
 

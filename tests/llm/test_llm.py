@@ -375,6 +375,24 @@ def test_leaks_exact_edited_and_none(spark):
     assert decontam.find_passages(docs_of(spark, []), bench).count() == 0
 
 
+def test_a_passage_in_a_third_of_the_documents_is_found_in_all_of_them(spark):
+    rng = random.Random(19)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    items = [[word() for _ in range(n)] for n in (33, 20, 40)]
+    docs, planted = [], set()
+    for k in range(150):
+        body = [word() for _ in range(200)]
+        if k % 3 == 0:
+            at = rng.randrange(201)
+            body[at:at] = items[0]
+            planted.add((k, 0))
+        docs.append((k, " ".join(body)))
+    bench = spark.createDataFrame([(j, " ".join(i)) for j, i in enumerate(items)], "item_id long, text string")
+    got = decontam.find_passages(spark.createDataFrame(docs, DOC), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == planted
+    assert all(r.similarity == 1.0 for r in got)
+
+
 def test_randomised_decomposition_spans_the_passages(spark):
     words = [[f"w{(j * 7 + i * i) % 50}" for i in range(20)] for j in range(12)]
     bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(words)], "item_id long, text string")
