@@ -4,11 +4,12 @@ The base patterns are assignments, access keys and hexadecimal runs. Their value
 taken over the whole corpus, are labelled credentials: one prefix tree of character classes for
 each kind, whose states are merged where Hoeffding's bound does not tell their outgoing shares apart
 (ALERGIA). Long tokens outside the base spans are the candidates of the second pass; each is scored
-with every automaton against a background of ordinary long tokens, all candidates of every text.
+with every automaton against a background of ordinary long tokens, all candidates of every text, digits or not.
 A candidate becomes a ``grammar`` span when the best format explains it better than the background
 by a margin that the learned credentials themselves keep.
 
-Bounds: ``max_labelled`` values of each kind and ``max_background`` tokens are learned from.
+Bounds: ``max_labelled`` values of each kind and ``max_background`` tokens are learned from, the first
+in the order of their hashes over the whole corpus.
 
 Defined results: null or empty texts have no spans; without any labelled credential there are base
 spans only; equal texts get equal spans.
@@ -44,11 +45,9 @@ def base_spans(text: str) -> list[spans.Span]:
     return found
 
 
-_DIGIT = re.compile("[0-9]")
-
-
-def has_digit(text: str) -> bool:
-    return _DIGIT.search(text) is not None
+def tokens(text: str, base: list[spans.Span]) -> list[tuple[int, int]]:
+    """The places of all long tokens outside the base spans."""
+    return [m.span() for m in _CANDIDATE.finditer(text) if not (base and spans.overlaps(*m.span(), base))]
 
 
 def values(text: str) -> list[tuple[str, str]]:
@@ -96,15 +95,18 @@ def _differ(f1: int, n1: int, f2: int, n2: int, slack: float) -> bool:
     return abs(f1 / n1 - f2 / n2) > slack * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
 
 
-def _compatible(red: State, blue: State, slack: float, depth: int = 0) -> bool:
-    if _differ(red.ends, red.arrivals, blue.ends, blue.arrivals, slack):
-        return False
-    for symbol in set(red.counts) | set(blue.counts):
-        if _differ(red.counts[symbol], red.arrivals, blue.counts[symbol], blue.arrivals, slack):
+def _compatible(red: State, blue: State, slack: float) -> bool:
+    """Whether the bound tells no two states apart that the same symbols lead to, however long the words are."""
+    work = [(red, blue)]
+    while work:
+        one, two = work.pop()
+        if _differ(one.ends, one.arrivals, two.ends, two.arrivals, slack):
             return False
-    if depth >= 8:
-        return True
-    return all(_compatible(red.moves[s], blue.moves[s], slack, depth + 1) for s in set(red.moves) & set(blue.moves) if red.moves[s] is not blue.moves[s])
+        for symbol in set(one.counts) | set(two.counts):
+            if _differ(one.counts[symbol], one.arrivals, two.counts[symbol], two.arrivals, slack):
+                return False
+        work += [(one.moves[s], two.moves[s]) for s in set(one.moves) & set(two.moves) if one.moves[s] is not two.moves[s]]
+    return True
 
 
 def _fold(red: State, blue: State) -> None:
@@ -159,8 +161,9 @@ def infer(words: list[str], alpha: float = 0.05) -> Automaton:
             if _compatible(state, blue, slack):
                 parent.moves[symbol] = state
                 _fold(state, blue)
-                known = {(id(p), s) for p, s in queue}
-                queue.extend((state, s) for s in sorted(state.moves) if not any(state.moves[s] is r for r in red) and (id(state), s) not in known)
+                # the fold may have reached any red state and given it moves
+                known, reds = {(id(p), s) for p, s in queue}, {id(r) for r in red}
+                queue.extend((r, s) for r in red for s in sorted(r.moves) if id(r.moves[s]) not in reds and (id(r), s) not in known)
                 break
         else:
             red.append(blue)
@@ -180,6 +183,8 @@ class Grammar:
     formats: dict[str, Automaton]
     background: Automaton | None
     margins: dict[str, float]
+    #: what tokens seen before gave
+    known: dict[str, list[tuple[int, int, float]]] = field(default_factory=dict)
 
     def margin(self, token: str) -> tuple[float, str]:
         """The best format's log likelihood over the background's, for one character, and its kind."""
@@ -188,32 +193,46 @@ class Grammar:
         return max(((a.score(word) - plain) / (len(word) + 1) - self.margins[kind], kind) for kind, a in self.formats.items())
 
     def added(self, text: str, base: list[spans.Span]) -> list[tuple[spans.Span, float]]:
-        if not self.formats or not has_digit(text):
+        if not self.formats:
             return []
         found = []
-        for m in _CANDIDATE.finditer(text):
-            if has_digit(m[0]) and not spans.overlaps(m.start(), m.end(), base):
-                margin, _ = self.margin(m[0])
-                if margin >= 0:
-                    found.append((("grammar", m.start(), m.end()), margin))
+        for a, b in tokens(text, base):
+            token = text[a:b]
+            hits = self.known.get(token)
+            if hits is None:
+                hits = self.hits(token)
+                if len(self.known) >= 100_000:
+                    self.known.clear()
+                if len(token) <= 64:
+                    self.known[token] = hits
+            found += [(("grammar", a + start, a + end), margin) for start, end, margin in hits]
         return found
 
+    def hits(self, token: str) -> list[tuple[int, int, float]]:
+        """(start, end, margin) of what of a token fits a format."""
+        whole, _ = self.margin(token)
+        if whole >= 0:
+            return [(0, len(token), whole)]
+        return []
+
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = 400, max_background: int = 2000) -> Grammar:
     """Automata from the corpus's own base matches and ordinary tokens."""
     rows = common.id_and_text(docs, id_col, text_col)
 
     def run(batches):
+        seen: set[tuple[str, str]] = set()  # only spares repetitions
         for batch in batches:
             kinds, found = [], []
             for text in batch.column("text").to_pylist():
                 if not text:
                     continue
-                held = values(text)
-                if not held and not has_digit(text):
-                    held = [("plain", m[0]) for m in _CANDIDATE.finditer(text)][:1]
+                held = {*values(text), *(("plain", text[a:b]) for a, b in tokens(text, base_spans(text)))} - seen
+                if len(seen) > 200_000:
+                    seen.clear()
+                seen |= held
                 kinds += [k for k, _ in held]
-                found += [v[:256] for _, v in held]
+                found += [v for _, v in held]
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(found, pa.string())], ["kind", "value"])
 
     distinct = common.stored(common.map_arrow(rows, run, "kind string, value string").distinct())

@@ -279,6 +279,16 @@ def test_grammar_finds_credentials_outside_the_patterns(spark):
     assert secret_scan.find_secrets(empty, secret_scan.learn(empty)).count() == 0
 
 
+def test_background_has_seen_ordinary_numbers(spark):
+    rng = random.Random(17)
+    of = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    texts = [f'x token = "{of("0123456789abcdef", 28)}" y' for _ in range(100)] + [f"number {of('0123456789', rng.randrange(16, 24))} of the list" for _ in range(200)]
+    docs = docs_of(spark, texts)
+    model = secret_scan.learn(docs)
+    assert all(r.spans == "" for r in secret_scan.find_secrets(docs, model).filter("doc_id >= 100").collect())
+    assert secret_scan.infer([secret_scan.classes(w) for w in ("ab1" * 5000, "ab1" * 5000 + "c")]).moves
+
+
 def test_inferred_automaton_is_small_and_tells_formats_apart():
     rng = random.Random(8)
     words = [secret_scan.classes("".join(rng.choice("0123456789abcdef") for _ in range(40))) for _ in range(200)]
