@@ -32,7 +32,9 @@ KINDS = ("assign", "access", "hex", "grammar")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: The characters and the least length of a labelled value.
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+_PART = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 
 
 def base_spans(text: str) -> list[spans.Span]:
@@ -209,11 +211,14 @@ class Grammar:
         return found
 
     def hits(self, token: str) -> list[tuple[int, int, float]]:
-        """(start, end, margin) of what of a token fits a format."""
+        """(start, end, margin) of what of a token fits a format: the whole of it, or else its parts between dots."""
         whole, _ = self.margin(token)
         if whole >= 0:
             return [(0, len(token), whole)]
-        return []
+        if "." not in token:
+            return []
+        parts = [(m.start(), m.end(), self.margin(m[0])[0]) for m in _PART.finditer(token)]
+        return [p for p in parts if p[2] >= 0]
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = 400, max_background: int = 2000) -> Grammar:

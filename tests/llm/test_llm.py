@@ -279,6 +279,20 @@ def test_grammar_finds_credentials_outside_the_patterns(spark):
     assert secret_scan.find_secrets(empty, secret_scan.learn(empty)).count() == 0
 
 
+def test_grammar_scores_short_dotted_and_digitless_candidates(spark):
+    rng = random.Random(16)
+    of = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    word = lambda: of("abcdefghijklmnopqrstuvwxyz", rng.randrange(8, 20))
+    formats = [lambda: of("0123456789ABCDEF", 12), lambda: ".".join(of("GHJKLMNP2345", 6) for _ in range(3)), lambda: of("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 20)]
+    for key in formats:
+        hidden = key()
+        texts = [f'x token = "{key()}" y' for _ in range(80)] + [f"{word()} {word()}, {word()}" for _ in range(200)] + [f"here {hidden} it is"]
+        docs = docs_of(spark, texts)
+        got = {r.doc_id: r.spans for r in secret_scan.find_secrets(docs, secret_scan.learn(docs)).collect()}
+        assert got[280] == f"grammar:5:{5 + len(hidden)}"
+        assert all(got[k] == "" for k in range(80, 280))
+
+
 def test_background_has_seen_ordinary_numbers(spark):
     rng = random.Random(17)
     of = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
