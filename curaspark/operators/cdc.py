@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -121,6 +122,37 @@ def replace_source(existing: DataFrame, incoming: DataFrame, keys: list[str], or
     return counted.union(kept)
 
 
+def _pairing(columns: list[str], record_id: str, row_no: str):
+    """The grouped function of ``merge_table``; inside another function, so that it is sent by value."""
+
+    def pair(old: pd.DataFrame, fresh: pd.DataFrame) -> pd.DataFrame:
+        """Greedy by (differing columns, old row, new row). One old row at a time is compared with all new ones, so no list of pairs is held."""
+        fresh.columns = [*columns, row_no]
+        old, fresh = old.sort_values(record_id).reset_index(drop=True), fresh.sort_values(row_no).reset_index(drop=True)
+        codes = np.stack([pd.factorize(pd.concat([old[c], fresh[c]], ignore_index=True))[0] for c in columns], axis=1)
+        was, now = codes[: len(old)], codes[len(old) :]
+        free, partner = np.arange(len(now)), np.full(len(was), -1)
+        least = np.zeros(len(was), np.int64)  # no free row is nearer than that
+        for distance in range(len(columns) + 1):
+            for i in np.flatnonzero((partner < 0) & (least <= distance)).tolist():
+                if not len(free):
+                    break
+                apart = (now[free] != was[i]).sum(axis=1)
+                first = int(apart.argmin())
+                least[i] = apart[first]
+                if least[i] == distance:
+                    partner[i] = free[first]
+                    free = np.delete(free, first)
+        changed = fresh.loc[partner[partner >= 0], columns].reset_index(drop=True)
+        changed[record_id] = old.loc[partner >= 0, record_id].to_numpy()
+        added = fresh.loc[free, columns].assign(**{record_id: None})
+        removed = old.loc[partner < 0, [*columns, record_id]]
+        parts = [part.assign(outcome=outcome) for part, outcome in ((changed, "changed"), (added, "added"), (removed, "removed")) if len(part)]
+        return pd.concat(parts, ignore_index=True)[[*columns, record_id, "outcome"]]
+
+    return pair
+
+
 def merge_table(existing: DataFrame, exported: DataFrame, keys: list[str], columns: list[str], record_id: str, row_no: str) -> DataFrame:
     """(columns, record_id or null, outcome): exported rows with the identities they keep.
 
@@ -135,26 +167,12 @@ def merge_table(existing: DataFrame, exported: DataFrame, keys: list[str], colum
     left = both.filter(F.col(row_no).isNull()).select(*columns, record_id)
     new = both.filter(F.col(record_id).isNull()).select(*columns, row_no)
 
-    def pair(old: pd.DataFrame, fresh: pd.DataFrame) -> pd.DataFrame:
-        fresh.columns = [*columns, row_no]
-        old, fresh = old.sort_values(record_id).reset_index(drop=True), fresh.sort_values(row_no).reset_index(drop=True)
-        ranked = sorted((sum(x != y for x, y in zip(o, f)), i, j) for i, o in enumerate(old[columns].values.tolist()) for j, f in enumerate(fresh[columns].values.tolist()))
-        taken, given, out = set(), set(), []
-        for _, i, j in ranked:
-            if i not in taken and j not in given:
-                taken.add(i)
-                given.add(j)
-                out.append([*fresh.loc[j, columns], old.loc[i, record_id], "changed"])
-        out += [[*fresh.loc[j, columns], None, "added"] for j in range(len(fresh)) if j not in given]
-        out += [[*old.loc[i, columns], old.loc[i, record_id], "removed"] for i in range(len(old)) if i not in taken]
-        return pd.DataFrame(out, columns=[*columns, record_id, "outcome"])
-
     schema = same.schema
     two_sided = left.join(new.select(*keys).distinct(), keys, "left_semi")
     fresh_two = new.join(left.select(*keys).distinct(), keys, "left_semi")
     # both sides come from one join; new column names tell them apart
     fresh_two = fresh_two.toDF(*[f"{c}_new" for c in [*columns, row_no]])
-    paired = two_sided.groupBy(*keys).cogroup(fresh_two.groupBy(*[f"{k}_new" for k in keys])).applyInPandas(pair, schema)
+    paired = two_sided.groupBy(*keys).cogroup(fresh_two.groupBy(*[f"{k}_new" for k in keys])).applyInPandas(_pairing(columns, record_id, row_no), schema)
     removed = left.join(new.select(*keys).distinct(), keys, "left_anti").select(*columns, record_id, F.lit("removed").alias("outcome"))
     added = new.join(left.select(*keys).distinct(), keys, "left_anti").select(*columns, F.lit(None).cast(schema[record_id].dataType).alias(record_id), F.lit("added").alias("outcome"))
     return same.unionByName(paired).unionByName(removed).unionByName(added)

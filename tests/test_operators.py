@@ -1,7 +1,9 @@
 """Golden cases, and laws that hold on any input."""
 
 import random
+import tracemalloc
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,35 @@ def test_merge_keeps_every_identity_of_equal_tables_and_pairs_the_nearest(spark)
     assert {r.outcome for r in cdc.merge_table(old, same, ["k"], ["k", "a", "b"], "RECORD_ID", "_row_no").collect()} == {"unchanged"}
 
 
+def test_merge_pairs_a_large_group_greedily_without_a_list_of_its_pairs():
+    rng = random.Random(3)
+    columns = ["k", "a", "b", "c"]
+
+    def side(n, values, name, number):
+        return pd.DataFrame([("x", *(rng.choice(values) for _ in range(3)), number(k)) for k in range(n)], columns=[*columns, name])
+
+    for n, m in [(rng.randrange(1, 12), rng.randrange(1, 12)) for _ in range(60)] + [(1200, 1100)]:
+        values = ["", "1", "2", None] if n < 20 else [str(k) for k in range(400)]
+        old, new = side(n, values, "RECORD_ID", lambda k: f"R{k:05}"), side(m, values, "_row_no", lambda k: k)
+        tracemalloc.start()
+        out = cdc._pairing(columns, "RECORD_ID", "_row_no")(old.copy(), new.copy())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 10_000_000
+        got = sorted(map(str, out.astype(object).where(out.notna(), None).values.tolist()))
+        if n < 20:
+            o, f = old[columns].values.tolist(), new[columns].values.tolist()
+            pairs = {}
+            for _, i, j in sorted((sum(x != y for x, y in zip(p, q)), i, j) for i, p in enumerate(o) for j, q in enumerate(f)):
+                if i not in pairs and j not in pairs.values():
+                    pairs[i] = j
+            wanted = [[*f[j], old.RECORD_ID[i], "changed"] for i, j in pairs.items()]
+            wanted += [[*f[j], None, "added"] for j in range(m) if j not in pairs.values()] + [[*o[i], old.RECORD_ID[i], "removed"] for i in range(n) if i not in pairs]
+            assert got == sorted(map(str, wanted))
+        else:
+            assert (out.outcome == "changed").sum() == 1100 and (out.outcome == "removed").sum() == 100
+
+
 def test_ids_follow_row_order_over_any_partitioning(spark):
     df = spark.range(1000).repartition(7)
     got = keys.assign_ids(df, ["id"], "LIN", 5).orderBy("id").select("RECORD_ID").collect()
