@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 import zipfile
@@ -37,10 +36,13 @@ def map_arrow(df: DataFrame, run, schema) -> DataFrame:
 
 
 def _set_shared(spark: SparkSession) -> None:
-    """The folder is the session's ``spark.checkpoint.dir``; only a session without one (a local test) gets a temporary one."""
+    """The folder is the session's ``spark.checkpoint.dir``. Only a session in one process, as in tests, may go without."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="curaspark-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.partition("[")[0] == "local":
+            raise ValueError("a cluster's session must name a shared folder in spark.checkpoint.dir")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="curaspark-checkpoint-"))
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -161,22 +163,16 @@ def stored(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it again: the lineage ends at its files."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._stored_at = path
-    return out
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a stored table that nothing reads any more, and let Spark drop the shuffle files of finished steps.
-
-    Spark removes shuffle files once the driver has collected the objects that refer to them; a
-    driver with much free memory may not get to it while they fill the disks.
-    """
-    context = df.sparkSession.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(df._stored_at)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    context._jvm.System.gc()
+def fresh(name: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has, whatever the case."""
+    taken = {c.lower() for df in tables for c in df.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 #: Rows of a few numbers up to which a counted side may be broadcast (16 MB or so).

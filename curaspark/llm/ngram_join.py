@@ -1,35 +1,45 @@
 """N-gram Jaccard self-join over count vectors, exact, with one row for each document.
 
 Distinct word shingles are hashed into groups; a document is the point of its group counts. The
-overlap of two documents is at most the sum of the smaller coordinates of their points, and this bound
-(with the size bound) rules pairs out before shingle sets are compared. Which points meet at all is
-decided by the pages of the index. A box of neighbouring points is no use as a page here: at a
-similarity of 0.9 the allowed difference in a coordinate exceeds what unrelated documents of one size
-differ by, so all boxes of a size would overlap. A page is therefore addressed by size band, group
-number and the group's content: two sets that differ in at most k shingles agree wholly in all but k of
-their groups, so with more than k groups every pair that links shares a page. Groups of few
-shingles are left out as long as the pair must still share another one, which keeps the pages of
-empty or very common groups from filling up.
-
-Equal shingle sets form a class and only its smallest document takes part. In each page all members are
-compared with one hub (the member with most company); what then is one component needs no further
-comparison. Members of different components are compared pair by pair, behind the bounds. No pair
-that links is lost, and no group's pairs are written out.
+overlap of two documents is at most the sum of the smaller coordinates of their points. Boxes of
+neighbouring points alone are no use as the way in: with as many groups as it takes to tell documents
+apart, the coordinate maxima of any few unrelated documents of one size are so large that nearly no pair of
+boxes is ruled out (figures in the README), and the tree would compare all its leaves. So the tree has an addressed
+root and boxes below it:
+
+* Root: shingles are ordered by how popular they are in the corpus (a bounded sketch of counts), then by hash. Two
+  documents that link share a shingle among their rarest ones, at places that their sizes bound; a page
+  holds the documents that have one such shingle there. Shared passages and the common stock of a group of
+  near copies are popular and stand last, so a page of them holds only documents that are little else.
+* Nodes: in a page, members of one size cell and one component so far form a node with its range of sizes and its
+  coordinate maxima. A pair of nodes is descended only if the sum of the smaller maxima is large enough.
+* Points: pairs of members that are left are bounded by their own finer group counts.
+* Surviving pairs are verified on the shingle sets.
+
+Equal shingle sets form a class and only its smallest document takes part. Before nodes are made, all members of a
+page are compared with its hub (the member with most company): a page whose members are then one component
+needs no nodes. No pair that links is lost to a bound, and no group's pairs are written out.
 
 Defined results: a null, empty or blank text has no shingles and is a component of its own; a text of
-fewer words than a shingle is one shingle; repeated ids are one document each; order never matters.
+fewer words than a shingle is one shingle; equal rows count once; several texts of one id take part each for
+itself and give a row each where their sets differ; rows with a null id are no documents; ids may be numbers or
+texts; order never matters.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curaspark.llm import common, components
 
 _STEPS = tuple(int(x) for x in common.mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1))
+#: Buckets of the popularity sketch (as a power of two), and in how many parts it is added up.
+SKETCH_BITS, PARTS = 20, 256
+#: Coordinates of the points that nodes are made of.
+COARSE_BITS = 4
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,18 +74,6 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarr
     return found[new], np.concatenate([[0], kept[ends]]) if len(ends) else np.zeros(1, np.int64)
 
 
-def _scheme(num: int, den: int) -> tuple[np.ndarray, float]:
-    """Lower edges of the size bands, and how many groups there are for each shingle that may differ.
-
-    A band is at least 1 / similarity wide, so a pair stands in one band or in two that follow each other.
-    More groups leave out more small ones; narrow bands keep the groups of a band's smallest sets full.
-    """
-    ratio, spare = (1.5, 1.3) if 100 * num >= 85 * den else (1.25, 1.5)
-    if ratio * num < den:
-        raise ValueError("the similarity must be at least 0.8")
-    return np.unique(np.ceil(ratio ** np.arange(0, int(39 / np.log(ratio)))).astype(np.int64)), spare
-
-
 def _points(found: np.ndarray, at: np.ndarray, coarser: int) -> tuple[np.ndarray, np.ndarray]:
     """Group counts of each text, with 8 to 16 shingles in a group on average, and n + 1 offsets.
 
@@ -95,62 +93,67 @@ def _mixed(values: np.ndarray, at: np.ndarray) -> np.ndarray:
         return running[at[1:]] - running[at[:-1]]
 
 
-def _pages(found: np.ndarray, at: np.ndarray, band: np.ndarray, active: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Page keys of the active texts under the scheme of a band, and n + 1 offsets."""
+def popularity(docs: DataFrame, words: int) -> np.ndarray:
+    """How many documents hold a shingle of each hash bucket, over all documents, up to 2**32 - 1.
+
+    Each task hands on one array in parts of a few kB; parts are added as they come in, so neither a task nor the
+    driver holds more than one array of 2**SKETCH_BITS numbers.
+    """
+    width = (1 << SKETCH_BITS) // PARTS
+
+    def count(batches):
+        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in batches:
+            raw, offsets = common.text_buffer(batch.column("text"))
+            for _, _, part, own in common.chunks(raw, offsets, 4 << 20):
+                total += np.bincount((shingles(part, own, words)[0] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
+        if total.any():
+            counts = np.minimum(total, 0xFFFF).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([counts[k * width : (k + 1) * width].tobytes() for k in range(PARTS)], pa.binary())], ["part", "counts"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+                sums[k] = sums.get(k, 0) + np.frombuffer(counts, np.uint16).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.minimum(v, 0xFFFFFFFF).astype(np.uint32).tobytes() for v in sums.values()], pa.binary())], ["part", "counts"])
+
+    schema = "part int, counts binary"
+    # PARTS rows, 4 MB in all, whatever the input
+    rows = common.map_arrow(common.map_arrow(docs.select("text"), count, schema).repartition("part"), add, schema).collect()
+    found = np.zeros(1 << SKETCH_BITS, np.uint32)
+    for r in rows:
+        found[r.part * width : (r.part + 1) * width] = np.frombuffer(r.counts, np.uint32)
+    return found
+
+
+def _rarest(found: np.ndarray, at: np.ndarray, popular: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of each text that may be the first one shared with a partner, rarest first, and n + 1 offsets."""
     n = np.diff(at)
-    edges, more_groups = _scheme(num, den)
-    most = (den - num) * 2 * (edges[band + 1] - 1) // (den + num)  # k: shingles by which a pair may differ
-    groups = np.ceil(more_groups * (most + 1)).astype(np.int64)
-    active = active & (most > 0) & (n > 0)
-    doc = np.repeat(np.arange(len(n)), n)
-    use = active[doc]
-    values, doc = found[use], doc[use]
-    if not len(values):
-        return np.zeros(0, np.int64), np.zeros(len(n) + 1, np.int64)
-    group = ((values >> np.uint64(32)) * groups[doc].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-    begins = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (group[1:] != group[:-1])]))
-    content = _mixed(values, np.append(begins, len(values)))
-    sizes, owner, number = np.diff(np.append(begins, len(values))), doc[begins], group[begins]
-    # the largest group size that a text may leave out
-    spare = groups - most - 1
-    left_out = groups - np.bincount(owner, minlength=len(n))
-    level = np.full(len(n), -1)
-    for size in range(0, 4):
-        if size:
-            left_out = left_out + np.bincount(owner[sizes == size], minlength=len(n))
-        level[active & (left_out <= spare) & (level == size - 1)] = size
-    with np.errstate(over="ignore"):
-        where = common.mix64((band[owner].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64) + np.uint64(1))
-        keys = common.mix64(content + where)
-        kept = sizes > level[owner]
-        keys, owner = keys[kept], owner[kept]
-        bare = np.flatnonzero(active & (level < 0))
-        if len(bare):
-            filled = set(zip(doc[begins].tolist(), number.tolist()))
-            empty = [(d, g) for d in bare.tolist() for g in range(int(groups[d])) if (d, g) not in filled]
-            d, g = np.array(empty, np.int64).reshape(-1, 2).T
-            more = common.mix64(common.mix64((band[d].astype(np.uint64) << np.uint64(40)) + g.astype(np.uint64) + np.uint64(1)) ^ np.uint64(_STEPS[40]))
-            keys, owner = np.concatenate([keys, more]), np.concatenate([owner, d])
-            order = np.argsort(owner, kind="stable")
-            keys, owner = keys[order], owner[order]
-    return keys.view(np.int64), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(n)))])
-
-
-def index(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n, set_a, set_b, point, half, pages) of every text; half has half as many groups as point."""
-    edges = _scheme(num, den)[0]
+    doc = np.repeat(np.arange(len(n), dtype=np.int64), n)
+    # hashes are in order already, so a stable sort leaves equal counts in the order of their hashes
+    order = np.argsort(doc << 32 | popular[(found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64), kind="stable")
+    places = np.arange(len(found)) - np.repeat(at[:-1], n)
+    # the smallest partner has num / den of the size, all of it shared
+    most = np.where(n > 0, n - -(-num * n // den) + 1, 0)
+    return found[order[places < np.repeat(most, n)]].view(np.int64), np.concatenate([[0], np.cumsum(most)])
+
+
+def index(docs: DataFrame, popular: np.ndarray, words: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n, set_a, set_b, point, half, coarse, tokens) of every text; half has half as many groups as point."""
+    held = docs.sparkSession.sparkContext.broadcast(popular)
 
     def lists(values, at):
         return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values))
 
     def run(batches):
+        popular = held.value
         for batch in batches:
             raw, offsets = common.text_buffer(batch.column("text"))
             for i, j, part, own in common.chunks(raw, offsets):
                 found, at = shingles(part, own, words)
                 n = np.diff(at)
-                band = np.searchsorted(edges, np.maximum(n, 1), side="right") - 1
-                above = n * den // num >= edges[band + 1]
+                coarse = np.bincount((np.repeat(np.arange(j - i), n) << COARSE_BITS) + (found >> np.uint64(64 - COARSE_BITS)).astype(np.int64), minlength=(j - i) << COARSE_BITS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(i, j - i),
@@ -159,97 +162,143 @@ def index(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
                         pa.array(_mixed(found ^ np.uint64(_STEPS[41]), at).view(np.int64)),
                         lists(*_points(found, at, 0)),
                         lists(*_points(found, at, 1)),
-                        lists(*_pages(found, at, band, n > 0, num, den)),
-                        lists(*_pages(found, at, band + 1, (n > 0) & above, num, den)),
+                        lists(coarse.astype(np.int32), np.arange(j - i + 1) << COARSE_BITS),
+                        lists(*_rarest(found, at, popular, num, den)),
                     ],
-                    ["doc_id", "n", "set_a", "set_b", "point", "half", "pages", "pages_above"],
+                    ["doc_id", "n", "set_a", "set_b", "point", "half", "coarse", "tokens"],
                 )
 
-    schema = "doc_id bigint, n bigint, set_a bigint, set_b bigint, point array<int>, half array<int>, pages array<bigint>, pages_above array<bigint>"
-    return common.map_arrow(docs, run, schema)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return common.map_arrow(docs, run, f"doc_id {kind}, n bigint, set_a bigint, set_b bigint, point array<int>, half array<int>, coarse array<int>, tokens array<bigint>")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles) as sorted arrays of hashes."""
+    """(rep, shingles) with sorted arrays of hashes, one row for each different text of an id."""
 
     def run(batches):
         for batch in batches:
             raw, offsets = common.text_buffer(batch.column("text"))
             for i, j, part, own in common.chunks(raw, offsets):
                 found, at = shingles(part, own, words)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(found.view(np.int64)))], ["doc_id", "shingles"])
+                sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(found.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(_mixed(found, at).view(np.int64)), sets], ["doc_id", "set_a", "shingles"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = common.map_arrow(docs, run, f"doc_id {kind}, set_a bigint, shingles array<bigint>")
+    return rows.groupBy(F.struct(F.col("doc_id").alias("id"), F.col("set_a").alias("sig")).alias("rep")).agg(F.first("shingles").alias("shingles"))
 
-    return common.map_arrow(docs, run, "doc_id bigint, shingles array<bigint>")
 
+def _needed(num: int, den: int) -> str:
+    """The least overlap of two sets of sizes n_a and n_b that link."""
+    return f"((n_a + n_b) * {num} + {den + num - 1}) div {den + num}"
 
-def _bounds(num: int, den: int):
-    """The size bound and the bound by the smaller coordinates, for columns n_, point_ and half_ of a and b.
 
-    Sizes within the bound have as many groups or half as many; the finer point then gives its half.
+def _places(num: int, den: int) -> Column:
+    """Whether a shared shingle at places pos_a and pos_b may be the first of enough, and the sizes may link."""
+    return F.expr(f"{den} * least(n_a, n_b) >= {num} * greatest(n_a, n_b) and pos_a <= n_a - {_needed(num, den)} and pos_b <= n_b - {_needed(num, den)}")
+
+
+def _minima(one: str, two: str) -> str:
+    return f"aggregate(zip_with({one}, {two}, (x, y) -> least(x, y)), 0L, (t, x) -> t + x)"
+
+
+def _overlap(num: int, den: int) -> Column:
+    """The bound by the smaller coordinates of point_a and point_b.
+
+    Sizes that may link have as many groups or half as many; the finer point then gives its half.
     """
-    size = F.expr(f"{den} * least(n_a, n_b) >= {num} * greatest(n_a, n_b)")
-    overlap = F.expr(f"{den + num} * aggregate(zip_with(if(size(point_a) > size(point_b), half_a, point_a), if(size(point_b) > size(point_a), half_b, point_b), (x, y) -> least(x, y)), 0L, (t, x) -> t + x) >= {num} * (n_a + n_b)")
-    return size & overlap
+    return F.expr(f"{den + num} * {_minima('if(size(point_a) > size(point_b), half_a, point_a)', 'if(size(point_b) > size(point_a), half_b, point_b)')} >= {num} * (n_a + n_b)")
+
 
+def _sided(rows: DataFrame, side: str, *columns: str) -> DataFrame:
+    return rows.select(*[F.col(c).alias(side if c == "rep" else f"{c}_{side}") for c in columns])
 
-def _side(points: DataFrame, side: str) -> DataFrame:
-    return points.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("point").alias(f"point_{side}"), F.col("half").alias(f"half_{side}"))
+
+def _cell(size: str) -> Column:
+    """Sizes in cells of three hundredths; monotone, so a range of sizes is a range of cells."""
+    return F.floor(F.log(F.expr(size).cast("double")) * 32).cast("int")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b, n_a, n_b) whose shingle sets are similar enough."""
-    wanted = common.stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    wanted = common.stored(pairs.select(F.col("a.id").alias("doc_id")).union(pairs.select("b.id")).distinct())
     sets = shingle_sets(docs.join(common.if_small(wanted), "doc_id", "left_semi"), words)
-    one, two = (sets.select(F.col("doc_id").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab")
+    one, two = (sets.select(F.col("rep").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab")
     both = pairs.join(one, "a").join(two, "b")
     return both.filter(F.expr(f"{den + num} * size(array_intersect(set_a, set_b)) >= {num} * (n_a + n_b)")).select("a", "b")
 
 
+def _apart(paged: DataFrame, labels: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of members of different components that some page may still link, by the nodes of that page."""
+    labelled = paged.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    split = labelled.groupBy("page").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("page")
+    rest = common.stored(labelled.join(split, "page").join(points.select("rep", "coarse"), "rep"))
+    # the smaller of two partners stands in the cell of its own size, the larger in those of all sizes it may meet
+    small = rest.filter(F.expr(f"pos <= {den - num} * n div {den + num}")).withColumn("cell", _cell("n"))
+    least, most = f"({num} * n + {den - 1}) div {den}", f"least(n, ({den} * n - {den + num} * pos) div {num})"
+    large = rest.filter(F.expr(f"{least} <= {most}")).withColumn("cell", F.explode(F.sequence(_cell(least), _cell(most))))
+
+    def nodes(rows: DataFrame, side: str) -> DataFrame:
+        boxed = rows.groupBy("page", "cell", "component").agg(F.min("n").alias(f"n_{side}"), *[F.max(F.col("coarse")[k]).alias(f"c{k}") for k in range(1 << COARSE_BITS)])
+        return boxed.select("page", "cell", F.col("component").alias(f"component_{side}"), f"n_{side}", F.array(*[f"c{k}" for k in range(1 << COARSE_BITS)]).alias(f"box_{side}"))
+
+    met = nodes(small, "a").join(nodes(large, "b"), ["page", "cell"]).filter("component_a <> component_b")
+    met = common.stored(met.filter(F.expr(f"{den + num} * {_minima('box_a', 'box_b')} >= {num} * (n_a + n_b)")).select("page", "cell", "component_a", "component_b"))
+    one = small.select("page", "cell", F.col("component").alias("component_a"), F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
+    two = large.select("page", "cell", F.col("component").alias("component_b"), F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
+    below = one.join(met, ["page", "cell", "component_a"]).join(two, ["page", "cell", "component_b"]).filter(F.expr("n_a <= n_b") & _places(num, den))
+    return below.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for documents that link when den * overlap >= num * union.
 
     ``n_links`` counts the links of the document's class that were verified.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = common.stored(index(docs, words, num, den))
-    # the page keys are most of the index and are needed once
-    light = common.stored(base.drop("pages", "pages_above"))
-    slim = light.select("doc_id", "n", "set_a", "set_b")
-    many = slim.filter("n > 0").groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size")).filter("size > 1")
-    copies = common.stored(slim.join(many, ["n", "set_a", "set_b"]).filter("doc_id <> rep").select("doc_id", "rep"))
-    points = light.select(F.col("doc_id").alias("rep"), "n", "point", "half")
-    reps = base.select("doc_id", "pages", "pages_above").join(common.if_small(copies), "doc_id", "left_anti")
-    keyed = reps.select(F.col("doc_id").alias("rep"), F.explode(F.concat("pages", "pages_above")).alias("page")).repartition("page")
-    full = keyed.groupBy("page").agg(F.count("*").alias("members"), F.min("rep").alias("low")).filter("members > 1")
-    # both uses of ``keyed`` read both of its columns, so that they share one exchange
-    paged = common.stored(keyed.join(full, "page"))
-    common.discard(base)
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
+    base = common.stored(index(docs, popularity(docs, words), words, num, den))
+    sets = ["n", "set_a", "set_b"]
+    slim = base.select("doc_id", *sets)
+    many = common.stored(slim.filter("n > 0").groupBy(*sets).agg(F.min("doc_id").alias("low"), F.count("*").alias("size")).filter("size > 1").drop("size"))
+    found = common.stored(slim.join(common.if_small(many), sets, "left").select("doc_id", *sets, F.coalesce("low", "doc_id").alias("low")).distinct())
+    copies = common.stored(found.filter("doc_id <> low").select("doc_id", *sets))
+    reps = base.join(common.if_small(copies), ["doc_id", *sets], "left_anti")
+    keyed = reps.select(F.col("doc_id").alias("id"), F.col("set_a").alias("sig"), "n", F.posexplode("tokens").alias("pos", "page")).repartition("page")
+    # one of two partners must have the page's shingle among its rarer half; both uses of ``keyed`` read all of
+    # its columns, so that they share one exchange
+    full = keyed.groupBy("page").agg(F.count("*").alias("members"), *[f(c).alias(f"{c}_{s}") for c in ("id", "sig") for s, f in (("low", F.min), ("high", F.max))], F.min("pos").alias("pos_low"), F.max("n").alias("n_high"))
+    full = full.filter(F.expr(f"(id_low <> id_high or sig_low <> sig_high) and pos_low <= {den - num} * n_high div {den + num}"))
+    paged = common.stored(keyed.join(full.select("page", "members"), "page").select("page", F.struct("id", "sig").alias("rep"), "n", "pos", "members").distinct())
+    wanted = common.stored(paged.select(F.col("rep.id").alias("doc_id")).distinct())
+    points = base.join(common.if_small(wanted), "doc_id", "left_semi").select(F.struct(F.col("doc_id").alias("id"), F.col("set_a").alias("sig")).alias("rep"), "n", "point", "half", "coarse")
+    points = common.stored(points.join(paged.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"]))
     company = paged.groupBy("rep").agg(F.sum("members").alias("company"))
-    hubs = paged.join(company, "rep").groupBy("page").agg(F.max(F.struct("company", (-F.col("rep")).alias("less"))).alias("top")).select("page", (-F.col("top.less")).alias("hub"))
-    stars = paged.join(hubs, "page").filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    hubs = paged.join(company, "rep").groupBy("page").agg(F.max(F.struct("company", "rep", "n", "pos")).alias("top")).select("page", F.col("top.rep").alias("hub"), F.col("top.n").alias("n_a"), F.col("top.pos").alias("pos_a"))
+    stars = paged.withColumnsRenamed({"n": "n_b", "pos": "pos_b"}).join(hubs, "page").filter("rep <> hub").filter(_places(num, den))
+    stars = stars.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
     def compared(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(_side(points, "a"), "a").join(_side(points, "b"), "b").filter(_bounds(num, den)).select("a", "b", "n_a", "n_b")
+        near = pairs.join(_sided(points, "a", "rep", "n", "point", "half"), "a").join(_sided(points, "b", "rep", "n", "point", "half"), "b").filter(_overlap(num, den)).select("a", "b", "n_a", "n_b")
         return common.stored(_verified(common.stored(near), docs, words, num, den))
 
     links = compared(stars)
-    # members of a page that are not yet one component
-    labels = components.components(links).withColumnRenamed("node", "rep")
-    labelled = paged.select("page", "rep").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    split = labelled.groupBy("page").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("page")
-    rest = common.stored(labelled.join(split, "page").join(points, "rep"))
-    one, two = (rest.select("page", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "component", "n", "point", "half")]) for s in "ab")
-    apart = one.join(two, "page").filter("rep_a < rep_b and component_a <> component_b").filter(_bounds(num, den))
-    links = links.union(compared(apart.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())).distinct()
     labels = components.components(links).withColumnRenamed("node", "rep")
+    more = compared(_apart(paged, labels, points, num, den))
+    if more.limit(1).count():
+        links = links.union(more).distinct()
+        labels = components.components(links).withColumnRenamed("node", "rep")
     degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    labels = labels.join(degree, "rep", "left")
-    found = slim.select("doc_id", "n").join(copies, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id")).join(labels, "rep", "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    labels = common.stored(labels.join(degree, "rep", "left"))
+    rows = found.withColumn("rep", F.struct(F.col("low").alias("id"), F.col("set_a").alias("sig"))).join(common.if_small(labels), "rep", "left")
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component.id", "rep.id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` that are the smallest document of their component, columns as they were."""
+    """The rows of ``docs`` whose id is the smallest of its component, columns as they were.
+
+    All rows of an id stay or go together: they stay if one of its texts has the smallest id of its component. Rows with a null id stay.
+    """
     found = jaccard_components(docs, words=words, num=num, den=den)
-    gone = common.stored(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(common.if_small(gone), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    first = found.groupBy("doc_id").agg(F.max((F.col("component_id") == F.col("doc_id")).cast("int")).alias("first"))
+    gone = common.stored(first.filter("first = 0").select(F.col("doc_id").alias(common.fresh("gone", docs))))
+    return docs.join(common.if_small(gone), F.col("doc_id") == F.col(gone.columns[0]), "left_anti")

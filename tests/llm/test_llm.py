@@ -492,6 +492,44 @@ def test_a_chain_of_near_copies_is_one_component_and_empties_link_nothing(spark)
     assert ngram_join.jaccard_components(docs_of(spark, [])).count() == 0
 
 
+def test_repeated_rows_and_several_texts_of_an_id(spark):
+    base = " ".join(f"w{k}" for k in range(100))
+    near = base.replace("w99", "x")
+    rows = [(1, base), (2, near), (2, near), (2, near), (3, "other words here now"), (3, base), (None, base), (4, base), (4, base)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, DOC)).collect())
+    assert got == [(1, 98, 1), (2, 98, 1), (3, 2, 3), (3, 98, 1), (4, 98, 1)]
+    kept = sorted((r.doc_id or 0, r.text) for r in ngram_join.keep_one(spark.createDataFrame(rows, DOC)).collect())
+    assert kept == [(0, base), (1, base), (3, "other words here now"), (3, base)]
+
+
+def test_ids_may_be_texts(spark):
+    base = " ".join(f"w{k}" for k in range(100))
+    docs = spark.createDataFrame([("b", base), ("a", base.replace("w5 ", "v ")), ("c", "alone it is"), ("d", base)], "doc_id string, text string")
+    assert {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs).collect()} == {"a": "a", "b": "a", "c": "c", "d": "a"}
+
+
+@pytest.mark.parametrize("words,num", [(3, 90), (5, 80)])
+def test_a_large_group_of_near_copies_that_one_hub_does_not_link(spark, words, num):
+    """Copies of one base with ever more edits: some link to it, some to each other, most to nothing."""
+    rng = random.Random(words)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for k in range(500):
+        copy = list(base)
+        for _ in range(rng.randrange(0, 26)):
+            i = rng.randrange(len(copy))
+            edit = rng.random()
+            if edit < 0.4:
+                copy[i] += rng.choice("abcdefgh")
+            elif edit < 0.7:
+                del copy[i]
+            else:
+                copy.insert(i, f"w{rng.randrange(150)}")
+        texts.append(" ".join(copy))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs_of(spark, texts), words=words, num=num).collect()}
+    assert got == brute_components(texts, words, num, 100)
+
+
 # ---- 2: mixing ----
 
 
