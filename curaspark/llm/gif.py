@@ -201,22 +201,28 @@ def _stored(canvas: np.ndarray) -> tuple[str, bytes, list[int], list[int]]:
     return mode, stored, cube.tolist(), luma.tolist()
 
 
-def decode_gif(data: bytes) -> list[dict]:
-    """The timed frames as they show, after palette, transparency and disposal."""
+#: Bounds of what one image may need: pixels of its screen, and bytes of all its shown frames together.
+MAX_PIXELS, MAX_BYTES = 1 << 24, 1 << 28
+
+
+def decode_gif(data: bytes, max_pixels: int = MAX_PIXELS, max_bytes: int = MAX_BYTES) -> list[dict]:
+    """The timed frames as they show, after palette, transparency and disposal. An image beyond the bounds counts as broken."""
     try:
-        return _decode(data)
+        return _decode(data, max_pixels, max_bytes)
     except (IndexError, struct.error, ValueError) as error:
         raise BrokenGif(str(error) or "broken") from error
 
 
-def _decode(data: bytes) -> list[dict]:
+def _decode(data: bytes, max_pixels: int, max_bytes: int) -> list[dict]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise BrokenGif("no GIF signature")
     wide, high, flags = struct.unpack("<HHB", data[6:11])
+    if wide * high > max_pixels:
+        raise BrokenGif(f"a screen of {wide} x {high} is beyond {max_pixels} pixels")
     shared, at = _palette(data, 13, flags)
     canvas = np.zeros((high, wide, 4), np.uint8)
     frames: list[dict] = []
-    disposal = delay = 0
+    disposal = delay = held = 0
     clear_index = None
     while data[at] != 0x3B:
         kind = data[at]
@@ -257,6 +263,9 @@ def _decode(data: bytes) -> list[dict]:
             opaque = index != clear_index
             part[opaque] = painted[opaque]
         mode, stored, cube, luma = _stored(canvas)
+        held += len(stored)
+        if held > max_bytes:
+            raise BrokenGif(f"frames beyond {max_bytes} bytes")
         frames.append(
             {"frame_no": len(frames), "delay_ms": delay, "left": left, "top": top, "width": width, "height": height, "canvas_width": wide,
              "canvas_height": high, "disposal": disposal, "mode": mode, "pixels": stored, "hist_rgb": cube, "hist_luma": luma}
@@ -305,8 +314,8 @@ def _sliced(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Recor
             yield batch.slice(begun)
 
 
-def gif_frames(images: DataFrame, id_col: str, gif_col: str) -> DataFrame:
-    """(id, error, frames) for every row of a binary GIF column."""
+def gif_frames(images: DataFrame, id_col: str, gif_col: str, max_pixels: int = MAX_PIXELS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """(id, error, frames) for every row of a binary GIF column; a null, broken or too large image has an error and no frames."""
     kind = images.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -314,7 +323,7 @@ def gif_frames(images: DataFrame, id_col: str, gif_col: str) -> DataFrame:
             found, errors = [], []
             for data in batch.column("gif").to_pylist():
                 try:
-                    found.append(decode_gif(data) if data is not None else [])
+                    found.append(decode_gif(data, max_pixels, max_bytes) if data is not None else [])
                     errors.append(None if data is not None else "null")
                 except BrokenGif as error:
                     found.append([])
@@ -338,7 +347,7 @@ def texts_as_gif(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 image = encode_grey(text.ljust(max(ROW_BYTES, -(-len(text) // ROW_BYTES) * ROW_BYTES)))
                 sizes.append(len(text))
                 media.append(image)
-                found.append(decode_gif(image))
+                found.append(decode_gif(image, max_bytes=len(text) + ROW_BYTES * MAX_ROWS * (len(text) // (ROW_BYTES * MAX_ROWS) + 2)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(media, pa.binary()), pa.array(found, pa.list_(_FRAME_ARROW))],
                 ["doc_id", "n_bytes", "gif", "frames"],
