@@ -1,7 +1,7 @@
 """Chat formatting: tool calls linked to their results, in DataFrame operations only.
 
 Calls (conv_id, turn, call_id, after, name, arguments) and results (conv_id, turn, call_id, content) are
-joined by identifier. ``after`` names the call that a call waits for. Calls are put in topological order by
+joined by conversation and identifier. ``after`` names the call of the same conversation that a call waits for. Calls are put in topological order by
 the length of the chain before them, found by doubling the step of each call's pointer, so that a chain
 of n calls takes log2(n) joins and no group is ever held by one task. Arguments (a JSON object) are
 checked against the schemas (name, properties: array of (key, type, required)). Every call and every
@@ -10,7 +10,9 @@ result without a call gives one row with canonical JSON: keys in order, no space
 Defined results: a call with several results links the one of the smallest (turn, content); of repeated
 call identifiers the smallest (turn, arguments) stays a call and the others are errors ``duplicate``; a call that
 waits for a missing call is in position 0; calls that wait in a circle have position -1 and an error;
-null identifiers link nothing; a null or broken arguments text is an error; an unknown name is an error.
+null identifiers or conversations link nothing, a call without them is an error ``no identifier``; equal call rows are one
+call, equal orphan results a row each; the same identifier in two conversations names two calls; a null or
+broken arguments text is an error; an unknown name is an error.
 """
 
 from __future__ import annotations
@@ -25,18 +27,18 @@ _TYPES = {"integer": "^BIGINT$", "number": "^(BIGINT|DECIMAL|DOUBLE)", "boolean"
 
 
 def positions(calls: DataFrame) -> DataFrame:
-    """(call_id, position): how many calls stand before each in its chain; -1 in a circle."""
-    names = calls.select(F.col("call_id").alias("known")).distinct()
-    rows = calls.select("call_id", "after").join(names, F.col("after") == F.col("known"), "left")
-    rows = common.checkpoint(rows.select("call_id", F.col("known").alias("jump"), F.when(F.col("known").isNull(), 0).otherwise(1).cast("long").alias("steps")))
+    """(conv_id, call_id, position): how many calls stand before each in its chain; -1 in a circle."""
+    names = calls.select("conv_id", F.col("call_id").alias("known")).distinct()
+    rows = calls.select("conv_id", "call_id", F.col("after").alias("known")).join(names.withColumn("there", F.lit(True)), ["conv_id", "known"], "left")
+    rows = common.stored(rows.select("conv_id", "call_id", F.when(F.col("there"), F.col("known")).alias("jump"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("steps")))
     total = rows.count()
     done = 0
     while (1 << done) <= max(total, 1) and rows.filter("jump is not null").limit(1).count():
-        ahead = rows.select(F.col("call_id").alias("known"), F.col("jump").alias("further"), F.col("steps").alias("more"))
-        rows = rows.join(ahead, F.col("jump") == F.col("known"), "left")
-        rows = common.checkpoint(rows.select("call_id", F.col("further").alias("jump"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")))
+        ahead = rows.select("conv_id", F.col("call_id").alias("jump"), F.col("jump").alias("further"), F.col("steps").alias("more"))
+        rows = rows.join(ahead, ["conv_id", "jump"], "left")
+        rows = common.stored(rows.select("conv_id", "call_id", F.col("further").alias("jump"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")))
         done += 1
-    return rows.select("call_id", F.when(F.col("jump").isNull(), F.col("steps")).otherwise(-1).alias("position"))
+    return rows.select("conv_id", "call_id", F.when(F.col("jump").isNull(), F.col("steps")).otherwise(-1).alias("position"))
 
 
 def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -60,20 +62,23 @@ def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """(conv_id, turn, call_id, status, position, errors, json), one row a call or orphan result."""
-    parts = F.struct("turn", "arguments", "conv_id", "name", "after")
-    calls = calls.select("conv_id", "turn", "call_id", "after", "name", "arguments").distinct()
-    first = calls.filter("call_id is not null").groupBy("call_id").agg(F.min(parts).alias("first"))
-    marked = calls.join(first, "call_id", "left").withColumn("again", ~parts.eqNullSafe(F.col("first"))).drop("first")
-    answers = results.filter("call_id is not null").groupBy("call_id").agg(F.min(F.struct("turn", "content")).alias("answer"))
-    rows = checked(marked, schemas).join(answers, "call_id", "left").join(positions(first.select("call_id", "first.after")), "call_id", "left")
-    none = F.array().cast("array<string>")
-    rows = rows.withColumn("errors", F.concat("errors", F.when(F.col("again"), F.array(F.lit("duplicate"))).otherwise(none), F.when(F.col("position") == -1, F.array(F.lit("circle"))).otherwise(none)))
+    key = ["conv_id", "call_id"]
+    parts = F.struct("turn", "arguments", "name", "after")
+    named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    calls = calls.select(*key, "turn", "after", "name", "arguments").distinct()
+    results = results.select(*key, "turn", "content")
+    first = calls.filter(named).groupBy(*key).agg(F.min(parts).alias("first"))
+    marked = calls.join(first, key, "left").withColumn("again", named & ~parts.eqNullSafe(F.col("first"))).drop("first")
+    answers = results.filter(named).groupBy(*key).agg(F.min(F.struct("turn", "content")).alias("answer"))
+    rows = checked(marked, schemas).join(answers, key, "left").join(positions(first.select(*key, "first.after")), key, "left")
+    flag = lambda test, text: F.when(test, F.array(F.lit(text))).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("errors", F.concat("errors", flag(F.col("again"), "duplicate"), flag(~named, "no identifier"), flag(F.col("position") == -1, "circle")))
     rows = rows.withColumn("position", F.coalesce("position", F.lit(0)))
     linked = rows.select(
         "conv_id", "turn", "call_id", F.when(F.col("answer").isNull(), "open").otherwise("answered").alias("status"), "position", "errors",
         F.to_json(F.struct(F.col("values").alias("arguments"), "call_id", F.col("answer.content").alias("content"), "errors", "name", "position")).alias("json"),
     )
-    orphans = results.join(first.select("call_id"), "call_id", "left_anti").select(
+    orphans = results.join(first.select(*key), key, "left_anti").select(
         "conv_id", "turn", "call_id", F.lit("orphan").alias("status"), F.lit(0).cast("long").alias("position"), F.array(F.lit("no call")).alias("errors"),
         F.to_json(F.struct("call_id", "content", F.array(F.lit("no call")).alias("errors"))).alias("json"),
     )
