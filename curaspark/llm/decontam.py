@@ -13,11 +13,14 @@ the passage and the surroundings of the window must hold ``similar`` of the pass
 passage's rarest words, its answer, must be there too. No window is dropped by its cosine: foreign words
 in it and frequencies that grow with the contamination lower it for exact copies too.
 
-Bounds: passages are taken in blocks of ``block`` items, each with vectors of at most ``rank`` numbers, which
-are broadcast; a benchmark of any size is searched, block after block. Documents are never grouped or
-joined, so neither hot sources nor passages that many documents share matter.
-
-Defined results: null or empty documents match nothing, nor do passages without words; no passages, no
+Bounds: passages are taken in blocks, counted before they are used, of at most ``block`` items, ``max_words`` words and
+``max_terms`` different words (or of one passage), each with vectors of at most ``rank`` numbers: what the driver takes and
+broadcasts is at most max_terms x rank x 4 bytes for the space (67 MB) and about as much for the passages. A
+benchmark of any size is searched, block after block, with one pass over the documents for each. Sums, products and the
+orthonormalisation of the decomposition run on tables; the driver sees matrices of rank x rank numbers. Documents are
+never grouped or joined, so neither hot sources nor passages that many documents share matter.
+
+Defined results: repeated rows of documents give repeated rows; equal passages of one item are one; null or empty documents match nothing, nor do passages without words; no passages, no
 rows; of several places in a document the best one of each passage is reported, the first of equals.
 """
 
@@ -126,13 +129,24 @@ def _decomposed(rows: DataFrame, idf: np.ndarray, rank: int, power: int) -> tupl
     """(terms, right singular vectors) of the normalised TF-IDF rows of a table (item_id, words)."""
     spark = rows.sparkSession
     held_idf = spark.sparkContext.broadcast(idf)
+    table = "term bigint, v binary"
 
     def weights(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         terms, times = np.unique(words, return_counts=True)
         w = times * idf[(terms >> np.uint64(64 - BITS)).astype(np.int64)]
         return terms, w / max(float(np.linalg.norm(w)), 1e-9)
 
-    def product(model) -> dict[int, np.ndarray]:
+    def batch_of(keys, vectors, name="term", kind=None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys, kind or pa.int64()), pa.array([v.tobytes() for v in vectors], pa.binary())], [name, "v"])
+
+    def added(key: str):
+        def add(frame: pd.DataFrame) -> pd.DataFrame:
+            out = frame.groupby(key)["v"].agg(lambda v: np.sum([np.frombuffer(x) for x in v], axis=0).tobytes()).reset_index()
+            return out[[key, "v"]]
+
+        return add
+
+    def product(model) -> DataFrame:
         """The rows of A'A times a matrix over the terms; None: the random sketch, made from each term's hash."""
         held = spark.sparkContext.broadcast(model)
 
@@ -146,34 +160,53 @@ def _decomposed(rows: DataFrame, idf: np.ndarray, rank: int, power: int) -> tupl
                         right = np.stack([np.random.default_rng(int(t)).standard_normal(rank) for t in terms])
                     else:
                         right = model[1][np.searchsorted(model[0], terms)]
-                    y = w @ right
+                    y = (w @ right).astype(np.float64)
                     for t, x in zip(terms.view(np.int64).tolist(), w.tolist()):
                         sums[t] = sums[t] + x * y if t in sums else x * y
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], ["term", "v"])
+            yield batch_of(list(sums), sums.values())
 
-        def add(frame: pd.DataFrame) -> pd.DataFrame:
-            out = frame.groupby("term")["v"].agg(lambda v: np.sum(np.stack(v.to_list()), axis=0).tolist()).reset_index()
-            return out[["term", "v"]]
+        parts = common.map_arrow(rows, run, table)
+        return common.stored(parts.groupBy(F.pmod("term", F.lit(64)).alias("part")).applyInPandas(added("term"), table))
 
-        parts = common.map_arrow(rows, run, "term bigint, v array<double>")
-        whole = parts.groupBy(F.pmod("term", F.lit(64)).alias("part")).applyInPandas(add, "term bigint, v array<double>")
-        # a row for each distinct word of one block of passages
-        return {r.term: np.array(r.v) for r in whole.collect()}
+    def orthonormal(sums: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Orthonormal columns by the inverse root of the Gram matrix, which is added up over the tasks."""
 
-    def orthonormal(sums: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array(sorted(sums), np.int64).view(np.uint64)
+        def gram(batches):
+            total = 0
+            for batch in batches:
+                own = np.stack([np.frombuffer(v) for v in batch.column("v").to_pylist()]) if len(batch) else np.zeros((0, rank))
+                total = total + own.T @ own
+            if not isinstance(total, int):
+                yield batch_of(range(rank), total, "row", pa.int32())
+
+        matrix = np.zeros((rank, rank))
+        # rank rows of rank numbers
+        for r in common.map_arrow(sums, gram, "row int, v binary").groupBy(F.pmod("row", F.lit(16)).alias("part")).applyInPandas(added("row"), "row int, v binary").collect():
+            matrix[r.row] = np.frombuffer(r.v)
+        values, vectors = np.linalg.eigh(matrix)
+        kept = values > 1e-10 * max(values[-1], 1e-300)
+        held = spark.sparkContext.broadcast(vectors[:, kept] / np.sqrt(values[kept]))
+
+        def turn(batches):
+            for batch in batches:
+                own = [(np.frombuffer(v) @ held.value).astype(np.float32) for v in batch.column("v").to_pylist()]
+                yield batch_of(batch.column("term").to_pylist(), own)
+
+        # at most max_terms rows of rank numbers
+        out = common.map_arrow(sums, turn, table).toArrow()
+        terms = out.column("term").to_numpy().view(np.uint64)
         order = np.argsort(terms)
-        matrix = np.stack([sums[t] for t in terms.view(np.int64)[order].tolist()])
-        return terms[order], np.linalg.qr(matrix)[0]
+        space = np.frombuffer(b"".join(out.column("v").to_pylist()), np.float32).reshape(len(terms), -1)
+        return terms[order], space[order]
 
     model = orthonormal(product(None))
     for _ in range(power):
         model = orthonormal(product(model))
-    return model[0], model[1].astype(np.float32)
+    return model
 
 
-def fit(passages: DataFrame, idf: np.ndarray, rank: int = 256, cosine: float = 0.45, power: int = 1, similar: float = 0.6) -> PassageIndex | None:
-    """Index one block of passages (item_id, text)."""
+def passage_words(passages: DataFrame) -> DataFrame:
+    """(item_id, words) of the passages that have words, equal ones once, as a stored table."""
 
     def run(batches):
         for batch in batches:
@@ -181,25 +214,48 @@ def fit(passages: DataFrame, idf: np.ndarray, rank: int = 256, cosine: float = 0
                 yield pa.RecordBatch.from_arrays([batch.column("item_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashed.view(np.int64)))], ["item_id", "words"])
 
     kind = passages.schema["item_id"].dataType.simpleString()
-    rows = common.stored(common.map_arrow(passages.select("item_id", "text"), run, f"item_id {kind}, words array<bigint>").filter(F.size("words") > 0))
-    # one block of passages
-    items = sorted(rows.distinct().collect(), key=lambda r: (str(r.item_id), r.words))
-    if not items:
+    return common.stored(common.map_arrow(passages.select("item_id", "text"), run, f"item_id {kind}, words array<bigint>").filter(F.size("words") > 0).distinct())
+
+
+def blocks_of(rows: DataFrame, block: int, max_words: int, max_terms: int) -> list[DataFrame]:
+    """The passages in as many parts, by hash, as it takes for each to keep the bounds (or to be one passage)."""
+    n = 1
+    while True:
+        parts = rows.withColumn("part", F.pmod(F.xxhash64("item_id", "words"), F.lit(n)))
+        sizes = parts.groupBy("part").agg(F.count("*").alias("items"), F.sum(F.size("words")).alias("words"))
+        terms = parts.select("part", F.explode("words").alias("term")).distinct().groupBy("part").agg(F.count("*").alias("terms"))
+        over = sizes.join(terms, "part").filter(F.col("items") > 1).agg(F.max(F.greatest(F.col("items") / block, F.col("words") / max_words, F.col("terms") / max_terms)).alias("over")).first().over or 0.0
+        if over <= 1:
+            return [parts.filter(F.col("part") == k).drop("part") for k in range(n)]
+        n *= 2 ** max(1, int(over).bit_length() - 1)
+
+
+def fit(passages: DataFrame, idf: np.ndarray, rank: int = 256, cosine: float = 0.45, power: int = 1, similar: float = 0.6) -> PassageIndex | None:
+    """Index one block of passages (item_id, text)."""
+    return fit_words(passage_words(passages), idf, rank, cosine, power, similar)
+
+
+def fit_words(rows: DataFrame, idf: np.ndarray, rank: int = 256, cosine: float = 0.45, power: int = 1, similar: float = 0.6) -> PassageIndex | None:
+    """Index one block of passages (item_id, words)."""
+    held = rows.toArrow()
+    ids = held.column("item_id").to_pylist()
+    lists = [np.array(w.values, np.int64) for w in held.column("words")]
+    order = sorted(range(len(ids)), key=lambda k: (str(ids[k]), lists[k].tolist()))
+    if not order:
         return None
-    rank = min(rank, len(items))
+    rank = min(rank, len(order))
     terms, space = _decomposed(rows, idf, rank, power)
-    words = [np.array(r.words, np.int64).view(np.uint64) for r in items]
-    latent, kept, answers = np.zeros((len(items), rank), np.float32), np.zeros(len(items)), []
+    ids, words = [ids[k] for k in order], [lists[k].view(np.uint64) for k in order]
+    latent, kept, answers = np.zeros((len(words), space.shape[1]), np.float32), np.zeros(len(words)), []
     for k, own in enumerate(words):
         w = idf[(own >> np.uint64(64 - BITS)).astype(np.int64)]
         latent[k] = (space[np.searchsorted(terms, own)] * w[:, None]).sum(axis=0)
         distinct, times = np.unique(own, return_counts=True)
-        rare = times * idf[(distinct >> np.uint64(64 - BITS)).astype(np.int64)]
-        kept[k] = np.linalg.norm(latent[k]) / max(float(np.linalg.norm(rare)), 1e-9)
         weight = idf[(distinct >> np.uint64(64 - BITS)).astype(np.int64)]
+        kept[k] = np.linalg.norm(latent[k]) / max(float(np.linalg.norm(times * weight)), 1e-9)
         answers.append(distinct[np.argsort(-weight, kind="stable")[:6]])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    return PassageIndex(idf, terms, space, [r.item_id for r in items], words, latent, (cosine * np.minimum(kept, 1)).astype(np.float32), _scales(np.array([len(w) for w in words])), answers, *_anchors(words, terms, idf, similar))
+    return PassageIndex(idf, terms, space, ids, words, latent, (cosine * np.minimum(kept, 1)).astype(np.float32), _scales(np.array([len(w) for w in words])), answers, *_anchors(words, terms, idf, similar))
 
 
 def common_subsequence(pattern: list[int], text: list[int]) -> int:
@@ -282,17 +338,20 @@ def _matches(index: PassageIndex, hashed: np.ndarray, at: np.ndarray, flags: np.
     return found
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = 0.6, sure: float = 0.8, block: int = 20_000, rank: int = 256) -> DataFrame:
+def find_passages(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = 0.6, sure: float = 0.8,
+    block: int = 20_000, max_words: int = 4_000_000, max_terms: int = 65_536, rank: int = 256,
+) -> DataFrame:
     """(doc_id, item_id, similarity, cosine, first_word) of every benchmark passage in every document."""
     docs = common.id_and_text(docs, id_col, text_col)
-    passages = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null")
-    blocks = -(-passages.count() // block)
+    passages = passage_words(benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null"))
     doc_kind, item_kind = docs.schema["doc_id"].dataType, passages.schema["item_id"].dataType
     schema = f"doc_id {doc_kind.simpleString()}, item_id {item_kind.simpleString()}, similarity double, cosine double, first_word bigint"
     found = docs.sparkSession.createDataFrame([], schema)
-    idf = inverse_frequencies(docs) if blocks else None
-    for number in range(blocks):
-        index = fit(passages.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number), idf, rank, similar=similar)
+    some = passages.limit(1).count() > 0
+    idf = inverse_frequencies(docs) if some else None
+    for number, part in enumerate(blocks_of(passages, block, max_words, max_terms) if some else []):
+        index = fit_words(part, idf, rank, similar=similar)
         if index is None:
             continue
         held = docs.sparkSession.sparkContext.broadcast(index)
@@ -314,12 +373,13 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         ["doc_id", "item_id", "similarity", "cosine", "first_word"],
                     )
 
-        part = common.map_arrow(docs, run, schema)
-        found = part if number == 0 else found.unionByName(part)
+        own = common.map_arrow(docs, run, schema)
+        found = own if number == 0 else found.unionByName(own)
     return found
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **rules) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage, columns as they were."""
-    leaks = common.stored(find_passages(docs, benchmark, **rules).select(F.col("doc_id").alias("_leak")).distinct())
-    return docs.join(common.if_small(leaks), F.col("doc_id") == F.col("_leak"), "left_anti")
+    name = common.fresh("leak", docs)
+    leaks = common.stored(find_passages(docs, benchmark, **rules).select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(common.if_small(leaks), F.col("doc_id") == F.col(name), "left_anti")
