@@ -4,7 +4,7 @@ A labelled table (quality, toxic) names three domains: ``toxic``, ``low`` and ``
 classifier on binned text measures and on the words that tell the domains apart predicts soft
 memberships of every document. Document rates r >= 0 then minimise, over domains, the squared relative
 distance of the expected token totals (sum of tokens x membership x rate) from the targets, by
-accelerated projected gradient steps from one common rate. A step depends on a document only
+projected gradient steps from one common rate. A step depends on a document only
 through its memberships, which are kept to three decimals: the iterations run on the table of distinct
 memberships (at most half a million rows whatever the input) and the rates are joined back.
 
@@ -13,12 +13,14 @@ measures are learned from all labelled rows. Everything else covers all document
 
 Defined results: a null or empty text has no tokens, the prior memberships of its measures and a rate;
 a domain without labelled rows gets membership 0; with no labels at all every membership is a third;
-a target for a domain that no document belongs to can't be met and leaves the others as near as possible.
+a target for a domain that no document belongs to can't be met and leaves the others as near as possible (a warning
+says so); repeated rows of documents are rows of their own, repeated label rows count as often as they stand.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -138,30 +140,65 @@ def _power(matrix: list[list[float]], rounds: int = 200) -> float:
     return value
 
 
-def fit_rates(masses: DataFrame, targets: list[float], start: float, steps: int = 60, tolerance: float = 1e-4, every: int = 12) -> DataFrame:
-    """(p, rate) for a table (p, tokens): accelerated projected gradient on relative squared distances."""
+def _solved(matrix: list[list[float]], right: list[float]) -> list[float]:
+    """The solution of a small positive definite system, made a little more definite."""
+    n = len(right)
+    lift = 1e-9 * sum(matrix[i][i] for i in range(n)) + 1e-12
+    rows = [[matrix[i][j] + (lift if i == j else 0.0) for j in range(n)] + [right[i]] for i in range(n)]
+    for i in range(n):
+        for k in range(i + 1, n):
+            part = rows[k][i] / rows[i][i]
+            rows[k] = [x - part * y for x, y in zip(rows[k], rows[i])]
+    found = [0.0] * n
+    for i in reversed(range(n)):
+        found[i] = (rows[i][n] - sum(rows[i][j] * found[j] for j in range(i + 1, n))) / rows[i][i]
+    return found
+
+
+def fit_rates(masses: DataFrame, targets: list[float], start: float, steps: int = 60, tolerance: float = 1e-4, every: int = 6) -> DataFrame:
+    """(p, rate) for a table (p, tokens): projected gradient steps on relative squared distances, rates never below 0.
+
+    A step goes along the gradient, once as it is and once scaled by the curvature over the rates that are free to
+    move, with several lengths; the best of these candidates is taken, so the distance falls at every step and
+    at least as fast as by plain projected gradient. Steps end when every total is within ``tolerance`` of its target
+    or nothing improves. Where the targets are not met then (they may be out of reach) a warning says by how much.
+    """
     kinds = range(len(targets))
-    weight = [1 / t**2 if t > 0 else 1.0 for t in targets]
-    gram = masses.agg(*[F.sum(F.col("tokens") * F.col("p")[i] * F.col("p")[j]).alias(f"m{i}_{j}") for i in kinds for j in kinds]).first()
-    scaled = [[(gram[f"m{i}_{j}"] or 0.0) * math.sqrt(weight[i] * weight[j]) for j in kinds] for i in kinds]
-    largest = _power(scaled)
-    state = masses.withColumn("rate", F.lit(start)).withColumn("ahead", F.lit(start))
+    unit = [1 / t if t > 0 else 1.0 for t in targets]
+    wanted = [1.0 if t > 0 else 0.0 for t in targets]
+    q = [F.col("p")[i] * unit[i] for i in kinds]
+
+    def gram(rows: DataFrame) -> list[list[float]]:
+        sums = rows.agg(*[F.sum(F.col("tokens") * q[i] * q[j]).alias(f"m{i}_{j}") for i in kinds for j in kinds]).first()
+        return [[sums[f"m{i}_{j}"] or 0.0 for j in kinds] for i in kinds]
+
+    def moved(pull: list[float]) -> Column:
+        return F.greatest(F.lit(0.0), F.col("rate") - sum(q[i] * F.lit(pull[i]) for i in kinds))
+
+    state = masses.select("p", "tokens", F.lit(float(start)).alias("rate"))
+    largest = _power(gram(state))
     if largest == 0:
         return state.select("p", "rate")
-    momentum = 1.0
+    sums = state.agg(*[F.sum(F.col("tokens") * q[i] * F.col("rate")).alias(f"s{i}") for i in kinds]).first()
+    off = [sums[f"s{i}"] - wanted[i] for i in kinds]
     for step in range(steps):
-        # one small row a step reaches the driver
-        sums = state.agg(*[F.sum(F.col("tokens") * F.col("p")[i] * F.col("ahead")).alias(f"s{i}") for i in kinds], *[F.sum(F.col("tokens") * F.col("p")[i] * F.col("rate")).alias(f"r{i}") for i in kinds]).first()
-        if max(abs(sums[f"r{i}"] - targets[i]) / max(targets[i], 1.0) for i in kinds) < tolerance:
+        if max(map(abs, off)) < tolerance:
+            break
+        # one small row of each pass reaches the driver
+        free = (F.col("rate") > 0) | (sum(q[i] * F.lit(off[i]) for i in kinds) < 0)
+        scaled = _solved(gram(state.filter(free)), off)
+        pulls = [[2.0**-k * x for x in scaled] for k in range(6)] + [[2.0**k * x / largest for x in off] for k in range(4)]
+        tried = state.select("tokens", "p", *[moved(pull).alias(f"r{k}") for k, pull in enumerate(pulls)])
+        sums = tried.agg(*[F.sum(F.col("tokens") * q[i] * F.col(f"r{k}")).alias(f"s{k}_{i}") for k in range(len(pulls)) for i in kinds]).first()
+        left = [[sums[f"s{k}_{i}"] - wanted[i] for i in kinds] for k in range(len(pulls))]
+        best = min(range(len(pulls)), key=lambda k: sum(x * x for x in left[k]))
+        if sum(x * x for x in left[best]) >= sum(x * x for x in off) * (1 - 1e-10):
             break
-        pull = [(sums[f"s{i}"] - targets[i]) * weight[i] / largest for i in kinds]
-        moved = F.greatest(F.lit(0.0), F.col("ahead") - sum(F.col("p")[i] * F.lit(pull[i]) for i in kinds))
-        following = (1 + math.sqrt(1 + 4 * momentum**2)) / 2
-        ahead = F.col("new") + F.lit((momentum - 1) / following) * (F.col("new") - F.col("rate"))
-        state = state.withColumn("new", moved).select("p", "tokens", F.col("new").alias("rate"), ahead.alias("ahead"))
-        momentum = following
+        state, off = state.select("p", "tokens", moved(pulls[best]).alias("rate")), left[best]
         if step % every == every - 1:
-            state = common.checkpoint(state)
+            state = common.stored(state)
+    if max(map(abs, off)) >= tolerance:
+        warnings.warn(f"targets not met: expected totals over targets are off by {[round(x, 5) for x in off]}", stacklevel=2)
     return state.select("p", "rate")
 
 
@@ -177,5 +214,5 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     targets = [budget * total * weights.get(d, 0.0) for d in DOMAINS]
     rates = common.stored(fit_rates(masses, targets, budget))
     # at most 501,501 memberships to three decimals exist
-    found = rows.join(F.broadcast(rates), "p", "left").withColumn("rate", F.coalesce("rate", F.lit(budget)))
+    found = rows.join(common.if_small(rates), "p", "left").withColumn("rate", F.coalesce("rate", F.lit(budget)))
     return found.select("doc_id", "n_tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", (F.col("n_tokens") * F.col("rate")).alias("expected_tokens"))
