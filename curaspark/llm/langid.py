@@ -11,7 +11,8 @@ Bounds: ``per_language`` labelled rows of each language and ``max_rows`` in all
 and ``landmarks`` of each language become landmarks. Whole texts are scored.
 
 Defined results: a null text or one without any letter gives ``und`` and score 0; with no labelled
-row every text does; equal texts get equal results; ties between languages go to the first name.
+row every text does; equal texts get equal results; ties between languages go to the first name; an id that stands
+several times is learned from once (its smallest label and text), every row is scored.
 """
 
 from __future__ import annotations
@@ -49,10 +50,18 @@ class LanguageModel:
 
 
 def labelled_sample(docs: DataFrame, label: Column, per_label: int, max_rows: int) -> DataFrame:
-    """(doc_id, label) of at most ``per_label`` rows of each label and ``max_rows`` in all, by id hash."""
+    """(doc_id, label) of about the first ``per_label`` rows of each label by id hash, never more, and ``max_rows`` in all.
+
+    Rows whose hash lies below a bound, from the label's count, are ranked; so the rows of a frequent label never meet in one task.
+    """
     rows = docs.select("doc_id", label.alias("label")).filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull())
+    sizes = common.stored(rows.groupBy("label").agg(F.count("*").alias("size")))
+    # the upper half of the hash's range is not used, so that shares of 2**62 can be compared
+    place = F.shiftright(F.xxhash64("doc_id"), 1) + F.lit(1 << 62)
+    below = F.least(F.lit(1.0), F.lit(2.0 * per_label) / F.col("size")) * float(1 << 63)
+    few = rows.join(common.if_small(sizes), "label").filter(place.cast("double") <= below).select("doc_id", "label").distinct()
     turn = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = rows.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= per_label)
+    ranked = few.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= per_label)
     return ranked.orderBy("turn", "label").limit(max_rows).select("doc_id", "label")
 
 
@@ -63,6 +72,8 @@ def fit(
     known = docs.filter(learn).select(F.col("doc_id"), F.col("text"), F.col(lang_col).alias("label"))
     chosen = labelled_sample(known, F.col("label"), per_language, max_rows).select("doc_id").distinct()
     rows = known.join(F.broadcast(chosen), "doc_id", "left_semi").filter(F.col("label").isNotNull() & F.col("text").isNotNull())
+    # one row for each id, however often it stands
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("label", "text")).alias("row")).select("doc_id", "row.label", "row.text")
 
     def run(batches):
         seen = np.zeros(1 << BITS, bool)
@@ -99,7 +110,6 @@ def fit(
     rows_, sizes = presence(learned)
     features = ((rows_ @ mark_rows.T) / np.sqrt(sizes)[:, None] / norms[None, :]).astype(np.float64) @ whiten
     target = np.where(np.array([r.label for r in learned])[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    features = np.hstack([features, np.zeros((len(features), 0))])
     solved = np.linalg.solve(features.T @ features + ridge * np.eye(features.shape[1]), features.T @ target)
     return LanguageModel(languages, vocabulary, mark_rows, norms.astype(np.float32), (whiten @ solved).astype(np.float32))
 
@@ -140,9 +150,15 @@ def predict(docs: DataFrame, model: LanguageModel | None, lang_as: str = "lang_p
     return common.map_arrow(rows, run, schema)
 
 
-def keep_identified(docs: DataFrame, learn: Column, min_score: float = 0.0) -> DataFrame:
-    """The rows whose language is determined (with at least ``min_score``), columns as they were."""
-    model = fit(docs, learn)
-    rows = predict(docs, model, "_lang_pred", "_lang_score")
-    kept = rows.filter((F.col("_lang_pred") != UNDETERMINED) & (F.col("_lang_score") >= min_score))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_identified(docs: DataFrame, learn: Column, min_score: float = 0.5, lang_col: str = "lang") -> DataFrame:
+    """The rows whose language is determined, columns as they were, a null language filled in with the predicted one.
+
+    A row goes if its text is null or has no letter, or if its score is below ``min_score``: at 0.5, where every
+    one-versus-rest output is negative, no language claims it. With no labelled row at all nothing can be told and every row stays.
+    """
+    model = fit(docs, learn, lang_col)
+    if model is None:
+        return docs
+    name, score = common.fresh("lang_pred", docs), common.fresh("lang_score", docs)
+    kept = predict(docs, model, name, score).filter((F.col(name) != UNDETERMINED) & (F.col(score) >= min_score))
+    return kept.select(*[F.coalesce(F.col(c), F.col(name)).alias(c) if c == lang_col else F.col(f"`{c}`") for c in docs.columns])
