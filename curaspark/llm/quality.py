@@ -8,7 +8,8 @@ document's vector is multiplied with all of them, block by block; the ``neighbou
 ones, with all ties of the last of them, vote with their similarity.
 
 Defined results: a null or empty text, and any text when no row is labelled, gets the share of label
-1 among the learned rows (0.5 without any). Repeated label rows count as often as they stand.
+1 among the learned rows (0.5 without any). Repeated label rows count as often as they stand; of several texts of a
+labelled id the smallest is learned from.
 """
 
 from __future__ import annotations
@@ -103,7 +104,9 @@ def fit(
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(max_labelled)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(F.length("text") > 0)
+    # one text for each id, however often it stands
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi").filter(F.length("text") > 0).groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = texts.join(F.broadcast(chosen), "doc_id")
 
     def run(batches):
         seen = np.zeros(1 << SHAPE_BITS, bool)
@@ -116,7 +119,7 @@ def fit(
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(terms, pa.list_(pa.int32())), pa.array(times, pa.list_(pa.float32()))], ["doc_id", "label", "terms", "times"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    # at most max_labelled rows (times the repetitions of an id), each with at most TERMS terms
+    # at most max_labelled rows, each with at most TERMS terms
     learned = sorted(common.map_arrow(rows, run, f"doc_id {kind}, label int, terms array<int>, times array<float>").collect(), key=lambda r: (r.doc_id, r.label))
     y = np.array([r.label for r in learned], np.float64)
     prior = float(y.mean()) if len(y) else 0.5
