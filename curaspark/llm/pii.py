@@ -2,8 +2,9 @@
 
 Base patterns find e-mail addresses, addresses of hosts, card and phone numbers. Wider patterns add
 candidates of the same kinds. On every candidate of every text, labelers vote for or against:
-a strict form, a checksum, a gazetteer of top-level domains and cue words, and context (what stands
-before and after, line position, neighbours of the same kind). The votes and a few form features make
+a strict form, a checksum, a gazetteer of top-level domains and cue words (a few fixed ones, and those that the corpus
+itself shows: endings of many addresses, words that stand before the base matches of one kind far more
+often than elsewhere), and context (what stands before and after, neighbours of the same kind). The votes and a few form features make
 a pattern of small bounded numbers; the corpus is reduced to counts of such patterns (all documents
 count; at most a few thousand patterns exist). On the counts, expectation-maximisation estimates each
 labeler's accuracy and each candidate pattern's probability (Dawid and Skene's model, one hidden
@@ -18,7 +19,8 @@ equal texts get equal spans.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,9 @@ _WIDE = {
     "card": re.compile(r"(?<![0-9A-Za-z])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}(?![0-9A-Za-z])"),
     "phone": re.compile(r"(?<![0-9A-Za-z+])(?:00[1-9][0-9]{0,2}[\x20.-])?\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])"),
 }
+_URL = re.compile(r"https?://[A-Za-z0-9.-]*\.([A-Za-z]{2,})")
+_WORD = re.compile(r"[^\W\d_]{2,}")
+_AT, _DOT = re.compile(r"\x20?(?:@|\(at\)|\[at\])\x20?"), re.compile(r"\x20?(?:\.|\(dot\)|\[dot\])\x20?")
 # fixed values: cue words and common top-level domains
 _CUES = {
     "email": ("mail", "contact", "write", "correo", "courriel"),
@@ -107,17 +112,36 @@ def base_spans(text: str) -> list[spans.Span]:
 
 N_LABELERS = 6
 N_FEATURES = 8
+#: How many characters before a candidate are its context.
+NEAR = 24
 
 
-def _votes(kind: str, text: str, a: int, b: int, is_base: bool, company: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
+@dataclass
+class Gazetteer:
+    """Endings of addresses, and for each kind the words that announce it."""
+
+    domains: frozenset[str] = _DOMAINS
+    cues: dict[str, frozenset[str]] = field(default_factory=dict)
+
+    def announces(self, kind: str, near: str) -> bool:
+        return any(c in near for c in _CUES[kind]) or not self.cues.get(kind, frozenset()).isdisjoint(_WORD.findall(near))
+
+
+def _address(value: str) -> str:
+    """An address as it would be typed, where its signs are written out."""
+    return _DOT.sub(".", _AT.sub("@", value))
+
+
+def _votes(kind: str, text: str, a: int, b: int, is_base: bool, company: int, known: Gazetteer) -> tuple[tuple[int, ...], tuple[int, ...]]:
     """Votes (1 for, -1 against, 0 none) and small form features of one candidate."""
     value = text[a:b]
     digits = _digits(value)
     before, after = text[a - 1] if a else " ", text[b] if b < len(text) else " "
-    near = text[max(0, a - 24) : a].lower()
+    near = text[max(0, a - NEAR) : a].lower()
     if kind == "email":
-        strict = 1 if "@" in value and " " not in value and value[0] not in ".-%" else -1 if value.count("@") != 1 else 0
-        check = 1 if value.rsplit(".", 1)[-1].lower() in _DOMAINS else -1 if "." not in value else 0
+        typed = _address(value)
+        strict = 1 if typed.count("@") == 1 and " " not in typed and typed[0] not in ".-%" else -1
+        check = 1 if typed.rsplit(".", 1)[-1].lower() in known.domains else -1
     elif kind == "ip":
         parts = value.split(".")
         strict = 1 if len(parts) == 4 and all(_number(p) <= 255 and (p == "0" or p[0] != "0") for p in parts) else -1
@@ -128,7 +152,7 @@ def _votes(kind: str, text: str, a: int, b: int, is_base: bool, company: int) ->
     else:
         strict = 1 if value.startswith("+") and "(" in value else 1 if value.startswith("+") else 0
         check = 1 if 10 <= len(digits) <= 15 else -1
-    cue = 1 if any(c in near for c in _CUES[kind]) else 0
+    cue = 1 if known.announces(kind, near) else 0
     frame = 1 if before in " \n\t(:;,<\"'." and after in " \n\t),.;:>\"'%#$&*!|" else -1 if before.isalnum() or after.isalnum() else 0
     pattern = 1 if is_base else -1 if kind in ("card", "phone") else 0
     crowd = 1 if 1 <= company <= 3 else -1 if company > 8 else 0
@@ -137,20 +161,69 @@ def _votes(kind: str, text: str, a: int, b: int, is_base: bool, company: int) ->
     return votes, features
 
 
-def candidates(text: str, base: list[spans.Span]) -> list[tuple[spans.Span, bool, tuple[int, ...], tuple[int, ...]]]:
-    """Base spans and wider candidates outside them, with votes and features."""
+def places(text: str, base: list[spans.Span]) -> list[tuple[spans.Span, bool]]:
+    """Base spans and wider candidates outside them."""
     held = [(span, True) for span in base]
-    taken = list(base)
-    if "@" in text or "at)" in text or "at]" in text or _DIGIT.search(text):
-        for kind, pattern in _WIDE.items():
-            if kind != "email" and not _DIGIT.search(text) or kind == "email" and not ("@" in text or "at)" in text or "at]" in text):
-                continue
-            for m in pattern.finditer(text):
-                if not spans.overlaps(m.start(), m.end(), taken):
-                    held.append(((kind, m.start(), m.end()), False))
-                    taken.append((kind, m.start(), m.end()))
-    company = {kind: sum(span[0] == kind for span, _ in held) for kind in BASE}
-    return [(span, is_base, *_votes(span[0], text, span[1], span[2], is_base, company[span[0]])) for span, is_base in held]
+    digit, at = _DIGIT.search(text) is not None, "@" in text or "at)" in text or "at]" in text
+    for kind, pattern in _WIDE.items():
+        if at if kind == "email" else digit:
+            cover = spans.Cover([span for span, _ in held])
+            held += [((kind, m.start(), m.end()), False) for m in pattern.finditer(text) if not cover.meets(m.start(), m.end())]
+    return held
+
+
+def candidates(text: str, base: list[spans.Span], known: Gazetteer) -> list[tuple[spans.Span, bool, tuple[int, ...], tuple[int, ...]]]:
+    """The places with votes and features."""
+    held = places(text, base)
+    company = Counter(span[0] for span, _ in held)
+    return [(span, is_base, *_votes(span[0], text, span[1], span[2], is_base, company[span[0]], known)) for span, is_base in held]
+
+
+def learn_gazetteer(rows: DataFrame, min_seen: int = 5, lift: float = 4.0, max_cues: int = 200, max_domains: int = 2000) -> Gazetteer:
+    """From all texts: endings seen ``min_seen`` times in addresses and links; words before base matches of a kind.
+
+    A word is a cue of a kind if at least ``min_seen`` base matches of the kind have it close before them, and it
+    stands there ``lift`` times as often as in the middle of a text. ``max_cues`` of each kind and
+    ``max_domains`` bound what the driver takes, most frequent first.
+    """
+
+    def run(batches):
+        total: Counter = Counter()
+
+        def out():
+            keys = list(total)
+            yield pa.RecordBatch.from_arrays([*[pa.array([k[i] for k in keys], pa.string()) for i in range(2)], pa.array([total[k] for k in keys], pa.int64())], ["what", "word", "n"])
+            total.clear()
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                if not text:
+                    continue
+                if "://" in text:
+                    total.update(("domain", m[1].lower()) for m in _URL.finditer(text))
+                # what stands at an ordinary place of a text: its middle
+                middle = len(text) // 2
+                total.update(("all", w) for w in {"", *_WORD.findall(text[max(0, middle - NEAR) : middle].lower())})
+                for kind, a, b in base_spans(text):
+                    total.update((kind, w) for w in {"", *_WORD.findall(text[max(0, a - NEAR) : a].lower())})
+                    if kind == "email":
+                        total["domain", text[a:b].rsplit(".", 1)[-1].lower()] += 1
+            if len(total) > 100_000:
+                yield from out()
+        yield from out()
+
+    counted = common.stored(common.map_arrow(rows.select("text"), run, "what string, word string, n bigint").groupBy("what", "word").agg(F.sum("n").alias("n")))
+    domains = counted.filter((F.col("what") == "domain") & (F.col("n") >= min_seen)).orderBy(F.col("n").desc(), "word").limit(max_domains).collect()
+    # the empty word stands in every context: at most five totals
+    totals = {r.what: r.n for r in counted.filter("word = ''").collect()}
+    whole = counted.filter("what = 'all'").select("word", F.col("n").alias("everywhere"))
+    cues = {}
+    for kind in BASE:
+        if kind in totals:
+            rate = F.col("n") / totals[kind] >= lift * F.coalesce("everywhere", F.lit(0)) / totals["all"]
+            found = counted.filter((F.col("what") == kind) & (F.col("n") >= min_seen) & (F.col("word") != "")).join(whole, "word", "left").filter(rate)
+            cues[kind] = frozenset(r.word for r in found.orderBy(F.col("n").desc(), "word").limit(max_cues).collect())
+    return Gazetteer(_DOMAINS | {r.word for r in domains if r.word.isalpha()}, cues)
 
 
 # ---- reliabilities and the classifier, on counts of patterns ----
@@ -160,6 +233,7 @@ def candidates(text: str, base: list[spans.Span]) -> list[tuple[spans.Span, bool
 class SpanClassifier:
     reliabilities: dict[str, np.ndarray]
     accepted: dict[tuple[str, tuple[int, ...]], float]
+    known: Gazetteer = field(default_factory=Gazetteer)
 
     def probability(self, kind: str, features: tuple[int, ...]) -> float:
         """Of a candidate outside the base spans; one that fails its own checksum or range is none."""
@@ -203,12 +277,15 @@ def estimate(counts: list[tuple[str, tuple[int, ...], tuple[int, ...], int]], ro
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> SpanClassifier:
     """Labelers vote on every candidate of every text; only counts of patterns reach the driver."""
     rows = common.id_and_text(docs, id_col, text_col)
+    known = learn_gazetteer(rows)
+    held = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
+        known = held.value
         total: dict = {}
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                for (kind, _, _), _, votes, features in candidates(text, base_spans(text)) if text else ():
+                for (kind, _, _), _, votes, features in candidates(text, base_spans(text), known) if text else ():
                     total[kind, votes, features] = total.get((kind, votes, features), 0) + 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([k for k, _, _ in total], pa.string()), pa.array([list(v) for _, v, _ in total], pa.list_(pa.int32())), pa.array([list(f) for _, _, f in total], pa.list_(pa.int32())), pa.array(list(total.values()), pa.int64())],
@@ -217,7 +294,9 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Sp
 
     counted = common.map_arrow(rows, run, "kind string, votes array<int>, features array<int>, n bigint").groupBy("kind", "votes", "features").agg(F.sum("n").alias("n"))
     # at most 4 x 3**6 x 2**8 patterns, whatever the input
-    return estimate([(r.kind, tuple(r.votes), tuple(r.features), r.n) for r in counted.collect()])
+    model = estimate([(r.kind, tuple(r.votes), tuple(r.features), r.n) for r in counted.collect()])
+    model.known = known
+    return model
 
 
 def find_personal_data(docs: DataFrame, model: SpanClassifier, id_col: str = "doc_id", text_col: str = "text", accept: float = 0.5) -> DataFrame:
@@ -231,7 +310,7 @@ def find_personal_data(docs: DataFrame, model: SpanClassifier, id_col: str = "do
             found, shas, listed = [], [], []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text) if text else []
-                judged = [(span, is_base, model.probability(span[0], features)) for span, is_base, _, features in (candidates(text, base) if text else ())]
+                judged = [(span, is_base, model.probability(span[0], features)) for span, is_base, _, features in (candidates(text, base, model.known) if text else ())]
                 kept = [((k if is_base else f"more_{k}", a, b), is_base, p) for (k, a, b), is_base, p in judged if is_base or p >= accept]
                 found.append([{"kind": s[0], "start": s[1], "end": s[2], "base": is_base, "score": p} for s, is_base, p in kept])
                 shas.append(spans.digest(base, KINDS))

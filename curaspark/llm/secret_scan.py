@@ -49,7 +49,8 @@ def base_spans(text: str) -> list[spans.Span]:
 
 def tokens(text: str, base: list[spans.Span]) -> list[tuple[int, int]]:
     """The places of all long tokens outside the base spans."""
-    return [m.span() for m in _CANDIDATE.finditer(text) if not (base and spans.overlaps(*m.span(), base))]
+    cover = spans.Cover(base)
+    return [m.span() for m in _CANDIDATE.finditer(text) if not (base and cover.meets(*m.span()))]
 
 
 def values(text: str) -> list[tuple[str, str]]:

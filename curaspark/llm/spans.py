@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 
@@ -22,5 +24,14 @@ def digest(spans: list[Span], order: tuple[str, ...]) -> str:
     return hashlib.sha256(joined(spans, order).encode()).hexdigest()
 
 
-def overlaps(start: int, end: int, spans: list[Span]) -> bool:
-    return any(a < end and start < b for _, a, b in spans)
+class Cover:
+    """Spans in order, to ask in logarithmic time whether any of them overlaps another."""
+
+    def __init__(self, spans: list[Span]):
+        placed = sorted((a, b) for _, a, b in spans)
+        self.starts = [a for a, _ in placed]
+        self.reach = list(accumulate((b for _, b in placed), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.reach[before - 1] > start
