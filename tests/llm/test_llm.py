@@ -116,6 +116,17 @@ def test_palette_disposal_transparency_and_interlace(spark):
     assert got[1] == (3, None) and got[2][0] == 0 and got[2][1] and got[3] == (0, "null") and got[4][0] == 0
 
 
+def test_hostile_images_are_errors(spark):
+    import struct
+
+    huge = b"GIF89a" + struct.pack("<HHBBB", 65000, 65000, 0xF1, 0, 0) + bytes(12) + b"\x3b"
+    many = _image([([0] * 16, 0, 0, 4, 4, 1, None, False)] * 50, [255, 0, 0, 0, 255, 0, 0, 0, 255, 9, 9, 9], 4, 4)
+    rows = spark.createDataFrame([(1, bytearray(huge)), (2, bytearray(many)), (2, bytearray(many))], "id long, g binary").withColumn("error", F.lit("clash"))
+    got = gif.gif_frames(rows, "id", "g", max_bytes=1000).collect()
+    assert len(got) == 3 and all(r.frames == [] and "beyond" in r.error for r in got)
+    assert {(r.id, len(r.frames)) for r in gif.gif_frames(rows, "id", "g").collect()} == {(1, 0), (2, 50)}
+
+
 def test_op1_digest_equals_the_texts(spark):
     texts = [t for t in ODD if t is None or "\u0000" not in t]
     got = {r.doc_id: r for r in gif.gif_digest(gif.texts_as_gif(docs_of(spark, texts, extra=True))).collect()}
@@ -165,6 +176,49 @@ def test_presence_kernel_by_hand(spark, sf):
     assert np.allclose(got, wanted, atol=1e-4)
 
 
+def test_language_fit_by_brute_force(spark, sf):
+    """Nyström ridge regression solved directly in the landmarks' kernel."""
+    from curaspark.llm import grams
+
+    docs = common.documents(spark, sf).filter("lang is not null and length(text) between 30 and 3000").limit(60)
+    model = langid.fit(docs, F.lit(True), landmarks=6, ridge=0.05)
+    seen = np.zeros(1 << langid.BITS, bool)
+    rows = sorted(docs.collect(), key=lambda r: (r.lang, r.doc_id))
+    sets = [set(grams.distinct(grams.fold_letters(np.array([ord(c) for c in r.text], np.uint32)), langid.SIZES, langid.BITS, seen).tolist()) for r in rows]
+    languages = sorted({r.lang for r in rows})
+    marks = [m for lang in languages for m in sorted((k for k, r in enumerate(rows) if r.lang == lang), key=lambda k: (-min(len(sets[k]), 800), rows[k].doc_id))[:6]]
+    kernel = lambda one, two: np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in two] for a in one])
+    inner, across = kernel([sets[m] for m in marks], [sets[m] for m in marks]), kernel(sets, [sets[m] for m in marks])
+    target = np.array([[1.0 if r.lang == lang else -1.0 for lang in languages] for r in rows])
+    weights = np.linalg.solve(across.T @ across + 0.05 * inner, across.T @ target)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, model).collect()}
+    for r, out in zip(rows, across @ weights):
+        assert got[r.doc_id][0] == languages[int(out.argmax())] and abs(got[r.doc_id][1] - np.clip((out.max() + 1) / 2, 0, 1)) < 5e-3
+
+
+def test_language_stage_drops_what_no_language_claims_and_fills_in_names(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = common.documents(spark, sf)
+    odd = spark.createDataFrame([(10**9 + k, t) for k, t in enumerate(["xqzk wvxq kqxz " * 30, "12345 67890", None, "Ж Щ Ю Э Ъ " * 40])], DOC)
+    both = docs.unionByName(odd, allowMissingColumns=True).withColumn("_lang_pred", F.lit("mine"))
+    kept = langid.keep_identified(both, ~common.held_out())
+    assert kept.columns == both.columns
+    rows = {r.doc_id: r for r in kept.collect()}
+    assert not any(k >= 10**9 for k in rows) and all(r.lang for r in rows.values()) and {r["_lang_pred"] for r in rows.values()} == {"mine"}
+    assert len(rows) >= 0.97 * docs.count()
+    assert langid.keep_identified(both, F.lit(False)).count() == both.count()
+
+
+def test_repeated_ids_are_learned_once(spark, sf):
+    docs, labels = common.documents(spark, sf).limit(80), spark.read.parquet(f"{sf}/labels.parquet")
+    again = docs.union(docs).union(docs)
+    one, two = langid.fit(docs, F.lit(True)), langid.fit(again, F.lit(True))
+    assert one.languages == two.languages and np.allclose(one.weights, two.weights, atol=1e-3)
+    assert quality.fit(again, labels, F.lit(True)).vectors.shape == quality.fit(docs, labels, F.lit(True)).vectors.shape
+    sample = langid.labelled_sample(again, F.col("lang"), 10, 25)
+    assert sample.count() <= 25 and sample.distinct().count() == sample.count()
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     found = queries.op4_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").collect()
@@ -212,6 +266,65 @@ def test_templates_with_variable_fields_are_dropped_but_for_the_first(spark):
         assert got[k].text == texts[k].split("\n")[0] and got[k]._n_dropped == 1
 
 
+def _planted_templates(seed, per_template, n_templates):
+    """Texts with one line each of formats that share length and leading tokens, among own lines of the same beginning."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    formats = [["All", "of", "this", *(word() for _ in range(7))] for _ in range(n_templates)]
+    texts, planted = [], []
+    for k, form in enumerate(formats):
+        varied = rng.sample(range(3, 10), 1 + k % 3)
+        for _ in range(per_template):
+            line = [word() if at in varied else w for at, w in enumerate(form)]
+            texts.append(f"{' '.join(word() for _ in range(9))}\n{' '.join(line)}")
+            planted.append(k)
+    for _ in range(100):
+        texts.append("All of this " + " ".join(word() for _ in range(7)))
+        planted.append(None)
+    return texts, planted
+
+
+def test_many_templates_of_one_leaf_are_found(spark):
+    texts, planted = _planted_templates(5, 12, 20)
+    got = {r.doc_id: r for r in line_dedup.drop_recurring(docs_of(spark, texts)).collect()}
+    firsts = {planted.index(k) for k in range(20)}
+    wanted = {i for i, k in enumerate(planted) if k is not None and i not in firsts}
+    found = {i for i, r in got.items() if r._n_dropped}
+    assert found <= wanted and len(found) >= 0.9 * len(wanted)
+    order = list(range(len(texts)))
+    random.Random(1).shuffle(order)
+    mixed = spark.createDataFrame([(i, texts[i]) for i in order], DOC).repartition(7)
+    assert {r.doc_id for r in line_dedup.drop_recurring(mixed).collect() if r._n_dropped} == found
+
+
+def test_long_passages_recur_from_three_texts_and_short_lines_from_ten(spark):
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    lines = {(n, k): words(n) for n in (6, 60) for k in (2, 3, 9, 10)}
+    texts, wanted = [], set()
+    for (n, k), line in lines.items():
+        for j in range(k):
+            if j and k >= (3 if n == 60 else 10):
+                wanted.add(len(texts))
+            texts.append(f"{words(12)}\n{line}")
+    got = line_dedup.drop_recurring(docs_of(spark, texts)).collect()
+    assert {r.doc_id for r in got if r._n_dropped} == wanted and all(r._n_dropped <= 1 for r in got)
+
+
+def test_line_dedup_with_clashing_columns_and_repeated_ids(spark):
+    rng = random.Random(13)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    same = words(30)
+    rows = [(k, f"{words(5)}\n{same}") for k in range(4)] + [(7, f"{same}\n{words(5)}"), (7, "another text\nof this id"), (None, f"{words(4)}\n{same}")]
+    docs = spark.createDataFrame(rows, DOC)
+    for name in ("_n_lines", "_n_dropped", "__id", "__rest", "_own", "_body", "_places", "_rest", "pos", "body", "leaf"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    kept = line_dedup.clean_lines(docs)
+    assert kept.columns == docs.columns and {r["__rest"] for r in kept.collect()} == {"clash"}
+    got = {(r.doc_id, r.text) for r in kept.collect()}
+    assert got == {(k, t if k == 0 or k is None else "another text\nof this id" if t.startswith("another") else t.replace(same, "").strip("\n")) for k, t in rows}
+
+
 def test_copies_do_not_empty_documents_and_odd_texts_pass(spark):
     same = ["one line here\nand another"] * 30
     got = line_dedup.drop_recurring(docs_of(spark, same + ODD)).orderBy("doc_id").collect()
@@ -303,6 +416,13 @@ def test_background_has_seen_ordinary_numbers(spark):
     assert secret_scan.infer([secret_scan.classes(w) for w in ("ab1" * 5000, "ab1" * 5000 + "c")]).moves
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 12)), max_size=12), st.integers(0, 45), st.integers(1, 9))
+def test_cover_meets_what_overlaps(pairs, start, length):
+    taken = [("x", a, a + n) for a, n in pairs]
+    assert spans.Cover(taken).meets(start, start + length) == any(a < start + length and start < b for _, a, b in taken)
+
+
 def test_inferred_automaton_is_small_and_tells_formats_apart():
     rng = random.Random(8)
     words = [secret_scan.classes("".join(rng.choice("0123456789abcdef") for _ in range(40))) for _ in range(200)]
@@ -320,7 +440,27 @@ def test_labelers_and_classifier(spark):
     got = {r.doc_id: r.spans for r in pii.find_personal_data(docs, model).collect()}
     assert got[0] == "card:5:24" and got[30] == "phone:0:17" and got[60] == "email:5:13,ip:20:28"
     assert "card" not in got[90]
-    assert spans.overlaps(1, 3, [("a", 2, 5)]) and not spans.overlaps(1, 2, [("a", 2, 5)])
+
+
+def test_written_out_addresses_and_learned_gazetteers(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    tail = lambda: " ".join(word() for _ in range(20))
+    texts = [f"{word()} zuschrift an {word()}@{word()}.museum, {tail()}" for _ in range(60)] + [f"{word()} {word()} at {word()}. dot {word()}" for _ in range(60)]
+    hidden = [f"{word()} {rng.choice(['(at)', '[at]'])} {word()} {rng.choice(['(dot)', '[dot]'])} museum" for _ in range(40)]
+    texts += [f"{word()} zuschrift an {h} {tail()}" for h in hidden]
+    plain = len(texts)
+    texts += [f"look (at) {word()} [dot] {word()} now" for _ in range(40)]
+    docs = docs_of(spark, texts)
+    model = pii.learn(docs)
+    assert "museum" in model.known.domains and "zuschrift" in model.known.cues["email"]
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(docs, model).collect()}
+    found = 0
+    for k, h in enumerate(hidden):
+        at = texts[120 + k].index(h)
+        found += got[120 + k] == f"more_email:{at}:{at + len(h)}"
+    assert found >= 0.9 * len(hidden)
+    assert all("email" not in got[k] for k in range(60, 120)) and all("email" not in got[k] for k in range(plain, len(texts)))
 
 
 # ---- 8: calls ----
@@ -340,10 +480,26 @@ def test_calls_results_positions_and_errors(spark):
     assert (got["b", 2].position, got["b", 2].status, got["b", 2].errors) == (1, "open", ["type x"])
     assert (got["c", 4].position, got["c", 4].errors) == (2, ["unknown tool"])
     assert got["d", 6].position == -1 and got["d", 6].errors == ["broken arguments", "circle"] and got["e", 7].position == -1
-    assert got["a", 9].errors == ["duplicate"] and got[None, 8].errors == ["unknown z", "duplicate"]
+    assert got["a", 9].errors == ["duplicate"] and got[None, 8].errors == ["unknown z", "no identifier"]
     assert got["q", 5].status == "orphan" and len(got) == 9
 
 
+def test_calls_of_two_conversations_with_one_identifier(spark):
+    calls = spark.createDataFrame([(1, 0, "c1", None, "f", "{}"), (2, 0, "c1", None, "f", "{}"), (2, 2, "c2", "c1", "f", "{}"), (3, 0, "c2", "c1", "f", "{}"), (None, 0, "c1", None, "f", "{}"), (1, 0, "c1", None, "f", "{}")], CALL)
+    for name in ("answer", "again", "position", "errors", "values", "known", "jump"):
+        calls = calls.withColumn(name, F.lit("clash"))
+    results = spark.createDataFrame([(1, 1, "c1", "one"), (2, 1, "c1", "two"), (3, 1, "c1", "lost"), (None, 1, "c1", "none")], "conv_id long, turn long, call_id string, content string").withColumn("first", F.lit(1))
+    schemas = spark.sql("select 'f' as name, cast(array() as array<struct<key:string,type:string,required:boolean>>) as properties")
+    rows = tool_calls.link_calls(calls, results, schemas).collect()
+    got = {(r.conv_id, r.call_id): r for r in rows}
+    assert len(rows) == 7
+    assert '"content":"one"' in got[1, "c1"].json and '"content":"two"' in got[2, "c1"].json
+    assert (got[2, "c2"].position, got[3, "c2"].position) == (1, 0) and got[1, "c1"].errors == [] == got[2, "c1"].errors
+    assert got[3, "c1"].status == "orphan" and sorted(r.status for r in rows if r.conv_id is None) == ["open", "orphan"]
+    empty = tool_calls.link_calls(calls.filter("false"), results.filter("false"), schemas)
+    assert empty.count() == 0
+
+
 def test_a_long_chain_is_ordered(spark):
     calls = spark.range(300).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.concat(F.lit("c"), "id").alias("call_id"), F.concat(F.lit("c"), F.col("id") - 1).alias("after"))
     got = {r.call_id: r.position for r in tool_calls.positions(calls).collect()}
@@ -417,6 +573,41 @@ def test_a_passage_in_a_third_of_the_documents_is_found_in_all_of_them(spark):
     assert all(r.similarity == 1.0 for r in got)
 
 
+def test_bounds_lose_no_window(spark):
+    """Every window of every document against every passage, without any bound."""
+    rng = random.Random(29)
+    vocabulary = [f"v{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.randrange(5, 30))] for _ in range(12)]
+    docs = []
+    for k in range(60):
+        body = [rng.choice(vocabulary) for _ in range(rng.randrange(0, 120))]
+        part = [w for w in rng.choice(items) if rng.random() < rng.choice([0.6, 0.75, 0.9, 1])]
+        at = rng.randrange(len(body) + 1)
+        body[at:at] = part
+        docs.append((k, " ".join(body)))
+    docs += docs[:3]
+    table = spark.createDataFrame(docs, DOC).withColumn("_leak", F.lit("clash")).withColumn("item_id", F.lit(-1))
+    bench = spark.createDataFrame([(j, " ".join(i)) for j, i in enumerate(items)] * 2, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, round(r.similarity, 9)) for r in decontam.find_passages(table, bench).collect())
+    index = decontam.fit(bench, decontam.inverse_frequencies(table))
+    wanted = []
+    for k, text in docs:
+        ((_, _, hashed, at),) = list(decontam.plain_words(pa.array([text])))
+        words = hashed[at[0] : at[1]]
+        for item, own in enumerate(index.words):
+            best = 0.0
+            for a, b in zip(*decontam._windows(len(words), int(index.scale[item]))):
+                region = words[max(a - len(own) // 2, 0) : min(b + len(own) // 2, len(words))].tolist()
+                shared = lcs(own.tolist(), region) / len(own)
+                if shared >= 0.8 or shared >= 0.6 and np.isin(index.answers[item], region).mean() >= 0.5:
+                    best = max(best, shared)
+            if best:
+                wanted.append((k, index.ids[item], round(best, 9)))
+    assert got == sorted(wanted) and len(wanted) > 20
+    kept = decontam.drop_contaminated(table, bench)
+    assert kept.columns == table.columns and {r.doc_id for r in kept.collect()} == {k for k, _ in docs} - {k for k, _, _ in wanted}
+
+
 def test_randomised_decomposition_spans_the_passages(spark):
     words = [[f"w{(j * 7 + i * i) % 50}" for i in range(20)] for j in range(12)]
     bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(words)], "item_id long, text string")
@@ -552,6 +743,22 @@ def test_rates_meet_the_targets_and_equal_a_dense_solution(spark):
     assert np.abs((n * (z - r)) @ p).max() < 3e-3 * n.sum()
 
 
+def test_rates_are_met_at_default_steps_and_unreachable_targets_are_reported(spark):
+    rng = np.random.default_rng(3)
+    p = np.round(rng.dirichlet([0.5, 0.5, 0.5], 200), 3)
+    n = rng.integers(10, 500, 200).astype(float)
+    masses = spark.createDataFrame([(x.tolist(), float(m)) for x, m in zip(p, n)], "p array<double>, tokens double")
+    for parts in ([0.4, 0.05, 0.02], [0.01, 0.45, 0.04], [0.05, 0.3, 0.4]):
+        targets = [part * n.sum() for part in parts]
+        rates = {tuple(r.p): r.rate for r in mixing.fit_rates(masses, targets, 0.5).collect()}
+        r = np.array([rates[tuple(x.tolist())] for x in p])
+        assert (r >= 0).all() and np.allclose((n * r) @ p, targets, rtol=1e-3)
+    only = spark.createDataFrame([([1.0, 0.0, 0.0], 10.0)], "p array<double>, tokens double")
+    with pytest.warns(UserWarning, match="targets not met"):
+        (row,) = mixing.fit_rates(only, [5.0, 5.0, 0.0], 0.1).collect()
+    assert row.rate == pytest.approx(0.5)
+
+
 def test_memberships_and_mixture(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
@@ -563,6 +770,8 @@ def test_memberships_and_mixture(spark):
     total = found.agg(*[F.sum(F.col("expected_tokens") * F.col(f"p_{d}")).alias(d) for d in mixing.DOMAINS], F.sum("n_tokens").alias("n")).first()
     for d, w in mixing.TARGETS.items():
         assert total[d] == pytest.approx(0.5 * w * total.n, rel=0.02)
+    again = mixing.mix(common.documents(spark, sf).limit(50).union(common.documents(spark, sf).limit(50)), labels.union(labels))
+    assert again.count() == 100 and again.dropDuplicates(["doc_id"]).count() == 50
     odd = mixing.mix(docs_of(spark, ODD, extra=True), labels.filter("false")).collect()
     assert all(r.rate >= 0 and abs(r.p_high + r.p_low + r.p_toxic - 1) < 1e-9 for r in odd) and len(odd) == len(ODD)
     assert mixing.mix(docs_of(spark, []), labels).count() == 0
