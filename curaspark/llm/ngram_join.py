@@ -17,8 +17,9 @@ root and boxes below it:
 * Surviving pairs are verified on the shingle sets.
 
 Equal shingle sets form a class and only its smallest document takes part. Before nodes are made, all members of a
-page are compared with its hub (the member with most company): a page whose members are then one component
-needs no nodes. No pair that links is lost to a bound, and no group's pairs are written out.
+page are compared with a few hubs (the members with most company, later with most links), in rounds of more hubs
+for the pages that still hold several components and many pairs; a page whose members are one component needs no nodes. No pair
+that links is lost to a bound, and no group's pairs are written out.
 
 Defined results: a null, empty or blank text has no shingles and is a component of its own; a text of
 fewer words than a shingle is one shingle; equal rows count once; several texts of one id take part each for
@@ -32,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from curaspark.llm import common, components
 
@@ -228,18 +230,66 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int)
     return both.filter(F.expr(f"{den + num} * size(array_intersect(set_a, set_b)) >= {num} * (n_a + n_b)")).select("a", "b")
 
 
-def _apart(paged: DataFrame, labels: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
+#: How many hubs a page has in each round, and how many pairs a page member may leave on average before another round.
+HUBS, FEW_PAIRS = (8, 16, 32), 20
+
+
+def _degrees(links: DataFrame) -> DataFrame:
+    return links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
+
+
+def _merged(labels: DataFrame | None, more: DataFrame) -> DataFrame:
+    """(rep, component) after more links, as a stored table; only components that they touch are put together anew."""
+    if labels is None:
+        return common.stored(components.components(more).withColumnRenamed("node", "rep"))
+    ends = more
+    for side in "ab":
+        ends = ends.join(_sided(labels, side, "rep", "component"), side, "left").withColumn(side, F.coalesce(f"component_{side}", side)).drop(f"component_{side}")
+    tops = common.stored(components.components(ends.select("a", "b").distinct()).select(F.col("node").alias("component"), F.col("component").alias("top")))
+    known = labels.join(common.if_small(tops), "component", "left").select("rep", F.coalesce("top", "component").alias("component"))
+    fresh = tops.select(F.col("component").alias("rep"), F.col("top").alias("component")).join(labels, "rep", "left_anti")
+    return common.stored(known.union(fresh))
+
+
+def _open(paged: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The members of pages that hold more than one component, with components and links so far, as a stored table."""
+    known = common.stored(labels.join(_degrees(links), "rep"))
+    labelled = paged.join(common.if_small(known), "rep", "left").withColumn("component", F.coalesce("component", "rep")).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    ends = [f(f"component.{c}").alias(f"{c}_{s}") for c in ("id", "sig") for s, f in (("low", F.min), ("high", F.max))]
+    split = labelled.groupBy("page").agg(*ends).filter("id_low <> id_high or sig_low <> sig_high").select("page")
+    return common.stored(labelled.join(split, "page"))
+
+
+def _hubs(rest: DataFrame, used: DataFrame | None, many: int) -> DataFrame:
+    """(page, hub, own, n_a, pos_a): of each page the members with most links so far, then with most company, that were no hubs yet."""
+    order = Window.partitionBy("page").orderBy(F.col("n_links").desc(), F.col("company").desc(), "rep")
+    free = rest if used is None else rest.join(used.select("page", F.col("hub").alias("rep")), ["page", "rep"], "left_anti")
+    ranked = free.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= many)
+    return common.stored(ranked.select("page", F.col("rep").alias("hub"), F.col("component").alias("own"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a")))
+
+
+def _starred(rest: DataFrame, hubs: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of the hubs of each page and its members of other components."""
+    met = rest.withColumnsRenamed({"n": "n_b", "pos": "pos_b"}).join(hubs, "page").filter("component <> own").filter(_places(num, den))
+    return met.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+
+
+def _apart(rest: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) of members of different components that some page may still link, by the nodes of that page."""
-    labelled = paged.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    split = labelled.groupBy("page").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("page")
-    rest = common.stored(labelled.join(split, "page").join(points.select("rep", "coarse"), "rep"))
     # the smaller of two partners stands in the cell of its own size, the larger in those of all sizes it may meet
     small = rest.filter(F.expr(f"pos <= {den - num} * n div {den + num}")).withColumn("cell", _cell("n"))
     least, most = f"({num} * n + {den - 1}) div {den}", f"least(n, ({den} * n - {den + num} * pos) div {num})"
     large = rest.filter(F.expr(f"{least} <= {most}")).withColumn("cell", F.explode(F.sequence(_cell(least), _cell(most))))
+    # cells where both kinds and two components meet
+    ends = [f(f"component.{c}").alias(f"{c}_{s}") for c in ("id", "sig") for s, f in (("low", F.min), ("high", F.max))]
+    both = small.select("page", "cell", "component", F.lit(1).alias("own")).union(large.select("page", "cell", "component", F.lit(0)))
+    cells = both.groupBy("page", "cell").agg(F.max("own").alias("own"), *ends).filter("own = 1 and (id_low <> id_high or sig_low <> sig_high)").select("page", "cell")
+    cells = common.stored(cells)
+    columns = ["page", "cell", "component", "rep", "n", "pos"]
+    small, large = (common.stored(side.join(cells, ["page", "cell"]).select(*columns)) for side in (small, large))
 
     def nodes(rows: DataFrame, side: str) -> DataFrame:
-        boxed = rows.groupBy("page", "cell", "component").agg(F.min("n").alias(f"n_{side}"), *[F.max(F.col("coarse")[k]).alias(f"c{k}") for k in range(1 << COARSE_BITS)])
+        boxed = rows.join(points.select("rep", "coarse"), "rep").groupBy("page", "cell", "component").agg(F.min("n").alias(f"n_{side}"), *[F.max(F.col("coarse")[k]).alias(f"c{k}") for k in range(1 << COARSE_BITS)])
         return boxed.select("page", "cell", F.col("component").alias(f"component_{side}"), f"n_{side}", F.array(*[f"c{k}" for k in range(1 << COARSE_BITS)]).alias(f"box_{side}"))
 
     met = nodes(small, "a").join(nodes(large, "b"), ["page", "cell"]).filter("component_a <> component_b")
@@ -273,22 +323,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     points = base.join(common.if_small(wanted), "doc_id", "left_semi").select(F.struct(F.col("doc_id").alias("id"), F.col("set_a").alias("sig")).alias("rep"), "n", "point", "half", "coarse")
     points = common.stored(points.join(paged.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"]))
     company = paged.groupBy("rep").agg(F.sum("members").alias("company"))
-    hubs = paged.join(company, "rep").groupBy("page").agg(F.max(F.struct("company", "rep", "n", "pos")).alias("top")).select("page", F.col("top.rep").alias("hub"), F.col("top.n").alias("n_a"), F.col("top.pos").alias("pos_a"))
-    stars = paged.withColumnsRenamed({"n": "n_b", "pos": "pos_b"}).join(hubs, "page").filter("rep <> hub").filter(_places(num, den))
-    stars = stars.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    paged = common.stored(paged.join(company, "rep"))
+    total = paged.count()
 
     def compared(pairs: DataFrame) -> DataFrame:
         near = pairs.join(_sided(points, "a", "rep", "n", "point", "half"), "a").join(_sided(points, "b", "rep", "n", "point", "half"), "b").filter(_overlap(num, den)).select("a", "b", "n_a", "n_b")
         return common.stored(_verified(common.stored(near), docs, words, num, den))
 
-    links = compared(stars)
-    labels = components.components(links).withColumnRenamed("node", "rep")
-    more = compared(_apart(paged, labels, points, num, den))
-    if more.limit(1).count():
-        links = links.union(more).distinct()
-        labels = components.components(links).withColumnRenamed("node", "rep")
-    degree = links.select(F.col("a").alias("rep")).union(links.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    labels = common.stored(labels.join(degree, "rep", "left"))
+    past, links, used, labels = 0, None, None, None
+    rest = paged.withColumn("component", F.col("rep")).withColumn("n_links", F.lit(0))
+    for many in HUBS:
+        hubs = _hubs(rest, used, many)
+        more = compared(_starred(rest, hubs, num, den))
+        links = more if links is None else links.union(more).distinct()
+        used = hubs if used is None else used.union(hubs)
+        past += many
+        labels = _merged(labels, more)
+        # a page with no more members than it has had hubs, and one, is done
+        rest = _open(paged.filter(F.col("members") > past + 1), labels, links)
+        pairs = rest.groupBy("page").agg(F.count("*").alias("m")).agg(F.sum(F.expr("cast(m as decimal(20, 0)) * m / 2"))).first()[0] or 0
+        if pairs <= FEW_PAIRS * total:
+            break
+    if pairs:
+        more = compared(_apart(rest, points, num, den))
+        if more.limit(1).count():
+            links = links.union(more).distinct()
+            labels = _merged(labels, more)
+    labels = common.stored(labels.join(_degrees(links), "rep", "left"))
     rows = found.withColumn("rep", F.struct(F.col("low").alias("id"), F.col("set_a").alias("sig"))).join(common.if_small(labels), "rep", "left")
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component.id", "rep.id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
