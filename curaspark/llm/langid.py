@@ -150,15 +150,18 @@ def predict(docs: DataFrame, model: LanguageModel | None, lang_as: str = "lang_p
     return common.map_arrow(rows, run, schema)
 
 
-def keep_identified(docs: DataFrame, learn: Column, min_score: float = 0.5, lang_col: str = "lang") -> DataFrame:
+def keep_identified(docs: DataFrame, learn: Column, min_score: float = 0.52, min_letters: int = 200, lang_col: str = "lang") -> DataFrame:
     """The rows whose language is determined, columns as they were, a null language filled in with the predicted one.
 
-    A row goes if its text is null or has no letter, or if its score is below ``min_score``: at 0.5, where every
-    one-versus-rest output is negative, no language claims it. With no labelled row at all nothing can be told and every row stays.
+    A row goes if its text is null or has no letter. It also goes if its score is below ``min_score``, about where all
+    one-versus-rest outputs are near zero and no language claims it, and it has ``min_letters`` letters or more: the outputs of
+    shorter texts are near zero in any language (of labelled held-out texts of that length one in a thousand has a
+    lower score). With no labelled row at all nothing can be told and every row stays.
     """
     model = fit(docs, learn, lang_col)
     if model is None:
         return docs
     name, score = common.fresh("lang_pred", docs), common.fresh("lang_score", docs)
-    kept = predict(docs, model, name, score).filter((F.col(name) != UNDETERMINED) & (F.col(score) >= min_score))
+    short = F.length(F.regexp_replace(F.col("text"), r"[^\p{L}]+", "")) < min_letters
+    kept = predict(docs, model, name, score).filter((F.col(name) != UNDETERMINED) & ((F.col(score) >= min_score) | short))
     return kept.select(*[F.coalesce(F.col(c), F.col(name)).alias(c) if c == lang_col else F.col(f"`{c}`") for c in docs.columns])

@@ -199,7 +199,7 @@ def test_language_fit_by_brute_force(spark, sf):
 def test_language_stage_drops_what_no_language_claims_and_fills_in_names(spark):
     sf = "/root/testdata/sf0.01"
     docs = common.documents(spark, sf)
-    odd = spark.createDataFrame([(10**9 + k, t) for k, t in enumerate(["xqzk wvxq kqxz " * 30, "12345 67890", None, "Ж Щ Ю Э Ъ " * 40])], DOC)
+    odd = spark.createDataFrame([(10**9 + k, t) for k, t in enumerate(["xqzk wvxq kqxz " * 30, "12345 67890", None, "Ж Щ Ю Э Ъ " * 60])], DOC)
     both = docs.unionByName(odd, allowMissingColumns=True).withColumn("_lang_pred", F.lit("mine"))
     kept = langid.keep_identified(both, ~common.held_out())
     assert kept.columns == both.columns
@@ -738,8 +738,11 @@ def test_rates_meet_the_targets_and_equal_a_dense_solution(spark):
     z = np.full(200, 0.5)
     w = 1 / np.array(targets) ** 2
     step = 1 / np.linalg.eigvalsh((p * n[:, None]).T @ p * np.sqrt(np.outer(w, w))).max()
-    for _ in range(6000):
+    # plain steps are slow: after 6,000 of them the first total still is 1.4 % off its target
+    for _ in range(400_000):
         z = np.maximum(0, z - step * p @ (((n * z) @ p - targets) * w))
+        if _ % 1000 == 0 and np.allclose((n * z) @ p, targets, rtol=1e-4):
+            break
     assert np.abs((n * (z - r)) @ p).max() < 3e-3 * n.sum()
 
 
