@@ -112,14 +112,15 @@ def replay_corrections(df: DataFrame, log: list[dict], record_id: str) -> DataFr
 
 
 def replace_source(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[str], source: str) -> DataFrame:
-    """(outcome, n): one source's rows replaced, the n-th row of a key keeping the n-th row's id."""
+    """(outcome, n) of every outcome, also with n 0: one source's rows replaced, the n-th row of a key keeping the n-th row's id."""
     own = existing.filter(F.col("_source") == source)
     a = numbered(own, keys, order).select(*keys, "_n", F.lit(1).alias("_was"))
     b = numbered(incoming, keys, order).select(*keys, "_n", F.lit(1).alias("_now"))
     outcome = F.when(F.col("_was").isNull(), "added").when(F.col("_now").isNull(), "removed").otherwise("replaced")
     counted = a.join(b, [*keys, "_n"], "full").groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
     kept = existing.filter(F.col("_source") != source).agg(F.count("*").alias("n")).select(F.lit("kept").alias("outcome"), "n")
-    return counted.union(kept)
+    every = existing.sparkSession.createDataFrame([("replaced",), ("added",), ("removed",), ("kept",)], "outcome string")
+    return every.join(counted.union(kept), "outcome", "left").select("outcome", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _pairing(columns: list[str], record_id: str, row_no: str):

@@ -2,48 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder that the session names; a session without one gets its own."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="curaspark-"))
-    return df.checkpoint()
+from curaspark.operators.shared import stored
 
 
 def current_name(events: DataFrame, old: str = "OLD_NAME", new: str = "NEW_NAME") -> DataFrame:
-    """(name, current, hops): the name in force for every renamed one; '' if removed, null in a circle.
+    """(name, current, hops): the name in force for every renamed one; '' if removed, null in a circle or on the way into one.
 
-    Each round joins every pointer with its target's pointer, so chains halve.
+    Each round joins every pointer with its target's pointer, so chains halve. A chain that ends has fewer steps than
+    there are rows: what is still open after log2(rows) + 1 rounds is in a circle of whatever length.
     """
     own = events.groupBy(F.col(old).alias("name")).agg(F.min(new).alias("current"))
-    rows = _cut(own.withColumn("hops", F.lit(1).cast("long")).withColumn("open", F.lit(True)))
-    for _ in range(64):
-        ahead = rows.select(F.col("name").alias("_at"), F.col("current").alias("_next"), F.col("hops").alias("_more"), F.col("open").alias("_open"))
-        joined = rows.join(ahead, rows["current"] == ahead["_at"], "left")
-        rows = _cut(joined.select("name", F.coalesce("_next", "current").alias("current"), (F.col("hops") + F.coalesce("_more", F.lit(0))).alias("hops"), F.col("_at").isNotNull().alias("open")))
+    rows = stored(own.withColumn("hops", F.lit(1).cast("long")).withColumn("open", F.lit(True)))
+    for _ in range(rows.count().bit_length() + 1):
+        ahead = rows.select(F.col("name").alias("current"), F.col("current").alias("_next"), F.col("hops").alias("_more"))
+        joined = rows.join(ahead, "current", "left")
+        rows = stored(joined.select("name", F.coalesce("_next", "current").alias("current"), (F.col("hops") + F.coalesce("_more", F.lit(0))).alias("hops"), F.col("_more").isNotNull().alias("open")))
         if not rows.filter("open").limit(1).count():
             break
-        if not rows.filter("open and hops < 4611686018427387904 and current <> name").limit(1).count():
-            break
     return rows.select("name", F.when(~F.col("open"), F.col("current")).alias("current"), F.when(~F.col("open"), F.col("hops")).alias("hops"))
 
 
 def groups(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(member, group): connected components of pairs, named by their smallest member."""
     one = pairs.select(F.col(a).alias("src"), F.col(b).alias("dst"))
-    edges = _cut(one.union(one.select("dst", "src")).distinct())
-    labels = _cut(edges.groupBy(F.col("src").alias("member")).agg(F.min("dst").alias("low")).select("member", F.least("member", "low").alias("group")))
+    edges = stored(one.union(one.select("dst", "src")).distinct())
+    labels = stored(edges.groupBy(F.col("src").alias("member")).agg(F.min("dst").alias("low")).select("member", F.least("member", "low").alias("group")))
     while True:
         near = edges.join(labels, F.col("dst") == F.col("member")).groupBy("src").agg(F.min("group").alias("low"))
         top = labels.select(F.col("member").alias("_m"), F.col("group").alias("_g"))
         step = labels.join(near, F.col("member") == F.col("src")).select("member", F.col("group").alias("was"), F.least("group", "low").alias("group"))
-        step = _cut(step.join(top, F.col("group") == F.col("_m"), "left").select("member", "was", F.least("group", F.coalesce("_g", "group")).alias("group")))
+        step = stored(step.join(top, F.col("group") == F.col("_m"), "left").select("member", "was", F.least("group", F.coalesce("_g", "group")).alias("group")))
         if not step.filter("group <> was").limit(1).count():
             return step.select("member", "group")
         labels = step.select("member", "group")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from curaspark.operators.shared import stored
+
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key; an aggregate, so a hot key is combined before the shuffle."""
@@ -33,15 +35,17 @@ def id_high_water(df: DataFrame, column: str, prefix: str, floor: int = 0) -> Da
 def assign_ids(df: DataFrame, order: list[str], prefix: str, start: int = 0, id_as: str = "RECORD_ID") -> DataFrame:
     """New ids above ``start`` in row order, numbered without bringing the rows into one task.
 
-    Rows are range-partitioned by the order; each partition is numbered by itself from the sum of the
-    counts before it, one small row for each partition.
+    Rows are range-partitioned by the order and written once with the number of their partition, so that counting
+    and numbering see the same partitions whatever adaptive execution does later. Each partition is then numbered
+    by itself from the sum of the counts before it, one small row for each partition.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    ranged = stored(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     within = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
     before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
     joined = within.join(F.broadcast(before.select("_part", F.coalesce("_before", F.lit(0)).alias("_before"))), "_part")
-    number = F.lpad((F.col("_n") + F.col("_before") + start).cast("string"), 6, "0")
+    digits = (F.col("_n") + F.col("_before") + start).cast("string")
+    number = F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits)
     return joined.withColumn(id_as, F.concat(F.lit(f"{prefix}-"), number)).drop("_part", "_n", "_before")
 
 

@@ -43,7 +43,10 @@ def store_populated(store: dict[str, DataFrame]) -> bool:
 
 
 def write_store(store: dict[str, DataFrame], folder: str) -> None:
-    """Each table in its column order, sorted by natural key then id; written beside, then put in place."""
+    """Each table in its column order, sorted by natural key then id; written beside, then put in place.
+
+    The old table is renamed aside before the new one takes its name and deleted only then, so a crash loses neither.
+    """
     for name, df in store.items():
         spec = SPECS[name]
         columns = ["RECORD_ID", *spec.columns, "_source", "_added"]
@@ -54,8 +57,12 @@ def write_store(store: dict[str, DataFrame], folder: str) -> None:
         spark = df.sparkSession
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         fs = path(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(path(target), True)
+        aside = path(f"{folder}/_staging/{name}.old.parquet")
+        fs.delete(aside, True)
+        if fs.exists(path(target)):
+            fs.rename(path(target), aside)
         fs.rename(path(staging), path(target))
+        fs.delete(aside, True)
 
 
 def write_release(store: dict[str, DataFrame], folder: str) -> None:

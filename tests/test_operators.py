@@ -241,3 +241,27 @@ def test_host_names_by_rule(spark):
         ("Korvus corax", "Corvus corax", "genus synonym"),
         ("Pica pica", None, "unmatched"),
     }
+
+
+def test_ids_survive_coalesced_partitions_and_grow_beyond_six_digits(spark):
+    from curaspark.operators import keys
+
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        rows = spark.range(0, 40000, 1, 8).selectExpr("id * 7919 % 40009 as k", "repeat('x', cast(id % 50 as int)) as pad")
+        got = keys.assign_ids(rows, ["k"], "LIN", 999_990).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert [r.RECORD_ID for r in sorted(got, key=lambda r: r.k)] == [f"LIN-{999_991 + n:06d}" for n in range(40000)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 6])
+def test_circles_of_any_length_end(spark, n):
+    from curaspark.operators import history
+
+    rows = [(f"c{k}", f"c{(k + 1) % n}") for k in range(n)] + [("in", "c0"), ("a", "b"), ("b", "end"), ("gone", "")]
+    got = {r.name: (r.current, r.hops) for r in history.current_name(spark.createDataFrame(rows, "OLD_NAME string, NEW_NAME string")).collect()}
+    assert got == {**{f"c{k}": (None, None) for k in range(n)}, "in": (None, None), "a": ("end", 2), "b": ("end", 1), "gone": ("", 1)}
