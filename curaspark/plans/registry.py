@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from curaspark.plans import curation, relational, scalars
+from curaspark.plans import curation, relational, releases, scalars
+
+_MODULES = (scalars, relational, curation, releases)
 
 
 def queries() -> dict:
-    return {**scalars.queries(), **relational.queries(), **curation.queries()}
+    return {name: f for module in _MODULES for name, f in module.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**scalars.oracle_sql(), **relational.oracle_sql(), **curation.oracle_sql()}
+    return {name: sql for module in _MODULES for name, sql in module.oracle_sql().items()}

@@ -40,6 +40,17 @@ VIEWS = {
         CASE event_type WHEN 'signup' THEN 'received' WHEN 'view' THEN 'in_review' WHEN 'purchase' THEN 'approve' WHEN 'error' THEN 'hold' ELSE 'retract' END AS kind
         FROM {events}""",
     "v_sites": """SELECT s_suppkey, s_nationkey, (s_suppkey * 37 % 1800) / 10.0 - 90 AS lat, (s_suppkey * 53 % 3600) / 10.0 - 180 AS lon FROM {supplier}""",
+    "v_lin_prev": """SELECT 'P' || p_partkey AS LINEAGE_NAME, p_brand AS GENUS_NAME, p_name AS SPECIES_NAME, 'A' || p_size AS GENBANK_ACC,
+        repeat('ACGT', CAST(p_size % 7 AS INT)) AS SEQUENCE FROM {part} WHERE p_partkey % 37 <> 0
+        UNION ALL SELECT 'P' || p_partkey, p_brand, p_name, '', '' FROM {part} WHERE p_partkey % 41 = 0""",
+    "v_lin_curr": """SELECT CASE WHEN p_partkey % 43 = 0 THEN 'Q' ELSE 'P' END || p_partkey AS LINEAGE_NAME, CASE WHEN p_partkey % 19 = 0 THEN 'Newgenus' ELSE p_brand END AS GENUS_NAME, p_name AS SPECIES_NAME,
+        CASE WHEN p_partkey % 23 = 0 THEN '' ELSE 'A' || p_size END AS GENBANK_ACC, repeat('ACGT', CAST(p_size % 7 + CASE WHEN p_partkey % 17 = 0 THEN 1 ELSE 0 END AS INT)) AS SEQUENCE
+        FROM {part} WHERE p_partkey % 29 <> 0
+        UNION ALL SELECT 'P' || p_partkey, p_brand, p_name, '', '' FROM {part} WHERE p_partkey % 31 = 0""",
+    "v_synonyms": """SELECT 'Q' || p_partkey AS LINEAGE_NAME, 'P' || p_partkey || ', alt' || (p_partkey % 50) || ',' AS ALT_NAME, 'R' || (p_size % 20) AS REFERENCE_NAME FROM {part} WHERE p_partkey % 43 = 0
+        UNION ALL SELECT 'P' || p_partkey, 'syn' || (p_partkey % 90) || ',syn' || (p_partkey % 7), 'R' || (p_size % 20) FROM {part} WHERE p_partkey % 11 = 0""",
+    "v_entries": """SELECT c_custkey AS submission, c_custkey % 5 AS state_no, c_custkey % 13 = 0 AS embargoed, 'P' || (c_custkey % 400) AS name,
+        CASE WHEN c_custkey % 6 = 0 THEN 'P' || (c_custkey % 400 + 1000) ELSE '' END AS corrected, c_custkey % 3 AS revision, 'u' || (c_custkey % 11) AS author FROM {customer}""",
     "v_cells": """SELECT p_partkey AS k,
         CASE p_partkey % 5 WHEN 0 THEN '  ' || p_name || ' ' WHEN 1 THEN upper(p_name) WHEN 2 THEN replace(p_name, ' ', '   ') WHEN 3 THEN '' ELSE p_name || ' (Sub) x-y' END AS words,
         CASE p_partkey % 5 WHEN 0 THEN 'Smith et al., ' || (1990 + p_size) WHEN 1 THEN 'Jones & Lee ' || (1990 + p_size) WHEN 2 THEN 'Ellis et. al., unpublished'
