@@ -18,20 +18,20 @@ def _list(x: Column) -> Column:
 
 
 _WS = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
-_UNPUB = "'(?i)^(.+?)[\\s,]+(?:unpublished(?:\\s+data)?|unpubl|unpub)\\.?(?:\\s+([a-z]|\\d+))?$'"
 _REF = _WS.format("ref")
-_AUTH = f"trim(regexp_replace(trim(regexp_replace(regexp_replace(regexp_extract({_REF}, {_UNPUB}, 1), '(?i)\\bet\\.?\\s+al\\.?,?', 'et al', 'g'), '\\s+', ' ', 'g')), '[,.]+$', ''))"
-_CANON = f"CASE WHEN regexp_matches({_REF}, {_UNPUB}) THEN {_AUTH} || ' unpubl' || CASE WHEN regexp_extract({_REF}, {_UNPUB}, 2) <> '' THEN ' ' || lower(regexp_extract({_REF}, {_UNPUB}, 2)) ELSE '' END ELSE {_REF} END"
-_ISKEY = f"regexp_matches(trim(regexp_replace(regexp_replace({_REF}, '\\.+$', ''), ',+$', '')), '^(.+?)\\s+((?:19|20)\\d\\d)([a-z])?$')"
-_PLAIN = f"trim(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace({_REF}, '\\.+$', '')), '\\bet\\s+al\\.?\\s*,?\\s*', 'et al ', 'g'), ',\\s*((?:19|20)\\d\\d[a-z]?)$', ' \\1'), '\\s+', ' ', 'g'))"
-_PUB = f"CASE WHEN regexp_matches({_REF}, {_UNPUB}) THEN {_CANON} WHEN {_ISKEY} THEN {_PLAIN} ELSE {_REF} END"
+_BEFORE = f"split_part({_REF}, ' unpub', 1)"
+_LAST = f"string_split({_REF}, ' ')[-1]"
+_IS_UNPUB = f"contains({_REF}, ' unpub')"
+_AUTH = f"CASE WHEN {_IS_UNPUB} THEN replace(rtrim({_BEFORE}, ' ,.'), 'et. al', 'et al') ELSE '' END"
+_CANON = f"CASE WHEN {_IS_UNPUB} THEN {_AUTH} || ' unpubl' || CASE WHEN TRY_CAST({_LAST} AS INT) IS NOT NULL THEN ' ' || {_LAST} ELSE '' END ELSE {_REF} END"
+_ISKEY = f"coalesce(TRY_CAST({_LAST} AS INT) BETWEEN 1900 AND 2099, false)"
+_PUB = f"CASE WHEN {_IS_UNPUB} THEN {_CANON} WHEN {_ISKEY} THEN replace({_REF}, ' al.,', ' al') ELSE {_REF} END"
 _GENUS = "CASE WHEN contains(lower({0}), 'leucocytozoon') THEN 'Leucocytozoon' WHEN contains(lower({0}), 'haemoproteus') THEN 'Haemoproteus' WHEN contains(lower({0}), 'plasmodium') THEN 'Plasmodium' END"
 _GW = "string_split(trim(regexp_replace(replace(regexp_replace(genus, '\\([^)]*\\)', ' ', 'g'), ',', ' '), '\\s+', ' ', 'g')), ' ')"
 _CNT = "replace(trim(cnt), ',', '')"
-_DEC = "'^([-+])?\\s*(\\d{1,3}(?:[.,]\\d+)?)\\s*([NSEWnsew])?$'"
-_NUM = f"TRY_CAST(replace(regexp_extract(trim(coord), {_DEC}, 2), ',', '.') AS DOUBLE)"
-_LET = f"upper(regexp_extract(trim(coord), {_DEC}, 3))"
-_LAT = f"CASE WHEN regexp_matches(trim(coord), {_DEC}) AND {_LET} NOT IN ('E', 'W') AND {_NUM} <= 90 THEN CASE WHEN (regexp_extract(trim(coord), {_DEC}, 1) = '-') <> ({_LET} IN ('S', 'W')) THEN -{_NUM} ELSE {_NUM} END END"
+_LET = "CASE WHEN right(trim(coord), 1) IN ('N', 'S', 'E', 'W') THEN right(trim(coord), 1) ELSE '' END"
+_NUM = "TRY_CAST(replace(ltrim(trim(rtrim(trim(coord), 'NSEW')), '-+'), ',', '.') AS DOUBLE)"
+_LAT = f"CASE WHEN {_LET} NOT IN ('E', 'W') AND {_NUM} <= 90 THEN CASE WHEN starts_with(trim(coord), '-') <> ({_LET} = 'S') THEN -{_NUM} ELSE {_NUM} END END"
 _HEM = "'^(-?)(.*?)\\s*([NSEWnsew])$'"
 _CODON = "CASE " + " ".join(f"WHEN x = '{k}' THEN '{v}'" for k, v in S.CODONS.items()) + " ELSE 'X' END"
 _AMINO = "coalesce((SELECT string_agg(" + _CODON + ", '' ORDER BY i) FROM (SELECT i, upper(substr(seq, 3 * i + 1, 3)) AS x FROM range(0, length(seq) // 3) t(i))), '')"
@@ -55,12 +55,12 @@ SCALARS: dict = {
     "signed_coordinate": (lambda: {"v": X.signed_coordinate(c("coord"))}, f"CASE WHEN NOT regexp_matches(trim(coord), {_HEM}) THEN trim(coord) WHEN (regexp_extract(trim(coord), {_HEM}, 1) = '-') <> (upper(regexp_extract(trim(coord), {_HEM}, 3)) IN ('S', 'W')) THEN '-' || trim(regexp_extract(trim(coord), {_HEM}, 2)) ELSE trim(regexp_extract(trim(coord), {_HEM}, 2)) END AS v"),
     "parse_coordinate": (lambda: {"v": X.parse_coordinate(c("coord"), True)}, f"{_LAT} AS v"),
     "parse_coordinate_pair": (lambda: {"lat": X.parse_coordinate_pair(F.concat("coord", F.lit(" , 10.5")))["lat"], "lon": X.parse_coordinate_pair(F.concat("coord", F.lit(" , 10.5")))["lon"]}, f"CASE WHEN len(string_split(coord, ',')) = 1 THEN {_LAT} END AS lat, CASE WHEN len(string_split(coord, ',')) = 1 THEN 10.5 END AS lon"),
-    "ref_is_unpublished": (lambda: {"v": X.ref_is_unpublished(c("ref"))}, f"regexp_matches({_REF}, {_UNPUB}) AS v"),
+    "ref_is_unpublished": (lambda: {"v": X.ref_is_unpublished(c("ref"))}, f"{_IS_UNPUB} AS v"),
     "ref_authors": (lambda: {"v": X.ref_authors(c("ref"))}, f"{_AUTH} AS v"),
     "ref_canonical": (lambda: {"v": X.ref_canonical(c("ref"))}, f"{_CANON} AS v"),
     "ref_is_citation_key": (lambda: {"v": X.ref_is_citation_key(c("ref"))}, f"{_ISKEY} AS v"),
     "ref_published_form": (lambda: {"v": X.ref_published_form(c("ref"))}, f"{_PUB} AS v"),
-    "ref_problem": (lambda: {"v": X.ref_problem(c("ref"))}, f"CASE WHEN regexp_matches({_REF}, {_UNPUB}) OR {_REF} = '' THEN NULL WHEN contains(lower({_REF}), 'unpub') THEN 'marker out of place' WHEN {_PUB} <> {_REF} THEN 'respelled' END AS v"),
+    "ref_problem": (lambda: {"v": X.ref_problem(c("ref"))}, f"CASE WHEN {_IS_UNPUB} OR {_REF} = '' THEN NULL WHEN contains(lower({_REF}), 'unpub') THEN 'marker out of place' WHEN {_PUB} <> {_REF} THEN 'respelled' END AS v"),
     "citation_key": (lambda: {"v": X.citation_key(F.slice(F.split("words", " +"), F.lit(1), c("k") % 4), F.lit(2020))}, "CASE least(k % 4, len(string_split_regex(words, ' +'))) WHEN 0 THEN '' WHEN 1 THEN string_split_regex(words, ' +')[1] || ' 2020' WHEN 2 THEN string_split_regex(words, ' +')[1] || ' & ' || string_split_regex(words, ' +')[2] || ' 2020' ELSE string_split_regex(words, ' +')[1] || ' et al 2020' END AS v"),
     "normalize_doi": (lambda: {"v": X.normalize_doi(c("doi"))}, f"{_DOI} AS v"),
     "dedup_key": (lambda: {"v": X.dedup_key(c("doi"), c("ref"))}, f"CASE WHEN {_DOI} <> '' THEN 'doi:' || {_DOI} ELSE ref END AS v"),
