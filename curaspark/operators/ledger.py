@@ -79,3 +79,72 @@ def waiting_on(verdicts: DataFrame, events: DataFrame) -> DataFrame:
 def decision_record(events: DataFrame) -> DataFrame:
     """(submission, n_verdicts, kinds): final dispositions without free text."""
     return events.groupBy("submission").agg(F.count("*").alias("n_verdicts"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds"))
+
+
+# ---- rules of single entries ----
+
+
+def verdict_rules(verdicts: DataFrame, reviewers: DataFrame, revisions: DataFrame) -> DataFrame:
+    """(id, accepted, reason): unknown reviewers are filed, not dropped; objections need a text, revisions must exist, and
+    nobody approves a revision of their own.
+
+    ``verdicts`` (id, submission, reviewer, revision, kind, text), ``reviewers`` (reviewer), ``revisions`` (submission, revision, author).
+    """
+    known = reviewers.select("reviewer").distinct().withColumn("_known", F.lit(True))
+    there = revisions.groupBy("submission", "revision").agg(F.min("author").alias("_author"))
+    rows = verdicts.join(known, "reviewer", "left").join(there, ["submission", "revision"], "left")
+    reason = (
+        F.when(F.col("_known").isNull(), "filed: unknown reviewer")
+        .when(F.col("_author").isNull(), "refused: no such revision")
+        .when((F.col("kind") == "hold") & (F.trim(F.coalesce("text", F.lit(""))) == ""), "refused: an objection needs a text")
+        .when((F.col("kind") == "approve") & (F.col("_author") == F.col("reviewer")), "refused: own revision")
+        .otherwise("")
+    )
+    return rows.select("id", (reason == "").alias("accepted"), reason.alias("reason"))
+
+
+def bump_revision(verdicts: DataFrame, bumps: DataFrame) -> DataFrame:
+    """(id, standing): a later revision voids approvals given before it and keeps objections; ``bumps`` is (submission, at)."""
+    last = bumps.groupBy("submission").agg(F.max("at").alias("_bumped"))
+    void = (F.col("kind") == "approve") & F.coalesce(F.col("at") < F.col("_bumped"), F.lit(False))
+    return verdicts.join(last, "submission", "left").select("id", (~void).alias("standing"))
+
+
+def revision_author(events: DataFrame) -> DataFrame:
+    """(submission, author): who typed the latest record."""
+    return events.groupBy("submission").agg(F.max_by("reviewer", F.struct("at", "seq")).alias("author"))
+
+
+# What the public sees of each state.
+PUBLIC = {"received": "received", "in_review": "under review", "held": "under review", "approved": "accepted", "withdrawn": "closed"}
+
+
+def public_state(states: DataFrame, now: Column, hold_hours: int) -> DataFrame:
+    """(submission, public): a coarse status; an approval shows only when its hold is over. ``states`` (submission, state, since)."""
+    shown = F.lit("closed")
+    for state, words in PUBLIC.items():
+        shown = F.when(F.col("state") == state, words).otherwise(shown)
+    hidden = (F.col("state") == "approved") & (F.unix_timestamp(now) - F.unix_timestamp("since") < hold_hours * 3600)
+    return states.select("submission", F.when(hidden, "under review").otherwise(shown).alias("public"))
+
+
+def notices_due(events: DataFrame, now: Column, hold_hours: int, sent: DataFrame, clashing: DataFrame) -> DataFrame:
+    """(submission): settled items: an approval whose hold is over, no later objection, no name clash, nothing sent before."""
+    due = due_actions(events, now, hold_hours, 1 << 20).filter("action = 'publish'").select("submission")
+    return due.join(sent.select("submission"), "submission", "left_anti").join(clashing.select("submission"), "submission", "left_anti")
+
+
+def releasable(entries: DataFrame) -> DataFrame:
+    return entries.filter((F.col("state") == "approved") & ~F.coalesce("embargoed", F.lit(False)))
+
+
+def pending_corrections(entries: DataFrame) -> DataFrame:
+    """(submission, correction, status) of array column corrections (name, approved, applied) that still wait."""
+    rows = entries.select("submission", F.explode("corrections").alias("x")).filter("not x.applied")
+    return rows.select("submission", F.col("x.name").alias("correction"), F.when(F.col("x.approved"), "to apply").otherwise("awaiting approval").alias("status"))
+
+
+def pending_work(arrived: DataFrame, results: DataFrame, excluded: DataFrame) -> DataFrame:
+    """(item, status): complete items without a result, and incomplete ones apart; excluded ones are left out."""
+    left = arrived.join(results.select("item"), "item", "left_anti").join(excluded.select("item"), "item", "left_anti")
+    return left.select("item", F.when(F.col("complete"), "to do").otherwise("incomplete").alias("status"))

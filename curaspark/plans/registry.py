@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from curaspark.plans import curation, relational, releases, scalars
+from curaspark.plans import curation, relational, releases, scalars, screening
 
-_MODULES = (scalars, relational, curation, releases)
+_MODULES = (scalars, relational, curation, releases, screening)
 
 
 def queries() -> dict:
