@@ -129,9 +129,9 @@ def exact_resolve(spark, d):
     return out.withColumn("names", F.array_join("names", ","))
 
 
-@query("SELECT name, CAST(vec_id % 7 - 3 AS BIGINT) AS \"offset\", CAST(0 AS BIGINT) AS mismatches, CAST(64 - abs(vec_id % 7 - 3) AS BIGINT) AS comparable FROM {v_sequences} WHERE variant = 0")
+@query("SELECT name, CAST(vec_id % 7 - 3 AS BIGINT) AS \"offset\", CAST(0 AS BIGINT) AS mismatches, CAST(CASE WHEN variant NOT IN (2, 4) THEN 64 - abs(vec_id % 7 - 3) WHEN variant = 2 THEN 48 - greatest(3 - vec_id % 7, 0) ELSE 48 - greatest(vec_id % 7 - 3, 0) END AS BIGINT) AS comparable FROM {v_sequences}")
 def register_offset(spark, d):
-    rows = t(spark, d, "v_sequences").filter("variant = 0")
+    rows = t(spark, d, "v_sequences")
     k = (F.col("vec_id") % 7 - 3).cast("int")
     # the sequence as it would be cut out with k bases of the frame missing, or pasted with k foreign ones before it
     cut = rows.select("name", F.col("seq").alias("whole"), F.when(k >= 0, F.substring(F.col("seq"), k + 1, F.lit(64))).otherwise(F.concat(F.repeat(F.lit("N"), -k), F.substring(F.col("seq"), F.lit(1), 64 + k))).alias("seq"))

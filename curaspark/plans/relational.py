@@ -118,10 +118,14 @@ def country_studies(spark, d):
     return summary.country_studies(*_claims(spark, d))
 
 
-@query("WITH k AS (" + _CLAIMS + ") SELECT COUNTRY_NAME, " + ", ".join(f"count(*) FILTER (GENUS = 'Brand#{b}') AS b{b}" for b in (11, 12, 13)) + " FROM k GROUP BY 1")
+#: The brands of the parts table.
+_BRANDS = [10 * a + b for a in range(1, 6) for b in range(1, 6)]
+
+
+@query("WITH k AS (" + _CLAIMS + ") SELECT COUNTRY_NAME, " + ", ".join(f"count(*) FILTER (GENUS = 'Brand#{b}') AS b{b}" for b in _BRANDS) + " FROM k GROUP BY 1")
 def country_studies_pivot(spark, d):
-    wide = summary.country_studies(*_claims(spark, d)).groupBy("COUNTRY_NAME").pivot("GENUS", ["Brand#11", "Brand#12", "Brand#13"]).agg(F.sum("studies"))
-    return wide.select("COUNTRY_NAME", *[F.coalesce(F.col(f"`Brand#{b}`"), F.lit(0)).alias(f"b{b}") for b in (11, 12, 13)])
+    wide = summary.country_studies(*_claims(spark, d)).groupBy("COUNTRY_NAME").pivot("GENUS", [f"Brand#{b}" for b in _BRANDS]).agg(F.sum("studies"))
+    return wide.select("COUNTRY_NAME", *[F.coalesce(F.col(f"`Brand#{b}`"), F.lit(0)).alias(f"b{b}") for b in _BRANDS])
 
 
 @query(f"SELECT GENUS, count(DISTINCT COUNTRY_NAME) AS total, count(DISTINCT CASE WHEN COUNTRY_NAME IN (SELECT COUNTRY_NAME FROM {{v_region_map}}) THEN COUNTRY_NAME END) AS placed FROM ({_CLAIMS}) GROUP BY 1")
@@ -173,10 +177,12 @@ def site_points(spark, d):
     return t(spark, d, "v_hosts").groupBy("SITE_NAME", "COUNTRY_NAME").agg(F.count("*").alias("records"), F.count_distinct("LINEAGE_NAME").alias("lineages"), F.sum("NUMBER_FOUND").alias("found"))
 
 
-@query("""SELECT SITE_NAME, SPECIES_NAME, max(CASE WHEN ORDER_NAME = 'BUILDING' THEN NUMBER_FOUND END) AS b, max(CASE WHEN ORDER_NAME = 'MACHINERY' THEN NUMBER_FOUND END) AS m FROM {v_hosts} GROUP BY ALL""")
+_ORDERS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@query("SELECT SITE_NAME, SPECIES_NAME, " + ", ".join(f"max(CASE WHEN ORDER_NAME = '{o}' THEN NUMBER_FOUND END) AS {o}" for o in _ORDERS) + " FROM {v_hosts} GROUP BY SITE_NAME, SPECIES_NAME")
 def host_lineage_matrix(spark, d):
-    wide = t(spark, d, "v_hosts").groupBy("SITE_NAME", "SPECIES_NAME").pivot("ORDER_NAME", ["BUILDING", "MACHINERY"]).agg(F.max("NUMBER_FOUND"))
-    return wide.select("SITE_NAME", "SPECIES_NAME", F.col("BUILDING").alias("b"), F.col("MACHINERY").alias("m"))
+    return t(spark, d, "v_hosts").groupBy("SITE_NAME", "SPECIES_NAME").pivot("ORDER_NAME", list(_ORDERS)).agg(F.max("NUMBER_FOUND"))
 
 
 @query("""WITH s AS (SELECT l_orderkey % 7 AS source, LINEAGE_NAME, COUNTRY_NAME FROM {v_hosts}) SELECT source, count(*) AS n_rows, count(DISTINCT LINEAGE_NAME) AS lineages FROM s GROUP BY 1""")
@@ -387,13 +393,13 @@ def all_pairs_compatible(spark, d):
     return sequences.all_pairs_compatible(t(spark, d, "v_sequences"), "name", "seq", 64, min_shared=16)
 
 
-@query("""WITH q AS (SELECT * FROM {v_sequences} WHERE variant = 3 AND vec_id % 100 = 0), r AS (SELECT * FROM {v_sequences} WHERE variant = 0),
-j AS (SELECT q.name AS query, r.name, hamming(q.seq, r.seq) AS mismatches, 64 AS comparable FROM q CROSS JOIN r)
-SELECT * FROM (SELECT query, row_number() OVER (PARTITION BY query ORDER BY mismatches, name) AS rank, name, CAST(mismatches AS BIGINT) AS mismatches, CAST(comparable AS BIGINT) AS comparable FROM j) WHERE rank <= 5""")
+@query("""WITH q AS (SELECT * FROM {v_sequences} WHERE variant = 3 AND vec_id % 100 = 0),
+j AS (SELECT q.name AS query, r.name, CAST(list_sum(list_transform(range(1, 65), lambda i: CASE WHEN substr(r.seq, i, 1) <> '-' AND substr(q.seq, i, 1) <> substr(r.seq, i, 1) THEN 1 ELSE 0 END)) AS BIGINT) AS mismatches, CAST(length(replace(r.seq, '-', '')) AS BIGINT) AS comparable FROM q JOIN {v_sequences} r ON q.name <> r.name)
+SELECT * FROM (SELECT query, row_number() OVER (PARTITION BY query ORDER BY CASE WHEN mismatches = 0 AND comparable >= 40 THEN 0 ELSE 1 END, CASE WHEN comparable >= 40 THEN 0 ELSE 1 END, mismatches / comparable, -comparable, name) AS rank, name, mismatches, comparable FROM j) WHERE rank <= 5""")
 def nearest_neighbors(spark, d):
     rows = t(spark, d, "v_sequences")
     q = sequences.with_masks(rows.filter("variant = 3 and vec_id % 100 = 0"), "name", "seq", 64)
-    return sequences.nearest_neighbors(q, sequences.with_masks(rows.filter("variant = 0"), "name", "seq", 64), 64, 5, covered=40)
+    return sequences.nearest_neighbors(q, sequences.with_masks(rows, "name", "seq", 64), 64, 5, covered=40)
 
 
 @query("""WITH c AS (SELECT i - 1 AS position, substr(seq, i, 1) AS base, count(*) AS n, min(vec_id * 5 + variant) AS first FROM {v_sequences}, range(1, 65) r(i) GROUP BY ALL)
@@ -423,11 +429,11 @@ def ragged_alignment(spark, d):
     return t(spark, d, "v_sequences").agg(F.count_distinct(F.length("seq")).alias("widths"))
 
 
-@query("""SELECT name AS member, 'V' || vec_id || '_' || CASE WHEN variant IN (0, 1) THEN '0' END AS survivor FROM {v_sequences} WHERE variant IN (0, 1)""")
+@query("""SELECT name AS member, 'V' || vec_id || '_0' AS survivor FROM {v_sequences}""")
 def duplicate_groups(spark, d):
-    rows = t(spark, d, "v_sequences").filter("variant in (0, 1)")
-    a, b = rows.filter("variant = 0"), rows.filter("variant = 1")
-    pairs = a.select(F.col("vec_id"), F.col("name").alias("a")).join(b.select("vec_id", F.col("name").alias("b")), "vec_id")
+    rows = t(spark, d, "v_sequences")
+    # variants 2 and 4 meet only through whole ones, variant 3 only through variant 2
+    pairs = sequences.all_pairs_compatible(rows, "name", "seq", 64, min_shared=40).select("a", "b")
     profiles = rows.select(F.col("name").alias("LINEAGE_NAME"), F.lit(1).alias("records"), F.lit(2000).alias("first_year"))
     return history.duplicate_groups(pairs, profiles)
 
