@@ -122,10 +122,10 @@ def release_gate(spark, d):
     return curation.release_gate(lineitem.groupBy(source.alias("source")).agg(F.count("*").alias("n_rows")), states, "seed")
 
 
-@query("SELECT 'V' || vec_id || '_2' AS query, 'exact' AS verdict, 'V' || vec_id || '_0' AS names FROM {embeddings}")
+@query("""SELECT 'V' || vec_id || '_' || q AS query, CASE WHEN q = 3 THEN 'none' ELSE 'ambiguous' END AS verdict, CASE WHEN q = 3 THEN '' ELSE 'V' || vec_id || '_0,V' || vec_id || '_1' END AS names FROM {embeddings}, (VALUES (2), (3), (4)) v(q)""")
 def exact_resolve(spark, d):
     rows = t(spark, d, "v_sequences")
-    out = curation.exact_resolve(rows.filter("variant = 2").select("name", "seq"), rows.filter("variant = 0").select("name", "seq"), 64)
+    out = curation.exact_resolve(rows.filter("variant >= 2").select("name", "seq"), rows.filter("variant < 2").select("name", "seq"), 64, least=40)
     return out.withColumn("names", F.array_join("names", ","))
 
 

@@ -87,6 +87,14 @@ SCALARS: dict = {
     "record_notes": (lambda: {"v": X.record_notes(tube_label=c("doi"), lab_note=c("cnt"))}, "concat_ws('; ', CASE WHEN doi <> '' THEN 'tube label: ' || doi END, CASE WHEN cnt <> '' THEN 'lab note: ' || cnt END) AS v"),
     "sequence_change_text": (lambda: {"v": S.sequence_change_text(F.lit("ACGTACGTAC"), F.when(c("n") % 3 == 0, "ACGTACGTAC").when(c("n") % 3 == 1, "TCGTACGTAG").otherwise("CATGCATGCA"))}, "CASE n % 3 WHEN 0 THEN '' WHEN 1 THEN 'A1T, C10G' ELSE 'A1C, C2A, G3T, T4G, A5C, C6A, G7T, T8G and 2 more' END AS v"),
     "code_matches": (lambda: {"v": S.code_matches(F.lit("RACG"), F.when(c("n") % 2 == 0, "GYYK").otherwise("TACG")).cast("long")}, "CAST(CASE WHEN n % 2 = 0 THEN 3 ELSE 0 END AS BIGINT) AS v"),
+    "split_accession_cell": (lambda: {"v": _list(X.split_accession_cell(c("acc")))}, "CASE WHEN k % 6 = 0 THEN 'PV' || (100000 + k) || ';PV' || (100000 + n) || ';PV' || (100000 + k) ELSE '' END AS v"),
+    "is_public_id": (lambda: {"v": X.is_public_id(F.when(c("k") % 3 == 0, "sub-0a1b2c3d").when(c("k") % 3 == 1, "sub-7").otherwise(c("doi")))}, "k % 3 = 0 AS v"),
+    "public_wording": (lambda: {n: X.public_wording(F.when(c("k") % 4 == 0, "Identical to X (Smith 2005)").when(c("k") % 4 == 1, "wrong base").when(c("k") % 4 == 2, " ").otherwise("seen again"))[n] for n in ("reason", "source")}, "CASE k % 4 WHEN 0 THEN 'The sequence equals another lineage''s.' WHEN 1 THEN 'The entry was corrected.' WHEN 2 THEN '' ELSE 'The entry was revised.' END AS reason, CASE WHEN k % 4 = 0 THEN 'Smith 2005' ELSE '' END AS source"),
+    "record_summary": (lambda: {"v": X.record_summary(genus=c("genus"), words=c("words"), count=c("cnt"))}, f"concat_ws(' · ', nullif({_WS.format('genus')}, ''), nullif({_WS.format('words')}, ''), nullif({_WS.format('cnt')}, '')) AS v"),
+    "records_are_held": (lambda: {"v": X.records_are_held(F.when(c("k") % 3 == 0, "No").when(c("k") % 3 == 1, "Yes, until").otherwise("perhaps"), F.when(c("n") % 2 == 0, "2026-05-01").otherwise("soon"), F.lit("2026-06-01").cast("date"))}, "CASE k % 3 WHEN 0 THEN false WHEN 1 THEN n % 2 <> 0 ELSE true END AS v"),
+    "parse_verdict_row": (lambda: {n: X.parse_verdict_row(F.when(c("k") % 3 == 0, "Approve it").when(c("k") % 3 == 1, "Hold").otherwise("maybe"), F.when(c("n") % 5 == 0, "x").otherwise("17"), F.when(c("n") % 2 == 0, "why").otherwise(""))[n] for n in ("kind", "problem")}, "CASE WHEN n % 5 = 0 OR k % 3 = 2 OR (k % 3 = 1 AND n % 2 <> 0) THEN NULL WHEN k % 3 = 0 THEN 'approve' ELSE 'hold' END AS kind, CASE WHEN n % 5 = 0 THEN 'no such submission' WHEN k % 3 = 2 THEN 'unknown action' WHEN k % 3 = 1 AND n % 2 <> 0 THEN 'an objection needs a text' ELSE '' END AS problem"),
+    "mine_empty_values": (lambda: {"v": X.without_empty_words(F.when(c("k") % 4 == 0, " N/A ").when(c("k") % 4 == 1, "-").otherwise(c("cnt")))}, "CASE WHEN k % 4 < 2 THEN NULL ELSE nullif(trim(cnt), '') END AS v"),
+    "avian_taxa": (lambda: {"v": X.is_avian_taxon(c("genus"), ("Haemoproteus", "Leucocytozoon"), ("relictum",)) | X.is_avian_taxon(F.concat(F.lit("Plasmodium "), F.when(c("n") % 2 == 0, "relictum").otherwise("vivax")), (), ("relictum",))}, "split_part(genus, ' ', 1) IN ('Haemoproteus', 'Leucocytozoon') OR n % 2 = 0 AS v"),
 }
 
 

@@ -137,3 +137,87 @@ def round_trip(release: DataFrame, store: DataFrame, spec: TableSpec) -> DataFra
     from curaspark.operators.cdc import multiset_compare
 
     return multiset_compare(release, store, list(spec.columns))
+
+
+# ---- further sources and sinks ----
+
+
+def scan_region_map(spark: SparkSession, path: str, regions: list[str]) -> DataFrame:
+    """(COUNTRY_NAME, REGION) of a map file; blank regions are skipped, an unknown one stops the read."""
+    raw = spark.read.option("header", True).csv(path).filter("coalesce(REGION, '') <> ''")
+    known = F.assert_true(F.col("REGION").isin(regions), F.concat(F.lit("unknown region "), "REGION"))
+    return raw.withColumn("_ok", known).filter("_ok is null").select("COUNTRY_NAME", "REGION")
+
+
+def rows_needing_review(region_map: DataFrame) -> DataFrame:
+    return region_map.filter("coalesce(REVIEW, '') <> '' or coalesce(REGION, '') = ''")
+
+
+def newest_stamp(spark: SparkSession, folder: str, pattern: str = r"(\d{4}-\d{2}-\d{2})") -> str | None:
+    """The newest date in the file names of a folder, none without any."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select(F.regexp_extract(F.element_at(F.split("path", "/"), -1), pattern, 1).alias("stamp"))
+    return files.filter("stamp <> ''").agg(F.max("stamp").alias("s")).first().s
+
+
+def scan_edition(spark: SparkSession, folder: str, stamp: str, names: list[str]) -> tuple[dict[str, DataFrame], list[str]]:
+    """The tables ``name-stamp.csv`` of one edition as text, and the names of those that are not there."""
+    found, missing = {}, []
+    for name in names:
+        path = f"{folder}/{name}-{stamp}.csv"
+        if _exists(spark, path):
+            raw = spark.read.option("header", True).option("escape", '"').csv(path)
+            found[name] = raw.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in raw.columns])
+        else:
+            missing.append(name)
+    return found, missing
+
+
+SUBMISSION = """submission_id string, submitter string, accessions array<string>,
+    records array<struct<lineage_name:string,host_species:string,country:string,number_tested:int,number_found:int>>,
+    sequences array<struct<lineage_name:string,sequence:string>>"""
+
+
+def scan_submissions(spark: SparkSession, path: str) -> DataFrame:
+    """Nested submission documents, one a line."""
+    return spark.read.schema(SUBMISSION).json(path)
+
+
+def submission_records(documents: DataFrame) -> DataFrame:
+    """One row for each record of each document; a document without records keeps one with nulls."""
+    return documents.select("submission_id", F.posexplode_outer("records").alias("pos", "r")).select("submission_id", "pos", "r.*")
+
+
+def literature_hits(pages: dict[str, tuple[DataFrame, dict[str, str]]]) -> DataFrame:
+    """(source, id, doi, title, journal, year, url) from the landed pages of several sources, each with its own column names."""
+    wanted = ("id", "doi", "title", "journal", "year", "url")
+    parts = [df.select(F.lit(source).alias("source"), *[(F.expr(names[c]) if c in names else F.lit(None)).cast("string").alias(c) for c in wanted]) for source, (df, names) in pages.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def xml_attributes(df: DataFrame, column: str, missing: tuple[str, ...] = ("missing", "not collected", "not applicable", "na")) -> DataFrame:
+    """``df`` with ``attributes`` (name to value, without words for nothing) and ``publications`` of its XML text."""
+    each = F.regexp_extract_all(column, F.lit(r'(?s)<Attribute [^>]*attribute_name="[^"]+"[^>]*>.*?</Attribute>'), F.lit(0))
+    pairs = F.transform(each, lambda x: F.struct(F.regexp_extract(x, 'attribute_name="([^"]+)"', 1).alias("k"), F.trim(F.regexp_extract(x, r"(?s)>(.*)</Attribute>$", 1)).alias("v")))
+    kept = F.filter(pairs, lambda x: ~F.lower(x["v"]).isin("", *missing))
+    first = F.aggregate(kept, F.create_map().cast("map<string,string>"), lambda m, x: F.when(F.map_contains_key(m, x["k"]), m).otherwise(F.map_concat(m, F.create_map(x["k"], x["v"]))))
+    return df.withColumn("attributes", first).withColumn("publications", F.array_distinct(F.regexp_extract_all(column, F.lit(r'<Publication id="([^"]+)"'), F.lit(1))))
+
+
+def write_downloads(tables: dict[str, DataFrame], folder: str, derived: tuple[str, ...] = ()) -> list[str]:
+    """Each table as CSV below ``folder``; the names of those that belong to the archive, which leaves derived ones out."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+    return [name for name in tables if name not in derived]
+
+
+def append_correction(log: DataFrame, changes: DataFrame, given: dict[str, str]) -> DataFrame:
+    """The log with one more decision: the next id, the old value or ``(various)``, and how many rows changed."""
+    facts = changes.agg(F.count("*").alias("n"), F.min("was").alias("low"), F.max("was").alias("high"))
+    following = log.agg((F.coalesce(F.max(F.col("CORRECTION_ID").cast("long")), F.lit(0)) + 1).alias("id"))
+    old = F.when(F.col("n") == 0, "").when(F.col("low") == F.col("high"), F.col("low")).otherwise("(various)")
+    made = {"CORRECTION_ID": F.col("id").cast("string"), "OLD_VALUE": old, "ROWS_CHANGED": F.col("n").cast("string")}
+    row = facts.crossJoin(following).select(*[(made[c] if c in made else F.lit(given.get(c, ""))).alias(c) for c in log.columns])
+    return log.unionByName(row)
