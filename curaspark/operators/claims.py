@@ -145,3 +145,58 @@ def truth_sets(references: DataFrame, records: DataFrame, least: int = 1) -> Dat
     pairs = hits.join(records.select("REFERENCE_NAME", "LINEAGE_NAME").distinct(), "REFERENCE_NAME").groupBy("wanted").agg(F.count_distinct("LINEAGE_NAME").alias("lineages"))
     warning = F.when(F.col("_m") == 0, "empty").when(F.col("_m") > least, "pooled").otherwise("")
     return matched.join(pairs, "wanted", "left").select("wanted", "records", F.coalesce("lineages", F.lit(0)).alias("lineages"), warning.alias("warning"))
+
+
+def accession_collision(rows: DataFrame, store: DataFrame, accession: str) -> DataFrame:
+    """(accession, rows): submitted accessions that are curated already."""
+    asked = rows.filter(F.col(accession) != "").groupBy(F.col(accession).alias("accession")).agg(F.count("*").alias("rows"))
+    return asked.join(store.select(F.col(accession).alias("accession")), "accession", "left_semi")
+
+
+def prior_decisions(rows: DataFrame, decisions: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the latest earlier decision on their key, blank without one."""
+    last = decisions.groupBy(key).agg(F.max_by("decision", F.struct("at", "decision")).alias("prior"))
+    return rows.join(last, key, "left").withColumn("prior", F.coalesce("prior", F.lit("")))
+
+
+def resolve_rows(rows: DataFrame, known: DataFrame, resolved: DataFrame) -> DataFrame:
+    """``rows`` (name, seq) whose printed name is unknown get the name their sequence resolves to; the printed one is kept."""
+    there = known.select(F.col(known.columns[0]).alias("name")).distinct().withColumn("_known", F.lit(True))
+    names = resolved.select("seq", F.col("name").alias("_resolved")).dropDuplicates(["seq"])
+    out = rows.join(there, "name", "left").join(names, "seq", "left").withColumn("printed", F.col("name"))
+    return out.withColumn("name", F.when(F.col("_known").isNull() & F.col("_resolved").isNotNull(), F.col("_resolved")).otherwise(F.col("name"))).drop("_known", "_resolved")
+
+
+def morphology_comment(rows: DataFrame, linked: DataFrame, words: str = "morpholog|gametocyte|blood smear") -> DataFrame:
+    """(lineage, comment): the first comment on morphology of each lineage that no species is linked to."""
+    said = rows.filter(F.lower("COMMENT").rlike(words)).groupBy(F.col("LINEAGE_NAME").alias("lineage")).agg(F.min_by("COMMENT", "line").alias("comment"))
+    return said.join(linked.select(F.col("LINEAGE_NAME").alias("lineage")), "lineage", "left_anti")
+
+
+def forbidden_values(private: DataFrame, released: DataFrame, least: int = 12) -> DataFrame:
+    """Distinct private values of ``least`` characters or more that no release holds: what no feed may show."""
+    values = private.select(F.trim(F.col(private.columns[0])).alias("value")).filter(F.length("value") >= least).distinct()
+    return values.join(released.select(F.trim(F.col(released.columns[0])).alias("value")), "value", "left_anti")
+
+
+def leak_guard(payload: DataFrame, column: str, forbidden: str = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+[.][A-Za-z]+|PRIVATE KEY") -> DataFrame:
+    """``payload`` unchanged; the job stops at a row that holds an address or a private key."""
+    return payload.withColumn("_safe", F.assert_true(~F.col(column).rlike(forbidden), F.lit("a payload holds a private value"))).filter("_safe is null").drop("_safe")
+
+
+def best_overlap(pairs: DataFrame) -> DataFrame:
+    """(query, rank, name, comparable, tied) of compatible names by overlap; a tie at the top is ambiguous, shorter ones are listed."""
+    rank = F.rank().over(Window.partitionBy("query").orderBy(F.col("comparable").desc()))
+    ranked = pairs.withColumn("rank", rank)
+    return ranked.withColumn("tied", F.count("*").over(Window.partitionBy("query", "rank")) > 1).select("query", F.col("rank").cast("long").alias("rank"), "name", "comparable", "tied")
+
+
+def range_verdict(seen: DataFrame) -> DataFrame:
+    """(host, site, verdict) from (host, site, season) of the polygons that hold a site, season null where the host has polygons but none holds it."""
+    sets = seen.groupBy("host", "site").agg(F.collect_set("season").alias("_s"))
+    has = lambda s: F.array_contains("_s", s)
+    verdict = (
+        F.when(F.size("_s") == 0, "outside").when(has("resident") | (has("breeding") & has("non-breeding")), "mixed").when(has("breeding"), "breeding")
+        .when(has("non-breeding"), "non-breeding").otherwise("uncertain")
+    )
+    return sets.select("host", "site", verdict.alias("verdict"))

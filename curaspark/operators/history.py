@@ -102,3 +102,30 @@ def event_apply(store: dict[str, DataFrame], event: dict) -> dict[str, DataFrame
         row = store["lineage_history"].sparkSession.range(1).select(*[F.lit(given.get(c, "")).alias(c) for c in columns])
         out["lineage_history"] = store["lineage_history"].unionByName(row)
     return out
+
+
+def history_seed(notes: DataFrame, deleted: DataFrame, earlier: DataFrame, current: DataFrame) -> DataFrame:
+    """(name, event, reason): a history from notes, from rows marked deleted, and from names that an earlier edition had and no row explains."""
+    told = notes.filter("reason <> ''").select("name", F.lit("noted").alias("event"), "reason")
+    gone = deleted.select("name", F.lit("removed").alias("event"), F.lit("marked as deleted").alias("reason"))
+    known = told.select("name").union(gone.select("name")).union(current.select("name"))
+    lost = earlier.select("name").distinct().join(known, "name", "left_anti").select("name", F.lit("vanished").alias("event"), F.lit("in no later edition").alias("reason"))
+    return told.union(gone).union(lost)
+
+
+def decisions_to_events(decisions: DataFrame, store: DataFrame) -> DataFrame:
+    """(name, kind, target, depth, problem) of decisions (name, kind, target): events in the order of ``depth``, deepest merges first.
+
+    A name decided in two ways is a conflict, a name or target that the store lacks is unknown, merges in a circle are
+    refused; chains of merges are resolved to their last target.
+    """
+    known = store.select("name").distinct().withColumn("_there", F.lit(True))
+    ways = decisions.select("name", "kind", "target").distinct().groupBy("name").agg(F.count("*").alias("_ways"), F.min("kind").alias("kind"), F.min("target").alias("target"))
+    merges = ways.filter("_ways = 1 and kind = 'merge'")
+    last = current_name(merges.select(F.col("name").alias("OLD_NAME"), F.col("target").alias("NEW_NAME"))).select("name", F.col("current").alias("_last"), "hops")
+    rows = ways.join(last, "name", "left").join(known, "name", "left").join(known.withColumnRenamed("_there", "_target").withColumnRenamed("name", "target"), "target", "left")
+    problem = (
+        F.when(F.col("_ways") > 1, "conflict").when(F.col("_there").isNull(), "unknown name").when((F.col("kind") == "merge") & F.col("_target").isNull(), "unknown target")
+        .when((F.col("kind") == "merge") & F.col("_last").isNull(), "circle").otherwise("")
+    )
+    return rows.select("name", "kind", F.when(F.col("kind") == "merge", F.coalesce("_last", "target")).otherwise(F.col("target")).alias("target"), F.coalesce("hops", F.lit(0)).alias("depth"), problem.alias("problem"))

@@ -83,7 +83,8 @@ def to_fasta(lineages: DataFrame, prefix: str = "P", width: int = 60) -> DataFra
     """One text per lineage with a sequence: tip label and wrapped letters."""
     from curaspark.functions.text import fasta_label
 
-    label = fasta_label(F.lit(prefix), F.col("LINEAGE_NAME"), F.lit(""), F.lit(""))
+    word = lambda c, k: F.coalesce(F.get(F.split(F.col(c), " "), k), F.lit("")) if c in lineages.columns else F.lit("")
+    label = fasta_label(F.lit(prefix), F.col("LINEAGE_NAME"), word("GENUS_NAME", 0), word("SPECIES_NAME", 1))
     return lineages.filter("SEQUENCE <> ''").select(F.concat(F.lit(">"), label, F.lit("\n"), F.regexp_replace("SEQUENCE", f"(.{{{width}}})(?=.)", "$1\n")).alias("value"))
 
 
@@ -119,9 +120,10 @@ def scan_cells(spark: SparkSession, path: str, delimiter: str = ",") -> DataFram
 
 
 def table_payload(df: DataFrame, columns: list[str], chunk_rows: int = 10_000) -> DataFrame:
-    """JSON arrays of cells as text, ``chunk_rows`` rows each, so that no payload holds a whole large table."""
-    rows = df.select(F.to_json(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])).alias("cells"), F.floor(F.monotonically_increasing_id() / chunk_rows).alias("chunk"))
-    return rows.groupBy("chunk").agg(F.concat(F.lit("["), F.array_join(F.collect_list("cells"), ","), F.lit("]")).alias("payload"))
+    """JSON arrays of cells as text, ``chunk_rows`` rows of a partition each and in its order, so that no payload holds a whole large table."""
+    at = F.monotonically_increasing_id()
+    rows = df.select(F.to_json(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])).alias("cells"), at.alias("at")).withColumn("chunk", F.floor(F.col("at") / chunk_rows))
+    return rows.groupBy("chunk").agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(F.struct("at", "cells")))["cells"], ","), F.lit("]")).alias("payload"))
 
 
 def feed_changed(new: DataFrame, old: DataFrame, timestamp: str) -> bool:
