@@ -806,3 +806,27 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark):
             assert not [r for r in docs.collect() if any(p in r.text for p in passages)]
             assert len(clean) - len(kept) < 0.1 * len(clean)
         clean = kept
+
+
+def test_pipeline_stages_on_odd_and_empty_documents(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = common.documents(spark, sf)
+    base = " ".join(f"the word{k} of" for k in range(60))
+    odd = spark.createDataFrame([(10**9 + k, t) for k, t in enumerate([*ODD, base, base, base.replace("word7 ", "other ")])] + [(10**9 + len(ODD), base), (None, "a text without an id")], DOC)
+    both = docs.unionByName(odd, allowMissingColumns=True).withColumn("_gone", F.lit("clash")).withColumn("_leak", F.lit("clash"))
+    stages = dict(corpus_pipeline.STAGES)
+    first = common.stored(stages["language_id"](spark, both, sf))
+    ids = sorted(r.doc_id - 10**9 for r in first.filter("doc_id >= 1000000000").select("doc_id").collect())
+    assert first.columns == both.columns and {0, 1, 2, 4}.isdisjoint(ids) and ids.count(len(ODD)) == 2
+    rows = first
+    for name in ("line_dedup", "ngram_jaccard_join", "benchmark_decontamination"):
+        rows = common.stored(stages[name](spark, rows, sf))
+        assert rows.columns == both.columns and {r["_gone"] for r in rows.select("_gone").distinct().collect()} == {"clash"}, name
+        assert rows.filter("doc_id is null").count() == 1, name
+    left = {r.doc_id - 10**9 for r in rows.filter("doc_id >= 1000000000").select("doc_id").collect()}
+    assert len(ODD) in left and len(ODD) + 1 not in left and len(ODD) + 2 not in left
+    assert stages["mixing"](spark, rows, sf).count() == rows.count()
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, both.filter("false"), sf).count() == 0, name
