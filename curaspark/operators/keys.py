@@ -32,8 +32,8 @@ def id_high_water(df: DataFrame, column: str, prefix: str, floor: int = 0) -> Da
     return df.agg(F.greatest(F.coalesce(F.max(number), F.lit(0)), F.lit(floor)).alias("highest"))
 
 
-def assign_ids(df: DataFrame, order: list[str], prefix: str, start: int = 0, id_as: str = "RECORD_ID") -> DataFrame:
-    """New ids above ``start`` in row order, numbered without bringing the rows into one task.
+def row_numbers(df: DataFrame, order: list[str], as_: str) -> DataFrame:
+    """Numbers from 1 in row order, made without bringing the rows into one task.
 
     Rows are range-partitioned by the order and written once with the number of their partition, so that counting
     and numbering see the same partitions whatever adaptive execution does later. Each partition is then numbered
@@ -44,9 +44,14 @@ def assign_ids(df: DataFrame, order: list[str], prefix: str, start: int = 0, id_
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
     before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
     joined = within.join(F.broadcast(before.select("_part", F.coalesce("_before", F.lit(0)).alias("_before"))), "_part")
-    digits = (F.col("_n") + F.col("_before") + start).cast("string")
+    return joined.withColumn(as_, F.col("_n") + F.col("_before")).drop("_part", "_n", "_before")
+
+
+def assign_ids(df: DataFrame, order: list[str], prefix: str, start: int = 0, id_as: str = "RECORD_ID") -> DataFrame:
+    """New ids above ``start`` in row order, of six digits or more."""
+    digits = (F.col("_number") + start).cast("string")
     number = F.when(F.length(digits) < 6, F.lpad(digits, 6, "0")).otherwise(digits)
-    return joined.withColumn(id_as, F.concat(F.lit(f"{prefix}-"), number)).drop("_part", "_n", "_before")
+    return row_numbers(df, order, "_number").withColumn(id_as, F.concat(F.lit(f"{prefix}-"), number)).drop("_number")
 
 
 def stamp_provenance(df: DataFrame, source: str, release: str) -> DataFrame:

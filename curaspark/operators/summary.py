@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curaspark.operators import keys
+
 # The released region columns, in order.
 REGIONS = tuple(
     "EUROPE SUB_SAHARAN_AFRICA NORTH_AFRICA_AND_MIDDLE_EAST NORTH_AMERICA HAWAI CENTRAL_AMERICA SOUTH_AMERICA ASIA"
@@ -32,11 +34,14 @@ def lineage_summary(lineages: DataFrame, hosts: DataFrame, vectors: DataFrame, r
     records costs one row from each map task.
     """
     filled = lambda c: F.when(F.col(c) != "", F.col(c))
-    by_host = hosts.groupBy("LINEAGE_NAME").agg(
-        F.count_distinct(F.when(F.col("SPECIES_NAME") != "", F.struct("GENUS_NAME", "SPECIES_NAME"))).alias("h"),
-        F.count_distinct(filled("GENUS_NAME")).alias("g"),
-        F.count_distinct(filled("FAMILY_NAME")).alias("f"),
-        F.count_distinct(filled("ORDER_NAME")).alias("o"),
+    tally = lambda c: F.size(F.collect_set(c)).cast("long")
+    # records of one taxon are one row before the sets are made, so no column multiplies rows
+    taxa = hosts.select("LINEAGE_NAME", "GENUS_NAME", "SPECIES_NAME", "FAMILY_NAME", "ORDER_NAME").distinct()
+    by_host = taxa.groupBy("LINEAGE_NAME").agg(
+        tally(F.when(F.col("SPECIES_NAME") != "", F.struct("GENUS_NAME", "SPECIES_NAME"))).alias("h"),
+        tally(filled("GENUS_NAME")).alias("g"),
+        tally(filled("FAMILY_NAME")).alias("f"),
+        tally(filled("ORDER_NAME")).alias("o"),
         F.max((F.lower("ORDER_NAME") == flag_order.lower()).cast("int")).alias("flag"),
     )
     by_vector = vectors.groupBy("LINEAGE_NAME").agg(F.count_distinct(filled("VECTOR_SPECIES")).alias("v"))
@@ -127,8 +132,6 @@ def capped_examples(df: DataFrame, group: list[str], order: list[str], limit: in
 
 
 def dictionary_encode(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): zero-based codes of the distinct values in order."""
-    from pyspark.sql.window import Window
-
+    """(value, code): zero-based codes of the distinct values in order, numbered by ranges."""
     values = df.select(F.col(column).alias("value")).distinct()
-    return values.withColumn("code", F.row_number().over(Window.orderBy("value")) - 1)
+    return keys.row_numbers(values, ["value"], "code").withColumn("code", F.col("code") - 1)
