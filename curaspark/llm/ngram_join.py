@@ -278,8 +278,10 @@ def _apart(rest: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) of members of different components that some page may still link, by the nodes of that page."""
     # the smaller of two partners stands in the cell of its own size, the larger in those of all sizes it may meet
     small = rest.filter(F.expr(f"pos <= {den - num} * n div {den + num}")).withColumn("cell", _cell("n"))
-    least, most = f"({num} * n + {den - 1}) div {den}", f"least(n, ({den} * n - {den + num} * pos) div {num})"
-    large = rest.filter(F.expr(f"{least} <= {most}")).withColumn("cell", F.explode(F.sequence(_cell(least), _cell(most))))
+    # a larger one needs no cell beyond the sizes that its page's smaller ones have
+    sizes = common.stored(small.groupBy("page").agg(F.min("n").alias("n_low"), F.max("n").alias("n_high")))
+    least, most = f"greatest(({num} * n + {den - 1}) div {den}, n_low)", f"least(n, ({den} * n - {den + num} * pos) div {num}, n_high)"
+    large = rest.join(common.if_small(sizes), "page").filter(F.expr(f"{least} <= {most}")).withColumn("cell", F.explode(F.sequence(_cell(least), _cell(most)))).drop("n_low", "n_high")
     # cells where both kinds and two components meet
     ends = [f(f"component.{c}").alias(f"{c}_{s}") for c in ("id", "sig") for s, f in (("low", F.min), ("high", F.max))]
     both = small.select("page", "cell", "component", F.lit(1).alias("own")).union(large.select("page", "cell", "component", F.lit(0)))
