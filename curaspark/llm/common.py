@@ -29,6 +29,11 @@ def _ship(context: SparkContext) -> None:
     context._curaspark_shipped = True
 
 
+def ship(spark: SparkSession) -> None:
+    """Before a grouped map by functions of this package."""
+    _ship(spark.sparkContext)
+
+
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` by a function of this package."""
     _ship(df.sparkSession.sparkContext)
