@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curaspark.llm import common, decontam, gif, langid, line_dedup, mixing, ngram_join, pii, quality, secret_scan, tool_calls
+from curaspark.llm import common, decontam, gif, hard_negatives, langid, line_dedup, mixing, ngram_join, pii, quality, secret_scan, spelling, substring_dedup, tool_calls
 
 
 def op1_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,9 +66,28 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(common.documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.letter_runs(common.documents(spark, sf_dir), at_least=6)
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    word = F.when(F.col("h") % 199 == 0, spelling.without_letter(F.col("run"), F.col("h") % F.length("run"))).otherwise(F.col("run"))
+    counts = spelling.count_words(runs.withColumn("h", h).select(word.alias("word")))
+    return spelling.spelling_groups(counts).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.drop_repeats(common.documents(spark, sf_dir), texts=False).drop("text")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    known = hard_negatives.quantised(rows.withColumn("label", moved))
+    return hard_negatives.hard_negatives(known, known.filter("id % 100 = 0"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": line_dedup.LINES_SQL, "op8_tool_calls": tool_calls.CALLS_SQL}
+    return {"op5_line_dedup": line_dedup.LINES_SQL, "op8_tool_calls": tool_calls.CALLS_SQL, "op12_substring_dedup": substring_dedup.REPEATS_SQL, "op13_hard_negatives": hard_negatives.NEGATIVES_SQL}
