@@ -545,11 +545,15 @@ def modal_doi(spark, d):
     return mining.modal_doi(_papers(spark, d))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'focal' ELSE 'unknown' END AS scope FROM {documents}")
+@query("""SELECT doc_id, part, CASE WHEN doc_id % 5 = 0 THEN CASE part WHEN 'text' THEN 'focal' WHEN 'other' THEN 'reprinted' ELSE 'unknown' END WHEN doc_id % 5 = 3 THEN 'scope_uncertain' ELSE 'unknown' END AS scope
+FROM {documents} CROSS JOIN (SELECT unnest(['text', 'other', 'none']) AS part)""")
 def classify_scope(spark, d):
-    papers = _papers(spark, d)
-    rows = papers.select("doc_id", mining.mine_accessions(F.col("text"), ["PV", "AB", "KY"]).alias("accessions"))
-    return mining.classify_scope(rows, mining.declared_accessions(papers)).select("doc_id", "scope")
+    """Rows with the accessions of their paper's text, with one that no paper declares, and with none."""
+    papers = _papers(spark, d).withColumn("text", F.when(F.col("doc_id") % 5 == 3, F.concat("text", F.lit(". We compiled data of earlier studies."))).otherwise(F.col("text")))
+    none = F.array().cast("array<string>")
+    parts = F.array(*[F.struct(F.lit(n).alias("part"), v.alias("accessions")) for n, v in (("text", mining.mine_accessions(F.col("text"), ["PV", "AB", "KY"])), ("other", F.array(F.lit("KY999999"))), ("none", none))])
+    rows = papers.select("doc_id", F.inline(parts))
+    return mining.classify_scope(rows, mining.declared_accessions(papers), mining.pooled_statements(papers)).select("doc_id", "part", "scope")
 
 
 @query("""WITH l AS (SELECT doc_id, i - 1 AS line, string_split(text, chr(10))[i] AS s FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM {documents})),

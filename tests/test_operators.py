@@ -265,3 +265,35 @@ def test_circles_of_any_length_end(spark, n):
     rows = [(f"c{k}", f"c{(k + 1) % n}") for k in range(n)] + [("in", "c0"), ("a", "b"), ("b", "end"), ("gone", "")]
     got = {r.name: (r.current, r.hops) for r in history.current_name(spark.createDataFrame(rows, "OLD_NAME string, NEW_NAME string")).collect()}
     assert got == {**{f"c{k}": (None, None) for k in range(n)}, "in": (None, None), "a": ("end", 2), "b": ("end", 1), "gone": ("", 1)}
+
+
+def test_sentences_of_a_long_text_in_one_pass(spark):
+    import time
+
+    text = ("One word of Harl et al. Another no. 5 sp. nov. is here! " * 10_000).strip()
+    df = spark.createDataFrame([(text,)], "text string")
+    df.select(F.size(mining.sentences(F.col("text")))).first()
+    began = time.time()
+    assert df.select(F.size(mining.sentences(F.col("text")))).first()[0] == 10_000
+    assert time.time() - began < 3
+
+
+def test_provenance_of_papers(spark):
+    docs = spark.createDataFrame(
+        [
+            (1, "Sequences were retrieved from GenBank (AB123456). In this study we deposited PV100001-03 and KY200000.\nMore text."),
+            (2, "We compiled data\nfrom published studies. Nothing was deposited."),
+            (3, "We compiled data of the climate. Present study sequences AB123456 were downloaded from GenBank under accession AB123457."),
+            (4, None),
+            (5, "Present study sequences were deposited in Harl et al. Accession numbers are PV111111."),
+        ],
+        "doc_id int, text string",
+    )
+    own = mining.declared_accessions(docs)
+    assert {r.doc_id: r.accessions for r in own.collect()} == {1: ["KY200000", "PV100001", "PV100002", "PV100003"], 5: ["PV111111"]}
+    rows = spark.createDataFrame([(1, ["PV100002"]), (1, ["AB123456"]), (1, []), (2, ["AB123456"]), (2, []), (3, ["AB123456"]), (4, None), (9, [])], "doc_id int, accessions array<string>")
+    got = mining.classify_scope(rows, own, mining.pooled_statements(docs)).collect()
+    assert sorted((r.doc_id, str(r.accessions), r.scope) for r in got) == sorted(
+        [(1, "['PV100002']", "focal"), (1, "['AB123456']", "reprinted"), (1, "[]", "unknown"), (2, "['AB123456']", "scope_uncertain"), (2, "[]", "scope_uncertain"), (3, "['AB123456']", "unknown"), (4, "None", "unknown"), (9, "[]", "unknown")]
+    )
+    assert {r.evidence for r in got if r.scope == "focal"} == {"In this study we deposited PV100001-03 and KY200000."}
