@@ -64,15 +64,64 @@ def row_routing(rows: DataFrame, host_words: list[str]) -> DataFrame:
     return rows.select("table", "row", route.alias("route"))
 
 
-def carve_blocks(lines: DataFrame, least_rows: int = 2) -> DataFrame:
-    """(doc, block, first, last, columns): runs of lines with wide gaps, and the number of columns that most of their rows have."""
-    pieces = F.size(F.filter(F.split(F.trim("text"), " {2,}"), lambda x: x != ""))
-    marked = lines.select("doc", "line", pieces.alias("n")).withColumn("_in", F.col("n") >= 2)
+_BLANK = r"[\s\p{Z}\x1c-\x1f\x85]"
+
+
+def layout_blocks(lines: DataFrame, least: int = 3) -> DataFrame:
+    """(doc, block, line, text, structured, caption): runs of lines of which at least ``least`` have cells apart by two blanks or more.
+
+    ``lines`` is (doc, line, text). A page break, a second blank line or a second line of prose in a row (blank lines aside) ends
+    a run; single ones stay inside. The caption is the last prose before a run. Lines of a document are ordered in one window.
+    """
+    trimmed = F.regexp_replace("text", f"^{_BLANK}+|{_BLANK}+$", "")
+    kind = F.when(F.col("text").contains("\f"), "break").when(trimmed == "", "blank").when(trimmed.rlike(f"{_BLANK}{{2,}}"), "cells").otherwise("prose")
     order = Window.partitionBy("doc").orderBy("line")
-    islands = marked.withColumn("_b", F.sum((~F.col("_in")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))).filter("_in")
-    counted = islands.groupBy("doc", "_b", "n").agg(F.count("*").alias("rows"), F.min("line").alias("a"), F.max("line").alias("z"))
-    blocks = counted.groupBy("doc", "_b").agg(F.min("a").alias("first"), F.max("z").alias("last"), F.sum("rows").alias("rows"), F.max_by("n", F.struct("rows", "n")).alias("columns"))
-    return blocks.filter(F.col("rows") >= least_rows).select("doc", "first", "last", F.col("columns").cast("long").alias("columns"))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    known = lines.select("doc", "line", F.coalesce("text", F.lit("")).alias("text")).withColumn("kind", kind).withColumn("_said", F.when(F.col("kind") == "prose", trimmed))
+    last = F.last(F.when(F.col("kind") != "blank", F.col("kind")), ignorenulls=True).over(before)
+    ends = (F.col("kind") == "break") | ((F.col("kind") == "blank") & (F.lag("kind").over(order) == "blank")) | ((F.col("kind") == "prose") & (last == "prose"))
+    marked = known.withColumn("_ends", F.coalesce(ends, F.lit(False))).withColumn("_caption", F.last("_said", ignorenulls=True).over(before))
+    run = F.sum(F.col("_ends").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    runs = marked.withColumn("_run", run).filter(~F.col("_ends"))
+    inside = Window.partitionBy("doc", "_run").orderBy("line")
+    begun = F.sum((F.col("kind") == "cells").cast("int")).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    whole = Window.partitionBy("doc", "_run")
+    held = runs.withColumn("_begun", begun).filter(F.col("_begun") > 0)
+    held = held.withColumn("_n", F.max("_begun").over(whole)).filter(F.col("_n") >= least)
+    caption = F.first("_caption").over(inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return held.select("doc", F.col("_run").alias("block"), "line", "text", (F.col("kind") == "cells").alias("structured"), F.coalesce(caption, F.lit("")).alias("caption"))
+
+
+def column_spans(blocks: DataFrame) -> DataFrame:
+    """(doc, block, spans): columns as [first, last) places. What is blank on every structured line for two places or more is between columns."""
+    places = F.filter(F.transform(F.split("text", ""), lambda c, k: F.when(~c.rlike(_BLANK) & (c != ""), k)), lambda k: k.isNotNull())
+    taken = blocks.filter("structured").select("doc", "block", F.explode(places).alias("place")).groupBy("doc", "block").agg(F.array_sort(F.collect_set("place")).alias("p"))
+    width = blocks.groupBy("doc", "block").agg(F.max(F.length("text")).alias("width"))
+    edge = lambda k: F.filter("p", lambda x: ~F.array_contains("p", x + k) & ~F.array_contains("p", x + 2 * k))
+    spans = F.zip_with(edge(-1), edge(1), lambda a, z: F.struct(F.when(a == 1, 0).otherwise(a).alias("first"), F.when(z + 2 == F.col("width"), F.col("width")).otherwise(z + 1).alias("last")))
+    return taken.join(width, ["doc", "block"]).select("doc", "block", spans.alias("spans"))
+
+
+def carve_layout(lines: DataFrame, least: int = 3) -> DataFrame:
+    """(doc, block, caption, row, col, text): tables of text whose columns stand under each other, a row for each cell that is not blank.
+
+    Every line of a block is cut at the columns of its structured lines. A row without a first cell continues the row above: its
+    cells are joined to that row's by one space. Blocks of fewer than two columns or ``least`` rows are none. Blocks count
+    from 0 in each document, rows and columns in each block.
+    """
+    blocks = layout_blocks(lines, least)
+    cut = F.transform("spans", lambda s: F.regexp_replace(F.substring(F.col("text"), s["first"] + 1, s["last"] - s["first"]), f"^{_BLANK}+|{_BLANK}+$", ""))
+    spoken = blocks.filter(F.col("text").rlike(f"[^{_BLANK[1:]}"))
+    rows = spoken.join(column_spans(blocks), ["doc", "block"]).filter(F.size("spans") >= 2).withColumn("cells", cut)
+    inside = Window.partitionBy("doc", "block").orderBy("line")
+    numbered = rows.withColumn("row", F.sum((F.col("cells")[0] != "").cast("int")).over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
+    # a block whose first row has no first cell begins with it all the same
+    open_first = F.max((F.col("_first") & (F.col("cells")[0] == "")).cast("int")).over(Window.partitionBy("doc", "block"))
+    numbered = numbered.withColumn("row", F.col("row") - 1 + open_first)
+    numbered = numbered.withColumn("_rows", F.max("row").over(Window.partitionBy("doc", "block")) + 1).filter(F.col("_rows") >= least)
+    cells = numbered.select("doc", "block", "caption", "row", "line", F.posexplode("cells").alias("col", "text")).filter("text <> ''")
+    joined = cells.groupBy("doc", "block", "caption", "row", "col").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), " ").alias("text"))
+    return joined.withColumn("block", F.dense_rank().over(Window.partitionBy("doc").orderBy("block")) - 1)
 
 
 def mine_binomials(sentences: DataFrame, genera: DataFrame, stop: list[str]) -> DataFrame:

