@@ -34,6 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from curaspark.llm import common
 
@@ -342,7 +343,11 @@ def find_passages(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = 0.6, sure: float = 0.8,
     block: int = 20_000, max_words: int = 4_000_000, max_terms: int = 65_536, rank: int = 256,
 ) -> DataFrame:
-    """(doc_id, item_id, similarity, cosine, first_word) of every benchmark passage in every document."""
+    """(doc_id, item_id, similarity, cosine, first_word) of every benchmark passage in every document.
+
+    ``first_word`` is the number of the first word of the window that was compared, which may begin some words before the
+    passage. Identifiers keep their types. Null texts hold nothing; a document with a null id is told with a null id.
+    """
     docs = common.id_and_text(docs, id_col, text_col)
     passages = passage_words(benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null"))
     doc_kind, item_kind = docs.schema["doc_id"].dataType, passages.schema["item_id"].dataType
@@ -366,7 +371,7 @@ def find_passages(
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("doc_id").take(pa.array([i + r[0] for r in rows], pa.int64())),
-                            pa.array([index.ids[r[1]] for r in rows], pa.int64() if item_kind.simpleString() == "bigint" else None),
+                            pa.array([index.ids[r[1]] for r in rows], to_arrow_type(item_kind)),
                             *[pa.array([float(r[k]) for r in rows], pa.float64()) for k in (2, 3)],
                             pa.array([r[4] for r in rows], pa.int64()),
                         ],
@@ -379,7 +384,7 @@ def find_passages(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **rules) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark passage, columns as they were."""
+    """The rows of ``docs`` that hold no benchmark passage, columns as they were. A row with a null id can't be told by it and stays."""
     name = common.fresh("leak", docs)
     leaks = common.stored(find_passages(docs, benchmark, **rules).select(F.col("doc_id").alias(name)).distinct())
     return docs.join(common.if_small(leaks), F.col("doc_id") == F.col(name), "left_anti")

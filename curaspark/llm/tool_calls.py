@@ -7,12 +7,13 @@ of n calls takes log2(n) joins and no group is ever held by one task. Arguments
 checked against the schemas (name, properties: array of (key, type, required)). Every call and every
 result without a call gives one row with canonical JSON: keys in order, no spaces.
 
-Defined results: a call with several results links the one of the smallest (turn, content); of repeated
-call identifiers the smallest (turn, arguments) stays a call and the others are errors ``duplicate``; a call that
+Defined results: a call with several results links the one of the smallest (turn, content), each other one gives a row of
+status ``surplus``; of repeated call identifiers the smallest (turn, arguments) stays a call and the others have status and
+error ``duplicate`` and no result; a call that
 waits for a missing call is in position 0; calls that wait in a circle have position -1 and an error;
 null identifiers or conversations link nothing, a call without them is an error ``no identifier``; equal call rows are one
-call, equal orphan results a row each; the same identifier in two conversations names two calls; a null or
-broken arguments text is an error; an unknown name is an error.
+call, equal orphan or surplus results a row each; the same identifier in two conversations names two calls; a null or
+broken arguments text is an error, and so is one that repeats a key; a number without a fraction (``1.0``) is an integer and is written so; an unknown name is an error.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from curaspark.llm import common
 
 #: JSON schema types as the beginnings of the types that values have once parsed.
-_TYPES = {"integer": "^BIGINT$", "number": "^(BIGINT|DECIMAL|DOUBLE)", "boolean": "^BOOLEAN$", "string": "^STRING$", "array": "^ARRAY", "object": "^OBJECT"}
+_TYPES = {"integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "number": "^(BIGINT|DECIMAL|DOUBLE)", "boolean": "^BOOLEAN$", "string": "^STRING$", "array": "^ARRAY", "object": "^OBJECT"}
 
 
 def positions(calls: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 
     unknown = F.array_except(F.map_keys("by_key"), F.transform("properties", lambda q: q["key"]))
     found = F.concat(F.filter(F.transform("properties", wrong), lambda e: e.isNotNull()), F.transform(unknown, lambda k: F.concat(F.lit("unknown "), k)))
-    errors = F.when(F.col("properties").isNull(), F.array(F.lit("unknown tool"))).when(F.col("by_key").isNull(), F.array(F.lit("broken arguments"))).otherwise(F.array_sort(found))
+    errors = F.when(F.col("properties").isNull(), F.array(F.lit("unknown tool"))).when(F.col("by_key").isNull() | F.col("values").isNull(), F.array(F.lit("broken arguments"))).otherwise(F.array_sort(found))
     return joined.withColumn("errors", errors).drop("properties", "by_key")
 
 
@@ -74,15 +75,25 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     flag = lambda test, text: F.when(test, F.array(F.lit(text))).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("errors", F.concat("errors", flag(F.col("again"), "duplicate"), flag(~named, "no identifier"), flag(F.col("position") == -1, "circle")))
     rows = rows.withColumn("position", F.coalesce("position", F.lit(0)))
+    rows = rows.withColumn("answer", F.when(~F.col("again"), F.col("answer")))
     linked = rows.select(
-        "conv_id", "turn", "call_id", F.when(F.col("answer").isNull(), "open").otherwise("answered").alias("status"), "position", "errors",
+        "conv_id", "turn", "call_id", F.when(F.col("again"), "duplicate").when(F.col("answer").isNull(), "open").otherwise("answered").alias("status"), "position", "errors",
         F.to_json(F.struct(F.col("values").alias("arguments"), "call_id", F.col("answer.content").alias("content"), "errors", "name", "position")).alias("json"),
     )
     orphans = results.join(first.select(*key), key, "left_anti").select(
         "conv_id", "turn", "call_id", F.lit("orphan").alias("status"), F.lit(0).cast("long").alias("position"), F.array(F.lit("no call")).alias("errors"),
         F.to_json(F.struct("call_id", "content", F.array(F.lit("no call")).alias("errors"))).alias("json"),
     )
-    return linked.unionByName(orphans)
+    # equal results are counted before they are dealt, so a call with very many costs a row a task
+    answered = first.select(*key).join(answers, key)
+    counted = results.filter(named).groupBy(*key, "turn", "content").agg(F.count("*").alias("n")).join(answered, key)
+    left = F.col("n") - F.when(F.struct("turn", "content").eqNullSafe(F.col("answer")), 1).otherwise(0)
+    second = counted.withColumn("_k", F.explode(F.array_repeat(F.lit(0), left.cast("int"))))
+    surplus = second.select(
+        "conv_id", "turn", "call_id", F.lit("surplus").alias("status"), F.lit(0).cast("long").alias("position"), F.array(F.lit("second result")).alias("errors"),
+        F.to_json(F.struct("call_id", "content", F.array(F.lit("second result")).alias("errors"))).alias("json"),
+    )
+    return linked.unionByName(orphans).unionByName(surplus)
 
 
 def turns_as_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:

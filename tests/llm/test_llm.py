@@ -481,7 +481,31 @@ def test_calls_results_positions_and_errors(spark):
     assert (got["c", 4].position, got["c", 4].errors) == (2, ["unknown tool"])
     assert got["d", 6].position == -1 and got["d", 6].errors == ["broken arguments", "circle"] and got["e", 7].position == -1
     assert got["a", 9].errors == ["duplicate"] and got[None, 8].errors == ["unknown z", "no identifier"]
-    assert got["q", 5].status == "orphan" and len(got) == 9
+    assert got["q", 5].status == "orphan" and len(got) == 10
+    assert (got["a", 3].status, got["a", 3].errors) == ("surplus", ["second result"]) and '"content":"r0"' in got["a", 3].json
+    assert got["a", 9].status == "duplicate" and "content" not in got["a", 9].json
+
+
+def test_calls_lose_nothing_silently(spark):
+    texts = ['{"x":1,"x":2}', '{"x":1.0}', '{"x":1.5}', '{"x":' + "1" * 60 + "}", '{"x":3,"y":"' + "z" * 200_000 + '"}']
+    calls = spark.createDataFrame([(1, k, f"c{k}", None, "f", a) for k, a in enumerate(texts)], CALL)
+    results = spark.createDataFrame([(1, 9, "c1", "same")] * 3 + [(1, 8, "c1", "first"), (1, 9, "c1", None)], "conv_id long, turn long, call_id string, content string")
+    schemas = spark.sql("select 'f' as name, array(named_struct('key', 'x', 'type', 'integer', 'required', true), named_struct('key', 'y', 'type', 'string', 'required', false)) as properties")
+    rows = tool_calls.link_calls(calls, results, schemas).collect()
+    got = {r.call_id: r for r in rows if r.status != "surplus"}
+    assert got["c0"].errors == ["broken arguments"] and got["c1"].errors == [] and '"x":1}' in got["c1"].json and got["c2"].errors == ["type x"]
+    assert "first" in got["c1"].json and got["c4"].errors == [] and "z" * 200_000 in got["c4"].json
+    assert sorted(str(r.json) for r in rows if r.status == "surplus") == ['{"call_id":"c1","content":"same","errors":["second result"]}'] * 3 + ['{"call_id":"c1","errors":["second result"]}']
+
+
+@pytest.mark.parametrize("kinds", [("int", "smallint"), ("string", "int"), ("bigint", "string")])
+def test_leaks_with_ids_of_any_type(spark, kinds):
+    rng = random.Random(3)
+    passage = " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(40))
+    docs = spark.createDataFrame([("1", f"before it {passage} behind"), ("2", "nothing here"), ("3", None)], "doc_id string, text string").withColumn("doc_id", F.col("doc_id").cast(kinds[0]))
+    bench = spark.createDataFrame([("7", passage)], "item_id string, text string").withColumn("item_id", F.col("item_id").cast(kinds[1]))
+    assert [(str(r.doc_id), str(r.item_id)) for r in decontam.find_passages(docs, bench).collect()] == [("1", "7")]
+    assert sorted(str(r.doc_id) for r in decontam.drop_contaminated(docs, bench).collect()) == ["2", "3"]
 
 
 def test_calls_of_two_conversations_with_one_identifier(spark):
