@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curaspark.functions.text import norm_ws, py_strip
+from curaspark.operators.shared import stored
 from curaspark.operators.keys import numbered
 
 
@@ -158,25 +159,42 @@ def merge_table(existing: DataFrame, exported: DataFrame, keys: list[str], colum
     """(columns, record_id or null, outcome): exported rows with the identities they keep.
 
     Identical rows keep ids n-th with n-th. What is left is paired within a natural key by the fewest
-    differing columns (then by order), which only keys with leftovers on both sides need; the rest is new
-    (null id) or removed.
+    differing columns, then by the order of old and new rows, which only keys with leftovers on both sides need; the rest is
+    new (null id) or removed. Keys with one leftover on a side, nearly all, are paired by a join and an aggregate; only
+    keys with several on both go through a grouped map, which holds the rows of one key.
     """
     a = numbered(existing, columns, [record_id])
     b = numbered(exported, columns, [row_no])
-    both = a.select(*columns, "_n", record_id).join(b.select(*columns, "_n", row_no), [*columns, "_n"], "full")
+    both = stored(a.select(*columns, "_n", record_id).join(b.select(*columns, "_n", row_no), [*columns, "_n"], "full").withColumn("_at", F.monotonically_increasing_id()))
+    kind = both.schema[record_id].dataType
     same = both.filter(F.col(record_id).isNotNull() & F.col(row_no).isNotNull()).select(*columns, record_id, F.lit("unchanged").alias("outcome"))
-    left = both.filter(F.col(row_no).isNull()).select(*columns, record_id)
-    new = both.filter(F.col(record_id).isNull()).select(*columns, row_no)
+    # stored rows have numbers of their own, as neither ids nor row numbers need be unique
+    left = both.filter(F.col(row_no).isNull()).select(*columns, record_id, "_at")
+    new = both.filter(F.col(record_id).isNull()).select(*columns, row_no, "_at")
+    sides = left.groupBy(*keys).agg(F.count("*").alias("_old")).join(new.groupBy(*keys).agg(F.count("*").alias("_new")), keys)
+    sides = stored(sides.select(*keys, ((F.col("_old") > 1) & (F.col("_new") > 1)).alias("_many")))
+    many, few = sides.filter("_many").drop("_many"), sides.filter("not _many").drop("_many")
+
+    own, fresh = left.join(few, keys, "left_semi"), new.join(few, keys, "left_semi")
+    renamed = fresh.toDF(*[f"_{c}" for c in [*columns, row_no, "_at"]])
+    apart = sum((~F.col(c).eqNullSafe(F.col(f"_{c}"))).cast("int") for c in columns)
+    met = own.join(renamed, [F.col(k) == F.col(f"_{k}") for k in keys])
+    first = F.struct(apart.alias("apart"), F.col(record_id).alias("old"), F.col(f"_{row_no}").alias("new"), F.col("_at").alias("old_at"), F.col("__at").alias("new_at"))
+    chosen = stored(met.groupBy(*keys).agg(F.min(first).alias("c"), F.min_by(F.struct(*[F.col(f"_{c}").alias(c) for c in columns]), first).alias("row")))
+    changed = chosen.select("row.*", F.col("c.old").alias(record_id), F.lit("changed").alias("outcome"))
+    lost = own.join(chosen.select(F.col("c.old_at").alias("_at")), "_at", "left_anti").select(*columns, record_id, F.lit("removed").alias("outcome"))
+    more = fresh.join(chosen.select(F.col("c.new_at").alias("_at")), "_at", "left_anti").select(*columns, F.lit(None).cast(kind).alias(record_id), F.lit("added").alias("outcome"))
 
-    schema = same.schema
-    two_sided = left.join(new.select(*keys).distinct(), keys, "left_semi")
-    fresh_two = new.join(left.select(*keys).distinct(), keys, "left_semi")
     # both sides come from one join; new column names tell them apart
-    fresh_two = fresh_two.toDF(*[f"{c}_new" for c in [*columns, row_no]])
-    paired = two_sided.groupBy(*keys).cogroup(fresh_two.groupBy(*[f"{k}_new" for k in keys])).applyInPandas(_pairing(columns, record_id, row_no), schema)
-    removed = left.join(new.select(*keys).distinct(), keys, "left_anti").select(*columns, record_id, F.lit("removed").alias("outcome"))
-    added = new.join(left.select(*keys).distinct(), keys, "left_anti").select(*columns, F.lit(None).cast(schema[record_id].dataType).alias(record_id), F.lit("added").alias("outcome"))
-    return same.unionByName(paired).unionByName(removed).unionByName(added)
+    fresh_many = new.join(many, keys, "left_semi").drop("_at").toDF(*[f"{c}_new" for c in [*columns, row_no]])
+    paired = left.join(many, keys, "left_semi").drop("_at").groupBy(*keys).cogroup(fresh_many.groupBy(*[f"{k}_new" for k in keys])).applyInPandas(_pairing(columns, record_id, row_no), same.schema)
+    removed = left.join(sides, keys, "left_anti").select(*columns, record_id, F.lit("removed").alias("outcome"))
+    added = new.join(sides, keys, "left_anti").select(*columns, F.lit(None).cast(kind).alias(record_id), F.lit("added").alias("outcome"))
+    parts = [same, changed, lost, more, paired, removed, added]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def blanked_values(before: DataFrame, after: DataFrame, record_id: str, columns: list[str]) -> DataFrame:

@@ -69,13 +69,12 @@ def release_gate(inventory: DataFrame, states: DataFrame, exempt: str) -> DataFr
 
 def exact_resolve(queries: DataFrame, references: DataFrame, width: int, anchors: int = 4, least: int = 1) -> DataFrame:
     """(query, verdict, names) of sequences that agree with references wherever both are determined."""
-    from curaspark.operators.sequences import all_pairs_compatible
+    from curaspark.operators.sequences import compatible_references
 
-    both = queries.select(F.concat(F.lit("q|"), "name").alias("name"), "seq").union(references.select(F.concat(F.lit("r|"), "name").alias("name"), "seq"))
-    pairs = all_pairs_compatible(both, "name", "seq", width, anchors, least).filter("a like 'q|%' and b like 'r|%'")
-    top = pairs.groupBy("a").agg(F.max("comparable").alias("most"))
-    best = pairs.join(top, "a").filter("comparable = most").groupBy("a").agg(F.array_sort(F.collect_set(F.substring("b", 3, 1000))).alias("names"))
-    named = best.select(F.substring("a", 3, 1000).alias("query"), "names")
+    pairs = compatible_references(queries, references, width, anchors, least)
+    best = pairs.groupBy("query").agg(F.max(F.struct("comparable")).alias("top"), F.collect_list(F.struct("comparable", "names")).alias("all"))
+    full = F.filter("all", lambda x: x["comparable"] == F.col("top.comparable"))
+    named = best.select("query", F.array_sort(F.array_distinct(F.flatten(F.transform(full, lambda x: x["names"])))).alias("names"))
     rows = queries.select(F.col("name").alias("query")).join(named, "query", "left")
     return rows.select("query", F.when(F.col("names").isNull(), "none").when(F.size("names") > 1, "ambiguous").otherwise("exact").alias("verdict"), F.coalesce("names", F.array().cast("array<string>")).alias("names"))
 

@@ -336,3 +336,45 @@ def test_sql_functions_are_the_column_functions(spark):
     assert [tuple(r) for r in ours] == [tuple(r) for r in text]
     spans = spark.sql("SELECT accession FROM VALUES ('PV948475-77, PV948476-PV948478; PV1-2; KY000010-09; AB100000-999999') AS t(x), LATERAL expand_range(x) ORDER BY 1").collect()
     assert [r.accession for r in spans] == ["PV948475", "PV948476", "PV948477", "PV948478"]
+
+
+def _sequences_by_hand(rows, width):
+    def known(s, k):
+        return k < len(s) and s[k].upper() in "ACGT"
+
+    out = {}
+    for a, s in rows:
+        for b, t in rows:
+            both = [k for k in range(width) if known(s, k) and known(t, k)]
+            if both and all(s[k].upper() == t[k].upper() for k in both):
+                out[a, b] = len(both)
+    return out
+
+
+def test_compatible_pairs_of_scattered_and_short_sequences(spark):
+    rng = random.Random(5)
+    base = ["".join(rng.choice("ACGT") for _ in range(40)) for _ in range(3)]
+    rows = []
+    for k in range(70):
+        s = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1])):
+            s[rng.randrange(40)] = rng.choice("ACGT")
+        for _ in range(rng.choice([0, 3, 25, 36])):
+            s[rng.randrange(40)] = rng.choice("N-")
+        rows.append((f"s{k:02d}", "".join(s)[: rng.choice([40, 40, 12, 50])].lower() if k % 9 == 0 else "".join(s)[: rng.choice([40, 40, 25])]))
+    rows += [("empty", ""), ("none", "N" * 40), ("again", rows[0][1]), ("again2", rows[0][1])]
+    want = _sequences_by_hand(rows, 40)
+    df = spark.createDataFrame(rows, "name string, seq string")
+    got = {(r.a, r.b): r.comparable for r in sequences.all_pairs_compatible(df, "name", "seq", 40).collect()}
+    assert got == {p: n for p, n in want.items() if p[0] < p[1]}
+    left, right = df.filter("name < 's30'"), df.filter("name >= 's30'")
+    found = {(r.query, n): r.comparable for r in sequences.compatible_references(left, right, 40).collect() for n in r.names}
+    assert found == {p: n for p, n in want.items() if p[0] < "s30" <= p[1]}
+
+
+def test_resolution_keeps_long_names(spark):
+    from curaspark.operators import curation
+
+    name = "n" * 3000
+    df = spark.createDataFrame([(name, "ACGTACGT")], "name string, seq string")
+    assert curation.exact_resolve(df.withColumn("name", F.lit("q")), df, 8).first().names == [name]
