@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curaspark.operators.shared import stored
+
 KM_PER_DEGREE = 111.32
+#: Edges of a latitude band, about.
+EDGES = 64
 
 
 def rectangles_to_edges(boxes: DataFrame) -> DataFrame:
@@ -21,31 +27,88 @@ def polygons_to_edges(features: DataFrame) -> DataFrame:
     return pairs.select("admin", "e.*")
 
 
-def point_in_polygon(points: DataFrame, edges: DataFrame, name: str = "site") -> DataFrame:
-    """(site, admin) of points (site, admin, lon, lat) inside their own polygon: odd crossings, holes included."""
-    joined = points.join(edges, "admin").filter((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat")))
+@dataclass
+class EdgeIndex:
+    """Edges by latitude bands of their polygon: ``bands`` (admin, south, height, n_bands) and ``edges`` with the band of each row, an
+    edge in every band that it touches. A polygon has as many bands as it takes to have some ``EDGES`` edges in each."""
+
+    bands: DataFrame
+    edges: DataFrame
+
+
+def edge_index(edges: DataFrame, in_band: int | None = None) -> EdgeIndex:
+    in_band = in_band or EDGES
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    span = edges.groupBy("admin").agg(F.min(low).alias("south"), F.max(high).alias("north"), F.count("*").alias("n"))
+    n = F.ceil(F.col("n") / in_band).cast("int")
+    bands = stored(span.select("admin", "south", F.when(F.col("north") > F.col("south"), (F.col("north") - F.col("south")) / n).otherwise(1.0).alias("height"), n.alias("n_bands")))
+    placed = edges.join(_small(bands), "admin").withColumn("band", F.explode(F.sequence(_band(low), _band(high))))
+    return EdgeIndex(bands, stored(placed.select("admin", "band", "x1", "y1", "x2", "y2")))
+
+
+def _small(table: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A broadcast hint behind a count."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
+def _band(lat: Column) -> Column:
+    """The band of a latitude; what lies beyond the polygon belongs to its outermost bands. Rising with latitude."""
+    return F.greatest(F.lit(0), F.least(F.col("n_bands") - 1, F.floor((lat - F.col("south")) / F.col("height")).cast("int")))
+
+
+def point_in_polygon(points: DataFrame, edges: DataFrame | EdgeIndex, name: str = "site") -> DataFrame:
+    """(site, admin) of points (site, admin, lon, lat) inside their own polygon: odd crossings, holes included.
+
+    A point meets the edges of its own latitude band only: an edge that its parallel crosses is there too.
+    """
+    index = edges if isinstance(edges, EdgeIndex) else edge_index(edges)
+    placed = points.join(_small(index.bands), "admin").withColumn("band", _band(F.col("lat"))).select(name, "admin", "lon", "lat", "band")
+    joined = placed.join(index.edges, ["admin", "band"]).filter((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat")))
     right = F.col("lon") < (F.col("x2") - F.col("x1")) * (F.col("lat") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
     crossed = joined.groupBy(name, "admin").agg(F.sum(right.cast("long")).alias("n"))
     return crossed.filter("n % 2 = 1").select(name, "admin")
 
 
-def distance_to_polygon(points: DataFrame, edges: DataFrame, name: str = "site") -> DataFrame:
-    """(site, admin, km) to the nearest border of the point's own polygon, 0 inside."""
+def _to_edge() -> Column:
+    """Kilometres from (lon, lat) to the edge (x1, y1, x2, y2), on a plane at the point."""
     scale = F.cos(F.radians("lat")) * KM_PER_DEGREE
-    joined = points.join(edges, "admin")
     ax, ay = (F.col("x1") - F.col("lon")) * scale, (F.col("y1") - F.col("lat")) * KM_PER_DEGREE
-    bx, by = (F.col("x2") - F.col("lon")) * scale, (F.col("y2") - F.col("lat")) * KM_PER_DEGREE
-    rows = joined.select(name, "admin", ax.alias("ax"), ay.alias("ay"), (bx - ax).alias("dx"), (by - ay).alias("dy"))
-    size = F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")
-    t = F.when(size == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(F.col("ax") * F.col("dx") + F.col("ay") * F.col("dy")) / size)))
-    km = F.hypot(F.col("ax") + t * F.col("dx"), F.col("ay") + t * F.col("dy"))
-    near = rows.groupBy(name, "admin").agg(F.min(km).alias("km"))
-    inside = point_in_polygon(points, edges, name).withColumn("_in", F.lit(True))
-    return near.join(inside, [name, "admin"], "left").select(name, "admin", F.when(F.col("_in"), 0.0).otherwise(F.col("km")).alias("km"))
+    dx, dy = (F.col("x2") - F.col("x1")) * scale, (F.col("y2") - F.col("y1")) * KM_PER_DEGREE
+    size = dx * dx + dy * dy
+    t = F.when(size == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(ax * dx + ay * dy) / size)))
+    return F.hypot(ax + t * dx, ay + t * dy)
+
+
+def distance_to_polygon(points: DataFrame, edges: DataFrame | EdgeIndex, name: str = "site") -> DataFrame:
+    """(site, admin, km) to the nearest border of the point's own polygon, 0 inside.
+
+    Points outside look at their own band, then at one more on either side, then at two more, four more and so on, until the nearest
+    edge found is nearer than the next band. A round is a table, so plans don't grow; there are as many as the logarithm of the bands.
+    """
+    index = edges if isinstance(edges, EdgeIndex) else edge_index(edges)
+    inside = point_in_polygon(points, index, name).withColumn("_in", F.lit(True))
+    known = points.join(_small(index.bands), "admin")
+    state = stored(known.join(inside, [name, "admin"], "left").withColumn("km", F.when(F.col("_in"), F.lit(0.0))).drop("_in").withColumn("band", _band(F.col("lat"))))
+    done = state.filter("km is not null").select(name, "admin", "km")
+    state, seen, reach = state.filter("km is null"), -1, 0
+    while not state.isEmpty():
+        new = F.filter(F.sequence(F.greatest(F.col("band") - reach, F.lit(0)), F.least(F.col("band") + reach, F.col("n_bands") - 1)), lambda b: F.abs(b - F.col("band")) > seen)  # noqa: B023
+        asked = state.select(name, "admin", "lon", "lat", F.explode(new).alias("band"))
+        near = asked.join(index.edges, ["admin", "band"]).groupBy(name, "admin").agg(F.min(_to_edge()).alias("_km"))
+        known = state.join(near, [name, "admin"], "left").withColumn("km", F.least("km", "_km")).drop("_km")
+        # how far the nearest band not yet looked at is
+        below = F.when(F.col("band") - reach > 0, F.col("lat") - (F.col("south") + (F.col("band") - reach) * F.col("height")))
+        above = F.when(F.col("band") + reach < F.col("n_bands") - 1, F.col("south") + (F.col("band") + reach + 1) * F.col("height") - F.col("lat"))
+        gap = F.least(below, above) * KM_PER_DEGREE
+        known = stored(known.withColumn("_settled", F.coalesce(F.col("km") <= gap, gap.isNull())))
+        done = done.unionByName(known.filter("_settled").select(name, "admin", "km"))
+        state, seen, reach = known.filter("not _settled").drop("_settled"), reach, max(1, 2 * reach)
+    return done
 
 
-def check_site(points: DataFrame, edges: DataFrame, tolerance_km: float = 10.0, name: str = "site") -> DataFrame:
+def check_site(points: DataFrame, edges: DataFrame | EdgeIndex, tolerance_km: float = 10.0, name: str = "site") -> DataFrame:
     """(site, verdict, fix): inside, near, outside or unknown; for outside the single edit that lands inside."""
+    edges = edges if isinstance(edges, EdgeIndex) else edge_index(edges)
     variants = F.array(
         F.struct(F.lit("as given").alias("edit"), F.col("lon").alias("x"), F.col("lat").alias("y")),
         F.struct(F.lit("latitude sign").alias("edit"), F.col("lon").alias("x"), (-F.col("lat")).alias("y")),

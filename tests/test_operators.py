@@ -378,3 +378,35 @@ def test_resolution_keeps_long_names(spark):
     name = "n" * 3000
     df = spark.createDataFrame([(name, "ACGTACGT")], "name string, seq string")
     assert curation.exact_resolve(df.withColumn("name", F.lit("q")), df, 8).first().names == [name]
+
+
+def test_places_by_bands_equal_every_edge(spark, monkeypatch):
+    import math
+
+    rng = random.Random(8)
+    rings = {}
+    for admin in "ABC":
+        n = rng.choice([5, 90, 150])
+        rings[admin] = [(20 * math.cos(2 * math.pi * k / n) * rng.uniform(0.4, 1), 15 * math.sin(2 * math.pi * k / n) * rng.uniform(0.4, 1) + 30) for k in range(n)]
+    edges = [(a, *p, *q) for a, ring in rings.items() for p, q in zip(ring, [*ring[1:], ring[0]])]
+    points = [(k, rng.choice("ABCX"), rng.uniform(-40, 40), rng.uniform(-5, 65)) for k in range(120)]
+
+    def by_hand(x, y, own):
+        odd = sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for x1, y1, x2, y2 in own) % 2
+        if odd:
+            return 0.0
+        s, best = math.cos(math.radians(y)) * geo.KM_PER_DEGREE, math.inf
+        for x1, y1, x2, y2 in own:
+            ax, ay, dx, dy = (x1 - x) * s, (y1 - y) * geo.KM_PER_DEGREE, (x2 - x1) * s, (y2 - y1) * geo.KM_PER_DEGREE
+            t = max(0.0, min(1.0, -(ax * dx + ay * dy) / (dx * dx + dy * dy)))
+            best = min(best, math.hypot(ax + t * dx, ay + t * dy))
+        return best
+
+    monkeypatch.setattr(geo, "EDGES", 4)
+    rows, lines = spark.createDataFrame(points, "site int, admin string, lon double, lat double"), spark.createDataFrame(edges, "admin string, x1 double, y1 double, x2 double, y2 double")
+    got = {r.site: r.km for r in geo.distance_to_polygon(rows, lines).collect()}
+    want = {k: by_hand(x, y, [e[1:] for e in edges if e[0] == a]) for k, a, x, y in points if a != "X"}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want) and 0 in got.values()
+    # what a point meets is bounded by its band
+    index = geo.edge_index(lines)
+    assert index.edges.groupBy("admin", "band").count().agg(F.max("count")).first()[0] < 40
