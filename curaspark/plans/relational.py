@@ -637,6 +637,21 @@ def due_actions(spark, d):
     return ledger.due_actions(t(spark, d, "v_ledger"), F.lit("2024-03-20 00:00:00").cast("timestamp"), 72, 60)
 
 
+_DUE = QUERIES["due_actions"][1]
+
+
+def due_actions_stream(spark, d):
+    """The same from a stream: the ledger in shuffled files, timers up to the same point in time, the last told of each submission."""
+    from curaspark.streaming import ledger as stream
+
+    with stream.with_timers(spark):
+        told = stream.replay(t(spark, d, "v_ledger"), lambda events, delay: stream.due_actions_stream(events, 72, 60, delay), 6, "2024-03-20 00:00:00", "40 days")
+    return told.groupBy("submission").agg(F.max_by("action", F.struct("as_of", "turn")).alias("action")).filter("action is not null")
+
+
+QUERIES["due_actions_stream"] = (due_actions_stream, _DUE)
+
+
 @query("""WITH RECURSIVE e AS (SELECT submission, row_number() OVER (PARTITION BY submission ORDER BY "at", seq) AS i, CASE kind WHEN 'received' THEN 'received' WHEN 'in_review' THEN 'in_review' WHEN 'approve' THEN 'approved' WHEN 'hold' THEN 'held' ELSE 'withdrawn' END AS t, kind FROM {v_ledger}),
 s AS (SELECT submission, 0 AS i, 'received' AS state, 0 AS refused FROM (SELECT DISTINCT submission FROM e)
  UNION ALL SELECT s.submission, e.i, CASE WHEN ok THEN e.t ELSE s.state END, s.refused + CASE WHEN ok OR e.t = s.state OR e.kind = 'received' THEN 0 ELSE 1 END FROM s JOIN e ON e.submission = s.submission AND e.i = s.i + 1,
