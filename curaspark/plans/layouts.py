@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from curaspark.functions import sql
 from curaspark.operators import cells
+from curaspark.operators.shared import shared_folder
 from curaspark.plans import scalars
 from curaspark.plans.relational import _papers, t
 from curaspark.plans.views import oracle
+from curaspark.sources import store
 
 QUERIES: dict = {}
 
@@ -74,3 +76,18 @@ def carve_layout(spark, d):
     pages = rows.groupBy("doc").agg(body.alias("body")).select("doc", F.concat(head, "body", F.lit("\nRemarks\nProse behind.\n\f\nTwo  cells\nare  no table")).alias("text"))
     lines = pages.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     return cells.carve_layout(lines).withColumn("row", F.col("row").cast("long"))
+
+
+# ---- sources ----
+
+
+@query("""WITH p AS (SELECT p_partkey % 4 AS file, row_number() OVER (PARTITION BY p_partkey % 4 ORDER BY p_partkey) - 1 AS row, p_partkey, p_name, p_size, p_brand FROM {part})
+SELECT file, row, col, CASE col WHEN 0 THEN 'P' || p_partkey WHEN 1 THEN p_name || ', "' || p_size || '"' || chr(10) || 'more' ELSE p_brand END AS value FROM p CROSS JOIN (SELECT unnest([0, 1, 2]) AS col)""")
+def scan_supplement(spark, d):
+    """Quoted cells with delimiters, quotes and line ends, from files that are cut for their tasks."""
+    folder = shared_folder(spark)
+    quoted = F.concat(F.lit('"'), "p_name", F.lit(', ""'), "p_size", F.lit('""\nmore"'))
+    rows = t(spark, d, "part").select((F.col("p_partkey") % 4).alias("file"), "p_partkey", F.concat_ws(",", F.concat(F.lit("P"), "p_partkey"), quoted, F.col("p_brand")).alias("value"))
+    rows.repartition("file").sortWithinPartitions("file", "p_partkey").select("file", "value").write.partitionBy("file").text(folder)
+    cells_ = store.scan_cells(spark, folder)
+    return cells_.select(F.regexp_extract("document", r"file=(\d+)", 1).cast("long").alias("file"), F.col("row").cast("long").alias("row"), F.col("column").alias("col"), "value")

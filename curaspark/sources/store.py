@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from curaspark.spec import SPECS, TableSpec
 
@@ -89,18 +92,43 @@ def to_fasta(lineages: DataFrame, prefix: str = "P", width: int = 60) -> DataFra
 
 
 def scan_genbank(spark: SparkSession, path: str) -> DataFrame:
-    """(accession, version, length, definition, organism, host, sequence) of flat-file records."""
+    """A row for each flat-file record; one large file is read by all tasks, cut between records.
+
+    accession, version, length, definition, organism, host and sequence are single values (the first); organelle, strain and
+    isolate too. keywords and references (title, journal, pubmed) are arrays, dblink a map; features has every (kind, location)
+    and qualifiers every (key, value), repeated ones too, lines of one value joined.
+    """
     raw = spark.read.option("lineSep", "\n//").text(path).filter(F.col("value").contains("LOCUS"))
+    flat = lambda c: F.regexp_replace(F.trim(c), r"\s+", " ")
     get = lambda pattern: F.trim(F.regexp_extract("value", pattern, 1))
     letters = F.regexp_extract("value", r"(?s)\nORIGIN[^\n]*\n(.*)$", 1)
-    return raw.select(
+    # a value may run over lines; the next field begins in column 0
+    block = lambda name: F.regexp_extract("value", rf"(?s)\n{name}\s+(.*?)\n(?=[A-Z/]|$)", 1)
+    found = F.regexp_extract_all("value", F.lit(r'(?s)\n {21}/(\w+="[^"]*"|\w+=[^\n"]+|\w+)'), F.lit(1))
+    pair = lambda q: F.struct(F.regexp_extract(q, r"^(\w+)", 1).alias("key"), flat(F.regexp_extract(q, r'(?s)^\w+="?([^"]*)"?$', 1)).alias("value"))
+    features = F.regexp_extract_all("value", F.lit(r"\n {5}(\S+ +\S+(?:\n {21}[^/\s]\S*)*)"), F.lit(1))
+    feature = lambda f: F.struct(F.regexp_extract(f, r"^(\S+)", 1).alias("kind"), F.regexp_replace(F.regexp_extract(f, r"(?s)^\S+ +(.*)$", 1), r"\s", "").alias("location"))
+    papers = F.regexp_extract_all("value", F.lit(r"(?s)\nREFERENCE (.*?)(?=\n[A-Z/]|$)"), F.lit(1))
+    within = lambda r, name: flat(F.regexp_extract(r, rf"(?s)\n  *{name} +(.*?)(?=\n {{1,9}}[A-Z]|$)", 1))
+    paper = lambda r: F.struct(within(r, "TITLE").alias("title"), within(r, "JOURNAL").alias("journal"), within(r, "PUBMED").alias("pubmed"))
+    words = lambda c, by: F.filter(F.transform(F.split(c, by), lambda w: F.trim(w)), lambda w: w != "")
+    links = F.filter(F.transform(F.split(block("DBLINK"), "\n"), lambda w: F.trim(w)), lambda w: w.contains(":"))
+    first = lambda key: F.coalesce(F.get(F.transform(F.filter("qualifiers", lambda q: q["key"] == key), lambda q: q["value"]), 0), F.lit(""))
+    read = raw.select("value", F.transform(found, pair).alias("qualifiers"))
+    return read.select(
         get(r"\nACCESSION\s+(\S+)").alias("accession"),
         get(r"\nVERSION\s+(\S+)").alias("version"),
         get(r"LOCUS\s+\S+\s+(\d+) bp").try_cast("int").alias("length"),
-        F.regexp_replace(get(r"(?s)\nDEFINITION\s+(.*?)\n[A-Z]"), r"\s+", " ").alias("definition"),
+        flat(block("DEFINITION")).alias("definition"),
         get(r"\n\s+ORGANISM\s+([^\n]+)").alias("organism"),
-        get(r'/host="([^"]+)"').alias("host"),
+        F.when(first("host") != "", first("host")).otherwise(get(r'/host="([^"]+)"')).alias("host"),
         F.upper(F.regexp_replace(letters, r"[^A-Za-z]", "")).alias("sequence"),
+        *[first(k).alias(k) for k in ("organelle", "strain", "isolate")],
+        words(F.regexp_replace(flat(block("KEYWORDS")), r"[.]$", ""), ";").alias("keywords"),
+        F.transform(papers, paper).alias("references"),
+        F.map_from_entries(F.transform(links, lambda w: F.struct(F.trim(F.substring_index(w, ":", 1)).alias("k"), F.trim(F.regexp_replace(w, "^[^:]*:", "")).alias("v")))).alias("dblink"),
+        F.transform(features, feature).alias("features"),
+        "qualifiers",
     )
 
 
@@ -114,9 +142,34 @@ def scan_polygons(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_cells(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """(document, row, column, value) of delimited tables of any shape."""
-    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("document"), F.posexplode(F.split("value", r"\r?\n")).alias("row", "line")).filter("line <> ''")
-    return lines.select("document", "row", F.posexplode(F.split("line", delimiter)).alias("column", "value"))
+    """(document, row, column, value) of delimited tables of any shape, rows counted from 0, blank ones left out.
+
+    A quoted value may hold delimiters, doubled quotes and line ends, and a file is cut for its tasks wherever its splits
+    fall: whether a line begins inside quotes follows from the number of quotes before it, which is summed within
+    each split and then over the splits, of which a file has few. Nothing is read whole. A quote always opens or closes.
+    """
+    split = ["document", "_split"]
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("document"), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_at"), F.regexp_replace("value", "^\ufeff", "").alias("line")
+    )
+    lines = lines.withColumn("_quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))))
+    inside = Window.partitionBy(*split).orderBy("_at")
+
+    def before(rows: DataFrame, count: str) -> DataFrame:
+        """By split, the sum of a count over the splits of the file before it."""
+        summed = rows.groupBy(*split).agg(F.sum(count).alias("_n"))
+        earlier = F.sum("_n").over(Window.partitionBy("document").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1))
+        return summed.select(*split, F.coalesce(earlier, F.lit(0)).alias(f"{count}_before"))
+
+    here = F.coalesce(F.sum("_quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = lines.join(before(lines, "_quotes"), split).withColumn("_begins", ((F.col("_quotes_before") + here) % 2 == 0).cast("int"))
+    numbered = marked.join(before(marked, "_begins"), split).withColumn("row", F.col("_begins_before") + F.sum("_begins").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_split", "_at", "line"))), lambda x: x["line"]), "\n")
+    records = numbered.groupBy("document", "row").agg(whole.alias("record")).filter("trim(record) <> ''")
+    d = re.escape(delimiter)
+    fields = F.regexp_extract_all(F.concat(F.lit(delimiter), "record"), F.lit(rf'{d}("[^"]*+(?:""[^"]*+)*+"[^{d}]*|[^{d}]*)'), F.lit(1))
+    plain = F.transform(fields, lambda f: F.when(f.startswith('"'), F.replace(F.regexp_replace(f, r'(?s)^"(.*)"([^"]*)$', "$1$2"), F.lit('""'), F.lit('"'))).otherwise(f))
+    return records.select("document", F.col("row").cast("int").alias("row"), F.posexplode(plain).alias("column", "value"))
 
 
 def table_payload(df: DataFrame, columns: list[str], chunk_rows: int = 10_000) -> DataFrame:

@@ -50,3 +50,43 @@ def test_polygons_cells_and_feeds(spark, tmp_path):
     a = spark.createDataFrame([(1, "x")], "v int, at string")
     assert not store.feed_changed(a, a.withColumn("at", F.lit("y")), "at") and store.feed_changed(a, a.withColumn("v", F.lit(2)), "at")
     assert store.table_payload(a, ["v", "at"]).first().payload == '[["1","x"]]'
+
+
+def test_cells_of_a_file_cut_anywhere(spark, tmp_path):
+    import csv
+    import io
+    import random
+
+    rng = random.Random(4)
+    rows = [[rng.choice(["", "a", 'say "x"', "one,two", "line\nbreak", "é\n\n,\"\"", '"']) for _ in range(rng.randrange(1, 5))] for _ in range(60)]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(rows)
+    path = tmp_path / "t.csv"
+    path.write_text("\ufeff" + out.getvalue(), encoding="utf-8")
+    read = list(csv.reader(io.StringIO(out.getvalue())))
+    wanted = {(r, c, v) for r, row in enumerate(read) for c, v in enumerate(row)}
+    name = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(name)
+    try:
+        for size in ("13", "50", "100000"):
+            spark.conf.set(name, size)
+            got = store.scan_cells(spark, str(path))
+            found = {(r.row, r.column, r.value) for r in got.collect()}
+            assert found == wanted, (size, sorted(found - wanted)[:3], sorted(wanted - found)[:3])
+    finally:
+        spark.conf.set(name, was)
+
+
+def test_flat_files_with_repeated_values(spark, tmp_path):
+    flat = tmp_path / "b.gb"
+    flat.write_text(
+        "LOCUS       AB2 9 bp DNA\nDEFINITION  One\n            two.\nACCESSION   AB2\nVERSION     AB2.1\nDBLINK      BioProject: PRJ1\n            BioSample: SAM2\nKEYWORDS    first; second\n            part.\n"
+        "SOURCE      mitochondrion X\n  ORGANISM  Plasmodium y\nREFERENCE   1  (bases 1 to 9)\n  AUTHORS   A,B.\n  TITLE     A long\n            title\n  JOURNAL   J. X\n   PUBMED   123\n"
+        "REFERENCE   2\n  TITLE     Direct Submission\nFEATURES             Location/Qualifiers\n     source          1..9\n                     /organism=\"Plasmodium y\"\n                     /organelle=\"mitochondrion\"\n"
+        "                     /host=\"Corvus\n                     corax\"\n                     /db_xref=\"taxon:1\"\n                     /db_xref=\"B:2\"\n     CDS             complement(join(1..3,\n                     5..9))\n                     /codon_start=1\nORIGIN\n        1 acgtacgta\n//\n"
+    )
+    r = store.scan_genbank(spark, str(flat)).first()
+    assert (r.definition, r.host, r.organelle, r.strain, r.keywords, r.dblink) == ("One two.", "Corvus corax", "mitochondrion", "", ["first", "second part"], {"BioProject": "PRJ1", "BioSample": "SAM2"})
+    assert [tuple(x) for x in r.references] == [("A long title", "J. X", "123"), ("Direct Submission", "", "")]
+    assert [tuple(x) for x in r.features] == [("source", "1..9"), ("CDS", "complement(join(1..3,5..9))")]
+    assert [q.value for q in r.qualifiers if q.key == "db_xref"] == ["taxon:1", "B:2"] and ("codon_start", "1") in [tuple(q) for q in r.qualifiers]
