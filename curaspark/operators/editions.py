@@ -108,11 +108,12 @@ def release_warnings(store: dict[str, DataFrame], width: int) -> DataFrame:
     )
 
 
-def build_release(store: dict[str, DataFrame], gate: DataFrame, summary: DataFrame, width: int) -> dict[str, DataFrame]:
-    """Gate, summary, public tables and warnings; a refused source keeps its rows out of every public table."""
+def build_release(store: dict[str, DataFrame], gate: DataFrame, summary, width: int) -> dict[str, DataFrame]:
+    """Gate, summary, public tables and warnings; a refused source keeps its rows out of every public table and out of the
+    summary, which ``summary`` makes of the public tables."""
     open_sources = gate.filter("verdict in ('exempt', 'publishing')").select(F.col("source").alias("_source"))
     public = {name: df.join(open_sources, "_source", "left_semi").drop("_source", "_added") if "_source" in df.columns else df for name, df in store.items()}
-    return {"gate": gate, "summary": summary, **public, "warnings": release_warnings(public, width)}
+    return {"gate": gate, "summary": summary(public), **public, "warnings": release_warnings(public, width)}
 
 
 def no_sequence(lineages: DataFrame, column: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -95,3 +95,54 @@ def unusual_bases(queries: DataFrame, profile: DataFrame, rare: float = 0.01, na
     joined = cells.join(profile, "position")
     kind = F.when((own == 0) & (kinds == 1), "changes an invariant site").when(own == 0, "never seen").when((own + 1) / (total + 4) < rare, "rare")
     return joined.select(name, F.col("position").cast("long").alias("position"), "base", kind.alias("kind")).filter("kind is not null")
+
+
+def local_hits(queries: DataFrame, references: DataFrame, k: int = 12, match: int = 1, mismatch: int = 2, drop: int = 20) -> DataFrame:
+    """(query, strand, name, offset, matches, length, score): ungapped alignments of sequences of any length (name, seq), seeded by common k-mers.
+
+    References of one text are one reference, told with its smallest name. Queries are cut into k-mers side by side, references into all
+    of theirs, so an exact stretch of 2k - 1 bases has a seed; seeds of one diagonal are one extension. It runs along the
+    diagonal and keeps the best stretch: a stretch ends where its score falls below zero or by more than ``drop`` from its best.
+    """
+    texts = references.select(F.upper("seq").alias("seq"), "name").groupBy("seq").agg(F.min("name").alias("name"))
+    index = kmers(texts, "name", "seq", k).select("kmer", "name", F.col("pos").alias("at"))
+    asked = both_strands(queries, "name", "seq")
+    own = kmers(asked.withColumn("_id", F.struct("name", "strand")), "_id", "seq", k, step=k)
+    seeds = own.join(index, "kmer").select(F.col("_id.name").alias("query"), F.col("_id.strand").alias("strand"), "name", (F.col("at") - F.col("pos")).alias("offset")).distinct()
+    pairs = seeds.join(asked.select(F.col("name").alias("query"), "strand", F.col("seq").alias("q")), ["query", "strand"]).join(texts.select("name", F.col("seq").alias("r")), "name")
+    first = F.greatest(F.lit(0), F.col("offset")).cast("int")
+    width = (F.least(F.length("r"), F.length("q") + F.col("offset")) - first).cast("int")
+    steps = F.zip_with(F.split(F.substring("q", first - F.col("offset").cast("int") + 1, width), ""), F.split(F.substring("r", first + 1, width), ""), lambda a, b: F.when((a == b) & a.isin(*"ACGT"), 1).otherwise(0))
+    zero = F.lit(0)
+    nothing = F.struct(*[zero.alias(n) for n in ("score", "length", "matches", "peak", "best", "best_length", "best_matches")])
+
+    def step(s: Column, hit: Column) -> Column:
+        score = s["score"] + F.when(hit == 1, match).otherwise(-mismatch)
+        ended = (score < 0) | (score < s["peak"] - drop)
+        now, length, matches = F.when(ended, 0).otherwise(score), F.when(ended, 0).otherwise(s["length"] + 1), F.when(ended, 0).otherwise(s["matches"] + hit)
+        better = now > s["best"]
+        kept = lambda new, old: F.when(better, new).otherwise(s[old])
+        return F.struct(now.alias("score"), length.alias("length"), matches.alias("matches"), F.when(ended, 0).otherwise(F.greatest(s["peak"], score)).alias("peak"), kept(now, "best").alias("best"), kept(length, "best_length").alias("best_length"), kept(matches, "best_matches").alias("best_matches"))
+
+    run = pairs.select("query", "strand", "name", "offset", F.aggregate(steps, nothing, step).alias("x"))
+    return run.select("query", "strand", "name", "offset", F.col("x.best_matches").alias("matches"), F.col("x.best_length").alias("length"), F.col("x.best").alias("score"))
+
+
+def novelty_vs_db(candidates: DataFrame, references: DataFrame, identity: float = 0.9, least: int = 200, shortest: int = 28, k: int = 12) -> DataFrame:
+    """(name, paper, verdict, lineage, identity, length): candidates (name, seq, paper) against a store (name, seq).
+
+    The best hit of a candidate has the highest identity, then the greatest length, then the smallest name, among those of at least ``identity``
+    over ``shortest`` bases. known if it is identical over ``least`` bases or more, else novel; no hit without one.
+    """
+    hits = local_hits(candidates.select("name", "seq"), references, k).withColumn("identity", F.col("matches") / F.col("length"))
+    good = hits.filter((F.col("identity") >= identity) & (F.col("length") >= shortest))
+    best = good.groupBy(F.col("query").alias("name")).agg(F.min(F.struct((-F.col("identity")).alias("i"), (-F.col("length")).alias("l"), F.col("name").alias("n"))).alias("b"))
+    joined = candidates.select("name", "paper").join(best, "name", "left")
+    verdict = F.when(F.col("b").isNull(), "no hit").when((F.col("b.i") == -1) & (-F.col("b.l") >= least), "known").otherwise("novel")
+    return joined.select("name", "paper", verdict.alias("verdict"), F.col("b.n").alias("lineage"), (-F.col("b.i")).alias("identity"), (-F.col("b.l")).cast("long").alias("length"))
+
+
+def novelty_by_paper(verdicts: DataFrame) -> DataFrame:
+    """(paper, known, novel, no_hit, names): what each paper brings, with the candidates that a curator has to look at."""
+    n = lambda v: F.count(F.when(F.col("verdict") == v, 1))
+    return verdicts.groupBy("paper").agg(n("known").alias("known"), n("novel").alias("novel"), n("no hit").alias("no_hit"), F.array_sort(F.collect_list(F.when(F.col("verdict") != "known", F.col("name")))).alias("names"))

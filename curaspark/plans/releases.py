@@ -79,6 +79,8 @@ p AS (SELECT h.* FROM h LEFT JOIN a ON source = CAST(a.submission AS VARCHAR) WH
 
 @query(f"""WITH {_GATE}, r AS (SELECT 'table host_records' AS item, count(*) AS n FROM p UNION ALL SELECT 'table lineages', count(*) FROM {{v_lin_curr}} UNION ALL SELECT 'table references', count(*) FROM {{v_references}}
 UNION ALL SELECT 'table summary', count(*) FROM {{v_lineages}} UNION ALL SELECT 'table gate', count(DISTINCT source) FROM h
+UNION ALL SELECT 'tally SUM_HOST', count(*) FROM (SELECT DISTINCT LINEAGE_NAME, p.GENUS_NAME, p.SPECIES_NAME FROM p JOIN {{v_lineages}} l USING (LINEAGE_NAME) WHERE p.SPECIES_NAME <> '')
+UNION ALL SELECT 'tally SUM_GENUS', count(*) FROM (SELECT DISTINCT LINEAGE_NAME, p.GENUS_NAME FROM p JOIN {{v_lineages}} l USING (LINEAGE_NAME)) UNION ALL SELECT 'tally SUM_FAMILY', count(*) FROM (SELECT DISTINCT LINEAGE_NAME, FAMILY_NAME FROM p JOIN {{v_lineages}} l USING (LINEAGE_NAME)) UNION ALL SELECT 'tally SUM_ORDER', count(*) FROM (SELECT DISTINCT LINEAGE_NAME, ORDER_NAME FROM p JOIN {{v_lineages}} l USING (LINEAGE_NAME))
 UNION ALL SELECT 'warning no sequence', count(*) FROM {{v_lin_curr}} WHERE SEQUENCE = '' UNION ALL SELECT 'warning odd length', count(*) FROM {{v_lin_curr}} WHERE SEQUENCE <> '' AND length(SEQUENCE) <> 24
 UNION ALL SELECT 'warning duplicate name', count(*) FROM (SELECT LINEAGE_NAME FROM {{v_lin_curr}} GROUP BY 1 HAVING count(*) > 1)
 UNION ALL SELECT 'warning natural key repeated', count(*) FROM (SELECT {_K} FROM p GROUP BY ALL HAVING count(*) > 1)
@@ -90,10 +92,13 @@ def build_release(spark, d):
     last = t(spark, d, "v_ledger").groupBy("submission").agg(F.max_by("kind", F.struct("at", "seq")).alias("kind"))
     states = last.select("submission", F.when(F.col("kind") == "approve", "approved").otherwise("open").alias("state"))
     gate = curation.release_gate(store["host_records"].groupBy(F.col("_source").alias("source")).agg(F.count("*").alias("n_rows")), states, "seed")
-    lineages, hosts, vectors, regions = t(spark, d, "v_lineages", "v_hosts", "v_vectors", "v_region_map")
-    release = editions.build_release(store, gate, summary.lineage_summary(lineages.drop("p_partkey"), hosts, vectors, regions, _REGION_COLUMNS, "building"), 24)
+    lineages, vectors, regions = t(spark, d, "v_lineages", "v_vectors", "v_region_map")
+    summed = lambda public: summary.lineage_summary(lineages.drop("p_partkey"), public["host_records"], vectors, regions, _REGION_COLUMNS, "building")
+    release = editions.build_release(store, gate, summed, 24)
+    tallies = release["summary"].agg(*[F.sum(F.coalesce(F.col(c).try_cast("long"), F.lit(0))).alias(c) for c in ("SUM_HOST", "SUM_GENUS", "SUM_FAMILY", "SUM_ORDER")])
+    tallies = tallies.select(F.explode(F.array(*[F.struct(F.lit(f"tally {c}").alias("item"), F.col(c).alias("n")) for c in tallies.columns])).alias("x")).select("x.*")
     tables = editions.counted({f"table {name}": df for name, df in release.items() if name != "warnings"})
-    return tables.withColumnRenamed("check", "item").union(release["warnings"].select(F.concat(F.lit("warning "), "check").alias("item"), "n"))
+    return tables.withColumnRenamed("check", "item").union(tallies).union(release["warnings"].select(F.concat(F.lit("warning "), "check").alias("item"), "n"))
 
 
 @query("""SELECT 'LIN-' || lpad(CAST(row_number() OVER (ORDER BY LINEAGE_NAME, SPECIES_NAME, SEQ_LENGTH) AS VARCHAR), 6, '0') AS RECORD_ID, LINEAGE_NAME, SPECIES_NAME, 'seed' AS _source, '2026-01' AS _added FROM {v_lineages}

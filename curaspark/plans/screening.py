@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from curaspark.functions import sequences as S
 from curaspark.operators import cells, checks, ledger, sequences, windows
 from curaspark.operators.checks import Check
 from curaspark.plans.relational import t
@@ -285,3 +286,34 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql for name, (_, sql) in QUERIES.items()}
+
+
+# ---- candidates and figures ----
+
+_CODE = "substr('FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG', CAST(16 * (instr('TCAG', substr({0}, 1, 1)) - 1) + 4 * (instr('TCAG', substr({0}, 2, 1)) - 1) + instr('TCAG', substr({0}, 3, 1)) AS INT), 1)"
+
+
+@query("""SELECT 'N' || vec_id || CASE variant WHEN 1 THEN 'a' ELSE 'b' END AS name, 'R' || (vec_id % 20) AS paper, CASE WHEN vec_id % 2 = 1 THEN 'no hit' WHEN variant = 1 THEN 'known' ELSE 'novel' END AS verdict,
+CASE WHEN vec_id % 2 = 0 THEN 'V' || vec_id END AS lineage, CASE WHEN vec_id % 2 = 0 THEN CASE variant WHEN 1 THEN 1.0 ELSE 63 / 64.0 END END AS identity, CASE WHEN vec_id % 2 = 0 THEN CAST(64 AS BIGINT) END AS length FROM {v_sequences} WHERE variant IN (1, 3)""")
+def novelty_vs_db(spark, d):
+    """Whole copies and copies with one base changed, some of them reversed, against every second vector's sequence."""
+    rows = t(spark, d, "v_sequences")
+    store = rows.filter("variant = 0 and vec_id % 2 = 0").select(F.concat(F.lit("V"), "vec_id").alias("name"), "seq")
+    name = F.concat(F.lit("N"), "vec_id", F.when(F.col("variant") == 1, "a").otherwise("b"))
+    turned = F.when(F.col("vec_id") % 3 == 0, S.reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
+    found = rows.filter("variant in (1, 3)").select(name.alias("name"), turned.alias("seq"), F.concat(F.lit("R"), F.col("vec_id") % 20).alias("paper"))
+    return windows.novelty_vs_db(found, store, least=60)
+
+
+@query(f"""WITH s AS (SELECT vec_id, variant, seq FROM {{v_sequences}}), p AS (SELECT a.vec_id, a.seq AS q, b.seq AS n, substr(a.seq, 10, 1) AS x, substr(b.seq, 10, 1) AS y FROM s a JOIN s b ON a.vec_id = b.vec_id AND a.variant = 3 AND b.variant = 0),
+c AS (SELECT *, {_CODE.format("substr(q, 10, 3)")} AS now, {_CODE.format("substr(n, 10, 3)")} AS was FROM p), k AS (SELECT substr(seq, 10, 1) AS x, vec_id % 3 AS g FROM s WHERE variant = 0)
+SELECT 'V' || vec_id || '_3' AS label, 10 AS position, 1 AS codon_position, x AS query_base, y AS nearest_base, CASE WHEN now <> was THEN 'nonsynonymous' WHEN x || y IN ('AG', 'GA', 'CT', 'TC') THEN 'transition' ELSE 'transversion' END AS kind,
+CASE WHEN now <> was THEN was || '->' || now END AS amino_acid, (SELECT count(*) FROM k WHERE k.x = c.x) AS carrying, (SELECT count(*) FROM k) AS covering, (SELECT count(*) FROM k WHERE k.x = c.x AND g = 1) AS of_one FROM c""")
+def column_changes(spark, d):
+    """Sequences with one base changed beside the whole one (the nearest) and a part of it."""
+    rows = t(spark, d, "v_sequences")
+    near = rows.filter("variant in (0, 2)").select(F.concat(F.lit("V"), "vec_id", F.lit("_3")).alias("label"), (F.col("variant") + 1).alias("rank"), "name")
+    genus = F.regexp_extract("name", "^V([0-9]+)_", 1).cast("long") % 3
+    whole = rows.filter("variant = 0").select("name", "seq")
+    figures = sequences.alignment_columns(rows.filter("variant = 3").select(F.col("name").alias("label"), "seq"), near.filter("rank = 1"), whole, 64, genus=genus.cast("string"))
+    return figures.withColumn("of_one", F.coalesce(F.element_at("genera", F.lit("1")), F.lit(0))).drop("share", "rare", "genera")

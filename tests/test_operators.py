@@ -410,3 +410,36 @@ def test_places_by_bands_equal_every_edge(spark, monkeypatch):
     # what a point meets is bounded by its band
     index = geo.edge_index(lines)
     assert index.edges.groupBy("admin", "band").count().agg(F.max("count")).first()[0] < 40
+
+
+def test_novelty_of_candidates_of_any_length(spark):
+    from curaspark.functions.sequences import reverse_complement
+    from curaspark.operators import windows
+
+    rng = random.Random(11)
+    dna = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    store = {"L1": dna(479), "L2": dna(479)}
+    store["L3"] = store["L1"]
+    changed = list(store["L2"][40:400])
+    for k in range(0, 360, 40):
+        changed[k] = "A" if changed[k] != "A" else "C"
+    given = [("same", dna(300) + store["L1"][100:350] + dna(500)), ("short", store["L1"][100:250]), ("near", "".join(changed)), ("none", dna(600)), ("tiny", "ACG"), ("empty", ""), ("lower", store["L2"].lower())]
+    df = spark.createDataFrame([(n, s, "P") for n, s in given], "name string, seq string, paper string")
+    df = df.withColumn("seq", F.when(F.col("name") == "same", reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
+    refs = spark.createDataFrame(list(store.items()), "name string, seq string")
+    found = windows.novelty_vs_db(df, refs)
+    got = {r.name: (r.verdict, r.lineage, r.length) for r in found.collect()}
+    assert {n: v[0] for n, v in got.items()} == {"same": "known", "short": "novel", "near": "novel", "none": "no hit", "tiny": "no hit", "empty": "no hit", "lower": "known"}
+    assert got["same"][1:] == ("L1", 250) or got["same"][2] > 250 and got["same"][1] == "L1"
+    assert got["near"][1] == "L2" and got["lower"] == ("known", "L2", 479)
+    paper = windows.novelty_by_paper(found).first()
+    assert (paper.known, paper.novel, paper.no_hit, paper.names) == (2, 2, 3, ["empty", "near", "none", "short", "tiny"])
+
+
+def test_columns_of_an_alignment(spark):
+    refs = spark.createDataFrame([("P_A", "ATGTGAAAC"), ("H_B", "ATGTGAGAC"), ("H_C", "NTGTGAAA")], "name string, seq string")
+    queries = spark.createDataFrame([("q", "ATATGGAN-"), ("same", "ATGTGAAAC"), ("alone", "ATG")], "label string, seq string")
+    near = spark.createDataFrame([("q", 1, "P_A"), ("q", 2, "H_B"), ("same", 1, "P_A"), ("alone", 1, "gone")], "label string, rank int, name string")
+    rows = sequences.alignment_columns(queries, near, refs, 9, genus=F.substring("name", 1, 1)).orderBy("position").collect()
+    assert [(r.label, r.position, r.codon_position, r.kind, r.amino_acid) for r in rows] == [("q", 3, 3, "nonsynonymous", "M->I"), ("q", 6, 3, "transition", None), ("q", 7, 1, "nodata", None)]
+    assert [(r.carrying, r.covering, r.rare, r.genera) for r in rows] == [(0, 3, True, None), (0, 3, True, None), (2, 3, False, {"H": 1, "P": 1})]
