@@ -86,7 +86,7 @@ def register_offset(rows: DataFrame, name: str, seq: str, reference: Column, mos
     """
 
     def at(shift: Column) -> Column:
-        own = F.substring(F.col(seq), F.greatest(F.lit(1), 1 - shift), F.lit(1 << 20))
+        own = F.substring(F.col(seq), F.greatest(F.lit(1), 1 - shift), F.length(F.col(seq)))
         there = F.substring(reference, F.greatest(F.lit(1), 1 + shift), F.length(own))
         pairs = F.zip_with(F.split(F.substring(own, F.lit(1), F.length(there)), ""), F.split(there, ""), lambda x, y: F.when(x.isin(*"ACGT") & y.isin(*"ACGT"), F.when(x == y, 0).otherwise(1)))
         known = F.filter(pairs, lambda v: v.isNotNull())
