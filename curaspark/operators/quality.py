@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Flags that stop a row, flags that need a look.
-INCOMPLETE = ("lineage_missing", "host_missing", "country_missing")
-REVIEW = ("lineage_not_in_store", "prevalence_inconsistent")
+INCOMPLETE = ("lineage_missing", "host_missing", "vector_missing")
+REVIEW = ("lineage_unresolved", "lineage_not_in_store", "lineage_accession_conflict", "host_not_in_store", "source_reprinted", "prevalence_inconsistent")
+SETTLED = ("resolved", "already_named")
 TIERS = ("incomplete", "review", "confirms", "new")
 
 
@@ -17,33 +18,57 @@ def known_membership(rows: DataFrame, column: str, vocabulary: DataFrame, as_: s
     return rows.join(names, F.col(column) == F.col("_v"), "left").withColumn(as_, F.coalesce("_known", F.lit(False))).drop("_v", "_known")
 
 
-def row_flags(rows: DataFrame, store: DataFrame | None) -> DataFrame:
-    """``rows`` with ``flags`` and ``tier``. Nothing is dropped; without a store its checks are skipped."""
+def held_by_others(rows: DataFrame, table: DataFrame, key: list[str], value: str, as_: str) -> DataFrame:
+    """``rows`` with a boolean: whether ``table`` has the row's key under another value than the row's own.
+
+    A key's smallest and largest value tell that, so no set of values is gathered, however many a key has. Blank values of the
+    table are none; a row without a key is never held.
+    """
+    ends = table.filter(F.col(value) != "").groupBy(*key).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    other = lambda end: F.coalesce(F.col(end) != F.col(value), F.col(end).isNotNull())
+    return rows.join(ends, key, "left").withColumn(as_, other("_low") | other("_high")).drop("_low", "_high")
+
+
+def row_flags(rows: DataFrame, store: DataFrame | None, species: str = "SPECIES_NAME", accessions: DataFrame | None = None) -> DataFrame:
+    """``rows`` with ``flags`` and ``tier``. Nothing is dropped; without a store its checks are skipped.
+
+    Rows of vectors name their column in ``species``; the store's hosts and pairs say nothing about them. ``accessions`` (ACCESSION,
+    LINEAGE_NAME) is what the store files each accession under. Columns lineage_resolution, source_scope and ACCESSION of the rows are
+    looked at if they are there. A null is taken as blank.
+    """
+    have, vectors = set(rows.columns), species == "VECTOR_SPECIES"
+    named = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    unresolved = F.coalesce(~F.col("lineage_resolution").isin(*SETTLED), F.lit(False)) if "lineage_resolution" in have else F.lit(False)
+    looked = []
     if store is not None:
         rows = known_membership(rows, "LINEAGE_NAME", store.select("LINEAGE_NAME"), "_lineage")
-        rows = known_membership(rows, "SPECIES_NAME", store.select("SPECIES_NAME"), "_host")
         rows = known_membership(rows, "COUNTRY_NAME", store.select("COUNTRY_NAME"), "_country")
-        pairs = store.groupBy("LINEAGE_NAME", "SPECIES_NAME").agg(F.collect_set("REFERENCE_NAME").alias("_refs"))
-        rows = rows.join(pairs, ["LINEAGE_NAME", "SPECIES_NAME"], "left")
-        others = F.size(F.array_except(F.coalesce("_refs", F.array().cast("array<string>")), F.array("REFERENCE_NAME")))
-        looked = [
-            F.when((F.col("LINEAGE_NAME") != "") & ~F.col("_lineage"), "lineage_not_in_store"),
-            F.when((F.col("SPECIES_NAME") != "") & ~F.col("_host"), "host_not_in_store"),
-            F.when((F.col("COUNTRY_NAME") != "") & ~F.col("_country"), "country_not_in_store"),
-            F.when((F.col("SPECIES_NAME") != "") & (others > 0), "pair_already_in_store"),
+        looked += [
+            F.when(named("LINEAGE_NAME") & ~unresolved & ~F.col("_lineage"), "lineage_not_in_store"),
+            F.when(named("COUNTRY_NAME") & ~F.col("_country"), "country_not_in_store"),
         ]
-    else:
-        looked = []
+        if not vectors:
+            rows = known_membership(rows, species, store.select(species), "_host")
+            rows = held_by_others(rows, store, ["LINEAGE_NAME", species], "REFERENCE_NAME", "_pair")
+            looked += [
+                F.when(named(species) & ~F.col("_host"), "host_not_in_store"),
+                F.when(named("LINEAGE_NAME") & named(species) & F.col("_pair"), "pair_already_in_store"),
+            ]
+    if accessions is not None and "ACCESSION" in have:
+        rows = held_by_others(rows, accessions.filter("ACCESSION <> ''"), ["ACCESSION"], "LINEAGE_NAME", "_filed")
+        looked.append(F.when(named("LINEAGE_NAME") & F.col("_filed"), "lineage_accession_conflict"))
+    if "source_scope" in have:
+        looked += [F.when(F.col("source_scope") == "reprinted", "source_reprinted"), F.when(F.col("source_scope") == "scope_uncertain", "source_uncertain")]
     own = [
-        F.when(F.col("LINEAGE_NAME") == "", "lineage_missing"),
-        F.when(F.col("SPECIES_NAME") == "", "host_missing"),
-        F.when(F.col("COUNTRY_NAME") == "", "country_missing"),
+        F.when(~named("LINEAGE_NAME"), "lineage_missing").when(unresolved, "lineage_unresolved"),
+        F.when(~named(species), "vector_missing" if vectors else "host_missing"),
+        F.when(~named("COUNTRY_NAME"), "country_missing"),
         F.when(F.col("NUMBER_FOUND") > F.col("NUMBER_TESTED"), "prevalence_inconsistent"),
     ]
     rows = rows.withColumn("flags", F.array_compact(F.array(*own, *looked)))
     has = lambda names: F.arrays_overlap("flags", F.array(*[F.lit(n) for n in names]))
     tier = F.when(has(INCOMPLETE), "incomplete").when(has(REVIEW), "review").when(has(("pair_already_in_store",)), "confirms").otherwise("new")
-    return rows.withColumn("tier", tier).drop("_lineage", "_host", "_country", "_refs")
+    return rows.withColumn("tier", tier).drop("_lineage", "_host", "_country", "_pair", "_filed")
 
 
 def tier_counts(flagged: DataFrame) -> DataFrame:
@@ -55,28 +80,45 @@ def flag_counts(flagged: DataFrame) -> DataFrame:
     return flagged.select(F.explode("flags").alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
 
 
+def known_values(rows: DataFrame, store: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Distinct ``rows`` (key and columns, and how many each was as ``n``) with ``seen``: those columns whose value the key had in the store.
+
+    ``seen`` holds '' where the key itself stands in the store. Both sides meet by (key, column, value), so neither a key with
+    very many values nor one with very many rows ends in one task.
+    """
+
+    def cells(df: DataFrame, *more: str) -> DataFrame:
+        kinds = F.array(F.struct(F.lit("").alias("kind"), F.lit("").alias("value")), *[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in columns])
+        return df.select(key, *more, F.explode(kinds).alias("x")).select(key, *more, "x.*")
+
+    claims = rows.groupBy(key, *columns).agg(F.count("*").alias("n"))
+    there = cells(store.select(key, *columns)).distinct().withColumn("there", F.lit(True))
+    met = cells(claims.withColumn("claim", F.struct(key, *columns, "n")), "claim").join(there, [key, "kind", "value"], "left")
+    return met.groupBy("claim").agg(F.collect_set(F.when(F.col("there"), F.col("kind"))).alias("seen")).select("claim.*", "seen")
+
+
 def host_geo_flag(rows: DataFrame, store: DataFrame) -> DataFrame:
     """(call, n): how a row's order, family and country stand to what its lineage was known from."""
-    known = store.groupBy("LINEAGE_NAME").agg(F.collect_set("ORDER_NAME").alias("_o"), F.collect_set("FAMILY_NAME").alias("_f"), F.collect_set("COUNTRY_NAME").alias("_c"))
-    joined = rows.join(known, "LINEAGE_NAME", "left")
-    new_order, new_family, new_country = (~F.array_contains(s, F.col(c)) for s, c in (("_o", "ORDER_NAME"), ("_f", "FAMILY_NAME"), ("_c", "COUNTRY_NAME")))
+    known = known_values(rows, store, "LINEAGE_NAME", ["ORDER_NAME", "FAMILY_NAME", "COUNTRY_NAME"])
+    breadth = store.groupBy("LINEAGE_NAME").agg(F.min("ORDER_NAME").alias("_low"), F.max("ORDER_NAME").alias("_high"))
+    joined = known.join(breadth, "LINEAGE_NAME", "left")
+    new_order, new_family, new_country = (F.col(c).isNotNull() & ~F.array_contains("seen", c) for c in ("ORDER_NAME", "FAMILY_NAME", "COUNTRY_NAME"))
     call = (
-        F.when(F.col("_o").isNull(), "no baseline")
-        .when(new_order & (F.size("_o") == 1), "new order of a specialist")
+        F.when(~F.array_contains("seen", ""), "no baseline")
+        .when(new_order & (F.col("_low") == F.col("_high")), "new order of a specialist")
         .when(new_order, "new order")
         .when(new_family, "new family")
         .when(new_country, "new country")
         .otherwise("known")
     )
-    return joined.groupBy(call.alias("call")).agg(F.count("*").alias("n"))
+    return joined.groupBy(call.alias("call")).agg(F.sum("n").alias("n"))
 
 
 def plausibility(rows: DataFrame, store: DataFrame) -> DataFrame:
     """(LINEAGE_NAME, SPECIES_NAME, COUNTRY_NAME, level): the closest taxon in which the lineage was seen."""
-    claims = rows.select("LINEAGE_NAME", "SPECIES_NAME", "GENUS_NAME", "FAMILY_NAME", "ORDER_NAME", "COUNTRY_NAME").distinct()
-    sets = store.groupBy("LINEAGE_NAME").agg(*[F.collect_set(c).alias(f"_{c}") for c in ("SPECIES_NAME", "GENUS_NAME", "FAMILY_NAME", "ORDER_NAME", "COUNTRY_NAME")])
-    joined = claims.join(sets, "LINEAGE_NAME", "left")
-    level = F.when(F.col("_ORDER_NAME").isNull(), "unknown lineage")
-    for name in ("SPECIES_NAME", "GENUS_NAME", "FAMILY_NAME", "ORDER_NAME"):
-        level = level.when(F.array_contains(f"_{name}", F.col(name)) & (F.col(name) != ""), name.split("_")[0].lower())
-    return joined.select("LINEAGE_NAME", "SPECIES_NAME", "COUNTRY_NAME", level.otherwise("new").alias("level"), F.coalesce(F.array_contains("_COUNTRY_NAME", F.col("COUNTRY_NAME")), F.lit(False)).alias("in_country")).distinct()
+    taxa = ["SPECIES_NAME", "GENUS_NAME", "FAMILY_NAME", "ORDER_NAME"]
+    known = known_values(rows, store, "LINEAGE_NAME", [*taxa, "COUNTRY_NAME"])
+    level = F.when(~F.array_contains("seen", ""), "unknown lineage")
+    for name in taxa:
+        level = level.when(F.array_contains("seen", name) & (F.col(name) != ""), name.split("_")[0].lower())
+    return known.select("LINEAGE_NAME", "SPECIES_NAME", "COUNTRY_NAME", level.otherwise("new").alias("level"), F.array_contains("seen", "COUNTRY_NAME").alias("in_country")).distinct()

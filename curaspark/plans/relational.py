@@ -479,7 +479,7 @@ _FLAGS = f"""WITH s AS {_STORE}, b AS {_BATCH}, f AS (SELECT b.*,
  SPECIES_NAME <> '' AND EXISTS (SELECT 1 FROM s WHERE s.LINEAGE_NAME = b.LINEAGE_NAME AND s.SPECIES_NAME = b.SPECIES_NAME AND s.REFERENCE_NAME <> b.REFERENCE_NAME) AS pair_already_in_store FROM b)"""
 
 
-@query(_FLAGS + " SELECT tier, coalesce(n, 0) AS n FROM (SELECT unnest(['incomplete', 'review', 'confirms', 'new']) AS tier) LEFT JOIN (SELECT CASE WHEN host_missing THEN 'incomplete' WHEN lineage_not_in_store OR prevalence_inconsistent THEN 'review' WHEN pair_already_in_store THEN 'confirms' ELSE 'new' END AS tier, count(*) AS n FROM f GROUP BY 1) USING (tier)")
+@query(_FLAGS + " SELECT tier, coalesce(n, 0) AS n FROM (SELECT unnest(['incomplete', 'review', 'confirms', 'new']) AS tier) LEFT JOIN (SELECT CASE WHEN host_missing THEN 'incomplete' WHEN lineage_not_in_store OR host_not_in_store OR prevalence_inconsistent THEN 'review' WHEN pair_already_in_store THEN 'confirms' ELSE 'new' END AS tier, count(*) AS n FROM f GROUP BY 1) USING (tier)")
 def tier_counts(spark, d):
     store, batch = _store_and_batch(spark, d)
     return quality.tier_counts(quality.row_flags(batch, store))
