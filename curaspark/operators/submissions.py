@@ -40,6 +40,8 @@ from curaspark.functions import text as T
 from curaspark.operators import checks
 from curaspark.operators.checks import Check
 from curaspark.operators.quality import held_by_others
+from curaspark.operators.sequences import all_pairs_compatible, compatible_references
+from curaspark.operators.shared import stored
 
 # Kinds of genomic resources, words that speak of morphology.
 RESOURCE_TYPES = ("mitogenome", "mitogenome_partial", "nuclear_genome", "apicoplast_genome", "transcriptome", "other")
@@ -270,3 +272,40 @@ def findings(ready: dict[str, DataFrame]) -> DataFrame:
             rows = ready[sheet].withColumn("row", F.col("document")) if sheet == "documents" else ready[sheet]
             parts.append(checks.findings(rows.withColumn("row", F.col("row").cast("string")), rules, "row").select(F.lit(sheet).alias("sheet"), "*"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def sequence_evidence(sequences: DataFrame, store: DataFrame, width: int, least: int) -> DataFrame:
+    """(row, identity, offset_lost, twins) of placed sequences (row, LINEAGE_NAME, SEQUENCE, optional OFFSET) against a store (name, seq).
+
+    known: agrees with a stored sequence over ``least`` positions; completes: and determines more bases than it; unresolved: agrees,
+    but over fewer positions; unplaceable: no base stands in the window; else new. ``twins`` counts rows of the sheet that agree with the
+    row under another name. Equal texts are compared once and counted by name, so copies never make pairs.
+    """
+    offset = F.col("OFFSET") if "OFFSET" in sequences.columns else F.lit(0)
+    cleaned = T.clean_sequence(F.coalesce("SEQUENCE", F.lit("")))
+    rows = sequences.select(F.col("row").alias("name"), _lineage().alias("lineage"), cleaned.alias("raw"), offset.cast("int").alias("offset"))
+    rows = rows.withColumn("seq", S.place_in_window(F.col("raw"), F.col("offset"), width))
+    bases = lambda c: F.length(F.regexp_replace(F.upper(c), "[^ACGT]", ""))
+    counts = stored(rows.groupBy("seq", "lineage").agg(F.count("*").alias("n"), F.min("name").alias("one")))
+    texts = stored(counts.groupBy("seq").agg(F.min("one").alias("name")))
+    met = compatible_references(texts.select("name", "seq"), store.select("name", "seq"), width, min_shared=1)
+    stored_bases = store.groupBy("name").agg(F.max(bases("seq")).alias("had"))
+    agreeing = met.select(F.col("query").alias("name"), "comparable", F.explode("names").alias("ref")).join(stored_bases.withColumnRenamed("name", "ref"), "ref")
+    best = agreeing.groupBy("name").agg(F.max("comparable").alias("comparable"), F.max(F.when(F.col("comparable") >= least, F.col("had"))).alias("had"))
+    told = texts.join(best, "name", "left").select("seq", "comparable", "had")
+    identity = (
+        F.when(bases("seq") == 0, "unplaceable")
+        .when(F.col("comparable") >= least, F.when(bases("seq") > F.col("had"), "completes").otherwise("known"))
+        .when(F.col("comparable") > 0, "unresolved")
+        .otherwise("new")
+    )
+    pairs = all_pairs_compatible(texts.filter(bases("seq") > 0), "name", "seq", width, min_shared=least).select("a", "b")
+    itself = texts.filter(bases("seq") >= least).select(F.col("name").alias("a"), F.col("name").alias("b"))
+    near = pairs.union(pairs.select("b", "a")).union(itself)
+    held = counts.join(texts, "seq").select(F.col("name").alias("b"), "lineage", "n")
+    reach = near.join(held, "b").groupBy("a", "lineage").agg(F.sum("n").alias("own"))
+    total = reach.groupBy("a").agg(F.sum("own").alias("total"))
+    twins = reach.join(total, "a").join(texts.select("seq", F.col("name").alias("a")), "a").select("seq", "lineage", (F.col("total") - F.col("own")).alias("twins"))
+    out = rows.join(told, "seq", "left").join(twins, ["seq", "lineage"], "left")
+    lost = bases("raw") - bases("seq")
+    return out.select(F.col("name").alias("row"), identity.alias("identity"), lost.alias("offset_lost"), F.coalesce("twins", F.lit(0)).alias("twins"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from curaspark.plans import curation, intake, layouts, relational, releases, scalars, screening
+from curaspark.plans import curation, intake, layouts, relational, releases, scalars, screening, submissions
 
-_MODULES = (scalars, relational, curation, releases, screening, intake, layouts)
+_MODULES = (scalars, relational, curation, releases, screening, intake, layouts, submissions)
 
 
 def queries() -> dict:
