@@ -134,3 +134,13 @@ def propose_merges(pairs: DataFrame, profiles: DataFrame, floor: int, small: int
     whole = F.when(F.col("a_private") == 0, F.col("b")).otherwise(F.col("a"))
     rule = F.when(F.col("comparable") < floor, "too little shared").when(F.col("kind") == "duplicate", "duplicate").when(F.col("kind") == "contained", "contained").when(F.least("a_private", "b_private") <= small, "small difference").otherwise("ambiguous")
     return rows.select("a", "b", rule.alias("rule"), F.when(rule == "duplicate", survivor).when(rule == "contained", whole).alias("target"))
+
+
+# Kinds of pairs, those that need a decision first.
+REVIEW_KINDS = ("ambiguous", "contained", "duplicate")
+
+
+def review_order(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (kind, a, b) sorted for reading: ambiguous, then contained, then duplicates, other kinds last, by names within. A sort by ranges."""
+    place = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(k) for k in REVIEW_KINDS]), F.col("kind")), F.lit(0)), F.lit(len(REVIEW_KINDS) + 1))
+    return pairs.orderBy(place, "kind", "a", "b")

@@ -129,3 +129,44 @@ def decisions_to_events(decisions: DataFrame, store: DataFrame) -> DataFrame:
         .when((F.col("kind") == "merge") & F.col("_last").isNull(), "circle").otherwise("")
     )
     return rows.select("name", "kind", F.when(F.col("kind") == "merge", F.coalesce("_last", "target")).otherwise(F.col("target")).alias("target"), F.coalesce("hops", F.lit(0)).alias("depth"), problem.alias("problem"))
+
+
+def history_agrees(events: DataFrame, lineages: DataFrame, deposits: DataFrame, width: int, k: int = 12, least: int = 300) -> DataFrame:
+    """(LINEAGE_NAME, accession, compared, mismatches, verdict) of history rows (LINEAGE_NAME, EVENT, SOURCE, NEW_SEQUENCE) whose source is an accession.
+
+    The stored sequence is laid over the deposited one (accession, seq) at the offset that most of their common words of ``k`` bases
+    vote for (ties: the smallest), without gaps. Verdicts: no deposit, stored sequence is not the row's (an update whose new sequence
+    the store does not hold), too little overlap (fewer than ``least`` determined bases on both sides), identical, differs. Rows without
+    an accession are left out; a lineage that the store lacks has an empty sequence. ``width`` bounds the stored sequence's length.
+    """
+    bare = lambda c: F.regexp_replace(F.upper(F.coalesce(c, F.lit(""))), "[-.~ ]", "")
+    accession = F.regexp_replace(F.upper(F.trim("SOURCE")), r"\.[0-9]+$", "")
+    rows = events.select("LINEAGE_NAME", "EVENT", accession.alias("accession"), bare(F.col("NEW_SEQUENCE")).alias("new")).filter(F.col("accession").rlike("^[A-Z]{1,2}[0-9]{5,8}$")).distinct()
+    held = lineages.groupBy("LINEAGE_NAME").agg(F.substring(F.min(bare(F.col("SEQUENCE"))), 1, width).alias("stored"))
+    found = deposits.groupBy(F.regexp_replace(F.upper(F.trim("accession")), r"\.[0-9]+$", "").alias("accession")).agg(F.min(bare(F.col("seq"))).alias("deposit"))
+    pairs = rows.join(held, "LINEAGE_NAME", "left").join(found, "accession", "left").withColumn("stored", F.coalesce("stored", F.lit("")))
+    laid = pairs.select("LINEAGE_NAME", "accession", "stored", "deposit").filter("deposit is not null and stored <> ''").distinct()
+
+    def words(seq: str, at: str):
+        starts = F.when(F.length(seq) >= k, F.sequence(F.lit(1), F.length(seq) - k + 1)).otherwise(F.array().cast("array<int>"))
+        each = laid.select("LINEAGE_NAME", "accession", F.explode(F.transform(starts, lambda i: F.struct(i.alias(at), F.substring(seq, i, F.lit(k)).alias("word")))).alias("x"))
+        return each.select("LINEAGE_NAME", "accession", "x.*").filter(~F.col("word").rlike("[^ACGT]"))
+
+    votes = words("stored", "i").join(words("deposit", "j"), ["LINEAGE_NAME", "accession", "word"]).groupBy("LINEAGE_NAME", "accession", (F.col("j") - F.col("i")).alias("shift")).agg(F.count("*").alias("n"))
+    offset = votes.groupBy("LINEAGE_NAME", "accession").agg(F.min_by("shift", F.struct((-F.col("n")).alias("n"), "shift")).alias("shift"))
+    told = pairs.join(offset, ["LINEAGE_NAME", "accession"], "left")
+    at = F.when(F.length("stored") > 0, F.sequence(F.lit(1), F.length("stored"))).otherwise(F.array().cast("array<int>"))
+    letters = F.transform(at, lambda i: F.struct(F.substring("stored", i, F.lit(1)).alias("a"), F.when(i + F.col("shift") >= 1, F.substring("deposit", i + F.col("shift"), F.lit(1))).otherwise("").alias("b")))
+    both = F.filter(letters, lambda x: x["a"].isin("A", "C", "G", "T") & x["b"].isin("A", "C", "G", "T"))
+    told = told.withColumn("_both", F.when(F.col("shift").isNotNull(), both))
+    compared = F.coalesce(F.when(F.col("_both").isNotNull(), F.size("_both")), F.lit(0))
+    mismatches = F.coalesce(F.size(F.filter("_both", lambda x: x["a"] != x["b"])), F.lit(0))
+    told = told.select("LINEAGE_NAME", "accession", "EVENT", "new", "stored", "deposit", compared.alias("compared"), F.when(F.col("_both").isNotNull(), mismatches).otherwise(0).alias("mismatches"))
+    verdict = (
+        F.when(F.col("deposit").isNull(), "no deposit")
+        .when((F.col("EVENT") == "sequence_updated") & (F.col("new") != F.col("stored")), "stored sequence is not the row's")
+        .when(F.col("compared") < least, "too little overlap")
+        .when(F.col("mismatches") == 0, "identical")
+        .otherwise("differs")
+    )
+    return told.select("LINEAGE_NAME", "accession", "EVENT", "compared", "mismatches", verdict.alias("verdict"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curaspark.operators.keys import row_numbers
+
 # Which state each event leads to, and from which states it is allowed.
 MOVES = {
     "in_review": ("received", "held"),
@@ -128,6 +130,17 @@ def public_state(states: DataFrame, now: Column, hold_hours: int) -> DataFrame:
     return states.select("submission", F.when(hidden, "under review").otherwise(shown).alias("public"))
 
 
+def public_queue(entries: DataFrame, states: DataFrame, now: Column, hold_hours: int) -> DataFrame:
+    """(position, submission, name, public): what the public sees of open items, the oldest first; held-back entries and closed ones are not told.
+
+    ``entries`` (submission, name, embargoed), ``states`` (submission, state, since). Positions come from a range-sorted, stored table's
+    partition counts, so there is no window over the whole queue.
+    """
+    told = public_state(states, now, hold_hours).filter("public <> 'closed'").join(states.select("submission", "since"), "submission")
+    rows = entries.filter("not embargoed").join(told, "submission").select("submission", "name", "public", "since")
+    return row_numbers(rows, ["since", "submission"], "position").select("position", "submission", "name", "public")
+
+
 def notices_due(events: DataFrame, now: Column, hold_hours: int, sent: DataFrame, clashing: DataFrame) -> DataFrame:
     """(submission): settled items: an approval whose hold is over, no later objection, no name clash, nothing sent before."""
     due = due_actions(events, now, hold_hours, 1 << 20).filter("action = 'publish'").select("submission")

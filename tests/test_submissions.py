@@ -128,3 +128,64 @@ def test_flags_of_records_and_vectors(spark):
     assert got == want
     vectors = rows.withColumnRenamed("SPECIES_NAME", "VECTOR_SPECIES").filter("LINEAGE_NAME = 'L1'").withColumn("VECTOR_SPECIES", F.lit(""))
     assert {tuple(r.flags) for r in quality.row_flags(vectors.drop("source_scope"), store, species="VECTOR_SPECIES").collect()} == {("vector_missing",)}
+
+
+def test_sheets_become_store_rows_with_notes(spark):
+    from curaspark.operators import store_rows as R
+
+    hosts = frame(
+        spark, "line int, LINEAGE_NAME string, HOST_SPECIES string, COUNTRY_NAME string, SITE_NAME string, REFERENCE_NAME string, NUMBER_TESTED int, NUMBER_FOUND int",
+        (2, "new 01", "Parus major", "Peru", "Lima", "Smith et al., 2001", 4, 1), (3, "OLD01", "Parus ater", "Chile", "", "Ellis 1999", None, None), (4, None, None, None, None, None, None, None), (5, "LOST", "Nova avis", "", "Quito", "", 1, 1),
+    )
+    sites = frame(spark, "line int, SITE_NAME string, LATITUDE string, LONGITUDE string", (2, "Lima", "far", "1"), (3, "Lima", "-12.5", "-77.25"), (4, "Lima", "1", "1"))
+    names = frame(spark, "line int, LINEAGE_NAME string, PARASITE_GENUS string, ACCESSION string", (2, "NEW01", "Plasmodium relictum", "AB123456, AB123457"), (3, "OLD01", "corvus", ""), (4, "", "", ""))
+    alternatives = frame(spark, "line int, LINEAGE_NAME string, REFERENCE_NAME string, ALT_NAME string", (2, "NEW01", "Smith et al 2001", "b"), (3, "NEW01", "Smith et al. 2001", "a"), (4, "NEW01", "Smith et al 2001", "b"), (5, "NEW01", "Ellis 1999", "c"))
+    schema = "RECORD_ID string, LINEAGE_NAME string, GENUS_NAME string, SPECIES_NAME string, ORDER_NAME string, FAMILY_NAME string, COUNTRY_NAME string, CONTINENT_NAME string, PARASITE_GENUS string"
+    store = frame(spark, schema, ("R2", "OLD01", "Parus", "Parus major", "O2", "F2", "Peru", "South", "Haemoproteus"), ("R1", "X1", "Parus", "Parus caeruleus", "O1", "F1", "Peru", "America", ""), ("R3", "X2", "Parus", "Parus major", "O3", "F3", None, None, None))
+    got = {r.line: r for r in R.host_rows(hosts, sites, names, alternatives, store, "sub-1", "v9").collect()}
+    assert len(got) == 4
+    one, two, blank, lost = got[2], got[3], got[4], got[5]
+    assert (one.LINEAGE_NAME, one.ORDER_NAME, one.FAMILY_NAME, one.CONTINENT_NAME, one.SITE_COORDINATES) == ("NEW01", "O2", "F2", "America", "-12.5, -77.25")
+    assert (one.PARASITE_GENUS, one.ALT_NAME, one.REFERENCE_NAME, one._source, one._added, one.notes) == ("Plasmodium", "b,a", "Smith et al 2001", "sub-1", "v9", [])
+    assert (two.ORDER_NAME, two.PARASITE_GENUS, two.ALT_NAME, two.notes) == ("O1", "Haemoproteus", "", ["country unknown: Chile"])
+    assert blank.notes == [] and blank.SPECIES_NAME == ""
+    assert lost.notes == ["host unknown: Nova avis", "site without coordinates: Quito", "lineage neither held nor declared: LOST"]
+
+    sequences = frame(spark, "line int, LINEAGE_NAME string, SEQUENCE string", (2, "new01", " "), (3, "new01", ">h\nac\ngt"), (4, "new01", "TTTT"))
+    links = frame(spark, "line int, LINEAGE_NAME string, BINOMIAL string, REFERENCE_NAME string, COMMENT string", (2, "OLD01", "Haemoproteus majoris", "Ellis 1999", " seen "), (3, "OLD01", "Haemoproteus payevskyi", "Ellis 1999", ""), (4, "OLD01", "Haemoproteus majoris", "Ellis 1999", "later"), (5, "NEW01", "relictum", "", None))
+    declared = {r.LINEAGE_NAME: r for r in R.lineage_rows(names, sequences, links, "sub-1", "v9").collect()}
+    assert set(declared) == {"NEW01", "OLD01"}
+    assert (declared["NEW01"].SEQUENCE, declared["NEW01"].GENUS_NAME, declared["NEW01"].SPECIES_NAME, declared["NEW01"].notes) == ("ACGT", "Plasmodium", "Plasmodium relictum", ["several accessions: 2"])
+    assert (declared["OLD01"].SPECIES_NAME, declared["OLD01"].SEQ_LENGTH, declared["OLD01"].notes) == ("Haemoproteus majoris", "", ["no sequence", "genus not recorded: corvus", "several species"])
+    assert sorted((r.line, r.SPECIES_NAME, r.MORPHOLOGY_COMMENT, len(r.notes)) for r in R.morphology_rows(links, "s", "v").collect()) == [(2, "Haemoproteus majoris", "seen", 0), (3, "Haemoproteus payevskyi", "", 0), (5, "relictum", "", 1)]
+    assert sorted((r.line, r.ALT_NAME) for r in R.alternative_rows(alternatives, "s", "v").collect()) == [(2, "b"), (3, "a"), (5, "c")]
+    genomes = frame(spark, "line int, LINEAGE_NAME string, RESOURCE_TYPE string, ACCESSION string", (2, "NEW01", "Mitogenome", "AB123456; x"), (3, "NEW01", None, None), (4, "", "", "AB123456"))
+    assert sorted((r.line, r.ACCESSION, r.ARCHIVE, r.notes) for r in R.genome_rows(genomes, "s", "v").collect()) == [(2, "AB123456", "nucleotide", []), (2, "X", "", ["not an accession: X"]), (3, "", "", ["no accession"])]
+    refs = frame(spark, "line int, REFERENCE_NAME string, TITLE string, DOI string", (2, "Smith et al., 2001", "T", ""), (3, "Smith et al 2001", "U", ""), (4, "Ellis 1999", "", ""), (5, None, None, None))
+    new = R.reference_rows(refs, frame(spark, "REFERENCE_NAME string", ("Ellis 1999",)), "s", "v").collect()
+    assert [(r.line, r.REFERENCE_NAME, r.PUBLICATION_YEAR, r.TITLE, r.notes) for r in new] == [(2, "Smith et al 2001", "2001", "T", ["respelled: Smith et al., 2001"])]
+    seen = frame(spark, "line int, LINEAGE_NAME string, VECTOR_SPECIES string, COUNTRY_NAME string, REFERENCE_NAME string", (2, "OLD01", "Culex  pipiens", "Peru", ""), (3, "OLD01", None, "Mars", ""))
+    assert sorted((r.line, r.GENUS_NAME, r.CONTINENT_NAME, r.notes) for r in R.vector_rows(seen, store, "s", "v").collect()) == [(2, "Culex", "America", []), (3, "", "", ["no vector", "country unknown: Mars"])]
+
+
+def test_history_rows_are_held_against_their_deposits(spark):
+    from curaspark.operators import history
+
+    base = "ACGTTGCAACCGGTTATCGATCGGATTACAGGCATTCAGCAT"
+    changed = base[:20] + ("A" if base[20] != "A" else "C") + base[21:]
+    events = frame(spark, "LINEAGE_NAME string, EVENT string, SOURCE string, NEW_SEQUENCE string", ("L1", "noted", " ab123456.1", None), ("L2", "noted", "AB000002", ""), ("L3", "noted", "AB000003", ""), ("L4", "sequence_updated", "AB123456", "ACG"), ("L5", "noted", "AB999999", ""), ("L6", "noted", "Smith 2001", ""), ("L7", "noted", None, None))
+    lineages = frame(spark, "LINEAGE_NAME string, SEQUENCE string", ("L1", "--" + base), ("L2", changed), ("L3", base), ("L4", base), ("L5", base), ("L6", base))
+    deposits = frame(spark, "accession string, seq string", ("AB123456.2", "TTT" + base + "GG"), ("AB000002", base), ("AB000003", base[30:]), ("AB000003.2", "ZZ"))
+    got = {r.LINEAGE_NAME: (r.compared, r.mismatches, r.verdict) for r in history.history_agrees(events, lineages, deposits, 479, k=8, least=30).collect()}
+    assert got == {"L1": (42, 0, "identical"), "L2": (42, 1, "differs"), "L3": (12, 0, "too little overlap"), "L4": (42, 0, "stored sequence is not the row's"), "L5": (0, 0, "no deposit")}
+
+
+def test_public_queue_and_review_order(spark):
+    from curaspark.operators import curation, ledger
+
+    states = spark.sql("select * from values (1L, 'approved', timestamp '2024-01-09'), (2L, 'in_review', timestamp '2024-01-02'), (3L, 'withdrawn', timestamp '2024-01-01'), (4L, 'received', timestamp '2024-01-03'), (5L, 'approved', timestamp '2024-01-01') as t(submission, state, since)")
+    entries = frame(spark, "submission long, name string, embargoed boolean", (1, "a", False), (2, "b", False), (3, "c", False), (4, "d", True), (5, "e", False), (6, "f", False))
+    got = sorted(tuple(r) for r in ledger.public_queue(entries, states, F.lit("2024-01-10").cast("timestamp"), 72).collect())
+    assert got == [(1, 5, "e", "accepted"), (2, 2, "b", "under review"), (3, 1, "a", "under review")]
+    pairs = frame(spark, "kind string, a string, b string", ("duplicate", "A", "B"), ("odd", "A", "B"), ("ambiguous", "B", "C"), ("contained", "A", "Z"), ("ambiguous", "A", "C"))
+    assert [tuple(r) for r in curation.review_order(pairs).collect()] == [("ambiguous", "A", "C"), ("ambiguous", "B", "C"), ("contained", "A", "Z"), ("duplicate", "A", "B"), ("odd", "A", "B")]
