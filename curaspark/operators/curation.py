@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from curaspark.operators.keys import row_numbers
+
 
 def backfill(rows: DataFrame, store: DataFrame, exact: list[str], coarse: list[str], value: str, order: str, as_: str) -> DataFrame:
     """The store's value for the exact key, else for the coarser one; the first row of each key wins."""
@@ -141,6 +143,6 @@ REVIEW_KINDS = ("ambiguous", "contained", "duplicate")
 
 
 def review_order(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (kind, a, b) sorted for reading: ambiguous, then contained, then duplicates, other kinds last, by names within. A sort by ranges."""
+    """``pairs`` (kind, a, b) with ``position`` in reading order: ambiguous, then contained, then duplicates, other kinds last, by names within."""
     place = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(k) for k in REVIEW_KINDS]), F.col("kind")), F.lit(0)), F.lit(len(REVIEW_KINDS) + 1))
-    return pairs.orderBy(place, "kind", "a", "b")
+    return row_numbers(pairs.withColumn("_place", place), ["_place", "kind", "a", "b"], "position").drop("_place")

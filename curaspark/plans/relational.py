@@ -463,13 +463,13 @@ def duplicate_groups(spark, d):
 
 # ---- quality ----
 
-_STORE = "(SELECT * FROM {v_hosts} WHERE l_shipdate < TIMESTAMP '1995-01-01 00:00:00')"
-_BATCH = "(SELECT * FROM {v_hosts} WHERE l_shipdate >= TIMESTAMP '1995-01-01 00:00:00')"
+_STORE = "(SELECT * FROM {v_hosts} WHERE l_shipdate < TIMESTAMP '1998-06-01 00:00:00')"
+_BATCH = "(SELECT * FROM {v_hosts} WHERE l_shipdate >= TIMESTAMP '1998-06-01 00:00:00')"
 
 
 def _store_and_batch(spark, d):
     hosts = t(spark, d, "v_hosts")
-    early = F.col("l_shipdate") < F.lit("1995-01-01 00:00:00").cast("timestamp")
+    early = F.col("l_shipdate") < F.lit("1998-06-01 00:00:00").cast("timestamp")
     return hosts.filter(early), hosts.filter(~early)
 
 

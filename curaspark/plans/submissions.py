@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from curaspark.operators import submissions
+from curaspark.operators import curation, history, ledger, store_rows, submissions
 from curaspark.plans import scalars
 from curaspark.plans.relational import t
 from curaspark.plans.views import oracle
@@ -50,7 +50,7 @@ def _ready(spark, d):
     filed = F.when(F.col("k") % 24 == 0, F.col("name")).otherwise(F.concat(F.lit("Q"), "k"))
     store = {
         "lineages": cells.filter("k % 5 = 0").select(filed.alias("LINEAGE_NAME"), "k", F.col("one_acc").alias("ACCESSION")).drop("k"),
-        "hosts": hosts.filter(F.col("l_shipdate") < F.lit("1995-01-01 00:00:00").cast("timestamp")),
+        "hosts": hosts.filter(F.col("l_shipdate") < F.lit("1998-06-01 00:00:00").cast("timestamp")),
         "vectors": t(spark, d, "supplier").filter("s_suppkey % 3 = 0").select(F.col("s_name").alias("VECTOR_SPECIES")),
         "references": refs.union(cells.filter("k % 10 = 1").select("ref", F.lit(0))),
         "claimed": cells.filter("k % 6 = 3").select(F.col("name").alias("LINEAGE_NAME")),
@@ -63,7 +63,7 @@ _C4 = "list_filter(range(0, CAST(length(cs) // 3 AS BIGINT)), lambda i: substr(c
 # A row for each row of a sheet and check that looks at it: sheet, check, row, whether it blocks, whether it is a finding.
 _TOLD = f"""WITH rec AS (SELECT *, upper(SPECIES_NAME) AS sp FROM {{v_sheet_records}}), cel AS (SELECT *, {scalars._REF} AS r, regexp_replace(upper(seq), '[^A-Z.~-]', '', 'g') AS cs, {scalars._LAT} AS lat FROM {{v_sheet_cells}}),
 held AS (SELECT CASE WHEN k % 24 = 0 THEN name ELSE 'Q' || k END AS name, upper(replace(one_acc, '.1', '')) AS acc FROM cel WHERE k % 5 = 0),
-old AS (SELECT upper(SPECIES_NAME) AS sp, COUNTRY_NAME FROM {{v_hosts}} WHERE l_shipdate < TIMESTAMP '1995-01-01 00:00:00'),
+old AS (SELECT upper(SPECIES_NAME) AS sp, COUNTRY_NAME FROM {{v_hosts}} WHERE l_shipdate < TIMESTAMP '1998-06-01 00:00:00'),
 dox AS (SELECT document, sum(n) AS n, sum(u) AS u, sum(f) AS f FROM (SELECT document, 1 AS n, CASE WHEN LINEAGE_NAME = '' THEN 1 ELSE 0 END AS u, 0 AS f FROM rec UNION ALL SELECT document, 0, 0, CASE WHEN r <> '' THEN 1 ELSE 0 END FROM cel) GROUP BY 1),
 seqs AS (SELECT *, name IN (SELECT name FROM held) AS h, name IN (SELECT name FROM cel WHERE k % 4 <> 0) AS q FROM cel),
 told AS (
@@ -142,3 +142,80 @@ def sequence_evidence(spark, d):
     # the store holds whole sequences of every third vector, and of the next but one all but the last bases
     held = rows.filter("vec_id % 3 = 0 and variant = 0 or vec_id % 3 = 2 and variant = 4").select("name", "seq")
     return submissions.sequence_evidence(incoming, held, 64, 40)
+
+
+# ---- rows of the store ----
+
+_EARLY = "l_shipdate < TIMESTAMP '1998-06-01 00:00:00'"
+_POINT = "CAST(CAST(s_suppkey % 80 AS DOUBLE) AS VARCHAR) || ', ' || CAST(CAST(s_suppkey % 170 AS DOUBLE) AS VARCHAR)"
+
+
+@query(f"""WITH st AS (SELECT *, lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 12, '0') AS id FROM {{v_hosts}} WHERE {_EARLY}),
+ex AS (SELECT GENUS_NAME AS g, SPECIES_NAME AS s, arg_min(ORDER_NAME, id) AS o, arg_min(FAMILY_NAME, id) AS f FROM st GROUP BY ALL), co AS (SELECT GENUS_NAME AS g, arg_min(ORDER_NAME, id) AS o, arg_min(FAMILY_NAME, id) AS f FROM st GROUP BY ALL),
+cn AS (SELECT COUNTRY_NAME AS c, arg_min(CONTINENT_NAME, id) AS v FROM st GROUP BY ALL), pt AS (SELECT 'S' || (s_suppkey % 5) AS s, arg_min({_POINT}, s_suppkey) AS v FROM {{supplier}} GROUP BY ALL),
+de AS (SELECT 'P' || k AS l, CASE WHEN k % 6 IN (0, 3) THEN 'Plasmodium' WHEN k % 6 = 1 THEN 'Haemoproteus' WHEN k % 6 = 2 THEN 'Leucocytozoon' END AS v FROM {{v_cells}} WHERE k % 10 <> 3),
+he AS (SELECT DISTINCT LINEAGE_NAME AS l FROM st WHERE l_partkey % 7 <> 0),
+al AS (SELECT l, r, string_agg(a, ',' ORDER BY line) AS v FROM (SELECT l, r, a, min(line) AS line FROM (SELECT 'P' || p_partkey AS l, 'R' || (p_size % 20) AS r, 'syn' || (p_partkey % 9) AS a, p_partkey * 2 + 1 AS line FROM {{part}} UNION ALL SELECT 'P' || p_partkey, 'R' || (p_size % 20), 'syn' || (p_size % 9), p_partkey * 2 FROM {{part}}) GROUP BY ALL) GROUP BY ALL),
+b AS (SELECT h.*, CASE WHEN SPECIES_NAME = '' THEN '' ELSE GENUS_NAME END AS g FROM {{v_hosts}} h WHERE NOT {_EARLY}),
+j AS (SELECT b.*, coalesce(ex.o, co.o) AS o, coalesce(ex.f, co.f) AS f, cn.v AS cv, pt.v AS pv, coalesce(de.v, CASE WHEN he.l IS NOT NULL THEN 'Plasmodium' END) AS gv, al.v AS av
+  FROM b LEFT JOIN ex ON ex.g = b.g AND ex.s = SPECIES_NAME LEFT JOIN co ON co.g = b.g LEFT JOIN cn ON cn.c = COUNTRY_NAME LEFT JOIN pt ON pt.s = SITE_NAME LEFT JOIN de ON de.l = LINEAGE_NAME LEFT JOIN he ON he.l = LINEAGE_NAME LEFT JOIN al ON al.l = LINEAGE_NAME AND al.r = REFERENCE_NAME)
+SELECT l_orderkey * 10 + l_linenumber AS line, LINEAGE_NAME, g AS GENUS_NAME, SPECIES_NAME, coalesce(o, '') AS ORDER_NAME, coalesce(f, '') AS FAMILY_NAME, COUNTRY_NAME, coalesce(cv, '') AS CONTINENT_NAME, SITE_NAME, coalesce(pv, '') AS SITE_COORDINATES,
+  REFERENCE_NAME, coalesce(gv, '') AS PARASITE_GENUS, coalesce(av, '') AS ALT_NAME, CAST(NUMBER_TESTED AS VARCHAR) AS NUMBER_TESTED, CAST(NUMBER_FOUND AS VARCHAR) AS NUMBER_FOUND, 'sub-1' AS _source, 'v2' AS _added,
+  concat_ws(';', CASE WHEN g <> '' AND o IS NULL THEN 'host unknown: ' || SPECIES_NAME END, CASE WHEN pv IS NULL THEN 'site without coordinates: ' || SITE_NAME END, CASE WHEN gv IS NULL THEN 'lineage neither held nor declared: ' || LINEAGE_NAME END, CASE WHEN cv IS NULL THEN 'country unknown: ' || COUNTRY_NAME END) AS notes FROM j""")
+def host_rows_map(spark, d):
+    hosts, cells, part, supplier = t(spark, d, "v_hosts", "v_cells", "part", "supplier")
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    early = F.col("l_shipdate") < F.lit("1998-06-01 00:00:00").cast("timestamp")
+    sheet = hosts.filter(~early).select(line.alias("line"), "LINEAGE_NAME", F.col("SPECIES_NAME").alias("HOST_SPECIES"), "COUNTRY_NAME", "SITE_NAME", "REFERENCE_NAME", "NUMBER_TESTED", "NUMBER_FOUND")
+    held = hosts.filter(early).withColumn("RECORD_ID", F.lpad(line.cast("string"), 12, "0")).withColumn("PARASITE_GENUS", F.when(F.col("l_partkey") % 7 == 0, "").otherwise("Plasmodium"))
+    sites = supplier.select(F.col("s_suppkey").alias("line"), F.concat(F.lit("S"), F.col("s_suppkey") % 5).alias("SITE_NAME"), (F.col("s_suppkey") % 80).alias("LATITUDE"), (F.col("s_suppkey") % 170).alias("LONGITUDE"))
+    names = cells.filter("k % 10 <> 3").select(F.col("k").alias("line"), F.concat(F.lit("P"), "k").alias("LINEAGE_NAME"), F.col("genus").alias("PARASITE_GENUS"))
+    given = F.explode(F.array(F.struct((F.col("p_partkey") * 2).alias("line"), (F.col("p_size") % 9).cast("long").alias("n")), F.struct((F.col("p_partkey") * 2 + 1).alias("line"), (F.col("p_partkey") % 9).cast("long").alias("n"))))
+    alternatives = part.select(F.concat(F.lit("P"), "p_partkey").alias("LINEAGE_NAME"), F.concat(F.lit("R"), F.col("p_size") % 20).alias("REFERENCE_NAME"), given.alias("x")).select("LINEAGE_NAME", "REFERENCE_NAME", "x.line", F.concat(F.lit("syn"), "x.n").alias("ALT_NAME"))
+    rows = store_rows.host_rows(sheet, sites, names, alternatives, held, "sub-1", "v2")
+    return rows.withColumn("notes", F.array_join("notes", ";"))
+
+
+@query(f"""WITH l AS (SELECT k, CASE WHEN k % 6 IN (0, 3) THEN 'Plasmodium' WHEN k % 6 = 1 THEN 'Haemoproteus' WHEN k % 6 = 2 THEN 'Leucocytozoon' END AS g, genus, seq, acc, n FROM {{v_cells}}),
+a AS (SELECT k, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(upper(trim(acc)), '[,;\\s]+'), lambda x: x <> ''))), ', ') AS v, len(list_distinct(list_filter(string_split_regex(upper(trim(acc)), '[,;\\s]+'), lambda x: x <> ''))) AS m FROM l)
+SELECT CAST(k AS BIGINT) AS line, 'P' || k AS LINEAGE_NAME, coalesce(g, '') AS GENUS_NAME, CASE WHEN k % 5 = 0 THEN 'Plasmodium relictum' WHEN k % 6 = 0 THEN 'Plasmodium huffi' WHEN k % 6 = 1 THEN 'Haemoproteus majoris' ELSE '' END AS SPECIES_NAME, '' AS SEQ_LENGTH,
+  v AS accessions, CASE WHEN k % 4 <> 0 THEN regexp_replace(upper(seq), '[^A-Z.~-]', '', 'g') ELSE '' END AS SEQUENCE,
+  concat_ws(';', CASE WHEN k % 4 = 0 THEN 'no sequence' END, CASE WHEN m > 1 THEN 'several accessions: ' || m END, CASE WHEN k % 6 = 4 THEN 'genus not recorded: corvus' END, CASE WHEN k % 15 = 0 THEN 'several species' END) AS notes FROM l JOIN a USING (k)""")
+def lineage_rows_map(spark, d):
+    cells = t(spark, d, "v_cells").withColumn("line", F.col("k").cast("long")).withColumn("LINEAGE_NAME", F.concat(F.lit("P"), "k"))
+    names = cells.select("line", "LINEAGE_NAME", F.col("genus").alias("PARASITE_GENUS"), F.col("acc").alias("ACCESSION"))
+    sequences = cells.filter("k % 4 <> 0").select("line", "LINEAGE_NAME", F.col("seq").alias("SEQUENCE"))
+    one = cells.filter("k % 5 = 0").select("line", "LINEAGE_NAME", F.lit("Plasmodium relictum").alias("BINOMIAL"))
+    two = cells.filter("k % 15 = 0").select(F.col("line") + 1, "LINEAGE_NAME", F.lit("Haemoproteus majoris").alias("BINOMIAL"))
+    rows = store_rows.lineage_rows(names, sequences, one.union(two), "sub-1", "v2").drop("_source", "_added")
+    return rows.withColumn("accessions", F.array_join(F.array_sort(F.split("GENBANK_ACC", ", ")), ", ")).drop("GENBANK_ACC").withColumn("notes", F.array_join("notes", ";"))
+
+
+@query("""SELECT 'V' || vec_id AS LINEAGE_NAME, 'AB' || (100000 + vec_id) AS accession, CASE WHEN vec_id % 3 = 0 THEN 'sequence_updated' ELSE 'noted' END AS EVENT, CASE vec_id % 5 WHEN 0 THEN 64 WHEN 1 THEN 64 WHEN 2 THEN 48 WHEN 3 THEN 64 ELSE 0 END AS compared, CASE WHEN vec_id % 5 = 1 THEN 1 ELSE 0 END AS mismatches,
+CASE WHEN vec_id % 5 = 4 THEN 'no deposit' WHEN vec_id % 6 = 3 THEN 'stored sequence is not the row''s' WHEN vec_id % 5 = 2 THEN 'too little overlap' WHEN vec_id % 5 = 1 THEN 'differs' ELSE 'identical' END AS verdict FROM {embeddings}""")
+def history_agrees(spark, d):
+    rows = t(spark, d, "v_sequences")
+    lineage, held = F.concat(F.lit("V"), "vec_id"), rows.filter("variant = 0")
+    event = F.when(F.col("vec_id") % 3 == 0, "sequence_updated").otherwise("noted")
+    source = F.concat(F.lit(" AB"), F.col("vec_id") + 100000, F.lit(".1"))
+    events = held.select(lineage.alias("LINEAGE_NAME"), event.alias("EVENT"), source.alias("SOURCE"), F.when(F.col("vec_id") % 6 == 3, F.lit("ACGT")).otherwise(F.col("seq")).alias("NEW_SEQUENCE"))
+    lineages = held.select(lineage.alias("LINEAGE_NAME"), F.col("seq").alias("SEQUENCE"))
+    variant = F.when(F.col("vec_id") % 5 == 0, 0).when(F.col("vec_id") % 5 == 1, 3).when(F.col("vec_id") % 5 == 2, 4).when(F.col("vec_id") % 5 == 3, 1)
+    deposits = rows.filter(F.col("variant") == variant).select(F.concat(F.lit("AB"), F.col("vec_id") + 100000).alias("accession"), F.concat(F.lit("NNN"), "seq").alias("seq"))
+    return history.history_agrees(events, lineages, deposits, 64, least=50)
+
+
+@query("""WITH s AS (SELECT *, TIMESTAMP '1996-04-20 00:00:00' + to_days(CAST(submission % 60 AS INT)) AS since FROM {v_entries} WHERE state_no <> 4 AND NOT embargoed)
+SELECT row_number() OVER (ORDER BY since, submission) AS position, submission, name, CASE state_no WHEN 0 THEN 'received' WHEN 3 THEN CASE WHEN submission % 60 > 39 THEN 'under review' ELSE 'accepted' END ELSE 'under review' END AS public FROM s""")
+def public_queue(spark, d):
+    entries = t(spark, d, "v_entries")
+    state = F.element_at(F.array(*[F.lit(s) for s in ("received", "in_review", "held", "approved", "withdrawn")]), F.col("state_no").cast("int") + 1)
+    since = F.expr("timestampadd(DAY, cast(submission % 60 as int), timestamp '1996-04-20 00:00:00')")
+    return ledger.public_queue(entries, entries.select("submission", state.alias("state"), since.alias("since")), F.lit("1996-06-01 00:00:00").cast("timestamp"), 72)
+
+
+@query("""WITH p AS (SELECT CASE p_partkey % 4 WHEN 0 THEN 'duplicate' WHEN 1 THEN 'contained' WHEN 2 THEN 'ambiguous' ELSE 'set aside' END AS kind, p_brand AS a, 'P' || p_partkey AS b FROM {part})
+SELECT row_number() OVER (ORDER BY CASE kind WHEN 'ambiguous' THEN 1 WHEN 'contained' THEN 2 WHEN 'duplicate' THEN 3 ELSE 4 END, a, b) AS position, * FROM p""")
+def review_order(spark, d):
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("duplicate", "contained", "ambiguous", "set aside")]), (F.col("p_partkey") % 4).cast("int") + 1)
+    return curation.review_order(t(spark, d, "part").select(kind.alias("kind"), F.col("p_brand").alias("a"), F.concat(F.lit("P"), "p_partkey").alias("b")))

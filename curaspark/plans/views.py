@@ -65,7 +65,7 @@ VIEWS = {
     "v_sheet_records": """SELECT REFERENCE_NAME AS document, l_orderkey || '-' || l_linenumber AS id, CASE WHEN l_partkey % 61 = 0 THEN '' ELSE LINEAGE_NAME END AS LINEAGE_NAME, SPECIES_NAME,
         CASE WHEN l_suppkey % 23 = 0 THEN '' ELSE COUNTRY_NAME END AS COUNTRY_NAME, CASE WHEN l_linenumber = 6 THEN NULL ELSE NUMBER_FOUND END AS NUMBER_FOUND,
         CASE WHEN l_linenumber = 5 THEN NULL ELSE NUMBER_TESTED END AS NUMBER_TESTED, CASE WHEN l_partkey % 31 = 0 THEN 'Gametocytes measured' WHEN l_partkey % 31 = 1 THEN 'none' ELSE '' END AS COMMENT
-        FROM {v_hosts} WHERE l_shipdate >= TIMESTAMP '1995-01-01 00:00:00'""",
+        FROM {v_hosts} WHERE l_shipdate >= TIMESTAMP '1998-06-01 00:00:00'""",
     "v_sheet_cells": """SELECT k, '' || k AS id, CASE WHEN k % 3 = 0 THEN 'GENSPE' || (10 + k % 50) ELSE 'P' || k END AS name, 'Genus species' AS host, genus, acc,
         CASE WHEN k % 6 = 0 THEN 'PV' || (100000 + k) || '.1' ELSE acc END AS one_acc, CASE WHEN k % 37 = 0 THEN repeat(seq, 20) ELSE seq END AS seq, words, coord, ref, n,
         CASE k % 4 WHEN 0 THEN 'Mitogenome' WHEN 1 THEN 'nuclear_genome' WHEN 2 THEN 'genome' ELSE '' END AS kind, 'D' || (k % 90) AS document,
