@@ -138,11 +138,11 @@ def propose_merges(pairs: DataFrame, profiles: DataFrame, floor: int, small: int
     return rows.select("a", "b", rule.alias("rule"), F.when(rule == "duplicate", survivor).when(rule == "contained", whole).alias("target"))
 
 
-# Kinds of pairs, those that need a decision first.
-REVIEW_KINDS = ("ambiguous", "contained", "duplicate")
+# Kinds of pairs in reading order.
+REVIEW_KINDS = ("duplicate", "contained", "ambiguous")
 
 
 def review_order(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (kind, a, b) with ``position`` in reading order: ambiguous, then contained, then duplicates, other kinds last, by names within."""
+    """``pairs`` (kind, a, b) with ``position`` in reading order: duplicates, then contained, then ambiguous, other kinds last, by names within."""
     place = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(k) for k in REVIEW_KINDS]), F.col("kind")), F.lit(0)), F.lit(len(REVIEW_KINDS) + 1))
     return row_numbers(pairs.withColumn("_place", place), ["_place", "kind", "a", "b"], "position").drop("_place")

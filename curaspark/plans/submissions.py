@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from curaspark.operators import curation, history, ledger, store_rows, submissions
+from curaspark.operators import curation, history, ledger, sequences, store_rows, submissions, synonymy
 from curaspark.plans import scalars
 from curaspark.plans.relational import t
 from curaspark.plans.views import oracle
@@ -215,7 +215,51 @@ def public_queue(spark, d):
 
 
 @query("""WITH p AS (SELECT CASE p_partkey % 4 WHEN 0 THEN 'duplicate' WHEN 1 THEN 'contained' WHEN 2 THEN 'ambiguous' ELSE 'set aside' END AS kind, p_brand AS a, 'P' || p_partkey AS b FROM {part})
-SELECT row_number() OVER (ORDER BY CASE kind WHEN 'ambiguous' THEN 1 WHEN 'contained' THEN 2 WHEN 'duplicate' THEN 3 ELSE 4 END, a, b) AS position, * FROM p""")
+SELECT row_number() OVER (ORDER BY CASE kind WHEN 'duplicate' THEN 1 WHEN 'contained' THEN 2 WHEN 'ambiguous' THEN 3 ELSE 4 END, a, b) AS position, * FROM p""")
 def review_order(spark, d):
     kind = F.element_at(F.array(*[F.lit(k) for k in ("duplicate", "contained", "ambiguous", "set aside")]), (F.col("p_partkey") % 4).cast("int") + 1)
     return curation.review_order(t(spark, d, "part").select(kind.alias("kind"), F.col("p_brand").alias("a"), F.concat(F.lit("P"), "p_partkey").alias("b")))
+
+
+# ---- synonymy ----
+
+
+def _synonyms(spark, d):
+    rows = t(spark, d, "v_sequences").filter("variant in (0, 2, 4) or variant = 1 and vec_id % 2 = 1").withColumnRenamed("name", "LINEAGE_NAME")
+    n = F.when(F.col("variant") == 0, 3).when(F.col("variant") == 1, 2).when(F.col("variant") == 2, F.col("vec_id") % 2).otherwise(F.col("vec_id") % 6).cast("int")
+    hosts = rows.select("LINEAGE_NAME", F.explode(F.expr("sequence(1, 5)")).alias("i"), n.alias("n")).filter("i <= n")
+    hosts = hosts.select("LINEAGE_NAME", F.concat(F.lit("H"), F.col("i") % 2).alias("SPECIES_NAME"), F.concat(F.lit("C"), "i").alias("COUNTRY_NAME"), F.concat(F.lit("R"), "i").alias("REFERENCE_NAME"))
+    genus = F.when((F.col("variant") == 4) & (F.col("vec_id") % 5 == 0), "G2").otherwise("G1")
+    lineages = rows.select("LINEAGE_NAME", genus.alias("GENUS_NAME"), F.lit("").alias("GENBANK_ACC"), F.lit("Full").alias("SEQ_LENGTH"), F.col("seq").alias("SEQUENCE"))
+    alternatives = rows.filter("variant = 1 and vec_id % 3 = 0").select("LINEAGE_NAME", F.concat(F.lit("V"), "vec_id", F.lit("_0")).alias("ALT_NAME"))
+    vectors = hosts.limit(0).withColumnRenamed("SPECIES_NAME", "VECTOR_SPECIES")
+    known = synonymy.profiles(lineages, hosts, vectors, t(spark, d, "v_references"), hosts.select("LINEAGE_NAME", "SPECIES_NAME").limit(0), alternatives)
+    decisions = rows.filter("variant = 4 and vec_id % 10 = 1").select("LINEAGE_NAME", F.lit("keep").alias("DECISION"))
+    return synonymy.synonymy_review(known, 64, alternatives, decisions, floor=40, small=1, shared=40)
+
+
+_REVIEW = """v AS (SELECT vec_id, variant, name, CASE variant WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 2 THEN vec_id % 2 ELSE vec_id % 6 END AS n FROM {v_sequences} WHERE variant IN (0, 2, 4) OR variant = 1 AND vec_id % 2 = 1),
+rw AS (SELECT CASE WHEN a.variant = 1 THEN 'duplicate' ELSE 'contained' END AS KIND, a.name AS LINEAGE, b.name AS OTHER, a.variant AS va, a.vec_id AS id, a.n AS na, b.n AS nb, CASE WHEN a.variant = 1 THEN 64 ELSE 48 END AS COMPARABLE, a.variant = 4 AND a.vec_id % 5 = 0 AS cross_genus
+  FROM v a JOIN v b ON a.vec_id = b.vec_id AND (a.variant = 1 AND b.variant = 0 OR a.variant IN (2, 4) AND b.variant IN (0, 1))),
+rv AS (SELECT *, CASE WHEN cross_genus THEN 'decide: genera differ' WHEN KIND = 'duplicate' THEN 'merge: one sequence' WHEN id % 2 = 1 THEN 'decide: several hold it' WHEN na <= 1 THEN 'merge: adds little' WHEN na > nb THEN 'decide: better established' ELSE 'decide: records would move' END AS PROPOSAL FROM rw)"""
+
+
+@query(f"""WITH {_REVIEW} SELECT KIND, LINEAGE, OTHER, PROPOSAL, CASE WHEN PROPOSAL LIKE 'merge%' THEN OTHER ELSE '' END AS PROPOSED_INTO, COMPARABLE, 64 - COMPARABLE AS OTHER_PRIVATE, 0 AS LINEAGE_PRIVATE, CASE WHEN KIND = 'contained' THEN 1 + id % 2 ELSE 0 END AS N_CONTAINERS,
+CASE WHEN KIND = 'duplicate' THEN '' WHEN id % 2 = 1 THEN 'V' || id || '_0, V' || id || '_1' ELSE 'V' || id || '_0' END AS CONTAINERS, CASE WHEN KIND = 'duplicate' AND id % 3 = 0 THEN 'yes' ELSE '' END AS ALREADY_ALT_NAME, CASE WHEN va = 4 AND id % 10 = 1 THEN 'keep' ELSE '' END AS PRIOR_DECISION,
+na AS LINEAGE_HOST_RECORDS, nb AS OTHER_HOST_RECORDS, least(na, 2) AS LINEAGE_HOSTS, na AS LINEAGE_REFERENCES, CASE WHEN na > 0 THEN 2001 END AS LINEAGE_FIRST_YEAR, CASE na WHEN 0 THEN '' WHEN 1 THEN 'R1' WHEN 2 THEN 'R1; R2' WHEN 3 THEN 'R1; R2; R3' WHEN 4 THEN 'R1; R2; R3; R4' ELSE 'R1; R2; R3; R4; R5' END AS LINEAGE_REFERENCE_NAMES FROM rv""")
+def synonymy_review(spark, d):
+    shown = "KIND LINEAGE OTHER PROPOSAL PROPOSED_INTO COMPARABLE OTHER_PRIVATE LINEAGE_PRIVATE N_CONTAINERS CONTAINERS ALREADY_ALT_NAME PRIOR_DECISION LINEAGE_HOST_RECORDS OTHER_HOST_RECORDS LINEAGE_HOSTS LINEAGE_REFERENCES LINEAGE_FIRST_YEAR LINEAGE_REFERENCE_NAMES"
+    return _synonyms(spark, d).select(*shown.split())
+
+
+@query(f"""WITH {_REVIEW} SELECT count(*) AS n_pairs, count(*) FILTER (KIND = 'duplicate') AS n_duplicate, count(*) FILTER (KIND = 'contained') AS n_contained, 0 AS n_ambiguous, count(*) FILTER (PROPOSAL LIKE 'merge%') AS n_proposed_merges, 0 AS n_below_floor, count(*) FILTER (cross_genus) AS n_cross_genus,
+count(*) FILTER (KIND = 'duplicate' AND id % 3 = 0) AS n_already_alt_name, count(DISTINCT CASE WHEN KIND = 'contained' THEN LINEAGE END) AS n_contained_lineages, count(DISTINCT CASE WHEN KIND = 'contained' AND id % 2 = 0 THEN LINEAGE END) AS n_contained_unique, (SELECT count(*) FROM v) AS n_lineages_in_pairs FROM rv""")
+def synonymy_summary(spark, d):
+    return synonymy.review_summary(_synonyms(spark, d), floor=40)
+
+
+@query("""SELECT 'V' || vec_id || '_0' AS haplotype, name AS lineage, 2 AS n_names FROM {v_sequences} WHERE variant IN (0, 1)""")
+def synonymy_report(spark, d):
+    rows = t(spark, d, "v_sequences")
+    pairs = sequences.all_pairs_compatible(rows, "name", "seq", 64, min_shared=40)
+    return synonymy.synonymy_report(pairs, rows.withColumnRenamed("name", "LINEAGE_NAME"))[0]
