@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -127,15 +130,11 @@ def replace_source(existing: DataFrame, incoming: DataFrame, keys: list[str], or
 def _pairing(columns: list[str], record_id: str, row_no: str):
     """The grouped function of ``merge_table``; inside another function, so that it is sent by value."""
 
-    def pair(old: pd.DataFrame, fresh: pd.DataFrame) -> pd.DataFrame:
-        """Greedy by (differing columns, old row, new row). One old row at a time is compared with all new ones, so no list of pairs is held."""
-        fresh.columns = [*columns, row_no]
-        old, fresh = old.sort_values(record_id).reset_index(drop=True), fresh.sort_values(row_no).reset_index(drop=True)
-        codes = np.stack([pd.factorize(pd.concat([old[c], fresh[c]], ignore_index=True))[0] for c in columns], axis=1)
-        was, now = codes[: len(old)], codes[len(old) :]
+    def by_rows(was: np.ndarray, now: np.ndarray) -> np.ndarray:
+        """The new row that each old row gets, or -1: one old row at a time is compared with all free ones."""
         free, partner = np.arange(len(now)), np.full(len(was), -1)
         least = np.zeros(len(was), np.int64)  # no free row is nearer than that
-        for distance in range(len(columns) + 1):
+        for distance in range(was.shape[1] + 1):
             for i in np.flatnonzero((partner < 0) & (least <= distance)).tolist():
                 if not len(free):
                     break
@@ -145,6 +144,48 @@ def _pairing(columns: list[str], record_id: str, row_no: str):
                 if least[i] == distance:
                     partner[i] = free[first]
                     free = np.delete(free, first)
+        return partner
+
+    def by_subsets(was: np.ndarray, now: np.ndarray) -> np.ndarray:
+        """The same by an index: at a distance, rows meet under every set of columns that may agree; where sets outnumber the new rows, by rows."""
+        both = np.concatenate([was, now])
+        varying = np.flatnonzero((both != both[0]).any(axis=0)).tolist()
+        partner, used = np.full(len(was), -1), np.zeros(len(now), bool)
+        for distance in range(len(varying) + 1):
+            waiting, open_ = np.flatnonzero(partner < 0), np.flatnonzero(~used)
+            if not len(waiting) or not len(open_):
+                break
+            if math.comb(len(varying), distance) > len(open_):
+                partner[waiting] = np.append(open_, -1)[by_rows(was[waiting], now[open_])]
+                break
+            indexes = []
+            for agree in itertools.combinations(varying, len(varying) - distance):
+                rows = np.concatenate([was[waiting][:, agree], now[open_][:, agree]])
+                keys = np.unique(rows, axis=0, return_inverse=True)[1].reshape(-1) if agree else np.zeros(len(rows), np.int64)
+                mine, theirs = keys[: len(waiting)], keys[len(waiting) :]
+                order = np.argsort(theirs, kind="stable")
+                heads = np.searchsorted(theirs[order], np.arange(keys.max() + 2))
+                indexes.append((mine.tolist(), open_[order].tolist(), heads[:-1].tolist(), heads[1:].tolist()))
+            for at, i in enumerate(waiting.tolist()):
+                best = -1
+                for mine, rows, head, end in indexes:
+                    key = mine[at]
+                    while head[key] < end[key] and used[rows[head[key]]]:
+                        head[key] += 1
+                    if head[key] < end[key] and (best < 0 or rows[head[key]] < best):
+                        best = rows[head[key]]
+                if best >= 0:
+                    partner[i], used[best] = best, True
+        return partner
+
+    def pair(old: pd.DataFrame, fresh: pd.DataFrame) -> pd.DataFrame:
+        """Greedy by (differing columns, old row, new row); no list of pairs is held."""
+        fresh.columns = [*columns, row_no]
+        old, fresh = old.sort_values(record_id).reset_index(drop=True), fresh.sort_values(row_no).reset_index(drop=True)
+        codes = np.stack([pd.factorize(pd.concat([old[c], fresh[c]], ignore_index=True))[0] for c in columns], axis=1)
+        was, now = codes[: len(old)], codes[len(old) :]
+        partner = by_subsets(was, now) if len(was) * len(now) > 1 << 20 else by_rows(was, now)
+        free = np.setdiff1d(np.arange(len(now)), partner)
         changed = fresh.loc[partner[partner >= 0], columns].reset_index(drop=True)
         changed[record_id] = old.loc[partner >= 0, record_id].to_numpy()
         added = fresh.loc[free, columns].assign(**{record_id: None})
