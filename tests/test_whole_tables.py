@@ -11,3 +11,8 @@ def test_row_flags_of_every_row(spark, sf):
     hosts, got = views.table(spark, sf, "v_hosts"), _counts(spark, sf, "row_flags", "flag")
     assert got["host_missing"] == hosts.filter("SPECIES_NAME = ''").count()
     assert got["prevalence_inconsistent"] == hosts.filter("NUMBER_FOUND > NUMBER_TESTED").count()
+
+
+def test_backfill_taxonomy_of_every_row(spark, sf):
+    hosts = views.table(spark, sf, "v_hosts").groupBy("GENUS_NAME").count()
+    assert _counts(spark, sf, "backfill_taxonomy", "GENUS_NAME") == {r[0]: r[1] for r in hosts.collect()}
