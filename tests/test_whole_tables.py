@@ -16,3 +16,8 @@ def test_row_flags_of_every_row(spark, sf):
 def test_backfill_taxonomy_of_every_row(spark, sf):
     hosts = views.table(spark, sf, "v_hosts").groupBy("GENUS_NAME").count()
     assert _counts(spark, sf, "backfill_taxonomy", "GENUS_NAME") == {r[0]: r[1] for r in hosts.collect()}
+
+
+def test_backfill_continent_of_every_row(spark, sf):
+    hosts = views.table(spark, sf, "v_hosts").groupBy("COUNTRY_NAME").count()
+    assert _counts(spark, sf, "backfill_continent", "COUNTRY_NAME") == {r[0]: r[1] for r in hosts.collect()}
