@@ -83,18 +83,15 @@ def flag_counts(flagged: DataFrame) -> DataFrame:
 def known_values(rows: DataFrame, store: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Distinct ``rows`` (key and columns, and how many each was as ``n``) with ``seen``: those columns whose value the key had in the store.
 
-    ``seen`` holds '' where the key itself stands in the store. Both sides meet by (key, column, value), so neither a key with
-    very many values nor one with very many rows ends in one task.
+    ``seen`` holds '' where the key itself stands in the store. Both sides meet by (key, value), a column at a time, so a row is never
+    held more than once and no set of a key's values is gathered.
     """
-
-    def cells(df: DataFrame, *more: str) -> DataFrame:
-        kinds = F.array(F.struct(F.lit("").alias("kind"), F.lit("").alias("value")), *[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in columns])
-        return df.select(key, *more, F.explode(kinds).alias("x")).select(key, *more, "x.*")
-
-    claims = rows.groupBy(key, *columns).agg(F.count("*").alias("n"))
-    there = cells(store.select(key, *columns)).distinct().withColumn("there", F.lit(True))
-    met = cells(claims.withColumn("claim", F.struct(key, *columns, "n")), "claim").join(there, [key, "kind", "value"], "left")
-    return met.groupBy("claim").agg(F.collect_set(F.when(F.col("there"), F.col("kind"))).alias("seen")).select("claim.*", "seen")
+    met, seen = rows.groupBy(key, *columns).agg(F.count("*").alias("n")), []
+    for k, column in enumerate(["", *columns]):
+        by = [key, column] if column else [key]
+        met = met.join(store.select(*by).distinct().withColumn(f"_{k}", F.lit(True)), by, "left")
+        seen.append(F.when(F.col(f"_{k}"), column))
+    return met.select(key, *columns, "n", F.array_compact(F.array(*seen)).alias("seen"))
 
 
 def host_geo_flag(rows: DataFrame, store: DataFrame) -> DataFrame:

@@ -13,6 +13,12 @@ def test_row_flags_of_every_row(spark, sf):
     assert got["prevalence_inconsistent"] == hosts.filter("NUMBER_FOUND > NUMBER_TESTED").count()
 
 
+def test_plausibility_of_every_row(spark, sf):
+    claim = ["LINEAGE_NAME", "SPECIES_NAME", "COUNTRY_NAME"]
+    judged = {tuple(r) for r in registry.queries()["plausibility"](spark, sf).select(claim).collect()}
+    assert judged == {tuple(r) for r in views.table(spark, sf, "v_hosts").select(claim).distinct().collect()}
+
+
 def test_backfill_taxonomy_of_every_row(spark, sf):
     hosts = views.table(spark, sf, "v_hosts").groupBy("GENUS_NAME").count()
     assert _counts(spark, sf, "backfill_taxonomy", "GENUS_NAME") == {r[0]: r[1] for r in hosts.collect()}
