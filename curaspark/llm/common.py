@@ -158,6 +158,23 @@ def chunks(raw: np.ndarray, offsets: np.ndarray, size: int = 1 << 20):
         i = j
 
 
+#: Words and hashes of a run take some 40 times its bytes while it is worked on; a worker keeps that memory.
+RUN_BYTES = 1 << 18
+
+
+def runs_of(texts: pa.Array, size: int):
+    """(first row, last row, slice) of runs of texts of about ``size`` bytes together, without a copy of the column."""
+    n, wide = len(texts), pa.types.is_large_string(texts.type)
+    if n == 0:
+        return
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + n + 1]
+    i = 0
+    while i < n:
+        j = min(max(i + 1, int(np.searchsorted(offsets, int(offsets[i]) + size, side="right")) - 1), n)
+        yield i, j, texts.slice(i, j - i)
+        i = j
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that driver and executors share."""
     _set_shared(spark)

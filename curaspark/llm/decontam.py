@@ -46,10 +46,13 @@ for _b in range(128):
 
 
 def plain_words(texts: pa.Array):
-    """(first row, last row, hashes, offsets) of runs of texts, punctuation as spaces."""
-    raw, offsets = common.text_buffer(pc.utf8_lower(texts))
-    for i, j, part, own in common.chunks(_PLAIN[raw], offsets):
-        yield i, j, *common.hashed_words(part, own)
+    """(first row, last row, hashes, offsets) of runs of texts, punctuation as spaces.
+
+    Runs are lower-cased and hashed one after the other, so that a large batch costs no copies of itself.
+    """
+    for i, j, own in common.runs_of(texts, common.RUN_BYTES):
+        raw, offsets = common.text_buffer(pc.utf8_lower(own))
+        yield i, j, *common.hashed_words(_PLAIN[raw], offsets)
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:

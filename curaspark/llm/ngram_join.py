@@ -106,9 +106,8 @@ def popularity(docs: DataFrame, words: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            raw, offsets = common.text_buffer(batch.column("text"))
-            for _, _, part, own in common.chunks(raw, offsets, 4 << 20):
-                total += np.bincount((shingles(part, own, words)[0] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
+            for _, _, own in common.runs_of(batch.column("text"), common.RUN_BYTES):
+                np.add.at(total, (shingles(*common.text_buffer(own), words)[0] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         if total.any():
             counts = np.minimum(total, 0xFFFF).astype(np.uint16)
             yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([counts[k * width : (k + 1) * width].tobytes() for k in range(PARTS)], pa.binary())], ["part", "counts"])
@@ -151,9 +150,8 @@ def index(docs: DataFrame, popular: np.ndarray, words: int, num: int, den: int)
     def run(batches):
         popular = held.value
         for batch in batches:
-            raw, offsets = common.text_buffer(batch.column("text"))
-            for i, j, part, own in common.chunks(raw, offsets):
-                found, at = shingles(part, own, words)
+            for i, j, own in common.runs_of(batch.column("text"), common.RUN_BYTES):
+                found, at = shingles(*common.text_buffer(own), words)
                 n = np.diff(at)
                 coarse = np.bincount((np.repeat(np.arange(j - i), n) << COARSE_BITS) + (found >> np.uint64(64 - COARSE_BITS)).astype(np.int64), minlength=(j - i) << COARSE_BITS)
                 yield pa.RecordBatch.from_arrays(
@@ -179,9 +177,8 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            raw, offsets = common.text_buffer(batch.column("text"))
-            for i, j, part, own in common.chunks(raw, offsets):
-                found, at = shingles(part, own, words)
+            for i, j, own in common.runs_of(batch.column("text"), common.RUN_BYTES):
+                found, at = shingles(*common.text_buffer(own), words)
                 sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(found.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(_mixed(found, at).view(np.int64)), sets], ["doc_id", "set_a", "shingles"])
 

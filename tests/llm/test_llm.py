@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -49,6 +50,30 @@ def test_hashed_words_are_the_words(spark):
     assert len(set(names.values())) == len(names)
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_runs_of_texts_hold_every_row_once(kind):
+    texts = [*ODD, None, "", "x" * 900, "é ß " * 40] * 3
+    for column in (pa.array(texts, kind), pa.array(["before", None, *texts, "after"], kind).slice(2, len(texts))):
+        for size in (1, 100, 1 << 20):
+            runs = list(common.runs_of(column, size))
+            assert [t for _, _, own in runs for t in own.to_pylist()] == texts
+            assert [i for i, _, _ in runs] == [0, *(j for _, j, _ in runs[:-1])] and runs[-1][1] == len(texts)
+            assert all(j - i == 1 or sum(len((t or "").encode()) for t in own.to_pylist()) <= size for i, j, own in runs)
+    assert list(common.runs_of(pa.array([], kind), 100)) == []
+
+
+def test_words_of_a_large_batch_take_little_memory_beside_it(spark):
+    texts = pa.array([f"Word{k} Of A Text, " * 200 for k in range(8_000)])
+    assert texts.nbytes > 24 << 20
+    before, most, n = pa.total_allocated_bytes(), 0, 0
+    tracemalloc.start()
+    for i, j, _, at in decontam.plain_words(texts):
+        most, n = max(most, pa.total_allocated_bytes() - before), n + int(at[-1])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 8_000 * 800 and most < 4 << 20 and peak < 40 << 20
+
+
 def test_components_of_random_links(spark):
     rng = random.Random(1)
     links = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(200 + k, 201 + k) for k in range(40)]
