@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Flags that stop a row, flags that need a look.
 INCOMPLETE = ("lineage_missing", "host_missing", "vector_missing")
@@ -111,11 +112,47 @@ def host_geo_flag(rows: DataFrame, store: DataFrame) -> DataFrame:
     return joined.groupBy(call.alias("call")).agg(F.sum("n").alias("n"))
 
 
-def plausibility(rows: DataFrame, store: DataFrame) -> DataFrame:
-    """(LINEAGE_NAME, SPECIES_NAME, COUNTRY_NAME, level): the closest taxon in which the lineage was seen."""
+def _packed(columns: list[str]) -> Column:
+    """The texts of columns as one; a null stays apart from a blank, and a text that holds a separator is written with others in its place."""
+
+    def text(c: str) -> Column:
+        written = F.replace(F.replace(F.col(c), F.lit("\x1e"), F.lit("\x1e0")), F.lit("\x1f"), F.lit("\x1e1"))
+        return F.when(F.col(c).contains("\x1e") | F.col(c).contains("\x1f"), written).otherwise(F.col(c))
+
+    return F.concat_ws("\x1f", *[F.coalesce(text(c), F.lit("\x1e")) for c in columns])
+
+
+def _unpacked(packed: str, columns: list[str]) -> list[Column]:
+    def text(c: Column) -> Column:
+        return F.when(c.contains("\x1e"), F.replace(F.replace(c, F.lit("\x1e1"), F.lit("\x1f")), F.lit("\x1e0"), F.lit("\x1e"))).otherwise(c)
+
+    parts = F.split(packed, "\x1f")
+    return [F.when(parts[k] != "\x1e", text(parts[k])).alias(c) for k, c in enumerate(columns)]
+
+
+def plausibility(rows: DataFrame, store: DataFrame | Column) -> DataFrame:
+    """(LINEAGE_NAME, SPECIES_NAME, COUNTRY_NAME, level, in_country): the closest taxon in which the lineage was seen.
+
+    ``store`` is a table, or the condition on ``rows`` that tells the store's own. All rows are shuffled once, by lineage; whether the store
+    has a value of a lineage is then the largest flag among the rows of both, a column at a time, so no set of values is gathered.
+    """
     taxa = ["SPECIES_NAME", "GENUS_NAME", "FAMILY_NAME", "ORDER_NAME"]
-    known = known_values(rows, store, "LINEAGE_NAME", [*taxa, "COUNTRY_NAME"])
-    level = F.when(~F.array_contains("seen", ""), "unknown lineage")
+    columns = ["LINEAGE_NAME", *taxa, "COUNTRY_NAME"]
+    if isinstance(store, Column):
+        told = rows.select(*columns, F.when(store, 3).otherwise(1).cast("byte").alias("_of"))
+    else:
+        told = rows.select(*columns, F.lit(1).cast("byte").alias("_of")).union(store.select(*columns, F.lit(2).cast("byte")))
+    # one text carries a row's values, as fields of their own take half as much again; and a stated number of parts, as merged ones would be
+    # too large to sort in memory
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = told.select("LINEAGE_NAME", _packed(columns[1:]).alias("_row"), "_of").repartition(parts, "LINEAGE_NAME")
+    met = dealt.select("LINEAGE_NAME", *_unpacked("_row", columns[1:]), (F.col("_of") % 2 == 1).alias("_judged"), (F.col("_of") > 1).alias("_held"))
+    seen = {}
+    for name in columns:
+        by = dict.fromkeys(["LINEAGE_NAME", name])
+        met = met.withColumn(f"_{name}", F.max("_held").over(Window.partitionBy(*by)))
+        seen[name] = F.col(f"_{name}") & F.col("LINEAGE_NAME").isNotNull() & F.col(name).isNotNull()
+    level = F.when(~seen["LINEAGE_NAME"], "unknown lineage")
     for name in taxa:
-        level = level.when(F.array_contains("seen", name) & (F.col(name) != ""), name.split("_")[0].lower())
-    return known.select("LINEAGE_NAME", "SPECIES_NAME", "COUNTRY_NAME", level.otherwise("new").alias("level"), F.array_contains("seen", "COUNTRY_NAME").alias("in_country")).distinct()
+        level = level.when(seen[name] & (F.col(name) != ""), name.split("_")[0].lower())
+    return met.filter("_judged").select("LINEAGE_NAME", "SPECIES_NAME", "COUNTRY_NAME", level.otherwise("new").alias("level"), seen["COUNTRY_NAME"].alias("in_country")).distinct()
