@@ -7,7 +7,7 @@ from oracle import TABLES, connect, oracle_rows, rows_of
 
 from curaspark.plans import registry
 
-QUERIES = ["site_profile"]
+QUERIES = ["site_profile", "shared_sequences"]
 
 
 @pytest.fixture(scope="module")
