@@ -7,7 +7,7 @@ from oracle import TABLES, connect, oracle_rows, rows_of
 
 from curaspark.plans import registry
 
-QUERIES = ["site_profile", "shared_sequences"]
+QUERIES = ["site_profile", "shared_sequences", "column_changes"]
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +16,7 @@ def on_bounds(tmp_path_factory):
     for name in (n for n in TABLES if n != "embeddings"):
         (folder / f"{name}.parquet").symlink_to(f"/root/testdata/sf0.001/{name}.parquet")
     vectors = pq.read_table("/root/testdata/sf0.001/embeddings.parquet")
-    rows = [[(0.08, -0.08)[v % 2] if i % 7 == 2 and v % 4 == i % 4 else x for i, x in enumerate(row)] for v, row in enumerate(vectors["embedding"].to_pylist())]
+    rows = [[(-0.08, 0.08)[v % 2] if i % 7 == 2 and v % 4 == i % 4 else x for i, x in enumerate(row)] for v, row in enumerate(vectors["embedding"].to_pylist())]
     pq.write_table(vectors.set_column(1, vectors.schema.field(1), pa.array(rows, vectors.schema.field(1).type)), folder / "embeddings.parquet")
     return str(folder)
 
