@@ -136,7 +136,8 @@ def pooled_compilation(lines: DataFrame, cues: list[str]) -> DataFrame:
     said = F.lit(False)
     for cue in cues:
         said = said | F.lower("text").contains(cue)
-    cites = F.size(F.regexp_extract_all("text", F.lit(r"\(?[A-Z][a-z]+(?: et al)?\.?,? (?:19|20)[0-9]{2}\)?"), F.lit(0)))
+    # a year stands by itself, with a letter at most: not at the head of a longer number, a key or a version
+    cites = F.size(F.regexp_extract_all("text", F.lit(r"\(?[A-Z][a-z]+(?: et al)?\.?,? (?:19|20)[0-9]{2}[a-z]?\b(?!\.[0-9])\)?"), F.lit(0)))
     summed = lines.groupBy("doc").agg(F.sum(said.cast("long")).alias("cues"), F.sum(cites).cast("long").alias("citations"))
     return summed.withColumn("pooled", (F.col("cues") > 0) & (F.col("citations") > 0))
 
