@@ -130,6 +130,19 @@ def _unpacked(packed: str, columns: list[str]) -> list[Column]:
     return [F.when(parts[k] != "\x1e", text(parts[k])).alias(c) for k, c in enumerate(columns)]
 
 
+#: Bytes of the files read for each part of a shuffle whose parts are sorted; some 280,000 rows of hosts.
+PART_BYTES = 4 << 20
+
+
+def _parts(df: DataFrame) -> int:
+    """A stated number of parts that grows with the files read, as parts merged by size, or as few as the session's, would not be sorted in memory."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [leaves.apply(k).stats().sizeInBytes() for k in range(leaves.size())]
+    # a table without files has no size, which reads as the largest number
+    read = sum(x for x in sizes if x < 2**60)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(10_000, int(read // PART_BYTES)))
+
+
 def plausibility(rows: DataFrame, store: DataFrame | Column) -> DataFrame:
     """(LINEAGE_NAME, SPECIES_NAME, COUNTRY_NAME, level, in_country): the closest taxon in which the lineage was seen.
 
@@ -142,10 +155,8 @@ def plausibility(rows: DataFrame, store: DataFrame | Column) -> DataFrame:
         told = rows.select(*columns, F.when(store, 3).otherwise(1).cast("byte").alias("_of"))
     else:
         told = rows.select(*columns, F.lit(1).cast("byte").alias("_of")).union(store.select(*columns, F.lit(2).cast("byte")))
-    # one text carries a row's values, as fields of their own take half as much again; and a stated number of parts, as merged ones would be
-    # too large to sort in memory
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = told.select("LINEAGE_NAME", _packed(columns[1:]).alias("_row"), "_of").repartition(parts, "LINEAGE_NAME")
+    # one text carries a row's values, as fields of their own take half as much again
+    dealt = told.select("LINEAGE_NAME", _packed(columns[1:]).alias("_row"), "_of").repartition(_parts(told), "LINEAGE_NAME")
     met = dealt.select("LINEAGE_NAME", *_unpacked("_row", columns[1:]), (F.col("_of") % 2 == 1).alias("_judged"), (F.col("_of") > 1).alias("_held"))
     seen = {}
     for name in columns:

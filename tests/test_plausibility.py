@@ -38,3 +38,12 @@ def test_plausibility_row_by_row(spark, as_condition):
     found = [tuple(r) for r in out.collect()]
     assert len(found) == len(set(found))
     assert set(found) == _expected(rows, [r for r in rows if r[6]])
+
+
+def test_parts_grow_with_the_files_read(spark, sf, monkeypatch):
+    from curaspark.plans import registry
+
+    monkeypatch.setattr(quality, "PART_BYTES", 5_000, raising=False)
+    out = registry.queries()["plausibility"](spark, sf)
+    dealt = re.findall(r"hashpartitioning\(LINEAGE_NAME#\d+, (\d+)\), REPARTITION_BY_NUM", out._jdf.queryExecution().executedPlan().toString())
+    assert len(dealt) == 1 and int(dealt[0]) > int(spark.conf.get("spark.sql.shuffle.partitions"))
